@@ -1,7 +1,10 @@
 """Registered queries: ``name → (spark, sf_dir) → DataFrame``.
 
 Each reads the given tables (through the topic-record adapter) and returns
-the library result in comparable output form.
+the library result in comparable output form. Streaming queries run a real
+drain-then-stop stream over files Spark wrote from the tables, in a fresh
+folder under the session's shared checkpoint folder, and return a read of the
+sink table.
 """
 
 from __future__ import annotations
@@ -9,18 +12,205 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.activity import repo_activity
+from ..config import StreamConfig
+from ..operators.activity import closed_windows, event_type_counts, repo_activity
+from ..operators.health import health_report, topic_health
+from ..operators.ingest import (
+    advance_cursor,
+    changed_feeds,
+    dedup_events,
+    feed_fingerprints,
+    new_since_last_seen,
+)
+from ..operators.parse import parse_events
+from ..operators.publish import to_messages
+from ..operators.quality import drop_reasons, validate
+from ..session import fresh_dir
+from ..sources.envelope import TOPIC, api_events
+from ..sources.files import read_record_files, read_table, write_table
+from ..sources.kafka import decode_records
+from ..streaming.jobs import ACTIVITY_TABLE, EVENTS_TABLE, start_events_v1, start_repo_activity
+from ..streaming.sinks import run_all, start_append
+from ..operators.ingest import dedup_events_stream
 from . import inputs
 from .output import comparable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# --- sources and projections ---------------------------------------------------
+
+
+def q_decode_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(inputs.decoded(spark, sf_dir))
+
+
+def q_parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(inputs.parsed(spark, sf_dir))
+
+
+def q_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_messages(api_events(inputs.events(spark, sf_dir))).select("key", "value")
+
+
+# --- filters -------------------------------------------------------------------
+
+
+def q_validated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(inputs.validated(spark, sf_dir))
+
+
+def q_drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_reasons(inputs.parsed(spark, sf_dir), inputs.TEST_ALLOWED_TYPES)
+
+
+# --- aggregations --------------------------------------------------------------
+
+
 def q_repo_activity_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(repo_activity(inputs.validated(spark, sf_dir)))
 
 
+def q_repo_activity_5m_closed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(closed_windows(inputs.validated(spark, sf_dir)))
+
+
+def q_event_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over the stored events table, as the reference's batch check reads it."""
+    path = write_table(inputs.validated(spark, sf_dir), fresh_dir(spark, EVENTS_TABLE))
+    return event_type_counts(read_table(spark, path))
+
+
+def q_topic_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topic_health(inputs.records(spark, sf_dir))
+
+
+def q_health_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return health_report(topic_health(inputs.records(spark, sf_dir)), TOPIC)
+
+
+# --- incremental ingest --------------------------------------------------------
+
+
+def _previous_cursors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cursor per feed after the previous poll: its newest id and, as etag,
+    the fingerprint of what it saw."""
+    prev = inputs.previous_feed_rows(spark, sf_dir)
+    newest = prev.groupBy("feed").agg(F.max_by(F.col("event_id").cast("string"), "event_id").alias("last_event_id"))
+    etags = feed_fingerprints(prev, "feed", "event_id").withColumnRenamed("fingerprint", "etag")
+    return newest.join(etags, ["feed"], "full_outer").select("feed", "etag", "last_event_id")
+
+
+def _new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return new_since_last_seen(
+        inputs.feed_rows(spark, sf_dir),
+        _previous_cursors(spark, sf_dir),
+        feed_col="feed",
+        id_col="event_id",
+        order_col="event_id",
+        newest_first=False,
+    )
+
+
+def q_new_since_last_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(_new_rows(spark, sf_dir))
+
+
+def q_feed_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    etags = feed_fingerprints(inputs.feed_rows(spark, sf_dir)).withColumnRenamed("fingerprint", "etag")
+    return advance_cursor(
+        _new_rows(spark, sf_dir),
+        _previous_cursors(spark, sf_dir),
+        order_col="event_id",
+        newest_first=False,
+        new_etags=etags,
+    )
+
+
+def q_changed_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feeds = inputs.daily_feeds(spark, sf_dir)
+    previous = feed_fingerprints(feeds.where(F.col("ts") < F.lit(inputs.FINGERPRINT_POLL).cast("timestamp_ntz")))
+    return changed_feeds(feeds, previous)
+
+
+def _replayed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recs = inputs.first_poll_records(spark, sf_dir).unionByName(inputs.replayed_records(spark, sf_dir))
+    return validate(parse_events(decode_records(recs)), inputs.TEST_ALLOWED_TYPES)
+
+
+def q_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(dedup_events(_replayed_events(spark, sf_dir), first_by=("kafka_ingest_ts",)))
+
+
+# --- streaming -----------------------------------------------------------------
+
+
+def _stream_config(spark: SparkSession, name: str) -> StreamConfig:
+    base = fresh_dir(spark, name)
+    return StreamConfig(
+        checkpoint_base=f"{base}/checkpoints",
+        table_base=f"{base}/tables",
+        allowed_types=inputs.TEST_ALLOWED_TYPES,
+    )
+
+
+def _replay_source(spark: SparkSession, cfg: StreamConfig, records: DataFrame) -> str:
+    """Write records as files a stream can replay; returns their folder."""
+    src = f"{cfg.table_base}/source"
+    write_table(records, src)
+    return src
+
+
+def q_events_v1_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = _stream_config(spark, EVENTS_TABLE)
+    src = _replay_source(spark, cfg, inputs.records(spark, sf_dir))
+    run_all([start_events_v1(spark, cfg, lambda s: read_record_files(s, src))])
+    return comparable(read_table(spark, cfg.table_path(EVENTS_TABLE), merge_schema=True))
+
+
+def q_repo_activity_5m_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = _stream_config(spark, ACTIVITY_TABLE)
+    src = _replay_source(spark, cfg, inputs.records(spark, sf_dir))
+    run_all([start_repo_activity(spark, cfg, lambda s: read_record_files(s, src))])
+    return comparable(read_table(spark, cfg.table_path(ACTIVITY_TABLE)))
+
+
+def q_dedup_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First poll's records drained, then the replay appended and drained by
+    the same checkpoint (two drain-then-stop runs, as a restarted job does)."""
+    cfg = _stream_config(spark, "events_dedup")
+    src = _replay_source(spark, cfg, inputs.first_poll_records(spark, sf_dir))
+
+    def run() -> None:
+        recs = read_record_files(spark, src)
+        events = validate(parse_events(decode_records(recs)), cfg.allowed_types)
+        out = dedup_events_stream(events, delay=cfg.watermark_delay)
+        run_all([start_append(out, cfg.table_path("events"), cfg.checkpoint_path("events"))])
+
+    run()
+    write_table(inputs.replayed_records(spark, sf_dir), src)
+    run()
+    return comparable(read_table(spark, cfg.table_path("events")))
+
+
 QUERIES: dict[str, Query] = {
+    "decode_records": q_decode_records,
+    "parse_events": q_parse_events,
+    "event_messages": q_event_messages,
+    "validated_events": q_validated_events,
+    "drop_reasons": q_drop_reasons,
     "repo_activity_5m": q_repo_activity_5m,
+    "repo_activity_5m_closed_batch": q_repo_activity_5m_closed_batch,
+    "event_type_counts": q_event_type_counts,
+    "topic_health": q_topic_health,
+    "health_report": q_health_report,
+    "new_since_last_seen": q_new_since_last_seen,
+    "feed_cursor": q_feed_cursor,
+    "changed_feeds": q_changed_feeds,
+    "dedup_events": q_dedup_events,
+    "events_v1_stream": q_events_v1_stream,
+    "repo_activity_5m_closed": q_repo_activity_5m_closed,
+    "dedup_events_stream": q_dedup_events_stream,
 }

@@ -1,16 +1,32 @@
-"""Inputs of the registered queries, all derived from the given tables."""
+"""Inputs of the registered queries, all derived from the given tables.
+
+The ``events`` test table becomes topic records through the adapter in
+``sources.envelope``; snapshots, feeds and replays below are rules over its
+rows (time cut-offs and keys), so every input grows with the table.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.parse import parse_events
 from ..operators.quality import validate
 from ..sources.envelope import topic_records
 from ..sources.kafka import decode_records
 
-# --- fixed values: the test table's allowed types (the fifth, "error", is dropped)
+# --- fixed values of the test set-up -------------------------------------------
+# Allowed types of the test table (the fifth, "error", exercises the type check).
 TEST_ALLOWED_TYPES = ("click", "view", "purchase", "signup")
+# Feeds: events are split into this many feeds by user.
+FEEDS = 4
+# The previous poll saw events before this time.
+PREVIOUS_POLL = "2024-01-20 00:00:00"
+# Changed-feed check: daily feeds, previous fingerprints taken at this time.
+FINGERPRINT_POLL = "2024-01-20 12:00:00"
+# Replay: a poller re-publishes events from this time on, one day later.
+REPLAY_FROM = "2024-01-15 00:00:00"
+REPLAY_DELAY = "1 day"
 # -----------------------------------------------------------------------------
 
 
@@ -18,8 +34,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events")
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topic_records(table(spark, sf_dir, "events"))
+    return topic_records(events(spark, sf_dir))
 
 
 def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,3 +52,43 @@ def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate(parsed(spark, sf_dir), TEST_ALLOWED_TYPES)
+
+
+def _before(ts_col: str, when: str):
+    return F.col(ts_col) < F.lit(when).cast("timestamp_ntz")
+
+
+def first_poll_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records published by a first poll: events before ``PREVIOUS_POLL``."""
+    ev = events(spark, sf_dir).where(_before("ts", PREVIOUS_POLL))
+    return topic_records(ev)
+
+
+def replayed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records published again by a later poll whose page had shifted: events
+    from ``REPLAY_FROM`` on; the overlap with the first poll arrives a day
+    later at higher offsets."""
+    ev = events(spark, sf_dir).where(~_before("ts", REPLAY_FROM))
+    rec = topic_records(ev)
+    late = F.col("timestamp") + F.expr(f"INTERVAL {REPLAY_DELAY}")
+    shift = F.lit(10**12)
+    return rec.select(
+        "key", "value", "topic", "partition", (F.col("offset") + shift).alias("offset"), late.alias("timestamp")
+    )
+
+
+def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as newest-first feeds: ``feed, event_id, event_type, ts``;
+    larger ids are newer."""
+    return events(spark, sf_dir).select(
+        (F.col("user_id") % FEEDS).alias("feed"), "event_id", "event_type", "ts"
+    )
+
+
+def previous_feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feed_rows(spark, sf_dir).where(_before("ts", PREVIOUS_POLL))
+
+
+def daily_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as one feed per day: ``feed, event_id, ts``."""
+    return events(spark, sf_dir).select(F.date_format("ts", "yyyy-MM-dd").alias("feed"), "event_id", "ts")

@@ -1,4 +1,9 @@
-"""DuckDB SQL equal to each registered query (same column names)."""
+"""DuckDB SQL equal to each registered query (same column names).
+
+Tables are the pre-registered views over the test parquet files. The CTEs
+restate the adapter (events → topic records) and the parse in SQL; on the
+test table every message is well formed, so parsing reduces to projection.
+"""
 
 from __future__ import annotations
 
@@ -19,7 +24,7 @@ _PARSED = (
 parsed AS (
   SELECT event_id::VARCHAR AS event_id, event_type, 'user_' || user_id::VARCHAR AS actor_login,
          'org/repo_' || (user_id % 20)::VARCHAR AS repo_name, date_trunc('second', ts) AS created_at,
-         raw_json AS raw_payload, kafka_ingest_ts, "partition", "offset", user_id
+         raw_json AS raw_payload, kafka_ingest_ts
   FROM records)"""
 )
 
@@ -41,6 +46,93 @@ activity AS (
   FROM validated GROUP BY ALL)"""
 )
 
+_CLOSED = (
+    "WITH"
+    + _ACTIVITY
+    + """
+SELECT * FROM activity
+WHERE window_end <= (SELECT max(created_at) FROM validated) - INTERVAL 10 MINUTES"""
+)
+
+_PARSED_COLS = "event_id, event_type, actor_login, repo_name, created_at, raw_payload, kafka_ingest_ts"
+
+
+def _fingerprint(id_expr: str) -> str:
+    """md5('count:sum of 60-bit id hashes'), the set fingerprint."""
+    h = f"('0x' || substr(md5(({id_expr})::VARCHAR), 1, 15))::HUGEINT"
+    return f"md5(count(*)::VARCHAR || ':' || sum({h})::VARCHAR)"
+
+
+# Feeds of the events table: feed = user % 4, newest first by id.
+_FEEDS = f"""
+f AS (SELECT user_id % 4 AS feed, event_id, event_type, ts FROM events),
+prev AS (SELECT * FROM f WHERE ts < TIMESTAMP '2024-01-20 00:00:00'),
+cursors AS (
+  SELECT feed, {_fingerprint('event_id')} AS etag, arg_max(event_id, event_id)::VARCHAR AS last_event_id
+  FROM prev GROUP BY feed),
+hits AS (
+  SELECT f.feed, max(f.event_id) AS hit
+  FROM f JOIN cursors c ON f.feed = c.feed AND f.event_id::VARCHAR = c.last_event_id
+  GROUP BY f.feed),
+new_rows AS (
+  SELECT f.* FROM f LEFT JOIN hits h ON f.feed = h.feed
+  WHERE h.hit IS NULL OR f.event_id > h.hit)"""
+
+# Replay: events before 2024-01-20 were published once; those from 2024-01-15 on
+# were published (again) a day later. One copy per id survives, the earliest
+# ingest: the original where there is one, else the replayed copy.
+_DEDUPED = "WITH" + _VALIDATED + """
+SELECT event_id, event_type, actor_login, repo_name, created_at, raw_payload,
+       CASE WHEN kafka_ingest_ts < TIMESTAMP '2024-01-20 00:00:00' THEN kafka_ingest_ts
+            ELSE kafka_ingest_ts + INTERVAL 1 DAY END AS kafka_ingest_ts
+FROM validated"""
+
 ORACLES: dict[str, str] = {
+    "decode_records": "WITH" + _RECORDS + """
+SELECT raw_json, topic, "partition", "offset", kafka_ingest_ts FROM records""",
+    "parse_events": "WITH" + _PARSED + f"\nSELECT {_PARSED_COLS} FROM parsed",
+    "event_messages": "WITH" + _RECORDS + "\nSELECT event_id::VARCHAR AS key, raw_json AS value FROM records",
+    "validated_events": "WITH" + _VALIDATED + f"\nSELECT {_PARSED_COLS} FROM validated",
+    "drop_reasons": "WITH" + _PARSED + """
+SELECT CASE WHEN event_id IS NULL THEN 'missing_event_id'
+            WHEN created_at IS NULL THEN 'bad_created_at'
+            WHEN event_type IN ('click', 'view', 'purchase', 'signup') THEN 'kept'
+            ELSE 'type_not_allowed' END AS reason,
+       count(*) AS "rows"
+FROM parsed GROUP BY ALL""",
     "repo_activity_5m": "WITH" + _ACTIVITY + "\nSELECT * FROM activity",
+    "repo_activity_5m_closed_batch": _CLOSED,
+    "repo_activity_5m_closed": _CLOSED,
+    "event_type_counts": "WITH" + _VALIDATED + """
+SELECT event_type, count(*) AS cnt FROM validated GROUP BY event_type ORDER BY cnt DESC, event_type""",
+    "topic_health": "WITH" + _RECORDS + """,
+parts AS (SELECT topic, "partition", min("offset") AS low, max("offset") + 1 AS high
+          FROM records GROUP BY topic, "partition")
+SELECT topic, count(*) AS partitions, sum(greatest(0, high - low)) AS messages FROM parts GROUP BY topic""",
+    "health_report": "WITH" + _RECORDS + """,
+parts AS (SELECT topic, "partition", min("offset") AS low, max("offset") + 1 AS high
+          FROM records GROUP BY topic, "partition"),
+t AS (SELECT coalesce(count(*), 0)::BIGINT AS partitions, coalesce(sum(greatest(0, high - low)), 0)::BIGINT AS messages
+      FROM parts WHERE topic = 'events.raw')
+SELECT 'topic_exists' AS "check", partitions::VARCHAR AS observed, partitions > 0 AS ok FROM t
+UNION ALL
+SELECT 'topic_has_messages', messages::VARCHAR, messages > 0 FROM t""",
+    "new_since_last_seen": "WITH" + _FEEDS + "\nSELECT feed, event_id, event_type, ts FROM new_rows",
+    "feed_cursor": "WITH" + _FEEDS + f""",
+newest AS (SELECT feed, arg_max(event_id, event_id)::VARCHAR AS new_id FROM new_rows GROUP BY feed),
+etags AS (SELECT feed, {_fingerprint('event_id')} AS new_etag FROM f GROUP BY feed)
+SELECT coalesce(c.feed, n.feed, e.feed) AS feed, coalesce(e.new_etag, c.etag) AS etag,
+       coalesce(n.new_id, c.last_event_id) AS last_event_id
+FROM cursors c FULL JOIN newest n ON c.feed = n.feed FULL JOIN etags e ON coalesce(c.feed, n.feed) = e.feed""",
+    "changed_feeds": f"""WITH
+d AS (SELECT strftime(ts, '%Y-%m-%d') AS feed, event_id, ts FROM events),
+cur AS (SELECT feed, {_fingerprint('event_id')} AS fingerprint FROM d GROUP BY feed),
+prev AS (SELECT feed, {_fingerprint('event_id')} AS prev_fingerprint
+         FROM d WHERE ts < TIMESTAMP '2024-01-20 12:00:00' GROUP BY feed)
+SELECT coalesce(cur.feed, prev.feed) AS feed, fingerprint, prev_fingerprint,
+       fingerprint IS DISTINCT FROM prev_fingerprint AS changed
+FROM cur FULL JOIN prev ON cur.feed = prev.feed""",
+    "dedup_events": _DEDUPED,
+    "dedup_events_stream": _DEDUPED,
+    "events_v1_stream": "WITH" + _VALIDATED + f"\nSELECT {_PARSED_COLS} FROM validated",
 }
