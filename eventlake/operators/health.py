@@ -17,22 +17,29 @@ LIVE_STATES = ("RUNNING", "PENDING")
 # -----------------------------------------------------------------------------
 
 
-def topic_health(records: DataFrame) -> DataFrame:
-    """Per topic: ``topic, partitions, messages``.
-
-    Per partition ``low = min(offset)``, ``high = max(offset) + 1``; messages
-    are ``sum(max(0, high - low))``. Over a broker, ``high - low`` counts
-    retained offsets including compaction and transaction gaps; over a table
-    of decoded records the bounds come from the rows present. Two partial
-    aggregations; the first has one row per partition.
+def partition_offsets(records: DataFrame) -> DataFrame:
+    """Offset bounds per partition from decoded records:
+    ``topic, partition, low, high`` with ``low = min(offset)`` and
+    ``high = max(offset) + 1`` (a broker's low/high watermarks).
+
+    Over a broker, ``high - low`` counts retained offsets including compaction
+    and transaction gaps; over a table the bounds come from the rows present.
+    Partial aggregation; one row per partition.
     """
-    per_part = records.groupBy("topic", "partition").agg(
+    return records.groupBy("topic", "partition").agg(
         F.min("offset").alias("low"),
         (F.max("offset") + 1).alias("high"),
     )
-    return per_part.groupBy("topic").agg(
+
+
+def topic_health(offsets: DataFrame) -> DataFrame:
+    """Per topic: ``topic, partitions, messages`` from partition bounds
+    (``topic, partition, low, high``); messages are
+    ``sum(max(0, high - low))``, so a negative span counts zero.
+    """
+    return offsets.groupBy("topic").agg(
         F.count(F.lit(1)).alias("partitions"),
-        F.sum(F.greatest(F.lit(0), F.col("high") - F.col("low"))).alias("messages"),
+        F.coalesce(F.sum(F.greatest(F.lit(0), F.col("high") - F.col("low"))), F.lit(0)).alias("messages"),
     )
 
 

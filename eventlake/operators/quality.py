@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..schemas import DEFAULT_ALLOWED_TYPES
@@ -52,11 +52,11 @@ def drop_reasons(events: DataFrame, allowed: Sequence[str] = DEFAULT_ALLOWED_TYP
     return events.groupBy(drop_reason(allowed).alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def observe_quality(events: DataFrame, name: str = "quality", allowed: Sequence[str] = DEFAULT_ALLOWED_TYPES) -> DataFrame:
+def observe_quality(events: DataFrame, name: str | Observation = "quality", allowed: Sequence[str] = DEFAULT_ALLOWED_TYPES) -> DataFrame:
     """Attach per-batch drop counters to a (streaming or batch) frame.
 
     Returns the same rows; the counts arrive in
-    ``StreamingQueryProgress.observedMetrics[name]`` per micro-batch (or in an
+    ``StreamingQueryProgress.observedMetrics[name]`` per micro-batch (pass an
     ``Observation`` for batch), computed in the same pass as the data.
     """
     reason = drop_reason(allowed)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..config import StreamConfig
 from ..operators.activity import closed_windows, event_type_counts, repo_activity
-from ..operators.health import health_report, topic_health
+from ..operators.health import health_report, partition_offsets, topic_health
 from ..operators.ingest import (
     advance_cursor,
     changed_feeds,
@@ -84,11 +84,11 @@ def q_event_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_topic_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topic_health(inputs.records(spark, sf_dir))
+    return topic_health(partition_offsets(inputs.records(spark, sf_dir)))
 
 
 def q_health_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return health_report(topic_health(inputs.records(spark, sf_dir)), TOPIC)
+    return health_report(topic_health(partition_offsets(inputs.records(spark, sf_dir))), TOPIC)
 
 
 # --- incremental ingest --------------------------------------------------------

@@ -1,0 +1,280 @@
+"""Streaming semantics on hand-made micro-batches (one file per batch)."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import os
+import random
+import tempfile
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from eventlake.config import StreamConfig
+from eventlake.operators.activity import closed_windows, repo_activity
+from eventlake.operators.health import stream_health
+from eventlake.operators.ingest import dedup_events_stream
+from eventlake.operators.parse import parse_events
+from eventlake.operators.quality import validate
+from eventlake.sources.files import read_record_files
+from eventlake.sources.kafka import decode_records
+from eventlake.streaming.jobs import ACTIVITY_TABLE, EVENTS_TABLE, run_ingest, start_repo_activity
+from eventlake.streaming.progress import ProgressRecorder
+from eventlake.streaming.sinks import run_all, start_append
+
+from stream_model import run_model
+
+DAY0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+EPOCH0 = int(DAY0.timestamp())
+ARROW_SCHEMA = pa.schema(
+    [
+        ("key", pa.binary()),
+        ("value", pa.binary()),
+        ("topic", pa.string()),
+        ("partition", pa.int32()),
+        ("offset", pa.int64()),
+        ("timestamp", pa.timestamp("us", tz="UTC")),
+    ]
+)
+
+
+def hms(h, m, s=0):
+    return EPOCH0 + h * 3600 + m * 60 + s
+
+
+def message(eid, t, repo, typ):
+    ev = {"id": str(eid), "type": typ, "actor": {"login": "u"}, "created_at": dt.datetime.fromtimestamp(t, dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")}
+    if repo is not None:
+        ev["repo"] = {"name": repo}
+    return json.dumps(ev)
+
+
+class Source:
+    """A folder of record files, one file per micro-batch, mtimes increasing."""
+
+    def __init__(self):
+        self.dir = tempfile.mkdtemp(prefix="eventlake-src-")
+        self.n = 0
+        self.offset = 0
+
+    def add(self, rows):
+        """rows: (t, repo, type) or (id, t, repo, type)."""
+        recs = []
+        for r in rows:
+            if len(r) == 3:
+                self.offset += 1
+                eid, (t, repo, typ) = self.offset, r
+            else:
+                eid, t, repo, typ = r
+                self.offset += 1
+            recs.append(
+                {
+                    "key": str(eid).encode(),
+                    "value": message(eid, t, repo, typ).encode(),
+                    "topic": "t",
+                    "partition": 0,
+                    "offset": self.offset,
+                    "timestamp": dt.datetime.fromtimestamp(t, dt.timezone.utc),
+                }
+            )
+        path = os.path.join(self.dir, f"batch-{self.n:04d}.parquet")
+        pq.write_table(pa.Table.from_pylist(recs, ARROW_SCHEMA), path)
+        stamp = 1_700_000_000 + self.n * 10
+        os.utime(path, (stamp, stamp))
+        self.n += 1
+
+    def stream(self, spark):
+        return read_record_files(spark, "file://" + self.dir, max_files_per_trigger=1)
+
+
+def config(**kw):
+    base = "file://" + tempfile.mkdtemp(prefix="eventlake-run-")
+    return StreamConfig(checkpoint_base=f"{base}/ck", table_base=f"{base}/tb", **kw)
+
+
+def run_activity(spark, src, cfg):
+    run_all([start_repo_activity(spark, cfg, src.stream)])
+
+
+def activity_rows(spark, cfg):
+    path = cfg.table_path(ACTIVITY_TABLE)
+    try:
+        df = spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - nothing written yet
+        return []
+    return canon(
+        (int(r.ws), r.repo_name, r.event_count, tuple(r.event_types))
+        for r in df.select(F.unix_timestamp("window_start").alias("ws"), "repo_name", "event_count", "event_types").collect()
+    )
+
+
+def canon(rows):
+    return sorted(rows, key=lambda x: (x[0], x[1] is None, x[1] or "", x[2], x[3]))
+
+
+P, I = "PushEvent", "IssuesEvent"
+
+
+def test_fixture_runs(spark):
+    src, cfg = Source(), config()
+    src.add([(hms(0, 1), "r", P), (hms(0, 4, 59), "r", I), (hms(0, 4, 59), "r", I), (hms(0, 6), None, P)])
+    src.add([(hms(0, 15), "r", P)])
+    src.add([(hms(0, 2), "r", P), (hms(0, 5), "r", P)])
+    src.add([(hms(0, 20, 1), "r", P)])
+    run_activity(spark, src, cfg)
+    assert activity_rows(spark, cfg) == canon(
+        [(hms(0, 0), "r", 4, (I, P)), (hms(0, 5), "r", 1, (P,)), (hms(0, 5), None, 1, (P,))]
+    )
+    # run 2: one row behind the watermark (dropped), one far ahead.
+    src.add([(hms(0, 9, 59), "r", P), (hms(1, 0), "r", P)])
+    run_activity(spark, src, cfg)
+    rows = activity_rows(spark, cfg)
+    assert (hms(0, 15), "r", 1, (P,)) in rows
+    assert (hms(0, 20), "r", 1, (P,)) in rows
+    assert len(rows) == 5
+    # run 3: no new file, nothing new.
+    run_activity(spark, src, cfg)
+    assert len(activity_rows(spark, cfg)) == 5
+
+
+def test_first_batch_never_late(spark):
+    src, cfg = Source(), config()
+    src.add([(hms(5, 0), "r", P), (hms(0, 0), "r", P)])
+    run_activity(spark, src, cfg)
+    assert activity_rows(spark, cfg) == [(hms(0, 0), "r", 1, (P,))]
+
+
+def test_boundary_equality_emits(spark):
+    # max 00:15:00 → watermark 00:05:00 → the window ending 00:05 is emitted.
+    src, cfg = Source(), config()
+    src.add([(hms(0, 1), "r", P), (hms(0, 15), "r", P)])
+    run_activity(spark, src, cfg)
+    assert activity_rows(spark, cfg) == [(hms(0, 0), "r", 1, (P,))]
+
+
+def test_dedup_in_stream(spark):
+    src, cfg = Source(), config(dedup=True)
+    src.add([(1, hms(0, 1), "r", P), (1, hms(0, 1), "r", P), (2, hms(0, 2), "r", P)])
+    src.add([(1, hms(0, 1), "r", P), (9, hms(1, 0), "r", P)])
+    run_activity(spark, src, cfg)
+    assert activity_rows(spark, cfg) == [(hms(0, 0), "r", 2, (P,))]
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_random_batches_match_model(spark, seed):
+    rnd = random.Random(seed)
+    repos = ["a", "b", "c"]
+    types = [P, I, "PullRequestEvent"]
+    batches = []
+    for b in range(10):
+        rows = []
+        for _ in range(25):
+            t = hms(1, 0) + b * 360 - rnd.randint(0, 2400) + rnd.randint(0, 360)
+            rows.append((t, rnd.choice(repos), rnd.choice(types)))
+        batches.append(rows)
+    src, cfg = Source(), config()
+    for rows in batches:
+        src.add(rows)
+    run_activity(spark, src, cfg)
+    expected, _, _ = run_model(batches, 300, 600)
+    assert activity_rows(spark, cfg) == canon(expected)
+
+
+def test_batch_equals_stream(spark):
+    """Closed windows computed in batch equal a drained stream (one batch)."""
+    rnd = random.Random(7)
+    rows = [(hms(0, 0) + rnd.randint(0, 7200), rnd.choice(["a", "b", None]), rnd.choice([P, I])) for _ in range(300)]
+    src, cfg = Source(), config()
+    src.add(rows)
+    run_activity(spark, src, cfg)
+    batch = spark.read.parquet("file://" + src.dir)
+    events = validate(parse_events(decode_records(batch)))
+    expected = canon(
+        (int(r.ws), r.repo_name, r.event_count, tuple(r.event_types))
+        for r in closed_windows(events)
+        .select(F.unix_timestamp("window_start").alias("ws"), "repo_name", "event_count", "event_types")
+        .collect()
+    )
+    assert activity_rows(spark, cfg) == expected
+    assert len(expected) > 0
+
+
+def test_two_queries_and_progress(spark):
+    src, cfg = Source(), config()
+    src.add([(hms(0, 1), "r", P), (hms(0, 2), "r", "ForkEvent"), (hms(0, 30), "r", I)])
+    rec = ProgressRecorder()
+    spark.streams.addListener(rec)
+    try:
+        run_ingest(spark, cfg, src.stream)
+        spark.sparkContext._jvm.java.lang.Thread.sleep(500)
+    finally:
+        spark.streams.removeListener(rec)
+    events = spark.read.parquet(cfg.table_path(EVENTS_TABLE))
+    assert events.count() == 2
+    assert activity_rows(spark, cfg) == [(hms(0, 0), "r", 1, (P,))]
+    health = {r.query: r for r in stream_health(rec.to_df(spark)).collect()}
+    assert set(health) >= {EVENTS_TABLE, ACTIVITY_TABLE}
+    # drained availableNow queries end TERMINATED: not live.
+    assert all(not r.ok and r.state == "TERMINATED" for r in health.values())
+
+
+def test_run_all_raises_after_all_stop(spark):
+    src, cfg = Source(), config()
+    src.add([(hms(0, 1), "r", P)])
+    good = start_repo_activity(spark, cfg, src.stream)
+
+    events = validate(parse_events(decode_records(src.stream(spark))))
+
+    def boom(df, batch_id):
+        raise ValueError("sink down")
+
+    bad = events.writeStream.foreachBatch(boom).option("checkpointLocation", cfg.checkpoint_path("bad")).trigger(availableNow=True).start()
+    with pytest.raises(Exception):
+        run_all([bad, good])
+    assert not good.isActive and not bad.isActive
+
+
+def test_foreach_batch_append_is_at_least_once(spark):
+    """A crash after the append replays the batch; the dedup read fixes it."""
+    from eventlake.operators.ingest import dedup_events
+
+    src, cfg = Source(), config()
+    src.add([(1, hms(0, 1), "r", P), (2, hms(0, 2), "r", P)])
+    out = cfg.table_path("events")
+    state = {"fail": True}
+
+    def append_then_crash(df, batch_id):
+        df.write.mode("append").parquet(out)
+        if state["fail"]:
+            raise RuntimeError("crash after append")
+
+    def start():
+        events = validate(parse_events(decode_records(src.stream(spark))))
+        return (
+            events.writeStream.foreachBatch(append_then_crash)
+            .option("checkpointLocation", cfg.checkpoint_path("events"))
+            .trigger(availableNow=True)
+            .start()
+        )
+
+    with pytest.raises(Exception):
+        run_all([start()])
+    state["fail"] = False
+    run_all([start()])
+    stored = spark.read.parquet(out)
+    assert stored.count() == 4
+    assert dedup_events(stored).count() == 2
+
+
+def test_dedup_within_watermark_drops_late_repeat(spark):
+    src, cfg = Source(), config()
+    src.add([(1, hms(0, 1), "r", P), (2, hms(1, 0), "r", P)])
+    src.add([(1, hms(0, 1), "r", P), (3, hms(1, 1), "r", P)])
+    events = validate(parse_events(decode_records(src.stream(spark))))
+    q = start_append(dedup_events_stream(events), cfg.table_path("d"), cfg.checkpoint_path("d"))
+    run_all([q])
+    ids = sorted(r.event_id for r in spark.read.parquet(cfg.table_path("d")).collect())
+    assert ids == ["1", "2", "3"]
