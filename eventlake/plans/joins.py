@@ -37,7 +37,7 @@ def salted_join(
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"salted join keeps the big side whole only for inner/left joins, not {how!r}")
     salted_big = big.withColumn(_SALT, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(salt_buckets)))
-    replicated = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).cast("long"))
+    replicated = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))))
     return salted_big.join(replicated, [*on, _SALT], how).drop(_SALT)
 
 
