@@ -24,18 +24,23 @@ def parse_events(decoded: DataFrame, text_col: str = "raw_json", ingest_col: str
     (``inline(array(from_json(..)))``). Without it Catalyst pushes the
     validation filters below the projection and repeats ``from_json`` once per
     predicate; the generator is a barrier, so each message is parsed once.
+    The event-time parse sits behind a second one-element generator for the
+    same reason (else the not-NULL filter evaluates it a second time).
     """
     parsed = decoded.select(
         F.col(text_col).alias("raw_payload"),
         F.col(ingest_col).alias("kafka_ingest_ts"),
         F.inline(F.array(F.from_json(F.col(text_col), ENVELOPE_SCHEMA))),
     )
-    return parsed.select(
+    timed = parsed.select(
+        "*", F.inline(F.array(F.struct(parse_event_time(F.col("created_at")).alias("__event_time"))))
+    )
+    return timed.select(
         F.col("id").alias("event_id"),
         F.col("type").alias("event_type"),
         F.col("actor.login").alias("actor_login"),
         F.col("repo.name").alias("repo_name"),
-        parse_event_time(F.col("created_at")).alias("created_at"),
+        F.col("__event_time").alias("created_at"),
         F.col("raw_payload"),
         F.col("kafka_ingest_ts"),
     )

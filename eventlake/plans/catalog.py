@@ -70,11 +70,11 @@ def q_drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_repo_activity_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(repo_activity(inputs.validated(spark, sf_dir)))
+    return comparable(repo_activity(inputs.validated(spark, sf_dir), types=inputs.TEST_ALLOWED_TYPES))
 
 
 def q_repo_activity_5m_closed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(closed_windows(inputs.validated(spark, sf_dir)))
+    return comparable(closed_windows(inputs.validated(spark, sf_dir), types=inputs.TEST_ALLOWED_TYPES))
 
 
 def q_event_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,7 +56,7 @@ def start_events_v1(spark: SparkSession, cfg: StreamConfig, source: Source, trig
 
 def start_repo_activity(spark: SparkSession, cfg: StreamConfig, source: Source, trigger="availableNow") -> StreamingQuery:
     events = validated_stream(source(spark), cfg)
-    activity = repo_activity(events, cfg.window_size, cfg.watermark_delay)
+    activity = repo_activity(events, cfg.window_size, cfg.watermark_delay, types=cfg.allowed_types)
     return start_append(
         activity,
         cfg.table_path(ACTIVITY_TABLE),

@@ -75,6 +75,7 @@ def test_parse_once_in_plan(spark):
     df = spark.createDataFrame([(GOOD, None)], SCHEMA)
     plan = validate(parse_events(df))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 1, plan
+    assert plan.count("try_to_timestamp") == 1, plan
 
 
 def test_time_roundtrip_zone_free(spark, session_conf):

@@ -278,3 +278,23 @@ def test_dedup_within_watermark_drops_late_repeat(spark):
     run_all([q])
     ids = sorted(r.event_id for r in spark.read.parquet(cfg.table_path("d")).collect())
     assert ids == ["1", "2", "3"]
+
+
+def test_bitmask_types_equal_collect_set(spark):
+    rows = [(hms(0, m), r, t) for m, r, t in [(1, "a", P), (2, "a", I), (3, None, P), (7, "a", None), (8, "b", "PullRequestEvent")]]
+    src = Source()
+    src.add(rows)
+    events = parse_events(decode_records(spark.read.parquet("file://" + src.dir))).where(F.col("event_id").isNotNull())
+    plain = repo_activity(events).collect()
+    masked = repo_activity(events, types=[P, I, "PullRequestEvent"])
+    as_text = lambda rows: sorted(str(tuple(r)) for r in rows)
+    assert as_text(masked.collect()) == as_text(plain)
+    assert "ObjectHashAggregate" not in masked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bitmask_rejects_type_outside_list(spark):
+    src = Source()
+    src.add([(hms(0, 1), "a", "ForkEvent")])
+    events = parse_events(decode_records(spark.read.parquet("file://" + src.dir)))
+    with pytest.raises(Exception, match="outside the closed list"):
+        repo_activity(events, types=[P]).collect()
