@@ -86,7 +86,10 @@ def advance_cursor(
     comes from one small row per task; all join sides have one row per feed.
     """
     pick = F.min_by if newest_first else F.max_by
-    newest = new_rows.groupBy(feed_col).agg(pick(F.col(id_col).cast("string"), F.col(order_col)).alias(_NEW))
+    # Aggregate the id in its own type (a numeric id keeps a fixed-width,
+    # hash-aggregated buffer); the text form is taken after the shuffle.
+    newest = new_rows.groupBy(feed_col).agg(pick(F.col(id_col), F.col(order_col)).alias(_NEW))
+    newest = newest.select(F.col(feed_col), F.col(_NEW).cast("string").alias(_NEW))
     old = cursors.select(
         F.col(feed_col),
         F.col("etag"),

@@ -28,6 +28,7 @@ from ..operators.parse import parse_events
 from ..operators.publish import to_messages
 from ..operators.quality import drop_reasons, validate
 from ..session import fresh_dir
+from ..sources.cursors import load_cursor, save_cursor
 from ..sources.envelope import TOPIC, api_events
 from ..sources.files import read_record_files, read_table, write_table
 from ..sources.kafka import decode_records
@@ -35,6 +36,7 @@ from ..streaming.jobs import ACTIVITY_TABLE, EVENTS_TABLE, start_events_v1, star
 from ..streaming.sinks import run_all, start_append
 from ..operators.ingest import dedup_events_stream
 from . import inputs
+from .layout import spread_if_under_split
 from .output import comparable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,7 +54,8 @@ def q_parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_messages(api_events(inputs.events(spark, sf_dir))).select("key", "value")
+    events = spread_if_under_split(inputs.events(spark, sf_dir), ["event_id"])
+    return to_messages(api_events(events)).select("key", "value")
 
 
 # --- filters -------------------------------------------------------------------
@@ -95,18 +98,26 @@ def q_health_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _previous_cursors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cursor per feed after the previous poll: its newest id and, as etag,
-    the fingerprint of what it saw."""
+    """Cursor per feed saved by the previous poll (its newest id and, as etag,
+    the fingerprint of what it saw), stored in and loaded from a cursor table
+    in the shared folder, as a running poller would."""
     prev = inputs.previous_feed_rows(spark, sf_dir)
-    newest = prev.groupBy("feed").agg(F.max_by(F.col("event_id").cast("string"), "event_id").alias("last_event_id"))
-    etags = feed_fingerprints(prev, "feed", "event_id").withColumnRenamed("fingerprint", "etag")
-    return newest.join(etags, ["feed"], "full_outer").select("feed", "etag", "last_event_id")
+    saved = advance_cursor(
+        prev,
+        spark.createDataFrame([], "feed long, etag string, last_event_id string"),
+        order_col="event_id",
+        newest_first=False,
+        new_etags=feed_fingerprints(prev).withColumnRenamed("fingerprint", "etag"),
+    )
+    path = fresh_dir(spark, "cursors")
+    save_cursor(saved, path, version=0)
+    return load_cursor(spark, path).withColumn("feed", F.col("feed").cast("long"))
 
 
-def _new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _new_rows(spark: SparkSession, sf_dir: str, cursors: DataFrame) -> DataFrame:
     return new_since_last_seen(
         inputs.feed_rows(spark, sf_dir),
-        _previous_cursors(spark, sf_dir),
+        cursors,
         feed_col="feed",
         id_col="event_id",
         order_col="event_id",
@@ -115,14 +126,18 @@ def _new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_new_since_last_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(_new_rows(spark, sf_dir))
+    return comparable(_new_rows(spark, sf_dir, _previous_cursors(spark, sf_dir)))
 
 
 def q_feed_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One poll: new rows are written first, then the cursor advances from
+    what was written (a crash in between re-reads, never skips)."""
+    cursors = _previous_cursors(spark, sf_dir)
+    written = write_table(_new_rows(spark, sf_dir, cursors), fresh_dir(spark, "new-rows"))
     etags = feed_fingerprints(inputs.feed_rows(spark, sf_dir)).withColumnRenamed("fingerprint", "etag")
     return advance_cursor(
-        _new_rows(spark, sf_dir),
-        _previous_cursors(spark, sf_dir),
+        read_table(spark, written),
+        cursors,
         order_col="event_id",
         newest_first=False,
         new_etags=etags,

@@ -14,6 +14,7 @@ from ..operators.parse import parse_events
 from ..operators.quality import validate
 from ..sources.envelope import topic_records
 from ..sources.kafka import decode_records
+from .layout import spread_if_under_split
 
 # --- fixed values of the test set-up -------------------------------------------
 # Allowed types of the test table (the fifth, "error", exercises the type check).
@@ -39,7 +40,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topic_records(events(spark, sf_dir))
+    return topic_records(spread_if_under_split(events(spark, sf_dir), ["event_id"]))
 
 
 def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +62,7 @@ def _before(ts_col: str, when: str):
 def first_poll_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records published by a first poll: events before ``PREVIOUS_POLL``."""
     ev = events(spark, sf_dir).where(_before("ts", PREVIOUS_POLL))
-    return topic_records(ev)
+    return topic_records(spread_if_under_split(ev, ["event_id"]))
 
 
 def replayed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +70,7 @@ def replayed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ``REPLAY_FROM`` on; the overlap with the first poll arrives a day
     later at higher offsets."""
     ev = events(spark, sf_dir).where(~_before("ts", REPLAY_FROM))
-    rec = topic_records(ev)
+    rec = topic_records(spread_if_under_split(ev, ["event_id"]))
     late = F.col("timestamp") + F.expr(f"INTERVAL {REPLAY_DELAY}")
     shift = F.lit(10**12)
     return rec.select(

@@ -6,6 +6,9 @@ import pytest
 
 import __spark_entry__ as entry
 from eventlake.operators.activity import repo_activity
+from eventlake.operators.parse import parse_events
+from eventlake.operators.quality import validate
+from eventlake.sources.kafka import decode_records
 from eventlake.plans import inputs
 
 from conftest import SF_SMALL
@@ -17,12 +20,21 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_repo_activity_one_exchange(spark):
-    plan = plan_of(repo_activity(inputs.validated(spark, SF_SMALL)))
+def test_repo_activity_one_exchange(spark, tmp_uri):
+    """On a table with enough splits: scan → parse → partial agg → one exchange."""
+    inputs.records(spark, SF_SMALL).repartition(8).write.parquet(tmp_uri)
+    events = validate(parse_events(decode_records(spark.read.parquet(tmp_uri))))
+    plan = plan_of(repo_activity(events))
     assert plan.count("Exchange hashpartitioning") == 1, plan
     assert plan.count("from_json(") == 1, plan
 
 
+def test_under_split_scan_is_spread(spark):
+    plan = plan_of(inputs.records(spark, SF_SMALL))
+    assert spark.read.parquet(f"{SF_SMALL}/events.parquet").rdd.getNumPartitions() == 1
+    assert "Exchange hashpartitioning(event_id" in plan, plan
+
+
 def test_scan_prunes_columns(spark):
     plan = plan_of(repo_activity(inputs.validated(spark, SF_SMALL)))
     # value and props are never read.
