@@ -36,6 +36,11 @@ class StreamConfig:
     window_size: str = WINDOW_SIZE
     watermark_delay: str = WATERMARK_DELAY
     dedup: bool = False  # reference parity: no dedup in the stream
+    # Partition events_v1 by UTC event date (adds ``event_date``); off for parity.
+    partition_events_by_date: bool = False
+    # State store of the windowed query: "hdfs" (in memory, Spark's default) or "rocksdb".
+    state_store: str = "hdfs"
+    max_files_per_trigger: int | None = None  # file-replay twin of the offsets cap
     extra_source_options: dict[str, str] = field(default_factory=dict)
 
     def table_path(self, name: str) -> str:

@@ -36,7 +36,6 @@ from ..streaming.jobs import ACTIVITY_TABLE, EVENTS_TABLE, start_events_v1, star
 from ..streaming.sinks import run_all, start_append
 from ..operators.ingest import dedup_events_stream
 from . import inputs
-from .layout import spread_if_under_split
 from .output import comparable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,8 +53,7 @@ def q_parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread_if_under_split(inputs.events(spark, sf_dir), ["event_id"])
-    return to_messages(api_events(events)).select("key", "value")
+    return to_messages(api_events(inputs.events(spark, sf_dir))).select("key", "value")
 
 
 # --- filters -------------------------------------------------------------------
@@ -180,14 +178,14 @@ def _replay_source(spark: SparkSession, cfg: StreamConfig, records: DataFrame) -
 
 def q_events_v1_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = _stream_config(spark, EVENTS_TABLE)
-    src = _replay_source(spark, cfg, inputs.records(spark, sf_dir))
+    src = _replay_source(spark, cfg, inputs.records(spark, sf_dir, spread=True))
     run_all([start_events_v1(spark, cfg, lambda s: read_record_files(s, src))])
     return comparable(read_table(spark, cfg.table_path(EVENTS_TABLE), merge_schema=True))
 
 
 def q_repo_activity_5m_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = _stream_config(spark, ACTIVITY_TABLE)
-    src = _replay_source(spark, cfg, inputs.records(spark, sf_dir))
+    src = _replay_source(spark, cfg, inputs.records(spark, sf_dir, spread=True))
     run_all([start_repo_activity(spark, cfg, lambda s: read_record_files(s, src))])
     return comparable(read_table(spark, cfg.table_path(ACTIVITY_TABLE)))
 

@@ -39,16 +39,19 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topic_records(spread_if_under_split(events(spark, sf_dir), ["event_id"]))
+def records(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """Topic records of the events table; ``spread`` for inputs of the JSON
+    parse (see ``layout.spread_if_under_split``)."""
+    ev = events(spark, sf_dir)
+    return topic_records(spread_if_under_split(ev, ["event_id"]) if spread else ev)
 
 
-def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_records(records(spark, sf_dir))
+def decoded(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    return decode_records(records(spark, sf_dir, spread))
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_events(decoded(spark, sf_dir))
+    return parse_events(decoded(spark, sf_dir, spread=True))
 
 
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:

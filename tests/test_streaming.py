@@ -298,3 +298,54 @@ def test_bitmask_rejects_type_outside_list(spark):
     events = parse_events(decode_records(spark.read.parquet("file://" + src.dir)))
     with pytest.raises(Exception, match="outside the closed list"):
         repo_activity(events, types=[P]).collect()
+
+
+def test_schema_growth_with_parquet_sink(spark):
+    cfg = config()
+    path = cfg.table_path("grow")
+    src1, src2 = Source(), Source()
+    src1.add([(hms(0, 1), "r", P)])
+    src2.add([(hms(0, 2), "r", P)])
+    e1 = validate(parse_events(decode_records(src1.stream(spark))))
+    run_all([start_append(e1, path, cfg.checkpoint_path("g1"), merge_schema=True)])
+    e2 = validate(parse_events(decode_records(src2.stream(spark)))).withColumn("extra", F.lit("x"))
+    run_all([start_append(e2, path, cfg.checkpoint_path("g2"), merge_schema=True)])
+    got = spark.read.option("mergeSchema", "true").parquet(path)
+    assert "extra" in got.columns
+    assert sorted(str((r.event_id, r.extra)) for r in got.collect()) == sorted([str(("1", None)), str(("1", "x"))])
+
+
+def test_drop_counters_in_progress(spark):
+    from eventlake.streaming.jobs import start_events_v1
+
+    src, cfg = Source(), config()
+    src.add([(hms(0, 1), "r", P), (hms(0, 2), "r", "ForkEvent"), (hms(0, 3), "r", None)])
+    q = start_events_v1(spark, cfg, src.stream)
+    run_all([q])
+    metrics = [p["observedMetrics"]["events_v1_quality"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert metrics and metrics[0]["input_rows"] == 3 and metrics[0]["type_not_allowed"] == 2
+
+
+def test_events_partitioned_by_date(spark):
+    from eventlake.streaming.jobs import start_events_v1
+
+    src, cfg = Source(), config(partition_events_by_date=True)
+    src.add([(hms(0, 1), "r", P), (hms(0, 1) + 86400, "r", P)])
+    run_all([start_events_v1(spark, cfg, src.stream)])
+    path = cfg.table_path(EVENTS_TABLE)
+    dirs = sorted(d for d in os.listdir(path[len("file://"):]) if d.startswith("event_date="))
+    assert dirs == ["event_date=2024-01-01", "event_date=2024-01-02"]
+    df = spark.read.parquet(path).where(F.col("event_date") == F.lit("2024-01-02").cast("date"))
+    assert "PartitionFilters: [isnotnull(event_date" in df._jdf.queryExecution().executedPlan().toString()
+    assert df.count() == 1
+
+
+def test_rocksdb_state_store(spark, session_conf):
+    from eventlake.streaming.state import PROVIDER_CONF
+
+    session_conf(PROVIDER_CONF, spark.conf.get(PROVIDER_CONF, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"))
+    src, cfg = Source(), config(state_store="rocksdb")
+    src.add([(hms(0, 1), "r", P), (hms(0, 20), "r", I)])
+    run_activity(spark, src, cfg)
+    assert activity_rows(spark, cfg) == [(hms(0, 0), "r", 1, (P,))]
+    assert "RocksDB" in spark.conf.get(PROVIDER_CONF)
