@@ -43,18 +43,27 @@ def topic_health(offsets: DataFrame) -> DataFrame:
     )
 
 
-def stream_health(progress: DataFrame, live_states: Sequence[str] = LIVE_STATES) -> DataFrame:
+def stream_health(
+    progress: DataFrame,
+    live_states: Sequence[str] = LIVE_STATES,
+    stale_after: str | None = None,
+) -> DataFrame:
     """Latest state per query from progress rows (``query, ts, state,
     input_rows``): ``query, state, last_ts, input_rows, ok``.
 
-    ``ok`` when the latest state is live (running or pending).
+    ``ok`` when the latest state is live (running or pending) and, with
+    ``stale_after`` (an interval such as ``"30 minutes"``), when the latest row
+    is no older than that: a query that stopped reporting is not live.
     """
     latest = progress.groupBy("query").agg(
         F.max_by("state", "ts").alias("state"),
         F.max("ts").alias("last_ts"),
         F.max_by("input_rows", "ts").alias("input_rows"),
     )
-    return latest.withColumn("ok", F.coalesce(F.col("state").isin(list(live_states)), F.lit(False)))
+    ok = F.coalesce(F.col("state").isin(list(live_states)), F.lit(False))
+    if stale_after is not None:
+        ok = ok & (F.col("last_ts") >= F.current_timestamp() - F.expr(f"INTERVAL {stale_after}"))
+    return latest.withColumn("ok", ok)
 
 
 def health_report(
@@ -99,3 +108,18 @@ def health_report(
         F.coalesce(F.max_by("ok", "last_ts"), F.lit(False)).alias("ok"),
     ).select(F.lit("stream_running").alias("check"), "observed", "ok")
     return rows.unionByName(live)
+
+
+def health_status(report: DataFrame, now: str | None = None) -> str:
+    """Status line when every check passed; otherwise raise naming the first
+    failing check in report order (topic, offsets, stream), as a scheduler's
+    chained tasks would stop there. The report has one row per check, so
+    collecting it is bounded."""
+    rows = report.collect()
+    for r in rows:
+        if not r["ok"]:
+            raise RuntimeError(f"health check {r['check']} failed (observed {r['observed']})")
+    import datetime as _dt
+
+    stamp = now or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    return f"OK at {stamp}: " + ", ".join(f"{r['check']}={r['observed']}" for r in rows)

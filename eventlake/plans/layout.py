@@ -16,8 +16,11 @@ def spread_if_under_split(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     runs on all cores instead of one. Hash partitioning on a key is
     deterministic, so a retried task sees the same rows.
     """
-    spark = df.sparkSession
-    parallelism = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= parallelism:
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the plan alone
+        return df
+    if splits >= parallelism:
         return df
     return df.repartition(parallelism, *keys)

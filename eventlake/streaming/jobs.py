@@ -19,6 +19,7 @@ from ..operators.activity import repo_activity
 from ..operators.ingest import dedup_events_stream
 from ..operators.parse import parse_events
 from ..operators.quality import observe_quality, validate
+from ..sources.files import read_record_files
 from ..sources.kafka import decode_records, read_kafka_stream
 from .sinks import run_all, start_append
 from .state import use_state_store
@@ -33,6 +34,12 @@ def kafka_source(cfg: StreamConfig) -> Source:
     return lambda spark: read_kafka_stream(spark, cfg)
 
 
+def file_source(cfg: StreamConfig, path: str) -> Source:
+    """Replay of topic records from files, capped per micro-batch by
+    ``cfg.max_files_per_trigger``."""
+    return lambda spark: read_record_files(spark, path, max_files_per_trigger=cfg.max_files_per_trigger)
+
+
 def validated_stream(records: DataFrame, cfg: StreamConfig, observe: str | None = None) -> DataFrame:
     """Records → decoded → parsed → [drop counters] → validated → [dedup]."""
     parsed = parse_events(decode_records(records))

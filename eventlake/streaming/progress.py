@@ -58,8 +58,19 @@ class ProgressRecorder(StreamingQueryListener):
         with self._lock:
             return list(self._rows)
 
+    def drain(self) -> list[tuple]:
+        """Return the rows kept so far and forget them."""
+        with self._lock:
+            rows, self._rows = self._rows, []
+        return rows
+
     def to_df(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.rows(), PROGRESS_SCHEMA)
 
-    def append_to(self, spark: SparkSession, path: str) -> None:
-        self.to_df(spark).write.mode("append").parquet(path)
+    def append_to(self, spark: SparkSession, path: str) -> int:
+        """Move the kept rows to the progress table at ``path`` (call it on a
+        schedule in long-running jobs, so driver memory stays bounded)."""
+        rows = self.drain()
+        if rows:
+            spark.createDataFrame(rows, PROGRESS_SCHEMA).write.mode("append").parquet(path)
+        return len(rows)

@@ -43,3 +43,23 @@ def test_stream_states(spark):
     dead = [("q", T(0), "RUNNING", 5), ("q", T(2), "FAILED", 0)]
     assert report(spark, [("t", 0, 0, 1)], dead)["stream_running"] == ("FAILED", False)
     assert report(spark, [("t", 0, 0, 1)], [])["stream_running"] == ("NONE", False)
+
+
+def test_stale_stream_not_live(spark):
+    rows = [("q", T(0), "RUNNING", 5)]
+    df = spark.createDataFrame(rows, PROGRESS_SCHEMA)
+    assert stream_health(df).first().ok
+    assert not stream_health(df, stale_after="30 minutes").first().ok
+
+
+def test_health_status(spark):
+    import pytest
+
+    from eventlake.operators.health import health_status
+
+    topics = topic_health(spark.createDataFrame([("t", 0, 0, 3)], OFFSETS))
+    line = health_status(health_report(topics, "t"), now="2024-01-01T00:00:00Z")
+    assert line == "OK at 2024-01-01T00:00:00Z: topic_exists=1, topic_has_messages=3"
+    empty = topic_health(spark.createDataFrame([("t", 0, 3, 3)], OFFSETS))
+    with pytest.raises(RuntimeError, match="topic_has_messages"):
+        health_status(health_report(empty, "t"))

@@ -166,3 +166,13 @@ def test_cursor_corrupt_state_fails(spark, tmp_uri):
         fh.write("not parquet")
     with pytest.raises(Exception):
         load_cursor(spark, tmp_uri).collect()
+
+
+def test_pages_ordered_by_page_and_index(spark):
+    """Pages concatenated newest first; the cursor sits on page 2."""
+    rows = [("f", p, i, f"{p}-{i}") for p in (1, 2, 3) for i in range(3)]
+    df = spark.createDataFrame(rows, "feed string, page int, idx int, event_id string").withColumn(
+        "pos", F.struct("page", "idx")
+    )
+    out = new_since_last_seen(df, cursors(spark, {"f": "2-1"}))
+    assert sorted(r.event_id for r in out.collect()) == ["1-0", "1-1", "1-2", "2-0"]

@@ -349,3 +349,19 @@ def test_rocksdb_state_store(spark, session_conf):
     run_activity(spark, src, cfg)
     assert activity_rows(spark, cfg) == [(hms(0, 0), "r", 1, (P,))]
     assert "RocksDB" in spark.conf.get(PROVIDER_CONF)
+
+
+def test_progress_recorder_drains_to_table(spark, tmp_uri):
+    src, cfg = Source(), config()
+    src.add([(hms(0, 1), "r", P)])
+    rec = ProgressRecorder()
+    spark.streams.addListener(rec)
+    try:
+        run_activity(spark, src, cfg)
+        spark.sparkContext._jvm.java.lang.Thread.sleep(500)
+    finally:
+        spark.streams.removeListener(rec)
+    n = rec.append_to(spark, tmp_uri)
+    assert n >= 3 and rec.rows() == []
+    states = [r.state for r in spark.read.parquet(tmp_uri).orderBy("ts").collect()]
+    assert states[0] == "PENDING" and "RUNNING" in states and states[-1] == "TERMINATED"
