@@ -33,28 +33,18 @@ def start_append(
     Offsets and state live in ``checkpoint``; a fresh checkpoint needs a
     fresh ``path`` (a file sink skips batch ids already in its log).
 
-    ``merge_schema``: Delta takes the option natively. For Parquet the batch
-    is appended through ``foreachBatch`` and readers pass ``mergeSchema``;
-    that path is at-least-once (a crash after the append replays the batch),
-    so read it through ``dedup_events``.
+    ``merge_schema``: lets the table's schema grow when a restarted query
+    (same checkpoint) writes more columns. Delta takes the option; the Parquet
+    file sink writes each file with its batch's schema and readers pass
+    ``mergeSchema``. Both sinks are exactly-once through their commit logs.
     """
-    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).format(fmt)
     if name:
         writer = writer.queryName(name)
     writer = _trigger(writer, trigger)
-    cols = list(partition_by or [])
-    if merge_schema and fmt != "delta":
-
-        def append(batch: DataFrame, _batch_id: int) -> None:
-            w = batch.write.mode("append").format(fmt)
-            if cols:
-                w = w.partitionBy(*cols)
-            w.save(path)
-
-        return writer.foreachBatch(append).start()
-    writer = writer.format(fmt)
-    if merge_schema:
+    if merge_schema and fmt == "delta":
         writer = writer.option("mergeSchema", "true")
+    cols = list(partition_by or [])
     if cols:
         writer = writer.partitionBy(*cols)
     return writer.start(path)

@@ -301,18 +301,18 @@ def test_bitmask_rejects_type_outside_list(spark):
 
 
 def test_schema_growth_with_parquet_sink(spark):
-    cfg = config()
-    path = cfg.table_path("grow")
-    src1, src2 = Source(), Source()
-    src1.add([(hms(0, 1), "r", P)])
-    src2.add([(hms(0, 2), "r", P)])
-    e1 = validate(parse_events(decode_records(src1.stream(spark))))
-    run_all([start_append(e1, path, cfg.checkpoint_path("g1"), merge_schema=True)])
-    e2 = validate(parse_events(decode_records(src2.stream(spark)))).withColumn("extra", F.lit("x"))
-    run_all([start_append(e2, path, cfg.checkpoint_path("g2"), merge_schema=True)])
+    """A restarted query (same checkpoint) adds a column; readers merge."""
+    src, cfg = Source(), config()
+    path, ck = cfg.table_path("grow"), cfg.checkpoint_path("grow")
+    src.add([(hms(0, 1), "r", P)])
+    e1 = validate(parse_events(decode_records(src.stream(spark))))
+    run_all([start_append(e1, path, ck, merge_schema=True)])
+    src.add([(hms(0, 2), "r", I)])
+    e2 = validate(parse_events(decode_records(src.stream(spark)))).withColumn("extra", F.col("event_type"))
+    run_all([start_append(e2, path, ck, merge_schema=True)])
     got = spark.read.option("mergeSchema", "true").parquet(path)
     assert "extra" in got.columns
-    assert sorted(str((r.event_id, r.extra)) for r in got.collect()) == sorted([str(("1", None)), str(("1", "x"))])
+    assert sorted(str((r.event_id, r.extra)) for r in got.collect()) == sorted([str(("1", None)), str(("2", I))])
 
 
 def test_drop_counters_in_progress(spark):
