@@ -108,7 +108,7 @@ SELECT event_type, count(*) AS cnt FROM validated GROUP BY event_type ORDER BY c
     "topic_health": "WITH" + _RECORDS + """,
 parts AS (SELECT topic, "partition", min("offset") AS low, max("offset") + 1 AS high
           FROM records GROUP BY topic, "partition")
-SELECT topic, count(*) AS partitions, sum(greatest(0, high - low)) AS messages FROM parts GROUP BY topic""",
+SELECT topic, count(*) AS partitions, sum(greatest(0, high - low))::BIGINT AS messages FROM parts GROUP BY topic""",
     "health_report": "WITH" + _RECORDS + """,
 parts AS (SELECT topic, "partition", min("offset") AS low, max("offset") + 1 AS high
           FROM records GROUP BY topic, "partition"),
