@@ -43,7 +43,7 @@ def records(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame
     """Topic records of the events table; ``spread`` for inputs of the JSON
     parse (see ``layout.spread_if_under_split``)."""
     ev = events(spark, sf_dir)
-    return topic_records(spread_if_under_split(ev, ["event_id"]) if spread else ev)
+    return topic_records(spread_if_under_split(ev) if spread else ev)
 
 
 def decoded(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
@@ -65,7 +65,7 @@ def _before(ts_col: str, when: str):
 def first_poll_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records published by a first poll: events before ``PREVIOUS_POLL``."""
     ev = events(spark, sf_dir).where(_before("ts", PREVIOUS_POLL))
-    return topic_records(spread_if_under_split(ev, ["event_id"]))
+    return topic_records(spread_if_under_split(ev))
 
 
 def replayed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +73,7 @@ def replayed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ``REPLAY_FROM`` on; the overlap with the first poll arrives a day
     later at higher offsets."""
     ev = events(spark, sf_dir).where(~_before("ts", REPLAY_FROM))
-    rec = topic_records(spread_if_under_split(ev, ["event_id"]))
+    rec = topic_records(spread_if_under_split(ev))
     late = F.col("timestamp") + F.expr(f"INTERVAL {REPLAY_DELAY}")
     shift = F.lit(10**12)
     return rec.select(

@@ -4,8 +4,9 @@ Broadcast only after the small side's row count is checked (a bounded count:
 ``limit(n + 1)``). Beyond the bound the join shuffles, and the large side is
 salted so one hot key (say a feed holding a third of all rows) is spread over
 ``salt_buckets`` tasks; the small side is replicated once per salt value.
-The salt is a hash of the row, not ``rand()``, so a retried task routes every
-row to the same place.
+The salt is a hash of the whole row, not ``rand()``, so a retried task routes
+every row to the same place. Rows that differ in any column (in a feed, the
+list position tells copies apart) land on different salts.
 """
 
 from __future__ import annotations

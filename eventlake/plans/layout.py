@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 
 
-def spread_if_under_split(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Hash-repartition ``df`` to the cluster's parallelism when its scan has
-    fewer splits than that (a table of one row group reads as one task).
+def spread_if_under_split(df: DataFrame) -> DataFrame:
+    """Repartition ``df`` to the cluster's parallelism when its scan has fewer
+    splits than that (a table of one row group reads as one task).
 
     On a large table the scan already has many splits and this is a no-op; on
     an under-split one the per-row work after it (JSON writing and parsing)
-    runs on all cores instead of one. Hash partitioning on a key is
-    deterministic, so a retried task sees the same rows.
+    runs on all cores instead of one. Round-robin, so even a key or a group of
+    identical copies holding a third of the rows is spread evenly; Spark sorts
+    each input partition first, so a retried task sends every row to the
+    same place.
     """
     try:
         parallelism = df.sparkSession.sparkContext.defaultParallelism
@@ -23,4 +23,4 @@ def spread_if_under_split(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         return df
     if splits >= parallelism:
         return df
-    return df.repartition(parallelism, *keys)
+    return df.repartition(parallelism)

@@ -49,8 +49,15 @@ def test_every_query_has_an_oracle():
     assert set(entry.queries()) == set(entry.oracle_sql())
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN", "double": "DOUBLE",
+}
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     rel = duck.sql(entry.oracle_sql()[name])
     assert _digest(df.columns, [tuple(r) for r in df.collect()]) == _digest(rel.columns, rel.fetchall())
+    assert {n: SPARK_TO_DUCK.get(t, t) for n, t in df.dtypes} == {n: str(t) for n, t in zip(rel.columns, rel.types)}

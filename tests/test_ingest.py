@@ -176,3 +176,25 @@ def test_pages_ordered_by_page_and_index(spark):
     )
     out = new_since_last_seen(df, cursors(spark, {"f": "2-1"}))
     assert sorted(r.event_id for r in out.collect()) == ["1-0", "1-1", "1-2", "2-0"]
+
+
+def test_hot_feed_spread_on_shuffle_path(spark, session_conf):
+    """A feed holding a third of all rows is split over many tasks when the
+    cursor table is too large to broadcast."""
+    session_conf("spark.sql.adaptive.enabled", "false")
+    session_conf("spark.sql.shuffle.partitions", "16")
+    session_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    n = 3000
+    feed = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 97).cast("string")).alias("feed"),
+        F.col("id").alias("pos"),
+        F.col("id").cast("string").alias("event_id"),
+    )
+    cur = spark.createDataFrame([("hot", None, "2997")] + [(str(k), None, "x") for k in range(97)], CURSOR_SCHEMA)
+    out = new_since_last_seen(feed, cur, max_broadcast_rows=10)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+    per_task = out.where(F.col("feed") == "hot").groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) >= 8
+    assert max(r["count"] for r in per_task) < n // 3 // 4
+    assert out.where(F.col("feed") == "hot").count() == 999
