@@ -21,6 +21,7 @@ from ..operators.ingest import (
     advance_cursor,
     changed_feeds,
     dedup_events,
+    dedup_events_stream,
     feed_fingerprints,
     new_since_last_seen,
 )
@@ -34,7 +35,6 @@ from ..sources.files import read_record_files, read_table, write_table
 from ..sources.kafka import decode_records
 from ..streaming.jobs import ACTIVITY_TABLE, EVENTS_TABLE, start_events_v1, start_repo_activity
 from ..streaming.sinks import run_all, start_append
-from ..operators.ingest import dedup_events_stream
 from . import inputs
 from .output import comparable
 
