@@ -1,0 +1,23 @@
+"""The command line runs the job over a file replay and the checks after it."""
+
+from __future__ import annotations
+
+import tempfile
+
+from eventlake.__main__ import main
+
+from test_streaming import P, Source, hms
+
+
+def test_cli_ingest_counts_health(spark, capsys):
+    src = Source()
+    src.add([(hms(0, 1), "r", P), (hms(0, 30), "r", P)])
+    base = "file://" + tempfile.mkdtemp(prefix="eventlake-cli-")
+    assert main(["ingest", "--table-base", f"{base}/tb", "--checkpoint-base", f"{base}/ck", "--source-dir", "file://" + src.dir]) == 0
+    assert spark.read.parquet(f"{base}/tb/events_v1").count() == 2
+    assert spark.read.parquet(f"{base}/tb/repo_activity_5m").count() == 1
+    assert main(["counts", "--table", f"{base}/tb/events_v1"]) == 0
+    assert "PushEvent" in capsys.readouterr().out
+    assert main(["health", "--records", "file://" + src.dir, "--topic", "t"]) == 0
+    assert "topic_has_messages=2" in capsys.readouterr().out
+    assert main(["health", "--records", "file://" + src.dir, "--topic", "missing"]) == 1
