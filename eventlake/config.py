@@ -20,7 +20,7 @@ class StreamConfig:
     """Parameters of the ingest job (sources, sinks, semantics)."""
 
     bootstrap_servers: str = "localhost:9092"
-    topic: str = "github.raw.events"
+    topic: str = "events.raw"
     starting_offsets: str = "latest"
     max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER
     fail_on_data_loss: bool = False
