@@ -39,6 +39,9 @@ def _parser() -> argparse.ArgumentParser:
     ing.add_argument("--max-files-per-trigger", type=int)
     ing.add_argument("--format", default="parquet", choices=["parquet", "delta"])
     ing.add_argument("--dedup", action="store_true")
+    ing.add_argument("--min-partitions", type=int, help="split topic partitions into at least this many tasks")
+    ing.add_argument("--activity-from-table", action="store_true", help="parse once: windows tail events_v1")
+    ing.add_argument("--partition-by-date", action="store_true", help="lay events_v1 out by UTC event date")
     ing.add_argument("--state-store", default="hdfs", choices=["hdfs", "rocksdb"])
     ing.add_argument("--trigger", default="availableNow", help='"availableNow", "once" or an interval')
 
@@ -71,6 +74,9 @@ def main(argv: list[str] | None = None) -> int:
             dedup=args.dedup,
             state_store=args.state_store,
             max_files_per_trigger=args.max_files_per_trigger,
+            min_partitions=args.min_partitions,
+            activity_from_table=args.activity_from_table,
+            partition_events_by_date=args.partition_by_date,
         )
         source = file_source(cfg, args.source_dir) if args.source_dir else kafka_source(cfg)
         run_ingest(spark, cfg, source, trigger=args.trigger)

@@ -24,6 +24,10 @@ class StreamConfig:
     starting_offsets: str = "latest"
     max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER
     fail_on_data_loss: bool = False
+    # Spark tasks per micro-batch at least this many: offset ranges of a topic
+    # with few partitions are split, so parsing is not capped at one task per
+    # topic partition. None: one task per topic partition.
+    min_partitions: int | None = None
     sasl_username: str = ""
     sasl_password: str = ""
     security_protocol: str = "SASL_SSL"
@@ -41,6 +45,9 @@ class StreamConfig:
     # State store of the windowed query: "hdfs" (in memory, Spark's default) or "rocksdb".
     state_store: str = "hdfs"
     max_files_per_trigger: int | None = None  # file-replay twin of the offsets cap
+    # Derive repo_activity_5m by tailing events_v1 instead of reading and
+    # parsing the topic a second time.
+    activity_from_table: bool = False
     extra_source_options: dict[str, str] = field(default_factory=dict)
 
     def table_path(self, name: str) -> str:
@@ -73,6 +80,8 @@ def kafka_source_options(cfg: StreamConfig) -> dict[str, str]:
         "maxOffsetsPerTrigger": str(cfg.max_offsets_per_trigger),
         "failOnDataLoss": str(cfg.fail_on_data_loss).lower(),
     }
+    if cfg.min_partitions:
+        opts["minPartitions"] = str(cfg.min_partitions)
     opts.update(_sasl_options(cfg, "kafka."))
     opts.update(cfg.extra_source_options)
     return opts

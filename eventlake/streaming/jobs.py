@@ -3,6 +3,11 @@
 ``events_v1`` appends every valid event; ``repo_activity_5m`` appends closed
 5-minute windows per repo. Each query has its own checkpoint and reads the
 source itself, so one can fail or restart without the other.
+
+With ``activity_from_table`` the windowed query tails ``events_v1`` (the file
+sink's commit log lists exactly the committed files) instead of reading and
+parsing the topic again: each message is parsed once, at the cost of the
+activity lagging the events table by one commit.
 """
 
 from __future__ import annotations
@@ -12,6 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, StructField, StructType
 
 from ..config import StreamConfig
 from ..functions.timecols import instant_to_utc_ntz
@@ -19,6 +25,7 @@ from ..operators.activity import repo_activity
 from ..operators.ingest import dedup_events_stream
 from ..operators.parse import parse_events
 from ..operators.quality import observe_quality, validate
+from ..schemas import EVENT_SCHEMA
 from ..sources.files import read_record_files
 from ..sources.kafka import decode_records, read_kafka_stream
 from .sinks import run_all, start_append
@@ -73,9 +80,23 @@ def start_events_v1(spark: SparkSession, cfg: StreamConfig, source: Source, trig
     )
 
 
+def events_table_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
+    """Stream of the rows committed to ``events_v1``."""
+    schema = EVENT_SCHEMA
+    if cfg.partition_events_by_date:
+        schema = StructType(EVENT_SCHEMA.fields + [StructField("event_date", DateType(), True)])
+    reader = spark.readStream.schema(schema).format(cfg.sink_format)
+    if cfg.max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(cfg.max_files_per_trigger))
+    return reader.load(cfg.table_path(EVENTS_TABLE))
+
+
 def start_repo_activity(spark: SparkSession, cfg: StreamConfig, source: Source, trigger="availableNow") -> StreamingQuery:
     use_state_store(spark, cfg.state_store)
-    events = validated_stream(source(spark), cfg)
+    if cfg.activity_from_table:
+        events = events_table_stream(spark, cfg)
+    else:
+        events = validated_stream(source(spark), cfg)
     activity = repo_activity(events, cfg.window_size, cfg.watermark_delay, types=cfg.allowed_types)
     return start_append(
         activity,
@@ -89,6 +110,11 @@ def start_repo_activity(spark: SparkSession, cfg: StreamConfig, source: Source,
 
 def run_ingest(spark: SparkSession, cfg: StreamConfig, source: Source | None = None, trigger="availableNow") -> None:
     """Start both queries and wait for both; raise the first failure after
-    both have stopped."""
+    both have stopped. Drain-then-stop runs of the table-tailing form run the
+    events query first, so the activity query sees what it committed."""
     source = source or kafka_source(cfg)
+    if cfg.activity_from_table and trigger in (None, "availableNow", "once"):
+        run_all([start_events_v1(spark, cfg, source, trigger)])
+        run_all([start_repo_activity(spark, cfg, source, trigger)])
+        return
     run_all([start_events_v1(spark, cfg, source, trigger), start_repo_activity(spark, cfg, source, trigger)])

@@ -365,3 +365,23 @@ def test_progress_recorder_drains_to_table(spark, tmp_uri):
     assert n >= 3 and rec.rows() == []
     states = [r.state for r in spark.read.parquet(tmp_uri).orderBy("ts").collect()]
     assert states[0] == "PENDING" and "RUNNING" in states and states[-1] == "TERMINATED"
+
+
+@pytest.mark.parametrize("by_date", [False, True])
+def test_activity_from_events_table_equals_direct(spark, by_date):
+    rnd = random.Random(11)
+    rows = [(hms(0, 0) + rnd.randint(0, 7200), rnd.choice(["a", "b", None]), rnd.choice([P, I, "ForkEvent"])) for _ in range(200)]
+    src = Source()
+    src.add(rows)
+    direct, chained = config(), config(activity_from_table=True, partition_events_by_date=by_date)
+    run_ingest(spark, direct, src.stream)
+    run_ingest(spark, chained, src.stream)
+    assert activity_rows(spark, chained) == activity_rows(spark, direct)
+    assert len(activity_rows(spark, direct)) > 0
+
+
+def test_kafka_min_partitions_option():
+    from eventlake.config import kafka_source_options
+
+    assert "minPartitions" not in kafka_source_options(StreamConfig())
+    assert kafka_source_options(StreamConfig(min_partitions=64))["minPartitions"] == "64"
