@@ -49,7 +49,7 @@ def stream_health(
     stale_after: str | None = None,
 ) -> DataFrame:
     """Latest state per query from progress rows (``query, ts, state,
-    input_rows``): ``query, state, last_ts, input_rows, ok``.
+    input_rows[, late_rows]``): ``query, state, last_ts, input_rows, ok``.
 
     ``ok`` when the latest state is live (running or pending) and, with
     ``stale_after`` (an interval such as ``"30 minutes"``), when the latest row

@@ -105,5 +105,8 @@ PROGRESS_SCHEMA = StructType(
         StructField("ts", TimestampType(), True),
         StructField("state", StringType(), True),
         StructField("input_rows", LongType(), True),
+        # rows the stateful operators dropped as late (counted after partial
+        # aggregation, so a lower bound on late input rows)
+        StructField("late_rows", LongType(), True),
     ]
 )

@@ -34,9 +34,9 @@ class ProgressRecorder(StreamingQueryListener):
         self._names: dict[str, str] = {}
         self._lock = threading.Lock()
 
-    def _add(self, qid: str, ts: dt.datetime, state: str, rows: int) -> None:
+    def _add(self, qid: str, ts: dt.datetime, state: str, rows: int, late: int = 0) -> None:
         with self._lock:
-            self._rows.append((self._names.get(qid, qid), ts, state, int(rows)))
+            self._rows.append((self._names.get(qid, qid), ts, state, int(rows), int(late)))
 
     def onQueryStarted(self, event) -> None:
         with self._lock:
@@ -45,7 +45,8 @@ class ProgressRecorder(StreamingQueryListener):
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        self._add(str(p.id), _parse_ts(p.timestamp), "RUNNING", p.numInputRows)
+        late = sum(op.numRowsDroppedByWatermark for op in (p.stateOperators or []))
+        self._add(str(p.id), _parse_ts(p.timestamp), "RUNNING", p.numInputRows, late)
 
     def onQueryIdle(self, event) -> None:
         self._add(str(event.id), _parse_ts(event.timestamp), "RUNNING", 0)

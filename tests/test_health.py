@@ -36,17 +36,17 @@ T = lambda m: dt.datetime(2024, 1, 1, 0, m, tzinfo=dt.timezone.utc)  # noqa: E73
 
 
 def test_stream_states(spark):
-    ok_rows = [("q", T(0), "PENDING", 0), ("q", T(1), "RUNNING", 5)]
+    ok_rows = [("q", T(0), "PENDING", 0, 0), ("q", T(1), "RUNNING", 5, 0)]
     assert report(spark, [("t", 0, 0, 1)], ok_rows)["stream_running"] == ("RUNNING", True)
-    pending = [("q", T(0), "PENDING", 0)]
+    pending = [("q", T(0), "PENDING", 0, 0)]
     assert report(spark, [("t", 0, 0, 1)], pending)["stream_running"] == ("PENDING", True)
-    dead = [("q", T(0), "RUNNING", 5), ("q", T(2), "FAILED", 0)]
+    dead = [("q", T(0), "RUNNING", 5, 0), ("q", T(2), "FAILED", 0, 0)]
     assert report(spark, [("t", 0, 0, 1)], dead)["stream_running"] == ("FAILED", False)
     assert report(spark, [("t", 0, 0, 1)], [])["stream_running"] == ("NONE", False)
 
 
 def test_stale_stream_not_live(spark):
-    rows = [("q", T(0), "RUNNING", 5)]
+    rows = [("q", T(0), "RUNNING", 5, 0)]
     df = spark.createDataFrame(rows, PROGRESS_SCHEMA)
     assert stream_health(df).first().ok
     assert not stream_health(df, stale_after="30 minutes").first().ok
