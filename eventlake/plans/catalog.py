@@ -33,7 +33,7 @@ from ..sources.cursors import load_cursor, save_cursor
 from ..sources.envelope import TOPIC, api_events
 from ..sources.files import read_record_files, read_table, write_table
 from ..sources.kafka import decode_records
-from ..streaming.jobs import ACTIVITY_TABLE, EVENTS_TABLE, start_events_v1, start_repo_activity
+from ..streaming.jobs import ACTIVITY_TABLE, EVENTS_TABLE, run_ingest, start_events_v1, start_repo_activity
 from ..streaming.sinks import run_all, start_append
 from . import inputs
 from .output import comparable
@@ -160,12 +160,13 @@ def q_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming -----------------------------------------------------------------
 
 
-def _stream_config(spark: SparkSession, name: str) -> StreamConfig:
+def _stream_config(spark: SparkSession, name: str, **kw) -> StreamConfig:
     base = fresh_dir(spark, name)
     return StreamConfig(
         checkpoint_base=f"{base}/checkpoints",
         table_base=f"{base}/tables",
         allowed_types=inputs.TEST_ALLOWED_TYPES,
+        **kw,
     )
 
 
@@ -190,6 +191,15 @@ def q_repo_activity_5m_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(read_table(spark, cfg.table_path(ACTIVITY_TABLE)))
 
 
+def q_repo_activity_5m_from_events_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job in parse-once form: events_v1 from the topic replay, then
+    closed windows by tailing events_v1 (date-partitioned)."""
+    cfg = _stream_config(spark, "ingest", activity_from_table=True, partition_events_by_date=True)
+    src = _replay_source(spark, cfg, inputs.records(spark, sf_dir, spread=True))
+    run_ingest(spark, cfg, lambda s: read_record_files(s, src))
+    return comparable(read_table(spark, cfg.table_path(ACTIVITY_TABLE)))
+
+
 def q_dedup_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First poll's records drained, then the replay appended and drained by
     the same checkpoint (two drain-then-stop runs, as a restarted job does)."""
@@ -226,4 +236,5 @@ QUERIES: dict[str, Query] = {
     "events_v1_stream": q_events_v1_stream,
     "repo_activity_5m_closed": q_repo_activity_5m_closed,
     "dedup_events_stream": q_dedup_events_stream,
+    "repo_activity_5m_from_events_v1": q_repo_activity_5m_from_events_v1,
 }
