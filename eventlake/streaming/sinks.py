@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -67,3 +67,27 @@ def run_all(queries: Iterable[StreamingQuery], timeout: float | None = None) ->
             first_error = RuntimeError(str(q.exception()))
     if first_error is not None:
         raise first_error
+
+
+def data_then_cursor(
+    data_path: str,
+    cursor_path: str,
+    cursor_of: Callable[[DataFrame], DataFrame],
+    fmt: str = "parquet",
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that appends the batch's rows, then saves
+    the cursor ``cursor_of(batch)`` as version ``batch_id``.
+
+    Data first, cursor after: a crash in between replays the batch (its rows
+    appear twice; read them through ``dedup_events``) and never leaves a
+    cursor ahead of the data it covers. The cursor is computed from the
+    batch again (a second pass over the micro-batch, which the source
+    re-reads from its offsets); make ``cursor_of`` an aggregate per feed.
+    """
+    from ..sources.cursors import save_cursor
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("append").format(fmt).save(data_path)
+        save_cursor(cursor_of(batch), cursor_path, batch_id)
+
+    return write

@@ -403,3 +403,36 @@ def test_late_rows_counted_in_progress(spark):
     late = sum(r[4] for r in rec.rows())
     assert 1 <= late <= 2  # after partial aggregation: a lower bound on late input rows
     assert (hms(0, 0), "r", 1, (P,)) in activity_rows(spark, cfg)
+
+
+def test_data_then_cursor(spark):
+    from eventlake.operators.ingest import advance_cursor
+    from eventlake.schemas import CURSOR_SCHEMA
+    from eventlake.sources.cursors import load_cursor
+    from eventlake.streaming.sinks import data_then_cursor
+
+    src, cfg = Source(), config()
+    data, cur = cfg.table_path("data"), cfg.table_path("cursor")
+
+    def cursor_of(batch):
+        rows = batch.select(F.lit("f").alias("feed"), F.col("event_id").cast("long").alias("event_id"))
+        old = load_cursor(spark, cur)
+        return advance_cursor(rows, old, order_col="event_id", newest_first=False)
+
+    def run():
+        events = validate(parse_events(decode_records(src.stream(spark))))
+        q = (
+            events.writeStream.foreachBatch(data_then_cursor(data, cur, cursor_of))
+            .option("checkpointLocation", cfg.checkpoint_path("dc"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        run_all([q])
+
+    src.add([(1, hms(0, 1), "r", P), (2, hms(0, 2), "r", P)])
+    run()
+    assert [r.last_event_id for r in load_cursor(spark, cur).collect()] == ["2"]
+    src.add([(5, hms(0, 5), "r", P)])
+    run()
+    assert [r.last_event_id for r in load_cursor(spark, cur).collect()] == ["5"]
+    assert spark.read.parquet(data).count() == 3
