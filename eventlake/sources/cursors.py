@@ -1,49 +1,72 @@
 """Persisted poller cursors: one small versioned table per job.
 
-Each save appends a new ``version`` partition; a load reads the newest
-version. A save is therefore never half-visible (the committer publishes a
-version at job commit) and an older version stays readable. A missing table
-loads as no cursors (start fresh); an unreadable one raises, on purpose: a
-silent fresh start would re-ingest everything.
+Each save writes version ``n`` as its own folder ``v=<n>``; the write job's
+commit marker (``_SUCCESS``) is what publishes it. A load lists the folder
+once, takes the newest committed version and reads only that, so a half
+written version (a crash, or an object store's non-atomic rename) is never
+read, and the read cost does not grow with the number of saves. Older
+versions stay readable until pruned (``keep``).
+
+A missing table loads as no cursors (start fresh); an unreadable newest
+version raises, on purpose: a silent fresh start would re-ingest everything.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..schemas import CURSOR_SCHEMA
 
-VERSION = "version"
+_VERSION_DIR = re.compile(r"^v=(\d+)$")
+_MARKER = "_SUCCESS"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
+
+
+def committed_versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions under ``path`` whose write committed, oldest first."""
+    fs, root, jvm = _fs(spark, path)
+    if not fs.exists(root):
+        return []
+    out = []
+    for status in fs.listStatus(root):
+        m = _VERSION_DIR.match(status.getPath().getName())
+        if m and status.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), _MARKER)):
+            out.append(int(m.group(1)))
+    return sorted(out)
 
 
 def load_cursor(spark: SparkSession, path: str) -> DataFrame:
     """Newest saved cursors (``feed, etag, last_event_id``); none if never saved."""
-    if not _exists(spark, path):
+    versions = committed_versions(spark, path)
+    if not versions:
         return spark.createDataFrame([], CURSOR_SCHEMA)
+    newest = f"{path.rstrip('/')}/v={versions[-1]}"
     try:
-        saved = spark.read.parquet(path)
-    except AnalysisException as exc:
-        raise RuntimeError(f"cursor table at {path} is unreadable; refusing to start fresh") from exc
-    newest = saved.select(F.max(VERSION)).scalar()
-    return saved.where(F.col(VERSION) == newest).drop(VERSION)
+        return spark.read.schema(CURSOR_SCHEMA).parquet(newest)
+    except Exception as exc:  # noqa: BLE001 - any read failure of committed state
+        raise RuntimeError(f"cursor table at {newest} is unreadable; refusing to start fresh") from exc
 
 
-def save_cursor(cursors: DataFrame, path: str, version: int) -> None:
-    """Append ``cursors`` as ``version`` (use the micro-batch id, or any
-    increasing number). Call after the data it covers is written."""
+def save_cursor(cursors: DataFrame, path: str, version: int, keep: int | None = None) -> None:
+    """Write ``cursors`` as ``version`` (the micro-batch id, or any increasing
+    number). Call after the data it covers is written. Rewriting an existing
+    version (a replayed batch) replaces it. With ``keep``, committed versions
+    older than the newest ``keep`` are deleted afterwards."""
     (
         cursors.select(*[F.col(f.name).cast(f.dataType) for f in CURSOR_SCHEMA.fields])
-        .withColumn(VERSION, F.lit(int(version)).cast("long"))
-        .write.mode("append")
-        .partitionBy(VERSION)
-        .parquet(path)
+        .write.mode("overwrite")
+        .parquet(f"{path.rstrip('/')}/v={int(version)}")
     )
+    if keep:
+        spark = cursors.sparkSession
+        fs, _, jvm = _fs(spark, path)
+        for old in committed_versions(spark, path)[:-keep]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/v={old}"), True)

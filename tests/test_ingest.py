@@ -160,22 +160,31 @@ def test_cursor_missing_state_is_empty(spark, tmp_uri):
 
 
 def test_cursor_corrupt_state_fails(spark, tmp_uri):
-    path = tmp_uri[len("file://"):]
+    path = tmp_uri[len("file://"):] + "/v=3"
     os.makedirs(path)
     with open(os.path.join(path, "part-0.parquet"), "w") as fh:
         fh.write("not parquet")
+    open(os.path.join(path, "_SUCCESS"), "w").close()
     with pytest.raises(Exception):
         load_cursor(spark, tmp_uri).collect()
 
 
-def test_pages_ordered_by_page_and_index(spark):
-    """Pages concatenated newest first; the cursor sits on page 2."""
-    rows = [("f", p, i, f"{p}-{i}") for p in (1, 2, 3) for i in range(3)]
-    df = spark.createDataFrame(rows, "feed string, page int, idx int, event_id string").withColumn(
-        "pos", F.struct("page", "idx")
-    )
-    out = new_since_last_seen(df, cursors(spark, {"f": "2-1"}))
-    assert sorted(r.event_id for r in out.collect()) == ["1-0", "1-1", "1-2", "2-0"]
+def test_cursor_uncommitted_version_ignored(spark, tmp_uri):
+    save_cursor(spark.createDataFrame([("f", None, "7")], CURSOR_SCHEMA), tmp_uri, 1)
+    half = tmp_uri[len("file://"):] + "/v=2"
+    os.makedirs(half)
+    with open(os.path.join(half, "part-0.parquet"), "w") as fh:
+        fh.write("partial")
+    assert [r.last_event_id for r in load_cursor(spark, tmp_uri).collect()] == ["7"]
+
+
+def test_cursor_versions_pruned(spark, tmp_uri):
+    from eventlake.sources.cursors import committed_versions
+
+    for v in range(1, 6):
+        save_cursor(spark.createDataFrame([("f", None, str(v))], CURSOR_SCHEMA), tmp_uri, v, keep=2)
+    assert committed_versions(spark, tmp_uri) == [4, 5]
+    assert [r.last_event_id for r in load_cursor(spark, tmp_uri).collect()] == ["5"]
 
 
 def test_hot_feed_spread_on_shuffle_path(spark, session_conf):
