@@ -52,14 +52,22 @@ def new_since_last_seen(
 
     The cursor table's row count is checked once; it bounds ``hits`` too, so
     both are broadcast and the feed is never shuffled. Beyond the bound both
-    joins shuffle, the second one salted against a hot feed.
+    joins shuffle: the first after a map-side reduction to one row per
+    (feed, id), so copies of one event never pile up in a task; the second
+    salted by a row hash against a hot feed.
     """
     cur = _cursor_ids(cursors, feed_col)
     small = fits(cur, max_broadcast_rows)
-    cur_side = F.broadcast(cur) if small else cur
     ids = feed.select(F.col(feed_col), F.col(id_col).cast("string").alias(_CUR), F.col(order_col))
     newest = F.min(order_col) if newest_first else F.max(order_col)
-    hits = ids.join(cur_side, [feed_col, _CUR], "inner").groupBy(feed_col).agg(newest.alias(_HIT))
+    if small:
+        matched = ids.join(F.broadcast(cur), [feed_col, _CUR], "inner")
+    else:
+        # Shuffle path: first reduce to one row per (feed, id) — copies of an
+        # event combine map-side — then join; the join reuses that partitioning.
+        per_id = ids.groupBy(feed_col, _CUR).agg(newest.alias(order_col))
+        matched = per_id.join(cur, [feed_col, _CUR], "inner")
+    hits = matched.groupBy(feed_col).agg(newest.alias(_HIT))
     joined = join_small(feed, hits, [feed_col], "left", small_fits=small)
     ahead = F.col(order_col) < F.col(_HIT) if newest_first else F.col(order_col) > F.col(_HIT)
     return joined.where(F.col(_HIT).isNull() | ahead).select(*[F.col(f"`{c}`") for c in feed.columns])

@@ -207,3 +207,16 @@ def test_hot_feed_spread_on_shuffle_path(spark, session_conf):
     assert len(per_task) >= 8
     assert max(r["count"] for r in per_task) < n // 3 // 4
     assert out.where(F.col("feed") == "hot").count() == 999
+
+
+def test_shuffle_path_combines_copies_before_the_join(spark, session_conf):
+    session_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    feed = spark.range(3000).select(
+        F.lit("f").alias("feed"), (F.col("id") % 7).alias("pos"), (F.col("id") % 7).cast("string").alias("event_id")
+    )
+    cur = spark.createDataFrame([("f", None, "3")], CURSOR_SCHEMA)
+    out = new_since_last_seen(feed, cur, max_broadcast_rows=0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min(pos" in plan, plan
+    assert sorted({r.event_id for r in out.collect()}) == ["0", "1", "2"]
+    assert out.count() == sum(1 for i in range(3000) if i % 7 < 3)
