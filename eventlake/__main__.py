@@ -43,6 +43,7 @@ def _parser() -> argparse.ArgumentParser:
     ing.add_argument("--activity-from-table", action="store_true", help="parse once: windows tail events_v1")
     ing.add_argument("--partition-by-date", action="store_true", help="lay events_v1 out by UTC event date")
     ing.add_argument("--state-store", default="hdfs", choices=["hdfs", "rocksdb"])
+    ing.add_argument("--state-partitions", type=int, help="state/shuffle partitions of the stateful query")
     ing.add_argument("--trigger", default="availableNow", help='"availableNow", "once" or an interval')
 
     cnt = sub.add_parser("counts", help="events per type in a stored events table")
@@ -73,6 +74,7 @@ def main(argv: list[str] | None = None) -> int:
             sink_format=args.format,
             dedup=args.dedup,
             state_store=args.state_store,
+            state_partitions=args.state_partitions,
             max_files_per_trigger=args.max_files_per_trigger,
             min_partitions=args.min_partitions,
             activity_from_table=args.activity_from_table,

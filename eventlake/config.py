@@ -44,6 +44,9 @@ class StreamConfig:
     partition_events_by_date: bool = False
     # State store of the windowed query: "hdfs" (in memory, Spark's default) or "rocksdb".
     state_store: str = "hdfs"
+    # Shuffle/state partitions of the stateful queries, fixed into their
+    # checkpoints at first start. None: the session's spark.sql.shuffle.partitions.
+    state_partitions: int | None = None
     max_files_per_trigger: int | None = None  # file-replay twin of the offsets cap
     # Derive repo_activity_5m by tailing events_v1 instead of reading and
     # parsing the topic a second time.

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -36,3 +38,24 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     sink ignores batch ids it already logged), so every run takes a new one.
     """
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def session_setting(spark: SparkSession, key: str, value: str | None) -> Iterator[None]:
+    """Set a session SQL setting for the block only (``None``: leave as is).
+
+    Streaming queries capture settings such as the shuffle partition count
+    when they start, so wrapping ``start()`` scopes the choice to that query.
+    """
+    if value is None:
+        yield
+        return
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)

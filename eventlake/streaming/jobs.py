@@ -28,6 +28,7 @@ from ..operators.quality import observe_quality, validate
 from ..schemas import EVENT_SCHEMA
 from ..sources.files import read_record_files
 from ..sources.kafka import decode_records, read_kafka_stream
+from ..session import session_setting
 from .sinks import run_all, start_append
 from .state import use_state_store
 
@@ -35,6 +36,11 @@ EVENTS_TABLE = "events_v1"
 ACTIVITY_TABLE = "repo_activity_5m"
 
 Source = Callable[[SparkSession], DataFrame]
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+def _partitions(cfg: StreamConfig) -> str | None:
+    return str(cfg.state_partitions) if cfg.state_partitions else None
 
 
 def kafka_source(cfg: StreamConfig) -> Source:
@@ -68,16 +74,17 @@ def start_events_v1(spark: SparkSession, cfg: StreamConfig, source: Source, trig
     if cfg.partition_events_by_date:
         events = events.withColumn("event_date", F.to_date(instant_to_utc_ntz("created_at")))
         partition_by = ["event_date"]
-    return start_append(
-        events,
-        cfg.table_path(EVENTS_TABLE),
-        cfg.checkpoint_path(EVENTS_TABLE),
-        fmt=cfg.sink_format,
-        trigger=trigger,
-        name=EVENTS_TABLE,
-        merge_schema=True,
-        partition_by=partition_by,
-    )
+    with session_setting(spark, SHUFFLE_PARTITIONS, _partitions(cfg) if cfg.dedup else None):
+        return start_append(
+            events,
+            cfg.table_path(EVENTS_TABLE),
+            cfg.checkpoint_path(EVENTS_TABLE),
+            fmt=cfg.sink_format,
+            trigger=trigger,
+            name=EVENTS_TABLE,
+            merge_schema=True,
+            partition_by=partition_by,
+        )
 
 
 def events_table_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
@@ -98,14 +105,15 @@ def start_repo_activity(spark: SparkSession, cfg: StreamConfig, source: Source,
     else:
         events = validated_stream(source(spark), cfg)
     activity = repo_activity(events, cfg.window_size, cfg.watermark_delay, types=cfg.allowed_types)
-    return start_append(
-        activity,
-        cfg.table_path(ACTIVITY_TABLE),
-        cfg.checkpoint_path(ACTIVITY_TABLE),
-        fmt=cfg.sink_format,
-        trigger=trigger,
-        name=ACTIVITY_TABLE,
-    )
+    with session_setting(spark, SHUFFLE_PARTITIONS, _partitions(cfg)):
+        return start_append(
+            activity,
+            cfg.table_path(ACTIVITY_TABLE),
+            cfg.checkpoint_path(ACTIVITY_TABLE),
+            fmt=cfg.sink_format,
+            trigger=trigger,
+            name=ACTIVITY_TABLE,
+        )
 
 
 def run_ingest(spark: SparkSession, cfg: StreamConfig, source: Source | None = None, trigger="availableNow") -> None:

@@ -462,3 +462,14 @@ def test_random_batches_with_restart_match_model(spark, seed, restart_after):
     valid = [[r for r in rows if r[2] is not None] for rows in batches]
     expected, _, _ = run_model(valid[:restart_after] + [[]] + valid[restart_after:], 300, 600)
     assert activity_rows(spark, cfg) == canon(expected)
+
+
+def test_state_partitions_scoped_to_query(spark):
+    src, cfg = Source(), config(state_partitions=3)
+    src.add([(hms(0, 1), "r", P), (hms(0, 30), "r", I)])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    run_activity(spark, src, cfg)
+    state = cfg.checkpoint_path(ACTIVITY_TABLE)[len("file://"):] + "/state/0"
+    assert sorted(d for d in os.listdir(state) if d.isdigit()) == ["0", "1", "2"]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert activity_rows(spark, cfg) == [(hms(0, 0), "r", 1, (P,))]
