@@ -3,6 +3,15 @@
 from .parse import parse_events
 from .quality import drop_reason, drop_reasons, observe_quality, validate
 from .activity import closed_windows, event_type_counts, repo_activity
+from .ingest import (
+    advance_cursor,
+    changed_feeds,
+    dedup_events,
+    dedup_events_stream,
+    feed_fingerprints,
+    new_since_last_seen,
+)
+from .health import health_report, health_status, partition_offsets, stream_health, topic_health
 from .publish import to_messages, write_messages
 
 __all__ = [
@@ -14,6 +23,17 @@ __all__ = [
     "repo_activity",
     "closed_windows",
     "event_type_counts",
+    "new_since_last_seen",
+    "advance_cursor",
+    "feed_fingerprints",
+    "changed_feeds",
+    "dedup_events",
+    "dedup_events_stream",
+    "partition_offsets",
+    "topic_health",
+    "stream_health",
+    "health_report",
+    "health_status",
     "to_messages",
     "write_messages",
 ]

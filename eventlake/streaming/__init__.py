@@ -1,0 +1,20 @@
+"""Structured Streaming: append sinks, running queries, progress, the ingest job."""
+
+from .jobs import events_table_stream, file_source, kafka_source, run_ingest, start_events_v1, start_repo_activity
+from .progress import ProgressRecorder
+from .sinks import data_then_cursor, run_all, start_append
+from .state import use_state_store
+
+__all__ = [
+    "start_append",
+    "run_all",
+    "data_then_cursor",
+    "ProgressRecorder",
+    "use_state_store",
+    "kafka_source",
+    "file_source",
+    "events_table_stream",
+    "start_events_v1",
+    "start_repo_activity",
+    "run_ingest",
+]
