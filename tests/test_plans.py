@@ -46,3 +46,13 @@ def test_no_python_udfs(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
         assert node not in plan, (name, plan)
+
+
+def test_closed_windows_reads_input_once(spark):
+    from eventlake.operators.activity import closed_windows
+
+    out = closed_windows(inputs.validated(spark, SF_SMALL), types=inputs.TEST_ALLOWED_TYPES)
+    plan = plan_of(out)
+    # the input was read by the eager checkpoint; the result reads only that
+    assert "FileScan" not in plan and "from_json" not in plan, plan
+    assert out.count() > 0
