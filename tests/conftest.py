@@ -21,7 +21,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("TEST_SESSION_TZ", "UTC"))
         .config("spark.sql.streaming.schemaInference", "false")
     )
     s = builder.getOrCreate()
