@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,11 +11,17 @@ from ..functions.timecols import parse_event_time
 from ..schemas import ENVELOPE_SCHEMA
 
 
-def parse_events(decoded: DataFrame, text_col: str = "raw_json", ingest_col: str = "kafka_ingest_ts") -> DataFrame:
+def parse_events(
+    decoded: DataFrame,
+    text_col: str = "raw_json",
+    ingest_col: str = "kafka_ingest_ts",
+    keep: Sequence[str] = (),
+) -> DataFrame:
     """Parse message text with the fixed envelope schema and flatten it.
 
     Output: ``event_id, event_type, actor_login, repo_name, created_at,
-    raw_payload, kafka_ingest_ts``.
+    raw_payload, kafka_ingest_ts``, then the ``keep`` columns of the input
+    (e.g. topic, partition, offset for lineage).
 
     Permissive: broken JSON, arrays, empty or NULL text give NULL fields (and
     are dropped by ``validate`` for lack of an id); a scalar where a struct is
@@ -30,6 +38,7 @@ def parse_events(decoded: DataFrame, text_col: str = "raw_json", ingest_col: str
     parsed = decoded.select(
         F.col(text_col).alias("raw_payload"),
         F.col(ingest_col).alias("kafka_ingest_ts"),
+        *[F.col(c) for c in keep],
         F.inline(F.array(F.from_json(F.col(text_col), ENVELOPE_SCHEMA))),
     )
     timed = parsed.select(
@@ -43,4 +52,5 @@ def parse_events(decoded: DataFrame, text_col: str = "raw_json", ingest_col: str
         F.col("__event_time").alias("created_at"),
         F.col("raw_payload"),
         F.col("kafka_ingest_ts"),
+        *[F.col(c) for c in keep],
     )

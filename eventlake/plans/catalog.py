@@ -27,7 +27,7 @@ from ..operators.ingest import (
 )
 from ..operators.parse import parse_events
 from ..operators.publish import to_messages
-from ..operators.quality import drop_reasons, validate
+from ..operators.quality import drop_reason, drop_reasons, validate
 from ..session import fresh_dir
 from ..sources.cursors import load_cursor, save_cursor
 from ..sources.envelope import TOPIC, api_events
@@ -67,6 +67,19 @@ def q_drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_reasons(inputs.parsed(spark, sf_dir), inputs.TEST_ALLOWED_TYPES)
 
 
+def q_malformed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parse and drop reasons over eight malformed forms of every message:
+    ``variant, reason, rows, created_min, created_max, with_actor``."""
+    parsed = parse_events(inputs.malformed_variants(spark, sf_dir), keep=["variant"])
+    out = parsed.groupBy("variant", drop_reason(inputs.TEST_ALLOWED_TYPES).alias("reason")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("created_at").alias("created_min"),
+        F.max("created_at").alias("created_max"),
+        F.count("actor_login").alias("with_actor"),
+    )
+    return comparable(out)
+
+
 # --- aggregations --------------------------------------------------------------
 
 
@@ -224,6 +237,7 @@ QUERIES: dict[str, Query] = {
     "event_messages": q_event_messages,
     "validated_events": q_validated_events,
     "drop_reasons": q_drop_reasons,
+    "malformed_messages": q_malformed_messages,
     "repo_activity_5m": q_repo_activity_5m,
     "repo_activity_5m_closed_batch": q_repo_activity_5m_closed_batch,
     "event_type_counts": q_event_type_counts,

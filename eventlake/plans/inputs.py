@@ -96,3 +96,25 @@ def previous_feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as one feed per day: ``feed, event_id, ts``."""
     return events(spark, sf_dir).select(F.date_format("ts", "yyyy-MM-dd").alias("feed"), "event_id", "ts")
+
+
+def malformed_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message of the table in eight forms (one pass, ``explode``):
+    ``variant, raw_json, kafka_ingest_ts``. The forms are the malformed
+    shapes a topic delivers: cut-off text, a JSON array, event times without
+    a zone, with fractions or a numeric offset, a numeric id, and a scalar
+    where a struct belongs. The adapter's JSON ends with the event time."""
+    dec = decoded(spark, sf_dir, spread=True)
+    raw = F.col("raw_json")
+    forms = [
+        ("original", raw),
+        ("truncated", F.expr("substr(raw_json, 1, length(raw_json) - 1)")),
+        ("array", F.concat(F.lit("["), raw, F.lit("]"))),
+        ("no_zone", F.regexp_replace(raw, 'Z"}$', '"}')),
+        ("fraction", F.regexp_replace(raw, 'Z"}$', '.5Z"}')),
+        ("offset", F.regexp_replace(raw, 'Z"}$', '+0900"}')),
+        ("numeric_id", F.regexp_replace(raw, '^\\{"id":"([0-9]+)"', '{"id":$1')),
+        ("actor_text", F.regexp_replace(raw, '"actor":\\{"login":("[^"]*")\\}', '"actor":$1')),
+    ]
+    variants = F.array(*[F.struct(F.lit(n).alias("variant"), c.alias("text")) for n, c in forms])
+    return dec.select(F.inline(variants), "kafka_ingest_ts").withColumnRenamed("text", "raw_json")

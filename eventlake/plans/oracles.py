@@ -87,6 +87,25 @@ SELECT event_id, event_type, actor_login, repo_name, created_at, raw_payload,
             ELSE kafka_ingest_ts + INTERVAL 1 DAY END AS kafka_ingest_ts
 FROM validated"""
 
+# Expected parse outcome of each malformed form (see inputs.malformed_variants).
+_MALFORMED = """WITH
+e AS (SELECT date_trunc('second', ts) AS c,
+             CASE WHEN event_type IN ('click', 'view', 'purchase', 'signup') THEN 'kept'
+                  ELSE 'type_not_allowed' END AS by_type
+      FROM events),
+v AS (
+  SELECT 'original' AS variant, by_type AS reason, c AS created, 1 AS actor FROM e
+  UNION ALL SELECT 'numeric_id', by_type, c, 1 FROM e
+  UNION ALL SELECT 'actor_text', by_type, c, 0 FROM e
+  UNION ALL SELECT 'offset', by_type, c - INTERVAL 9 HOUR, 1 FROM e
+  UNION ALL SELECT 'truncated', 'missing_event_id', NULL, 0 FROM e
+  UNION ALL SELECT 'array', 'missing_event_id', NULL, 0 FROM e
+  UNION ALL SELECT 'no_zone', 'bad_created_at', NULL, 1 FROM e
+  UNION ALL SELECT 'fraction', 'bad_created_at', NULL, 1 FROM e)
+SELECT variant, reason, count(*) AS "rows", min(created) AS created_min, max(created) AS created_max,
+       sum(actor)::BIGINT AS with_actor
+FROM v GROUP BY ALL"""
+
 ORACLES: dict[str, str] = {
     "decode_records": "WITH" + _RECORDS + """
 SELECT raw_json, topic, "partition", "offset", kafka_ingest_ts FROM records""",
@@ -100,6 +119,7 @@ SELECT CASE WHEN event_id IS NULL THEN 'missing_event_id'
             ELSE 'type_not_allowed' END AS reason,
        count(*) AS "rows"
 FROM parsed GROUP BY ALL""",
+    "malformed_messages": _MALFORMED,
     "repo_activity_5m": "WITH" + _ACTIVITY + "\nSELECT * FROM activity",
     "repo_activity_5m_closed_batch": _CLOSED,
     "repo_activity_5m_closed": _CLOSED,

@@ -89,3 +89,20 @@ def test_time_roundtrip_zone_free(spark, session_conf):
         assert row.m == 1704067207500000
         assert row.back == dt.datetime(2024, 1, 1, 0, 0, 7, 500000)
         assert row.s == 1704067200
+
+
+def test_malformed_variants_transform_every_message(spark):
+    from conftest import SF_SMALL
+
+    from eventlake.plans import inputs
+
+    v = inputs.malformed_variants(spark, SF_SMALL)
+    orig = v.where(F.col("variant") == "original").select("kafka_ingest_ts", F.col("raw_json").alias("o"))
+    joined = v.where(F.col("variant") != "original").join(orig, "kafka_ingest_ts")
+    same = joined.where(F.col("raw_json") == F.col("o")).groupBy("variant").count().collect()
+    assert same == [], same
+    sample = {r.variant: r.raw_json for r in v.where(F.col("kafka_ingest_ts") == v.agg(F.min("kafka_ingest_ts")).first()[0]).collect()}
+    assert sample["numeric_id"].startswith('{"id":0,') or sample["numeric_id"][7] != '"'
+    assert '"actor":"user_' in sample["actor_text"]
+    assert sample["offset"].endswith('+0900"}') and sample["fraction"].endswith('.5Z"}')
+    assert sample["array"].startswith("[{") and not sample["truncated"].endswith("}")
