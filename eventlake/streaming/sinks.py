@@ -38,6 +38,8 @@ def start_append(
     file sink writes each file with its batch's schema and readers pass
     ``mergeSchema``. Both sinks are exactly-once through their commit logs.
     """
+    if fmt != "delta":
+        _refuse_orphaned_sink(df.sparkSession, path, checkpoint)
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).format(fmt)
     if name:
         writer = writer.queryName(name)
@@ -50,6 +52,22 @@ def start_append(
     return writer.start(path)
 
 
+def _refuse_orphaned_sink(spark, path: str, checkpoint: str) -> None:
+    """A file sink keeps a log of committed batch ids next to its data. A new
+    checkpoint restarts batch ids at 0, which that log already holds, so the
+    query would silently write nothing: refuse instead."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    log = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_spark_metadata")
+    ck = jvm.org.apache.hadoop.fs.Path(checkpoint.rstrip("/") + "/offsets")
+    log_fs, ck_fs = log.getFileSystem(conf), ck.getFileSystem(conf)
+    if log_fs.exists(log) and len(log_fs.listStatus(log)) > 0 and not ck_fs.exists(ck):
+        raise ValueError(
+            f"{path} already holds a file-sink log but checkpoint {checkpoint} is new: the query would write "
+            "nothing. Use the table's own checkpoint, or a fresh output path."
+        )
+
+
 def run_all(queries: Iterable[StreamingQuery], timeout: float | None = None) -> None:
     """Wait for every query (not just the first to end); then raise the first
     error, if any. Queries still active at the timeout are stopped."""

@@ -507,3 +507,17 @@ def test_real_table_multi_batch_matches_model(spark):
     got = activity_rows(spark, cfg)
     assert got == canon(expected)
     assert sum(r[2] for r in got) < sum(len(b) for b in batches)  # late rows were dropped
+
+
+def test_fresh_checkpoint_on_used_sink_is_refused(spark):
+    src, cfg = Source(), config()
+    src.add([(hms(0, 1), "r", P)])
+    events = lambda: validate(parse_events(decode_records(src.stream(spark))))
+    path = cfg.table_path("t")
+    run_all([start_append(events(), path, cfg.checkpoint_path("first"))])
+    with pytest.raises(ValueError, match="would write nothing"):
+        start_append(events(), path, cfg.checkpoint_path("second"))
+    # the table's own checkpoint still works
+    src.add([(hms(0, 2), "r", P)])
+    run_all([start_append(events(), path, cfg.checkpoint_path("first"))])
+    assert spark.read.parquet(path).count() == 2
