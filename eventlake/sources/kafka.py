@@ -7,11 +7,15 @@ the same code for a live topic and for a file replay of its records.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import StreamConfig, kafka_source_options
 
+log = logging.getLogger(__name__)
+
 
 def read_kafka_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
     """Streaming DataFrame of raw topic records.
@@ -19,6 +23,11 @@ def read_kafka_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
     Start position, per-batch offset cap and tolerance of offsets lost to
     retention come from ``cfg``; login options only when a user name is set.
     """
+    if not cfg.fail_on_data_loss:
+        log.warning(
+            "topic %s: failOnDataLoss=false, offsets lost to retention are skipped without failing the query",
+            cfg.topic,
+        )
     return spark.readStream.format("kafka").options(**kafka_source_options(cfg)).load()
 
 
