@@ -28,7 +28,7 @@ from ..operators.ingest import (
 from ..operators.parse import parse_events
 from ..operators.publish import to_messages
 from ..operators.quality import drop_reason, drop_reasons, validate
-from ..session import fresh_dir
+from ..session import fresh_dir, session_setting
 from ..sources.cursors import load_cursor, save_cursor
 from ..sources.envelope import TOPIC, api_events
 from ..sources.files import read_record_files, read_table, write_table
@@ -174,11 +174,14 @@ def q_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_config(spark: SparkSession, name: str, **kw) -> StreamConfig:
+    """Fresh folders; state partitions sized to the cluster's cores (a fixed
+    200 would make every micro-batch touch 200 state stores on any data)."""
     base = fresh_dir(spark, name)
     return StreamConfig(
         checkpoint_base=f"{base}/checkpoints",
         table_base=f"{base}/tables",
         allowed_types=inputs.TEST_ALLOWED_TYPES,
+        state_partitions=spark.sparkContext.defaultParallelism,
         **kw,
     )
 
@@ -223,7 +226,9 @@ def q_dedup_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         recs = read_record_files(spark, src)
         events = validate(parse_events(decode_records(recs)), cfg.allowed_types)
         out = dedup_events_stream(events, delay=cfg.watermark_delay)
-        run_all([start_append(out, cfg.table_path("events"), cfg.checkpoint_path("events"))])
+        with session_setting(spark, "spark.sql.shuffle.partitions", str(cfg.state_partitions)):
+            q = start_append(out, cfg.table_path("events"), cfg.checkpoint_path("events"))
+        run_all([q])
 
     run()
     write_table(inputs.replayed_records(spark, sf_dir), src)
