@@ -521,3 +521,20 @@ def test_fresh_checkpoint_on_used_sink_is_refused(spark):
     src.add([(hms(0, 2), "r", P)])
     run_all([start_append(events(), path, cfg.checkpoint_path("first"))])
     assert spark.read.parquet(path).count() == 2
+
+
+def test_interval_trigger_runs_until_stopped(spark):
+    """A long-running query (interval trigger) processes new files as they
+    arrive and emits windows once the watermark passes them."""
+    src, cfg = Source(), config()
+    src.add([(hms(0, 1), "r", P)])
+    q = start_repo_activity(spark, cfg, src.stream, trigger="1 second")
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+        src.add([(hms(0, 30), "r", I)])
+        q.processAllAvailable()
+        q.processAllAvailable()  # a following batch moves the watermark past 00:05
+    finally:
+        q.stop()
+    assert activity_rows(spark, cfg) == [(hms(0, 0), "r", 1, (P,))]
