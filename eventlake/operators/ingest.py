@@ -160,16 +160,17 @@ def dedup_events(
     first_by: Sequence[str] = ("kafka_ingest_ts",),
 ) -> DataFrame:
     """Batch removal of repeated events: one row per ``key``, the copy first
-    by ``first_by`` (then by all columns, so the pick is deterministic).
+    by ``first_by`` (then by all other columns, so the pick is deterministic).
 
-    One aggregation on the key: ``min_by`` combines map-side, so a key
-    repeated a billion times shrinks to one row per task before the shuffle.
+    One aggregation on the key: the minimum of the row as a struct ordered
+    ``first_by`` first. It combines map-side, so a key repeated a billion
+    times shrinks to one row per task before the shuffle, and each row is
+    carried once in the aggregation buffer.
     """
-    rest = [c for c in events.columns if c != key]
-    order = F.struct(*[F.col(c) for c in first_by], *[F.col(c) for c in rest])
-    row = F.struct(*[F.col(c) for c in rest])
-    picked = events.groupBy(key).agg(F.min_by(row, order).alias("__row"))
-    return picked.select(F.col(key), *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*events.columns)
+    rest = [c for c in events.columns if c != key and c not in first_by]
+    ordered = [*first_by, *rest]
+    picked = events.groupBy(key).agg(F.min(F.struct(*[F.col(c) for c in ordered])).alias("__row"))
+    return picked.select(F.col(key), *[F.col(f"__row.{c}").alias(c) for c in ordered]).select(*events.columns)
 
 
 def dedup_events_stream(
