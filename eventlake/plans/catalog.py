@@ -2,7 +2,8 @@
 
 Each reads the given tables (through the topic-record adapter) and returns
 the library result in comparable output form. Streaming queries run a real
-drain-then-stop stream over files Spark wrote from the tables, in a fresh
+drain-then-stop stream over the table's files (or, for the two-poll dedup,
+over files Spark derived from them), with checkpoints and sinks in a fresh
 folder under the session's shared checkpoint folder, and return a read of the
 sink table.
 """
@@ -195,15 +196,13 @@ def _replay_source(spark: SparkSession, cfg: StreamConfig, records: DataFrame) -
 
 def q_events_v1_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = _stream_config(spark, EVENTS_TABLE)
-    src = _replay_source(spark, cfg, inputs.records(spark, sf_dir, spread=True))
-    run_all([start_events_v1(spark, cfg, lambda s: read_record_files(s, src))])
+    run_all([start_events_v1(spark, cfg, lambda s: inputs.record_stream(s, sf_dir))])
     return comparable(read_table(spark, cfg.table_path(EVENTS_TABLE), merge_schema=True))
 
 
 def q_repo_activity_5m_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = _stream_config(spark, ACTIVITY_TABLE)
-    src = _replay_source(spark, cfg, inputs.records(spark, sf_dir, spread=True))
-    run_all([start_repo_activity(spark, cfg, lambda s: read_record_files(s, src))])
+    run_all([start_repo_activity(spark, cfg, lambda s: inputs.record_stream(s, sf_dir))])
     return comparable(read_table(spark, cfg.table_path(ACTIVITY_TABLE)))
 
 
@@ -211,8 +210,7 @@ def q_repo_activity_5m_from_events_v1(spark: SparkSession, sf_dir: str) -> DataF
     """The whole job in parse-once form: events_v1 from the topic replay, then
     closed windows by tailing events_v1 (date-partitioned)."""
     cfg = _stream_config(spark, "ingest", activity_from_table=True, partition_events_by_date=True)
-    src = _replay_source(spark, cfg, inputs.records(spark, sf_dir, spread=True))
-    run_ingest(spark, cfg, lambda s: read_record_files(s, src))
+    run_ingest(spark, cfg, lambda s: inputs.record_stream(s, sf_dir))
     return comparable(read_table(spark, cfg.table_path(ACTIVITY_TABLE)))
 
 

@@ -46,6 +46,15 @@ def records(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame
     return topic_records(spread_if_under_split(ev) if spread else ev)
 
 
+def record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table streamed as it lies (a file source over its folder,
+    this table's file only), turned into topic records inside the stream: no
+    copy of the data is written first."""
+    schema = events(spark, sf_dir).schema
+    rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir.rstrip("/"))
+    return topic_records(rows)
+
+
 def decoded(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     return decode_records(records(spark, sf_dir, spread))
 
