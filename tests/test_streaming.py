@@ -90,6 +90,22 @@ class Source:
         return read_record_files(spark, "file://" + self.dir, max_files_per_trigger=1)
 
 
+def wait_for(predicate, timeout=15.0):
+    """Poll until ``predicate()`` holds (listener events arrive asynchronously)."""
+    import time
+
+    end = time.monotonic() + timeout
+    while time.monotonic() < end:
+        if predicate():
+            return True
+        time.sleep(0.1)
+    return predicate()
+
+
+def terminated(rec, n=1):
+    return lambda: sum(1 for r in rec.rows() if r[2] in ("TERMINATED", "FAILED")) >= n
+
+
 def config(**kw):
     base = "file://" + tempfile.mkdtemp(prefix="eventlake-run-")
     return StreamConfig(checkpoint_base=f"{base}/ck", table_base=f"{base}/tb", **kw)
@@ -209,7 +225,7 @@ def test_two_queries_and_progress(spark):
     spark.streams.addListener(rec)
     try:
         run_ingest(spark, cfg, src.stream)
-        spark.sparkContext._jvm.java.lang.Thread.sleep(500)
+        assert wait_for(terminated(rec, 2))
     finally:
         spark.streams.removeListener(rec)
     events = spark.read.parquet(cfg.table_path(EVENTS_TABLE))
@@ -358,7 +374,7 @@ def test_progress_recorder_drains_to_table(spark, tmp_uri):
     spark.streams.addListener(rec)
     try:
         run_activity(spark, src, cfg)
-        spark.sparkContext._jvm.java.lang.Thread.sleep(500)
+        assert wait_for(terminated(rec))
     finally:
         spark.streams.removeListener(rec)
     n = rec.append_to(spark, tmp_uri)
@@ -397,7 +413,7 @@ def test_late_rows_counted_in_progress(spark):
     spark.streams.addListener(rec)
     try:
         run_activity(spark, src, cfg)
-        spark.sparkContext._jvm.java.lang.Thread.sleep(500)
+        assert wait_for(terminated(rec))
     finally:
         spark.streams.removeListener(rec)
     late = sum(r[4] for r in rec.rows())
