@@ -115,17 +115,27 @@ def advance_cursor(
     )
 
 
-def feed_fingerprints(feed: DataFrame, feed_col: str = "feed", id_col: str = "event_id") -> DataFrame:
+def feed_fingerprints(
+    feed: DataFrame,
+    feed_col: str = "feed",
+    id_col: str = "event_id",
+    content_cols: Sequence[str] = (),
+) -> DataFrame:
     """Content fingerprint per feed: ``feed, fingerprint``.
 
-    MD5 of ``count:sum(hash(id))`` where the hash is 60 bits of the id's MD5
-    and the sum is exact (DECIMAL(38,0)). Order-free and computed by partial
-    aggregation, so no feed is ever collected into one task. Ids suffice when
-    an event never changes after publication; otherwise hash the payload.
+    MD5 of ``count:sum(hash(item))`` where the hash is 60 bits of the item's
+    MD5 and the sum is exact (DECIMAL(38,0)). Order-free and computed by
+    partial aggregation, so no feed is ever collected into one task. The item
+    is the id, which suffices when an event never changes after publication;
+    otherwise name the columns that may change in ``content_cols`` and the
+    item becomes the JSON of the id with them (NULLs stay distinguishable).
     """
+    item = F.col(id_col)
+    if content_cols:
+        item = F.to_json(F.struct(F.col(id_col), *[F.col(c) for c in content_cols]))
     agg = feed.groupBy(feed_col).agg(
         F.count(F.lit(1)).alias("__n"),
-        F.sum(id_hash(F.col(id_col))).alias("__h"),
+        F.sum(id_hash(item)).alias("__h"),
     )
     fp = F.md5(F.concat_ws(":", F.col("__n").cast("string"), F.col("__h").cast("string")))
     return agg.select(F.col(feed_col), fp.alias("fingerprint"))
@@ -136,6 +146,7 @@ def changed_feeds(
     previous: DataFrame,
     feed_col: str = "feed",
     id_col: str = "event_id",
+    content_cols: Sequence[str] = (),
 ) -> DataFrame:
     """Compare each feed's fingerprint with the one stored from the last poll
     (``previous``: ``feed, fingerprint``); the conditional-request test.
@@ -143,7 +154,7 @@ def changed_feeds(
     Output: ``feed, fingerprint, prev_fingerprint, changed``; a feed present on
     one side only is changed (a vanished feed has a NULL fingerprint).
     """
-    cur = feed_fingerprints(feed, feed_col, id_col)
+    cur = feed_fingerprints(feed, feed_col, id_col, content_cols)
     prev = previous.select(F.col(feed_col), F.col("fingerprint").alias("prev_fingerprint"))
     both = cur.join(prev, [feed_col], "full_outer")
     return both.select(

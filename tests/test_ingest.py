@@ -220,3 +220,16 @@ def test_shuffle_path_combines_copies_before_the_join(spark, session_conf):
     assert "partial_min(pos" in plan, plan
     assert sorted({r.event_id for r in out.collect()}) == ["0", "1", "2"]
     assert out.count() == sum(1 for i in range(3000) if i % 7 < 3)
+
+
+def test_fingerprint_with_content(spark):
+    a = spark.createDataFrame([("f", "1", "x"), ("f", "2", None)], "feed string, event_id string, body string")
+    b = spark.createDataFrame([("f", "1", "y"), ("f", "2", None)], "feed string, event_id string, body string")
+    c = spark.createDataFrame([("f", "1", "x"), ("f", "2", "")], "feed string, event_id string, body string")
+    ids = lambda df: feed_fingerprints(df).first().fingerprint
+    full = lambda df: feed_fingerprints(df, content_cols=["body"]).first().fingerprint
+    assert ids(a) == ids(b) == ids(c)
+    assert len({full(a), full(b), full(c)}) == 3
+    prev = feed_fingerprints(a, content_cols=["body"])
+    assert changed_feeds(b, prev, content_cols=["body"]).first().changed
+    assert not changed_feeds(a, prev, content_cols=["body"]).first().changed
