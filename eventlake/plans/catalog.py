@@ -29,13 +29,14 @@ from ..operators.ingest import (
 from ..operators.parse import parse_events
 from ..operators.publish import to_messages
 from ..operators.quality import drop_reason, drop_reasons, validate
-from ..session import fresh_dir, session_setting
+from ..session import fresh_dir
 from ..sources.cursors import load_cursor, save_cursor
 from ..sources.envelope import TOPIC, api_events
 from ..sources.files import read_record_files, read_table, write_table
 from ..sources.kafka import decode_records
 from ..streaming.jobs import ACTIVITY_TABLE, EVENTS_TABLE, run_ingest, start_events_v1, start_repo_activity
 from ..streaming.sinks import run_all, start_append
+from ..streaming.state import stateful_settings
 from . import inputs
 from .output import comparable
 
@@ -224,7 +225,7 @@ def q_dedup_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         recs = read_record_files(spark, src)
         events = validate(parse_events(decode_records(recs)), cfg.allowed_types)
         out = dedup_events_stream(events, delay=cfg.watermark_delay)
-        with session_setting(spark, "spark.sql.shuffle.partitions", str(cfg.state_partitions)):
+        with stateful_settings(spark, cfg.state_store, cfg.state_partitions):
             q = start_append(out, cfg.table_path("events"), cfg.checkpoint_path("events"))
         run_all([q])
 

@@ -3,7 +3,7 @@
 from .jobs import events_table_stream, file_source, kafka_source, run_ingest, start_events_v1, start_repo_activity
 from .progress import ProgressRecorder
 from .sinks import data_then_cursor, run_all, start_append
-from .state import use_state_store
+from .state import stateful_settings, use_state_store
 
 __all__ = [
     "start_append",
@@ -11,6 +11,7 @@ __all__ = [
     "data_then_cursor",
     "ProgressRecorder",
     "use_state_store",
+    "stateful_settings",
     "kafka_source",
     "file_source",
     "events_table_stream",

@@ -28,19 +28,13 @@ from ..operators.quality import observe_quality, validate
 from ..schemas import EVENT_SCHEMA
 from ..sources.files import read_record_files
 from ..sources.kafka import decode_records, read_kafka_stream
-from ..session import session_setting
 from .sinks import run_all, start_append
-from .state import use_state_store
+from .state import stateful_settings
 
 EVENTS_TABLE = "events_v1"
 ACTIVITY_TABLE = "repo_activity_5m"
 
 Source = Callable[[SparkSession], DataFrame]
-SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
-
-
-def _partitions(cfg: StreamConfig) -> str | None:
-    return str(cfg.state_partitions) if cfg.state_partitions else None
 
 
 def kafka_source(cfg: StreamConfig) -> Source:
@@ -74,7 +68,8 @@ def start_events_v1(spark: SparkSession, cfg: StreamConfig, source: Source, trig
     if cfg.partition_events_by_date:
         events = events.withColumn("event_date", F.to_date(instant_to_utc_ntz("created_at")))
         partition_by = ["event_date"]
-    with session_setting(spark, SHUFFLE_PARTITIONS, _partitions(cfg) if cfg.dedup else None):
+    stateful = cfg.dedup
+    with stateful_settings(spark, cfg.state_store if stateful else "hdfs", cfg.state_partitions if stateful else None):
         return start_append(
             events,
             cfg.table_path(EVENTS_TABLE),
@@ -99,13 +94,12 @@ def events_table_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
 
 
 def start_repo_activity(spark: SparkSession, cfg: StreamConfig, source: Source, trigger="availableNow") -> StreamingQuery:
-    use_state_store(spark, cfg.state_store)
     if cfg.activity_from_table:
         events = events_table_stream(spark, cfg)
     else:
         events = validated_stream(source(spark), cfg)
     activity = repo_activity(events, cfg.window_size, cfg.watermark_delay, types=cfg.allowed_types)
-    with session_setting(spark, SHUFFLE_PARTITIONS, _partitions(cfg)):
+    with stateful_settings(spark, cfg.state_store, cfg.state_partitions):
         return start_append(
             activity,
             cfg.table_path(ACTIVITY_TABLE),

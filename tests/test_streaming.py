@@ -356,15 +356,17 @@ def test_events_partitioned_by_date(spark):
     assert df.count() == 1
 
 
-def test_rocksdb_state_store(spark, session_conf):
+def test_rocksdb_state_store(spark):
     from eventlake.streaming.state import PROVIDER_CONF
 
-    session_conf(PROVIDER_CONF, spark.conf.get(PROVIDER_CONF, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"))
+    before = spark.conf.get(PROVIDER_CONF, None)
     src, cfg = Source(), config(state_store="rocksdb")
     src.add([(hms(0, 1), "r", P), (hms(0, 20), "r", I)])
     run_activity(spark, src, cfg)
     assert activity_rows(spark, cfg) == [(hms(0, 0), "r", 1, (P,))]
-    assert "RocksDB" in spark.conf.get(PROVIDER_CONF)
+    assert spark.conf.get(PROVIDER_CONF, None) == before  # scoped to the query
+    meta = cfg.checkpoint_path(ACTIVITY_TABLE)[len("file://"):] + "/offsets/0"
+    assert "RocksDBStateStoreProvider" in open(meta).read()
 
 
 def test_progress_recorder_drains_to_table(spark, tmp_uri):
