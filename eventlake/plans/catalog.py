@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import StreamConfig
 from ..operators.activity import closed_windows, event_type_counts, repo_activity
-from ..operators.health import health_report, partition_offsets, topic_health
+from ..operators.health import health_report, partition_offsets, stream_health, topic_health
 from ..operators.ingest import (
     advance_cursor,
     changed_feeds,
@@ -35,6 +35,7 @@ from ..sources.envelope import TOPIC, api_events
 from ..sources.files import read_record_files, read_table, write_table
 from ..sources.kafka import decode_records
 from ..streaming.jobs import ACTIVITY_TABLE, EVENTS_TABLE, run_ingest, start_events_v1, start_repo_activity
+from ..streaming.progress import ProgressRecorder
 from ..streaming.sinks import run_all, start_append
 from ..streaming.state import stateful_settings
 from . import inputs
@@ -215,6 +216,26 @@ def q_repo_activity_5m_from_events_v1(spark: SparkSession, sf_dir: str) -> DataF
     return comparable(read_table(spark, cfg.table_path(ACTIVITY_TABLE)))
 
 
+def q_stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Liveness from recorded progress: the two-query job runs over the table
+    with a progress recorder; the rows go to a progress table; the check reads
+    it. Drain-then-stop queries end TERMINATED (not live), having read every
+    record. Output: ``query, state, ok, input_rows``."""
+    cfg = _stream_config(spark, "monitored")
+    rec = ProgressRecorder()
+    spark.streams.addListener(rec)
+    try:
+        run_ingest(spark, cfg, lambda s: inputs.record_stream(s, sf_dir))
+        rec.wait_terminated(2)
+    finally:
+        spark.streams.removeListener(rec)
+    path = fresh_dir(spark, "progress")
+    rec.append_to(spark, path)
+    progress = read_table(spark, path)
+    totals = progress.groupBy("query").agg(F.sum("input_rows").alias("input_rows"))
+    return stream_health(progress).select("query", "state", "ok").join(totals, ["query"])
+
+
 def q_dedup_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First poll's records drained, then the replay appended and drained by
     the same checkpoint (two drain-then-stop runs, as a restarted job does)."""
@@ -255,4 +276,5 @@ QUERIES: dict[str, Query] = {
     "repo_activity_5m_closed": q_repo_activity_5m_closed,
     "dedup_events_stream": q_dedup_events_stream,
     "repo_activity_5m_from_events_v1": q_repo_activity_5m_from_events_v1,
+    "stream_health": q_stream_health,
 }

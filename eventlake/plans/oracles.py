@@ -153,6 +153,11 @@ prev AS (SELECT feed, {_fingerprint('event_id')} AS prev_fingerprint
 SELECT coalesce(cur.feed, prev.feed) AS feed, fingerprint, prev_fingerprint,
        fingerprint IS DISTINCT FROM prev_fingerprint AS changed
 FROM cur FULL JOIN prev ON cur.feed = prev.feed""",
+    # Both drain-then-stop queries end TERMINATED (not live) after reading every record.
+    "stream_health": """
+SELECT 'events_v1' AS query, 'TERMINATED' AS state, false AS ok, count(*) AS input_rows FROM events
+UNION ALL
+SELECT 'repo_activity_5m', 'TERMINATED', false, count(*) FROM events""",
     "dedup_events": _DEDUPED,
     "dedup_events_stream": _DEDUPED,
     "events_v1_stream": "WITH" + _VALIDATED + f"\nSELECT {_PARSED_COLS} FROM validated",

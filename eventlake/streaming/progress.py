@@ -59,6 +59,19 @@ class ProgressRecorder(StreamingQueryListener):
         with self._lock:
             return list(self._rows)
 
+    def wait_terminated(self, queries: int = 1, timeout: float = 60.0) -> bool:
+        """Wait until ``queries`` terminations were recorded (listener events
+        arrive asynchronously, after ``awaitTermination`` returns)."""
+        import time
+
+        end = time.monotonic() + timeout
+        while True:
+            with self._lock:
+                done = sum(1 for r in self._rows if r[2] in ("TERMINATED", "FAILED"))
+            if done >= queries or time.monotonic() >= end:
+                return done >= queries
+            time.sleep(0.05)
+
     def drain(self) -> list[tuple]:
         """Return the rows kept so far and forget them."""
         with self._lock:
