@@ -59,6 +59,19 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _interrupt_on_sigterm() -> None:
+    """SIGTERM stops the streams like Ctrl-C: ``run_all`` stops every query."""
+    import signal
+
+    def handler(signum, frame):
+        raise KeyboardInterrupt(f"signal {signum}")
+
+    try:
+        signal.signal(signal.SIGTERM, handler)
+    except ValueError:  # not the main thread (embedded use): leave signals alone
+        pass
+
+
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"eventlake-{args.cmd}").getOrCreate()
@@ -81,7 +94,12 @@ def main(argv: list[str] | None = None) -> int:
             partition_events_by_date=args.partition_by_date,
         )
         source = file_source(cfg, args.source_dir) if args.source_dir else kafka_source(cfg)
-        run_ingest(spark, cfg, source, trigger=args.trigger)
+        _interrupt_on_sigterm()
+        try:
+            run_ingest(spark, cfg, source, trigger=args.trigger)
+        except KeyboardInterrupt:
+            print("stopped; the checkpoints resume from here", file=sys.stderr)
+            return 130
         return 0
     if args.cmd == "counts":
         event_type_counts(read_table(spark, args.table, args.format)).show(truncate=False)

@@ -70,16 +70,23 @@ def _refuse_orphaned_sink(spark, path: str, checkpoint: str) -> None:
 
 def run_all(queries: Iterable[StreamingQuery], timeout: float | None = None) -> None:
     """Wait for every query (not just the first to end); then raise the first
-    error, if any. Queries still active at the timeout are stopped."""
+    error, if any. Queries still active at the timeout are stopped. An
+    interrupt (Ctrl-C, or SIGTERM mapped to it) stops all of them and is
+    re-raised: their checkpoints let a restart resume where they stopped."""
     queries = list(queries)
     first_error: BaseException | None = None
-    for q in queries:
-        try:
-            finished = q.awaitTermination(timeout) if timeout is not None else q.awaitTermination()
-            if finished is False:
-                q.stop()
-        except BaseException as exc:  # noqa: BLE001 - keep waiting for the others
-            first_error = first_error or exc
+    try:
+        for q in queries:
+            try:
+                finished = q.awaitTermination(timeout) if timeout is not None else q.awaitTermination()
+                if finished is False:
+                    q.stop()
+            except Exception as exc:  # noqa: BLE001 - a failed query: keep waiting for the others
+                first_error = first_error or exc
+    except BaseException:
+        for q in queries:
+            q.stop()
+        raise
     for q in queries:
         if first_error is None and q.exception() is not None:
             first_error = RuntimeError(str(q.exception()))
