@@ -34,7 +34,14 @@ from ..sources.cursors import load_cursor, save_cursor
 from ..sources.envelope import TOPIC, api_events
 from ..sources.files import read_record_files, read_table, write_table
 from ..sources.kafka import decode_records
-from ..streaming.jobs import ACTIVITY_TABLE, EVENTS_TABLE, run_ingest, start_events_v1, start_repo_activity
+from ..streaming.jobs import (
+    ACTIVITY_TABLE,
+    EVENTS_TABLE,
+    file_source,
+    run_ingest,
+    start_events_v1,
+    start_repo_activity,
+)
 from ..streaming.progress import ProgressRecorder
 from ..streaming.sinks import run_all, start_append
 from ..streaming.state import stateful_settings
@@ -208,6 +215,17 @@ def q_repo_activity_5m_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(read_table(spark, cfg.table_path(ACTIVITY_TABLE)))
 
 
+def q_repo_activity_5m_closed_multibatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table replayed as time-ordered files, two per micro-batch: windows
+    carry state across eight batches (and across batch boundaries), and the
+    drained result still equals the closed windows."""
+    files = 16
+    cfg = _stream_config(spark, "multibatch", max_files_per_trigger=files // 8)
+    src = inputs.time_ordered_replay(spark, sf_dir, f"{cfg.table_base}/source", files)
+    run_all([start_repo_activity(spark, cfg, file_source(cfg, src))])
+    return comparable(read_table(spark, cfg.table_path(ACTIVITY_TABLE)))
+
+
 def q_repo_activity_5m_from_events_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job in parse-once form: events_v1 from the topic replay, then
     closed windows by tailing events_v1 (date-partitioned)."""
@@ -274,6 +292,7 @@ QUERIES: dict[str, Query] = {
     "dedup_events": q_dedup_events,
     "events_v1_stream": q_events_v1_stream,
     "repo_activity_5m_closed": q_repo_activity_5m_closed,
+    "repo_activity_5m_closed_multibatch": q_repo_activity_5m_closed_multibatch,
     "dedup_events_stream": q_dedup_events_stream,
     "repo_activity_5m_from_events_v1": q_repo_activity_5m_from_events_v1,
     "stream_health": q_stream_health,

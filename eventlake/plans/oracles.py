@@ -123,6 +123,7 @@ FROM parsed GROUP BY ALL""",
     "repo_activity_5m": "WITH" + _ACTIVITY + "\nSELECT * FROM activity",
     "repo_activity_5m_closed_batch": _CLOSED,
     "repo_activity_5m_closed": _CLOSED,
+    "repo_activity_5m_closed_multibatch": _CLOSED,
     "repo_activity_5m_from_events_v1": _CLOSED,
     "event_type_counts": "WITH" + _VALIDATED + """
 SELECT event_type, count(*) AS cnt FROM validated GROUP BY event_type ORDER BY cnt DESC, event_type""",

@@ -556,3 +556,28 @@ def test_interval_trigger_runs_until_stopped(spark):
     finally:
         q.stop()
     assert activity_rows(spark, cfg) == [(hms(0, 0), "r", 1, (P,))]
+
+
+def test_time_ordered_replay_runs_many_batches(spark):
+    from conftest import SF_SMALL
+
+    from eventlake.plans import inputs
+    from eventlake.streaming.jobs import file_source
+
+    cfg = config(allowed_types=inputs.TEST_ALLOWED_TYPES, max_files_per_trigger=2)
+    src = inputs.time_ordered_replay(spark, SF_SMALL, f"{cfg.table_base}/source", 8)
+    local = src[len("file://"):]
+    parts = sorted(f for f in os.listdir(local) if f.startswith("part-"))
+    stamps = [os.stat(os.path.join(local, f)).st_mtime for f in parts]
+    assert stamps == sorted(stamps) and len(set(stamps)) == len(stamps)
+    q = start_repo_activity(spark, cfg, file_source(cfg, src))
+    run_all([q])
+    data_batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(data_batches) == 4
+    batch = validate(parse_events(decode_records(spark.read.parquet(src))), inputs.TEST_ALLOWED_TYPES)
+    expected = closed_windows(batch, types=inputs.TEST_ALLOWED_TYPES)
+    as_rows = lambda df: canon(
+        (int(r.ws), r.repo_name, r.event_count, tuple(r.event_types))
+        for r in df.select(F.unix_timestamp("window_start").alias("ws"), "repo_name", "event_count", "event_types").collect()
+    )
+    assert activity_rows(spark, cfg) == as_rows(expected)
