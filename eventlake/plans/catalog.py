@@ -254,6 +254,23 @@ def q_stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_health(progress).select("query", "state", "ok").join(totals, ["query"])
 
 
+def q_stream_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drop counters observed inside the events stream (per micro-batch,
+    recorded by the progress listener), summed: ``metric, rows``."""
+    cfg = _stream_config(spark, "observed")
+    rec = ProgressRecorder()
+    spark.streams.addListener(rec)
+    try:
+        run_all([start_events_v1(spark, cfg, lambda s: inputs.record_stream(s, sf_dir))])
+        rec.wait_terminated(1)
+    finally:
+        spark.streams.removeListener(rec)
+    path = fresh_dir(spark, "metrics")
+    rec.metrics_df(spark).write.parquet(path)
+    metrics = read_table(spark, path).where(F.col("metric_set") == F.lit(f"{EVENTS_TABLE}_quality"))
+    return metrics.groupBy("metric").agg(F.sum("value").alias("rows"))
+
+
 def q_dedup_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First poll's records drained, then the replay appended and drained by
     the same checkpoint (two drain-then-stop runs, as a restarted job does)."""
@@ -296,4 +313,5 @@ QUERIES: dict[str, Query] = {
     "dedup_events_stream": q_dedup_events_stream,
     "repo_activity_5m_from_events_v1": q_repo_activity_5m_from_events_v1,
     "stream_health": q_stream_health,
+    "stream_drop_counts": q_stream_drop_counts,
 }

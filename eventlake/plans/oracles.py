@@ -159,6 +159,14 @@ FROM cur FULL JOIN prev ON cur.feed = prev.feed""",
 SELECT 'events_v1' AS query, 'TERMINATED' AS state, false AS ok, count(*) AS input_rows FROM events
 UNION ALL
 SELECT 'repo_activity_5m', 'TERMINATED', false, count(*) FROM events""",
+    # The same drop rules over the table (checked in order: id, time, type).
+    "stream_drop_counts": """
+SELECT 'input_rows' AS metric, count(*) AS "rows" FROM events
+UNION ALL SELECT 'missing_event_id', count(*) FILTER (WHERE event_id IS NULL) FROM events
+UNION ALL SELECT 'bad_created_at', count(*) FILTER (WHERE event_id IS NOT NULL AND ts IS NULL) FROM events
+UNION ALL SELECT 'type_not_allowed', count(*) FILTER (
+    WHERE event_id IS NOT NULL AND ts IS NOT NULL
+      AND (event_type IS NULL OR event_type NOT IN ('click', 'view', 'purchase', 'signup'))) FROM events""",
     "dedup_events": _DEDUPED,
     "dedup_events_stream": _DEDUPED,
     "events_v1_stream": "WITH" + _VALIDATED + f"\nSELECT {_PARSED_COLS} FROM validated",

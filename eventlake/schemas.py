@@ -110,3 +110,14 @@ PROGRESS_SCHEMA = StructType(
         StructField("late_rows", LongType(), True),
     ]
 )
+
+# Observed per-batch counters recorded by ``streaming.progress.ProgressRecorder``.
+METRICS_SCHEMA = StructType(
+    [
+        StructField("query", StringType(), True),
+        StructField("batch_id", LongType(), True),
+        StructField("metric_set", StringType(), True),
+        StructField("metric", StringType(), True),
+        StructField("value", LongType(), True),
+    ]
+)

@@ -8,7 +8,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
-from ..schemas import PROGRESS_SCHEMA
+from ..schemas import METRICS_SCHEMA, PROGRESS_SCHEMA
 
 
 def _now() -> dt.datetime:
@@ -31,6 +31,7 @@ class ProgressRecorder(StreamingQueryListener):
 
     def __init__(self) -> None:
         self._rows: list[tuple] = []
+        self._metrics: list[tuple] = []
         self._names: dict[str, str] = {}
         self._lock = threading.Lock()
 
@@ -47,6 +48,13 @@ class ProgressRecorder(StreamingQueryListener):
         p = event.progress
         late = sum(op.numRowsDroppedByWatermark for op in (p.stateOperators or []))
         self._add(str(p.id), _parse_ts(p.timestamp), "RUNNING", p.numInputRows, late)
+        # observe() counters of this micro-batch (e.g. drop reasons)
+        observed = p.observedMetrics or {}
+        with self._lock:
+            name = self._names.get(str(p.id), str(p.id))
+            for metric_set, row in observed.items():
+                for metric, value in row.asDict().items():
+                    self._metrics.append((name, int(p.batchId), metric_set, metric, int(value or 0)))
 
     def onQueryIdle(self, event) -> None:
         self._add(str(event.id), _parse_ts(event.timestamp), "RUNNING", 0)
@@ -72,6 +80,14 @@ class ProgressRecorder(StreamingQueryListener):
                 return done >= queries
             time.sleep(0.05)
 
+    def metrics(self) -> list[tuple]:
+        """``(query, batch_id, metric_set, metric, value)`` per micro-batch."""
+        with self._lock:
+            return list(self._metrics)
+
+    def metrics_df(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.metrics(), METRICS_SCHEMA)
+
     def drain(self) -> list[tuple]:
         """Return the rows kept so far and forget them."""
         with self._lock:

@@ -581,3 +581,24 @@ def test_time_ordered_replay_runs_many_batches(spark):
         for r in df.select(F.unix_timestamp("window_start").alias("ws"), "repo_name", "event_count", "event_types").collect()
     )
     assert activity_rows(spark, cfg) == as_rows(expected)
+
+
+def test_recorded_drop_counters_sum_over_batches(spark):
+    from eventlake.streaming.jobs import start_events_v1
+
+    src, cfg = Source(), config()
+    src.add([(hms(0, 1), "r", P), (hms(0, 2), "r", "ForkEvent")])
+    src.add([(hms(0, 3), "r", None), (hms(0, 4), "r", I), (hms(0, 5), "r", "ForkEvent")])
+    rec = ProgressRecorder()
+    spark.streams.addListener(rec)
+    try:
+        run_all([start_events_v1(spark, cfg, src.stream)])
+        assert rec.wait_terminated(1)
+    finally:
+        spark.streams.removeListener(rec)
+    per_batch = {(b, m): v for _, b, _, m, v in rec.metrics()}
+    assert {b for b, _ in per_batch} == {0, 1}
+    totals = {}
+    for (_, m), v in per_batch.items():
+        totals[m] = totals.get(m, 0) + v
+    assert totals == {"input_rows": 5, "missing_event_id": 0, "bad_created_at": 0, "type_not_allowed": 3}
