@@ -150,6 +150,20 @@ def q_new_since_last_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(_new_rows(spark, sf_dir, _previous_cursors(spark, sf_dir)))
 
 
+def q_new_since_last_seen_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with positions as (page, index) in newest-first pages: the
+    walk stops inside the first page holding the known id."""
+    new = new_since_last_seen(
+        inputs.paged_feed_rows(spark, sf_dir),
+        _previous_cursors(spark, sf_dir),
+        feed_col="feed",
+        id_col="event_id",
+        order_col="pos",
+        newest_first=True,
+    )
+    return comparable(new.select("feed", "event_id", "event_type", "ts", "pos.page", "pos.idx"))
+
+
 def q_feed_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One poll: new rows are written first, then the cursor advances from
     what was written (a crash in between re-reads, never skips)."""
@@ -304,6 +318,7 @@ QUERIES: dict[str, Query] = {
     "topic_health": q_topic_health,
     "health_report": q_health_report,
     "new_since_last_seen": q_new_since_last_seen,
+    "new_since_last_seen_pages": q_new_since_last_seen_pages,
     "feed_cursor": q_feed_cursor,
     "changed_feeds": q_changed_feeds,
     "dedup_events": q_dedup_events,

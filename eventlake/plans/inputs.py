@@ -21,6 +21,8 @@ from .layout import spread_if_under_split
 TEST_ALLOWED_TYPES = ("click", "view", "purchase", "signup")
 # Feeds: events are split into this many feeds by user.
 FEEDS = 4
+# Events per page of a feed listing.
+PAGE_SIZE = 100
 # The previous poll saw events before this time.
 PREVIOUS_POLL = "2024-01-20 00:00:00"
 # Changed-feed check: daily feeds, previous fingerprints taken at this time.
@@ -98,6 +100,17 @@ def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def paged_feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed rows with a list position as the API pages them, newest first:
+    ``pos = struct(page, idx)`` over pages of ``PAGE_SIZE`` (rank from the
+    newest id; the bound is a scalar subquery, not a per-feed sort)."""
+    rows = feed_rows(spark, sf_dir)
+    rank = F.lit(rows.select(F.max("event_id")).scalar()) - F.col("event_id")
+    page = (F.floor(rank / PAGE_SIZE) + 1).cast("int")
+    idx = (rank % PAGE_SIZE).cast("int")
+    return rows.withColumn("pos", F.struct(page.alias("page"), idx.alias("idx")))
+
+
 def previous_feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed_rows(spark, sf_dir).where(_before("ts", PREVIOUS_POLL))
 

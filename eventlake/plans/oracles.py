@@ -140,6 +140,11 @@ SELECT 'topic_exists' AS "check", partitions::VARCHAR AS observed, partitions >
 UNION ALL
 SELECT 'topic_has_messages', messages::VARCHAR, messages > 0 FROM t""",
     "new_since_last_seen": "WITH" + _FEEDS + "\nSELECT feed, event_id, event_type, ts FROM new_rows",
+    "new_since_last_seen_pages": "WITH" + _FEEDS + """
+SELECT feed, event_id, event_type, ts,
+       (((SELECT max(event_id) FROM events) - event_id) // 100 + 1)::INTEGER AS page,
+       (((SELECT max(event_id) FROM events) - event_id) % 100)::INTEGER AS idx
+FROM new_rows""",
     "feed_cursor": "WITH" + _FEEDS + f""",
 newest AS (SELECT feed, arg_max(event_id, event_id)::VARCHAR AS new_id FROM new_rows GROUP BY feed),
 etags AS (SELECT feed, {_fingerprint('event_id')} AS new_etag FROM f GROUP BY feed)
