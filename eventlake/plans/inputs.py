@@ -14,7 +14,7 @@ from ..operators.parse import parse_events
 from ..operators.quality import validate
 from ..sources.envelope import topic_records
 from ..sources.kafka import decode_records
-from .layout import spread_if_under_split
+from .layout import spread_if_under_split, spread_stream_if_under_split
 
 # --- fixed values of the test set-up -------------------------------------------
 # Allowed types of the test table (the fifth, "error", exercises the type check).
@@ -51,10 +51,11 @@ def records(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame
 def record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table streamed as it lies (a file source over its folder,
     this table's file only), turned into topic records inside the stream: no
-    copy of the data is written first."""
-    schema = events(spark, sf_dir).schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir.rstrip("/"))
-    return topic_records(rows)
+    copy of the data is written first. An under-split table is spread over
+    the cores inside each micro-batch (see ``layout``)."""
+    table = events(spark, sf_dir)
+    rows = spark.readStream.schema(table.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir.rstrip("/"))
+    return topic_records(spread_stream_if_under_split(rows, table))
 
 
 def decoded(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:

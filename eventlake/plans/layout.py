@@ -24,3 +24,18 @@ def spread_if_under_split(df: DataFrame) -> DataFrame:
     if splits >= parallelism:
         return df
     return df.repartition(parallelism)
+
+
+def spread_stream_if_under_split(stream: DataFrame, same_files: DataFrame) -> DataFrame:
+    """The streaming twin: a file stream cannot report its splits, so they are
+    taken from a batch read of the same files (``same_files``); when fewer
+    than the cluster's parallelism, each micro-batch is repartitioned
+    round-robin (stateless, allowed in a stream). No-op on large inputs."""
+    try:
+        parallelism = same_files.sparkSession.sparkContext.defaultParallelism
+        splits = same_files.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view: leave the plan alone
+        return stream
+    if splits >= parallelism:
+        return stream
+    return stream.repartition(parallelism)

@@ -56,3 +56,9 @@ def test_closed_windows_reads_input_once(spark):
     # the input was read by the eager checkpoint; the result reads only that
     assert "FileScan" not in plan and "from_json" not in plan, plan
     assert out.count() > 0
+
+
+def test_under_split_stream_is_spread(spark):
+    stream = inputs.record_stream(spark, SF_SMALL)
+    assert stream.isStreaming
+    assert "Repartition" in stream._jdf.queryExecution().logical().toString()
