@@ -43,7 +43,7 @@ from ..streaming.jobs import (
     start_repo_activity,
 )
 from ..streaming.progress import ProgressRecorder
-from ..streaming.sinks import run_all, start_append
+from ..streaming.sinks import data_then_cursor, run_all, start_append
 from ..streaming.state import stateful_settings
 from . import inputs
 from .output import comparable
@@ -285,6 +285,31 @@ def q_stream_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.groupBy("metric").agg(F.sum("value").alias("rows"))
 
 
+def q_stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Data first, cursor after, per micro-batch: the table replayed as
+    time-ordered files over four batches; each batch appends its valid events,
+    then advances a per-repository cursor (newest id) from the last saved
+    version. Output: the final cursor table."""
+    files = 8
+    cfg = _stream_config(spark, "cursor", max_files_per_trigger=files // 4)
+    src = inputs.time_ordered_replay(spark, sf_dir, f"{cfg.table_base}/source", files)
+    data, cursor = cfg.table_path("events"), cfg.table_path("cursor")
+
+    def cursor_of(batch: DataFrame) -> DataFrame:
+        new = batch.select(F.col("repo_name").alias("feed"), F.col("event_id").cast("long").alias("event_id"))
+        return advance_cursor(new, load_cursor(spark, cursor), order_col="event_id", newest_first=False)
+
+    events = validate(parse_events(decode_records(file_source(cfg, src)(spark))), cfg.allowed_types)
+    q = (
+        events.writeStream.foreachBatch(data_then_cursor(data, cursor, cursor_of))
+        .option("checkpointLocation", cfg.checkpoint_path("cursor"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    run_all([q])
+    return load_cursor(spark, cursor)
+
+
 def q_dedup_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First poll's records drained, then the replay appended and drained by
     the same checkpoint (two drain-then-stop runs, as a restarted job does)."""
@@ -329,4 +354,5 @@ QUERIES: dict[str, Query] = {
     "repo_activity_5m_from_events_v1": q_repo_activity_5m_from_events_v1,
     "stream_health": q_stream_health,
     "stream_drop_counts": q_stream_drop_counts,
+    "stream_cursor": q_stream_cursor,
 }

@@ -172,6 +172,9 @@ UNION ALL SELECT 'bad_created_at', count(*) FILTER (WHERE event_id IS NOT NULL A
 UNION ALL SELECT 'type_not_allowed', count(*) FILTER (
     WHERE event_id IS NOT NULL AND ts IS NOT NULL
       AND (event_type IS NULL OR event_type NOT IN ('click', 'view', 'purchase', 'signup'))) FROM events""",
+    "stream_cursor": """
+SELECT 'org/repo_' || (user_id % 20)::VARCHAR AS feed, NULL::VARCHAR AS etag, max(event_id)::VARCHAR AS last_event_id
+FROM events WHERE event_type IN ('click', 'view', 'purchase', 'signup') GROUP BY 1""",
     "dedup_events": _DEDUPED,
     "dedup_events_stream": _DEDUPED,
     "events_v1_stream": "WITH" + _VALIDATED + f"\nSELECT {_PARSED_COLS} FROM validated",
