@@ -11,6 +11,7 @@ sink table.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -234,8 +235,9 @@ def q_repo_activity_5m_closed_multibatch(spark: SparkSession, sf_dir: str) -> Da
     carry state across eight batches (and across batch boundaries), and the
     drained result still equals the closed windows."""
     files = 16
-    cfg = _stream_config(spark, "multibatch", max_files_per_trigger=files // 8)
-    src = inputs.time_ordered_replay(spark, sf_dir, f"{cfg.table_base}/source", files)
+    cfg = _stream_config(spark, "multibatch")
+    src, ordered = inputs.time_ordered_replay(spark, sf_dir, f"{cfg.table_base}/source", files)
+    cfg = replace(cfg, max_files_per_trigger=files // 8 if ordered else None)
     run_all([start_repo_activity(spark, cfg, file_source(cfg, src))])
     return comparable(read_table(spark, cfg.table_path(ACTIVITY_TABLE)))
 
@@ -291,8 +293,9 @@ def q_stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     then advances a per-repository cursor (newest id) from the last saved
     version. Output: the final cursor table."""
     files = 8
-    cfg = _stream_config(spark, "cursor", max_files_per_trigger=files // 4)
-    src = inputs.time_ordered_replay(spark, sf_dir, f"{cfg.table_base}/source", files)
+    cfg = _stream_config(spark, "cursor")
+    src, ordered = inputs.time_ordered_replay(spark, sf_dir, f"{cfg.table_base}/source", files)
+    cfg = replace(cfg, max_files_per_trigger=files // 4 if ordered else None)
     data, cursor = cfg.table_path("events"), cfg.table_path("cursor")
 
     def cursor_of(batch: DataFrame) -> DataFrame:

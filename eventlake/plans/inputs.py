@@ -143,22 +143,33 @@ def malformed_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dec.select(F.inline(variants), "kafka_ingest_ts").withColumnRenamed("text", "raw_json")
 
 
-def time_ordered_replay(spark: SparkSession, sf_dir: str, path: str, files: int) -> str:
+def time_ordered_replay(spark: SparkSession, sf_dir: str, path: str, files: int) -> tuple[str, bool]:
     """Write the table's topic records as ``files`` files covering disjoint,
     increasing time ranges (range partitioning samples its bounds, so a busy
     period is split, not sent to one task), and stamp the files' modification
     times in range order so a file stream replays them oldest first. Only
-    file metadata is touched on the driver."""
+    file metadata is touched on the driver.
+
+    Returns the folder and whether the order holds after re-listing (a store
+    without settable times, such as some object stores, keeps upload times):
+    callers replay in several micro-batches only when it does, so a row is
+    never late and results stay whole either way."""
     ev = events(spark, sf_dir).repartitionByRange(files, "ts")
     topic_records(ev).write.parquet(path)
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    parts = sorted(
-        (st.getPath() for st in fs.listStatus(root) if st.getPath().getName().startswith("part-")),
-        key=lambda p: p.getName(),
-    )
+
+    def parts():
+        found = [st for st in fs.listStatus(root) if st.getPath().getName().startswith("part-")]
+        return sorted(found, key=lambda st: st.getPath().getName())
+
     base = 1_000_000_000_000  # ms; any increasing stamps do
-    for i, part in enumerate(parts):
-        fs.setTimes(part, base + i * 1000, -1)
-    return path
+    for i, st in enumerate(parts()):
+        try:
+            fs.setTimes(st.getPath(), base + i * 1000, -1)
+        except Exception:  # noqa: BLE001 - unsupported by the store: checked below
+            break
+    stamps = [st.getModificationTime() for st in parts()]
+    ordered = all(a < b for a, b in zip(stamps, stamps[1:]))
+    return path, ordered

@@ -565,7 +565,8 @@ def test_time_ordered_replay_runs_many_batches(spark):
     from eventlake.streaming.jobs import file_source
 
     cfg = config(allowed_types=inputs.TEST_ALLOWED_TYPES, max_files_per_trigger=2)
-    src = inputs.time_ordered_replay(spark, SF_SMALL, f"{cfg.table_base}/source", 8)
+    src, ordered = inputs.time_ordered_replay(spark, SF_SMALL, f"{cfg.table_base}/source", 8)
+    assert ordered
     local = src[len("file://"):]
     parts = sorted(f for f in os.listdir(local) if f.startswith("part-"))
     stamps = [os.stat(os.path.join(local, f)).st_mtime for f in parts]
