@@ -14,6 +14,7 @@ from ..operators.parse import parse_events
 from ..operators.quality import validate
 from ..sources.envelope import topic_records
 from ..sources.kafka import decode_records
+from ..session import hadoop_path
 from .layout import spread_if_under_split, spread_stream_if_under_split
 
 # --- fixed values of the test set-up -------------------------------------------
@@ -156,9 +157,7 @@ def time_ordered_replay(spark: SparkSession, sf_dir: str, path: str, files: int)
     never late and results stay whole either way."""
     ev = events(spark, sf_dir).repartitionByRange(files, "ts")
     topic_records(ev).write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, root = hadoop_path(spark, path)
 
     def parts():
         found = [st for st in fs.listStatus(root) if st.getPath().getName().startswith("part-")]

@@ -40,6 +40,13 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """``(file_system, Path)`` for ``path`` on the cluster's file systems
+    (HDFS, object stores, local), for metadata: existence, listing, times."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
 @contextmanager
 def session_setting(spark: SparkSession, key: str, value: str | None) -> Iterator[None]:
     """Set a session SQL setting for the block only (``None``: leave as is).

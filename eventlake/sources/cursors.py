@@ -19,26 +19,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import CURSOR_SCHEMA
+from ..session import hadoop_path
 
 _VERSION_DIR = re.compile(r"^v=(\d+)$")
 _MARKER = "_SUCCESS"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
-
-
 def committed_versions(spark: SparkSession, path: str) -> list[int]:
     """Versions under ``path`` whose write committed, oldest first."""
-    fs, root, jvm = _fs(spark, path)
+    fs, root = hadoop_path(spark, path)
     if not fs.exists(root):
         return []
     out = []
     for status in fs.listStatus(root):
         m = _VERSION_DIR.match(status.getPath().getName())
-        if m and status.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), _MARKER)):
+        if m and status.isDirectory() and fs.exists(hadoop_path(spark, f"{status.getPath()}/{_MARKER}")[1]):
             out.append(int(m.group(1)))
     return sorted(out)
 
@@ -67,6 +62,6 @@ def save_cursor(cursors: DataFrame, path: str, version: int, keep: int | None =
     )
     if keep:
         spark = cursors.sparkSession
-        fs, _, jvm = _fs(spark, path)
         for old in committed_versions(spark, path)[:-keep]:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/v={old}"), True)
+            fs, old_path = hadoop_path(spark, f"{path.rstrip('/')}/v={old}")
+            fs.delete(old_path, True)

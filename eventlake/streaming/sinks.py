@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ..session import hadoop_path
+
 
 def _trigger(writer, trigger: str | None):
     if trigger in (None, "availableNow"):
@@ -56,11 +58,8 @@ def _refuse_orphaned_sink(spark, path: str, checkpoint: str) -> None:
     """A file sink keeps a log of committed batch ids next to its data. A new
     checkpoint restarts batch ids at 0, which that log already holds, so the
     query would silently write nothing: refuse instead."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    log = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_spark_metadata")
-    ck = jvm.org.apache.hadoop.fs.Path(checkpoint.rstrip("/") + "/offsets")
-    log_fs, ck_fs = log.getFileSystem(conf), ck.getFileSystem(conf)
+    log_fs, log = hadoop_path(spark, path.rstrip("/") + "/_spark_metadata")
+    ck_fs, ck = hadoop_path(spark, checkpoint.rstrip("/") + "/offsets")
     if log_fs.exists(log) and len(log_fs.listStatus(log)) > 0 and not ck_fs.exists(ck):
         raise ValueError(
             f"{path} already holds a file-sink log but checkpoint {checkpoint} is new: the query would write "
