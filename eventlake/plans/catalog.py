@@ -250,11 +250,9 @@ def q_repo_activity_5m_from_events_v1(spark: SparkSession, sf_dir: str) -> DataF
     return comparable(read_table(spark, cfg.table_path(ACTIVITY_TABLE)))
 
 
-def q_stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Liveness from recorded progress: the two-query job runs over the table
-    with a progress recorder; the rows go to a progress table; the check reads
-    it. Drain-then-stop queries end TERMINATED (not live), having read every
-    record. Output: ``query, state, ok, input_rows``."""
+def _monitored_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the two-query job over the table with a progress recorder; return
+    the progress table it wrote."""
     cfg = _stream_config(spark, "monitored")
     rec = ProgressRecorder()
     spark.streams.addListener(rec)
@@ -265,11 +263,28 @@ def q_stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.streams.removeListener(rec)
     path = fresh_dir(spark, "progress")
     rec.append_to(spark, path)
-    progress = read_table(spark, path)
+    return read_table(spark, path)
+
+
+def q_stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Liveness from recorded progress: the two-query job runs over the table
+    with a progress recorder; the rows go to a progress table; the check reads
+    it. Drain-then-stop queries end TERMINATED (not live), having read every
+    record. Output: ``query, state, ok, input_rows``."""
+    progress = _monitored_run(spark, sf_dir)
     totals = progress.groupBy("query").agg(F.sum("input_rows").alias("input_rows"))
     return stream_health(progress).select("query", "state", "ok").join(totals, ["query"])
 
 
+def q_health_report_with_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full report: topic checks over the records plus the events query's
+    liveness from a recorded run (a drained run is not live, so that check
+    fails, as a scheduler would be told)."""
+    streams = stream_health(_monitored_run(spark, sf_dir))
+    topics = topic_health(partition_offsets(inputs.records(spark, sf_dir)))
+    return health_report(topics, TOPIC, streams, query=EVENTS_TABLE)
+
+
 def q_stream_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drop counters observed inside the events stream (per micro-batch,
     recorded by the progress listener), summed: ``metric, rows``."""
@@ -345,6 +360,7 @@ QUERIES: dict[str, Query] = {
     "event_type_counts": q_event_type_counts,
     "topic_health": q_topic_health,
     "health_report": q_health_report,
+    "health_report_with_stream": q_health_report_with_stream,
     "new_since_last_seen": q_new_since_last_seen,
     "new_since_last_seen_pages": q_new_since_last_seen_pages,
     "feed_cursor": q_feed_cursor,

@@ -139,6 +139,16 @@ t AS (SELECT coalesce(count(*), 0)::BIGINT AS partitions, coalesce(sum(greatest(
 SELECT 'topic_exists' AS "check", partitions::VARCHAR AS observed, partitions > 0 AS ok FROM t
 UNION ALL
 SELECT 'topic_has_messages', messages::VARCHAR, messages > 0 FROM t""",
+    "health_report_with_stream": "WITH" + _RECORDS + """,
+parts AS (SELECT topic, "partition", min("offset") AS low, max("offset") + 1 AS high
+          FROM records GROUP BY topic, "partition"),
+t AS (SELECT coalesce(count(*), 0)::BIGINT AS partitions, coalesce(sum(greatest(0, high - low)), 0)::BIGINT AS messages
+      FROM parts WHERE topic = 'events.raw')
+SELECT 'topic_exists' AS "check", partitions::VARCHAR AS observed, partitions > 0 AS ok FROM t
+UNION ALL
+SELECT 'topic_has_messages', messages::VARCHAR, messages > 0 FROM t
+UNION ALL
+SELECT 'stream_running', 'TERMINATED', false""",
     "new_since_last_seen": "WITH" + _FEEDS + "\nSELECT feed, event_id, event_type, ts FROM new_rows",
     "new_since_last_seen_pages": "WITH" + _FEEDS + """
 SELECT feed, event_id, event_type, ts,
