@@ -21,3 +21,19 @@ def test_cli_ingest_counts_health(spark, capsys):
     assert main(["health", "--records", "file://" + src.dir, "--topic", "t"]) == 0
     assert "topic_has_messages=2" in capsys.readouterr().out
     assert main(["health", "--records", "file://" + src.dir, "--topic", "missing"]) == 1
+
+
+def test_cli_ingest_with_scale_options(spark):
+    src = Source()
+    src.add([(hms(0, 1), "r", P), (hms(0, 2), "r", P)])
+    src.add([(hms(0, 30), "r", P)])
+    base = "file://" + tempfile.mkdtemp(prefix="eventlake-cli-")
+    args = [
+        "ingest", "--table-base", f"{base}/tb", "--checkpoint-base", f"{base}/ck", "--source-dir", "file://" + src.dir,
+        "--activity-from-table", "--partition-by-date", "--state-partitions", "3", "--max-files-per-trigger", "1",
+    ]
+    assert main(args) == 0
+    events = spark.read.parquet(f"{base}/tb/events_v1")
+    assert events.count() == 3 and "event_date" in events.columns
+    rows = spark.read.parquet(f"{base}/tb/repo_activity_5m").collect()
+    assert [(r.repo_name, r.event_count) for r in rows] == [("r", 2)]
