@@ -104,14 +104,18 @@ def data_then_cursor(
 
     Data first, cursor after: a crash in between replays the batch (its rows
     appear twice; read them through ``dedup_events``) and never leaves a
-    cursor ahead of the data it covers. The cursor is computed from the
-    batch again (a second pass over the micro-batch, which the source
-    re-reads from its offsets); make ``cursor_of`` an aggregate per feed.
+    cursor ahead of the data it covers. The batch is persisted for its two
+    uses, so the source is read once (a lost cached block is recomputed from
+    the batch's offsets); make ``cursor_of`` an aggregate per feed.
     """
     from ..sources.cursors import save_cursor
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append").format(fmt).save(data_path)
-        save_cursor(cursor_of(batch), cursor_path, batch_id)
+        batch.persist()
+        try:
+            batch.write.mode("append").format(fmt).save(data_path)
+            save_cursor(cursor_of(batch), cursor_path, batch_id)
+        finally:
+            batch.unpersist()
 
     return write
