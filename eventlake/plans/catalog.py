@@ -198,15 +198,22 @@ def q_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming -----------------------------------------------------------------
 
 
-def _stream_config(spark: SparkSession, name: str, **kw) -> StreamConfig:
-    """Fresh folders; state partitions sized to the cluster's cores (a fixed
-    200 would make every micro-batch touch 200 state stores on any data)."""
+# Input bytes per state partition of the registered stream queries.
+STATE_BYTES_PER_PARTITION = 64 * 1024 * 1024
+
+
+def _stream_config(spark: SparkSession, name: str, sf_dir: str, **kw) -> StreamConfig:
+    """Fresh folders; state partitions sized to the input: one per 64 MB of
+    the source table, at most the cluster's cores (a fixed 200 would make
+    every micro-batch touch 200 state stores on any data)."""
     base = fresh_dir(spark, name)
+    size = inputs.table_bytes(spark, sf_dir, "events")
+    partitions = max(1, min(spark.sparkContext.defaultParallelism, -(-size // STATE_BYTES_PER_PARTITION)))
     return StreamConfig(
         checkpoint_base=f"{base}/checkpoints",
         table_base=f"{base}/tables",
         allowed_types=inputs.TEST_ALLOWED_TYPES,
-        state_partitions=spark.sparkContext.defaultParallelism,
+        state_partitions=partitions,
         **kw,
     )
 
@@ -219,13 +226,13 @@ def _replay_source(spark: SparkSession, cfg: StreamConfig, records: DataFrame) -
 
 
 def q_events_v1_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = _stream_config(spark, EVENTS_TABLE)
+    cfg = _stream_config(spark, EVENTS_TABLE, sf_dir)
     run_all([start_events_v1(spark, cfg, lambda s: inputs.record_stream(s, sf_dir))])
     return comparable(read_table(spark, cfg.table_path(EVENTS_TABLE), merge_schema=True))
 
 
 def q_repo_activity_5m_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = _stream_config(spark, ACTIVITY_TABLE)
+    cfg = _stream_config(spark, ACTIVITY_TABLE, sf_dir)
     run_all([start_repo_activity(spark, cfg, lambda s: inputs.record_stream(s, sf_dir))])
     return comparable(read_table(spark, cfg.table_path(ACTIVITY_TABLE)))
 
@@ -235,7 +242,7 @@ def q_repo_activity_5m_closed_multibatch(spark: SparkSession, sf_dir: str) -> Da
     carry state across eight batches (and across batch boundaries), and the
     drained result still equals the closed windows."""
     files = 16
-    cfg = _stream_config(spark, "multibatch")
+    cfg = _stream_config(spark, "multibatch", sf_dir)
     src, ordered = inputs.time_ordered_replay(spark, sf_dir, f"{cfg.table_base}/source", files)
     cfg = replace(cfg, max_files_per_trigger=files // 8 if ordered else None)
     run_all([start_repo_activity(spark, cfg, file_source(cfg, src))])
@@ -245,7 +252,7 @@ def q_repo_activity_5m_closed_multibatch(spark: SparkSession, sf_dir: str) -> Da
 def q_repo_activity_5m_from_events_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job in parse-once form: events_v1 from the topic replay, then
     closed windows by tailing events_v1 (date-partitioned)."""
-    cfg = _stream_config(spark, "ingest", activity_from_table=True, partition_events_by_date=True)
+    cfg = _stream_config(spark, "ingest", sf_dir, activity_from_table=True, partition_events_by_date=True)
     run_ingest(spark, cfg, lambda s: inputs.record_stream(s, sf_dir))
     return comparable(read_table(spark, cfg.table_path(ACTIVITY_TABLE)))
 
@@ -253,7 +260,7 @@ def q_repo_activity_5m_from_events_v1(spark: SparkSession, sf_dir: str) -> DataF
 def _monitored_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run the two-query job over the table with a progress recorder; return
     the progress table it wrote."""
-    cfg = _stream_config(spark, "monitored")
+    cfg = _stream_config(spark, "monitored", sf_dir)
     rec = ProgressRecorder()
     spark.streams.addListener(rec)
     try:
@@ -288,7 +295,7 @@ def q_health_report_with_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drop counters observed inside the events stream (per micro-batch,
     recorded by the progress listener), summed: ``metric, rows``."""
-    cfg = _stream_config(spark, "observed")
+    cfg = _stream_config(spark, "observed", sf_dir)
     rec = ProgressRecorder()
     spark.streams.addListener(rec)
     try:
@@ -308,7 +315,7 @@ def q_stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     then advances a per-repository cursor (newest id) from the last saved
     version. Output: the final cursor table."""
     files = 8
-    cfg = _stream_config(spark, "cursor")
+    cfg = _stream_config(spark, "cursor", sf_dir)
     src, ordered = inputs.time_ordered_replay(spark, sf_dir, f"{cfg.table_base}/source", files)
     cfg = replace(cfg, max_files_per_trigger=files // 4 if ordered else None)
     data, cursor = cfg.table_path("events"), cfg.table_path("cursor")
@@ -331,7 +338,7 @@ def q_stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_dedup_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First poll's records drained, then the replay appended and drained by
     the same checkpoint (two drain-then-stop runs, as a restarted job does)."""
-    cfg = _stream_config(spark, "events_dedup")
+    cfg = _stream_config(spark, "events_dedup", sf_dir)
     src = _replay_source(spark, cfg, inputs.first_poll_records(spark, sf_dir))
 
     def run() -> None:

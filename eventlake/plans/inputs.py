@@ -38,6 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def table_bytes(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Stored size of a given table (file metadata only)."""
+    fs, path = hadoop_path(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return int(fs.getContentSummary(path).getLength())
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
