@@ -6,6 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import decontaminate
+from .langid import held_out, identify
+from .mixing import mix
 from .suffix_dedup import suffix_dedup
 
 
@@ -19,8 +22,72 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contaminated(found).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def contaminated(found: DataFrame) -> DataFrame:
+    """The rule on a document's hit words: a twentieth of all, or more."""
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "text",
+        "rest",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated"),
+    )
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents"))
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    out, sources = mix(docs)
+    return (
+        out.withColumn("source", F.col("members")[0])
+        .join(sources, F.col("source").eqNullSafe(sources["source"]), "left")
+        .select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    )
+
+
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op4_decontaminate": op4_decontaminate,
+    "op7_mixing": op7_mixing,
+    "op9_langid": op9_langid,
 }
 
-ORACLES: dict[str, str] = {}
+#: Words of op4 in DuckDB, and a document's or item's windows.
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+ORACLES: dict[str, str] = {
+    "op4_decontaminate": f"""
+WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(13, len(w)) AS m FROM items WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS win
+       FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM sized)),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+dw AS (SELECT doc_id, i, m, array_to_string(w[i:i + m - 1], ' ') AS win
+       FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM iw) WHERE len(w) >= m)),
+hits AS (SELECT doc_id, i, m, item_id FROM dw JOIN iw USING (m, win)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT DISTINCT doc_id, unnest(range(i, i + m)) AS p FROM (SELECT DISTINCT doc_id, i, m FROM hits)) GROUP BY doc_id),
+listed AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+           FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)""",
+}
