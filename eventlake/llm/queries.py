@@ -49,8 +49,8 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mixed(docs: DataFrame) -> DataFrame:
     out, sources = mix(docs)
     return (
-        out.withColumn("source", F.col("members")[0])
-        .join(sources, F.col("source").eqNullSafe(sources["source"]), "left")
+        out.withColumn("own", F.col("members")[0])
+        .join(sources, F.col("own").eqNullSafe(F.col("source")), "left")
         .select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
     )
 
