@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
 from .langid import held_out, identify
+from .minhash import near_duplicates
 from .mixing import mix
 from .suffix_dedup import suffix_dedup
 
@@ -55,6 +56,10 @@ def mixed(docs: DataFrame) -> DataFrame:
     )
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "class_id", "class_size")
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "lang_pred", "score")
 
@@ -63,6 +68,7 @@ QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op4_decontaminate": op4_decontaminate,
     "op7_mixing": op7_mixing,
+    "op8_minhash": op8_minhash,
     "op9_langid": op9_langid,
 }
 
