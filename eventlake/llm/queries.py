@@ -10,6 +10,7 @@ from .decontaminate import decontaminate
 from .langid import held_out, identify
 from .minhash import near_duplicates
 from .mixing import mix
+from .quality import INSULT, judge
 from .suffix_dedup import suffix_dedup
 
 
@@ -23,6 +24,12 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return contaminated(found).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -66,6 +73,7 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_quality": op2_quality,
     "op4_decontaminate": op4_decontaminate,
     "op7_mixing": op7_mixing,
     "op8_minhash": op8_minhash,
@@ -79,6 +87,28 @@ _WORDS = (
 )
 
 ORACLES: dict[str, str] = {
+    "op2_quality": f"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
+                  [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS lines
+           FROM documents),
+g AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram
+      FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+twice AS (SELECT doc_id, gram FROM g GROUP BY doc_id, gram HAVING count(*) > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM g JOIN twice USING (doc_id, gram)) GROUP BY doc_id),
+f AS (SELECT doc_id, t, words, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, len(lines) AS n_lines,
+             CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+      FROM w LEFT JOIN rep USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > 3 * n_words OR 2 * n_dup_lines > n_lines OR 10 * n_repeat_words > 3 * n_words
+            OR word_chars < 2 * n_words OR word_chars > 12 * n_words
+            OR 10 * len([x FOR x IN words IF regexp_matches(x, '[A-Za-z]|[^\\x00-\\x7F]')]) < 7 * n_words
+            OR 10 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 4 * word_chars
+            OR 10 * (length(t) - length(regexp_replace(t, '[0-9]', '', 'g'))) > 3 * word_chars
+            OR 10 * len(list_distinct(words)) < n_words OR contains(lower(t), 'lorem ipsum')
+            OR len(regexp_extract_all(lower(t), '{INSULT}')) >= CASE WHEN n_words <= 250 THEN 1 ELSE 2 END) AS kept
+FROM b""",
     "op4_decontaminate": f"""
 WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 sized AS (SELECT item_id, w, least(13, len(w)) AS m FROM items WHERE len(w) > 0),

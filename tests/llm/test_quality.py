@@ -1,0 +1,75 @@
+import random
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from eventlake.llm import quality
+
+SCHEMA = "doc_id long, text string, words int, n_words string"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text):
+    t = text or ""
+    w = WORD.findall(t)
+    grams = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+    seen = Counter(grams)
+    covered = {k for i, g in enumerate(grams) if seen[g] > 1 for k in (i, i + 1, i + 2)}
+    lines = [x for x in t.split("\n") if WORD.search(x)]
+    failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(covered), failed
+
+
+def judged(spark, rows, **options):
+    got = quality.judge(spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA), **options).collect()
+    assert all(r.rest.words == 1 and r.rest["n_words"] == "x" for r in got)
+    return got
+
+
+def test_counts_equal_definition(spark):
+    rng = random.Random(1)
+    rows = []
+    for i in range(150):
+        vocab = ["w%d" % k for k in range(rng.choice([2, 5, 40, 4000]))] + ["é#", "||", "\n", "\t", "a\rb", "日本", "\x0b", "x\n\n"]
+        rows.append((i, rng.choice([" ", "  ", "\n"]).join(rng.choice(vocab) for _ in range(rng.randrange(200)))))
+    rows += [(-1, None), (-2, ""), (-3, " \n\t "), (-4, "one"), (-5, "a b"), (-6, "a b c " * 20_000), (-7, "w" * 200_000), (None, "null id"), (-8, " ".join(map(str, range(5000))) * 2), (-4, "one")]
+    got = sorted(((str(r.id), r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in judged(spark, rows)))
+    assert got == sorted((str(d), *brute(t)) for d, t in rows)
+
+
+def test_rules_and_order(spark):
+    good = " ".join("word%s" % chr(97 + i % 26) + chr(97 + i // 26) for i in range(200)) + "."
+    bad = {
+        "symbols": good.replace("w", "## w"),
+        "capitals": good.upper(),
+        "digits": re.sub("word", "1234w", good),
+        "insults": good + " you idiot, idiot!",
+        "placeholder": good + " Lorem ipsum.",
+        "few_words_with_letters": good.replace("word", "- word"),
+    }
+    rows = [(0, good), *enumerate(bad.values(), 1), (20, "short")]
+    got = {r.id: r for r in judged(spark, rows)}
+    assert got[0].kept and got[0].rejected_by is None
+    assert [got[i].rejected_by for i in range(1, 7)] == list(bad)
+    assert not any(got[i].kept for i in (1, 2, 3, 4, 5, 6, 20)) and got[20].base_failed and got[20].rejected_by is None
+
+
+def test_order_is_by_rejections_per_cost_and_short_circuits(spark):
+    df = spark.createDataFrame([(i, "some words here", 1, "x") for i in range(300)], SCHEMA)
+    rules = {
+        "never": lambda: F.lit(False),
+        "half": lambda: F.col("id") % 2 == 0,
+        "all": lambda: F.col("id") >= 0,
+        "costly_all": lambda: F.aggregate(F.sequence(F.lit(0), F.col("id") * 0 + 20_000), F.lit(0).cast("long"), lambda a, x: a + x % 7) >= 0,
+    }
+    order = quality.rule_order(df, "doc_id", "text", rules)
+    assert order[-1] == "never" and order.index("all") < order.index("costly_all")
+    # a rule after one that rejects isn't evaluated: this one would fail the query
+    trap = {"all": rules["all"], "trap": lambda: F.raise_error(F.concat(F.lit("asked "), F.col("id"))).isNotNull()}
+    rows = df.select(F.col("doc_id").alias("id")).select(quality.cascade(["all", "trap"], trap).alias("r"))
+    assert [r.r for r in rows.distinct().collect()] == ["all"]
+
+
+def test_empty_table(spark):
+    assert judged(spark, []) == []
