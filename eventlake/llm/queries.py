@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
 from .langid import held_out, identify
+from .licenses import scan as license_scan
 from .minhash import near_duplicates
 from .mixing import mix
 from .quality import INSULT, judge
@@ -30,6 +31,19 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return contaminated(found).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -74,6 +88,7 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality": op2_quality,
+    "op3_licenses": op3_licenses,
     "op4_decontaminate": op4_decontaminate,
     "op7_mixing": op7_mixing,
     "op8_minhash": op8_minhash,
