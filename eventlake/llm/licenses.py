@@ -30,139 +30,112 @@ BASE_SCORE = 0.6
 SCORES = {1: 0.5, 2: 0.8, 3: 1.0}
 
 # License families, as label, name as a pattern over words, an
-# example of the name, and version numbers in words.
+# example of the name, version numbers in words, and the prefilter's keywords,
+# one of which every form of the name has.
 L = "licen[cs]e"
 FAMILIES = [
-    ("apache", f"apache(?: software)? {L}", "apache license", ["1 0", "1 1", "2 0"]),
-    ("mit", f"(?:mit|expat) {L}", "mit license", []),
-    ("gpl", f"(?:gnu )?(?:general public {L}|gpl)", "gnu general public license", ["1 0", "2 0", "3 0"]),
-    ("lgpl", f"(?:gnu )?(?:(?:lesser|library) general public {L}|lgpl)", "gnu lesser general public license", ["2 0", "2 1", "3 0"]),
-    ("agpl", f"(?:gnu )?(?:affero general public {L}|agpl)", "gnu affero general public license", ["1 0", "3 0"]),
-    ("gfdl", f"(?:gnu )?(?:free documentation {L}|gfdl)", "gnu free documentation license", ["1 1", "1 2", "1 3"]),
-    ("mpl", f"(?:mozilla public {L}|mpl)", "mozilla public license", ["1 0", "1 1", "2 0"]),
-    ("epl", f"(?:eclipse public {L}|epl)", "eclipse public license", ["1 0", "2 0"]),
-    ("eupl", f"(?:european union public {L}|eupl)", "european union public license", ["1 0", "1 1", "1 2"]),
-    ("cddl", f"(?:common development and distribution {L}|cddl)", "common development and distribution license", ["1 0", "1 1"]),
-    ("cpl", f"common public {L}", "common public license", ["1 0"]),
-    ("bsd", f"bsd(?: style)? {L}", "bsd license", []),
-    ("bsd-2-clause", f"(?:2|two) clause bsd {L}|simplified bsd {L}|freebsd {L}", "simplified bsd license", []),
-    ("bsd-3-clause", f"(?:3|three) clause bsd {L}|(?:modified|new|revised) bsd {L}", "modified bsd license", []),
-    ("bsd-4-clause", f"(?:4|four) clause bsd {L}|original bsd {L}", "original bsd license", []),
-    ("isc", f"isc {L}", "isc license", []),
-    ("zlib", f"zlib(?: libpng)? {L}", "zlib license", []),
-    ("boost", f"boost software {L}", "boost software license", ["1 0"]),
-    ("unlicense", "(?:the )?unlicense", "the unlicense", []),
-    ("wtfpl", f"do what the fuck you want to public {L}|wtfpl", "wtfpl", ["2 0"]),
-    ("artistic", f"(?:perl )?artistic {L}", "artistic license", ["1 0", "2 0"]),
-    ("psf", f"python software foundation {L}", "python software foundation license", ["2 0"]),
-    ("php", f"php {L}", "php license", ["3 0", "3 01"]),
-    ("ruby", f"ruby {L}", "ruby license", []),
-    ("openssl", f"openssl {L}", "openssl license", []),
-    ("postgresql", f"postgresql {L}", "postgresql license", []),
-    ("afl", f"academic free {L}", "academic free license", ["2 1", "3 0"]),
-    ("osl", f"open software {L}", "open software license", ["1 0", "2 1", "3 0"]),
-    ("ofl", f"(?:sil )?open font {L}", "sil open font license", ["1 0", "1 1"]),
-    ("odbl", f"open database {L}|odbl", "open database license", ["1 0"]),
-    ("odc-by", f"open data commons attribution {L}|odc by", "open data commons attribution license", ["1 0"]),
-    ("pddl", f"public domain dedication and {L}|pddl", "public domain dedication and license", ["1 0"]),
-    ("ogl", f"open government {L}", "open government license", ["1 0", "2 0", "3 0"]),
-    ("ms-pl", f"microsoft public {L}|ms pl", "microsoft public license", []),
-    ("ms-rl", f"microsoft reciprocal {L}|ms rl", "microsoft reciprocal license", []),
-    ("cecill", f"cecill(?: free software)? {L}", "cecill license", ["1 0", "2 0", "2 1"]),
-    ("lppl", f"latex project public {L}|lppl", "latex project public license", ["1 0", "1 3"]),
-    ("ncsa", f"(?:university of illinois )?ncsa(?: open source)? {L}", "ncsa open source license", []),
-    ("upl", f"universal permissive {L}", "universal permissive license", ["1 0"]),
-    ("sspl", f"server side public {L}|sspl", "server side public license", ["1 0"]),
-    ("busl", f"business source {L}|busl", "business source license", ["1 0", "1 1"]),
-    ("elastic", f"elastic {L}", "elastic license", ["1 0", "2 0"]),
-    ("openrail", f"(?:bigscience |creativeml )?open ?rail(?: m)?(?: {L})?", "creativeml openrail m license", []),
-    ("llama", f"llama (?:2 |3 )?community {L}", "llama community license", []),
-    ("cc0", "cc0|cc zero|creative commons zero", "cc0", ["1 0"]),
-    ("cc-by", "cc by|creative commons attribution", "cc by", ["1 0", "2 0", "2 5", "3 0", "4 0"]),
-    ("cc-by-sa", "cc by sa|creative commons attribution share ?alike", "cc by sa", ["1 0", "2 0", "2 5", "3 0", "4 0"]),
-    ("cc-by-nc", "cc by nc|creative commons attribution non ?commercial", "cc by nc", ["1 0", "2 0", "2 5", "3 0", "4 0"]),
-    ("cc-by-nd", "cc by nd|creative commons attribution no ?deriv(?:ative)?s", "cc by nd", ["1 0", "2 0", "2 5", "3 0", "4 0"]),
-    ("cc-by-nc-sa", "cc by nc sa|creative commons attribution non ?commercial share ?alike", "cc by nc sa", ["1 0", "2 0", "2 5", "3 0", "4 0"]),
-    ("cc-by-nc-nd", "cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s", "cc by nc nd", ["1 0", "2 0", "2 5", "3 0", "4 0"]),
+    ("apache", f"apache(?: software)? {L}", "apache license", ["1 0", "1 1", "2 0"], [" apache"]),
+    ("mit", f"(?:mit|expat) {L}", "mit license", [], [" mit ", " expat "]),
+    ("gpl", f"(?:gnu )?(?:general public {L}|gpl)", "gnu general public license", ["1 0", "2 0", "3 0"], [" general public", " gpl"]),
+    ("lgpl", f"(?:gnu )?(?:(?:lesser|library) general public {L}|lgpl)", "gnu lesser general public license", ["2 0", "2 1", "3 0"], [" general public", " lgpl"]),
+    ("agpl", f"(?:gnu )?(?:affero general public {L}|agpl)", "gnu affero general public license", ["1 0", "3 0"], [" affero", " agpl"]),
+    ("gfdl", f"(?:gnu )?(?:free documentation {L}|gfdl)", "gnu free documentation license", ["1 1", "1 2", "1 3"], [" free documentation", " gfdl"]),
+    ("mpl", f"(?:mozilla public {L}|mpl)", "mozilla public license", ["1 0", "1 1", "2 0"], [" mozilla", " mpl "]),
+    ("epl", f"(?:eclipse public {L}|epl)", "eclipse public license", ["1 0", "2 0"], [" eclipse", " epl "]),
+    ("eupl", f"(?:european union public {L}|eupl)", "european union public license", ["1 0", "1 1", "1 2"], [" european union", " eupl "]),
+    ("cddl", f"(?:common development and distribution {L}|cddl)", "common development and distribution license", ["1 0", "1 1"], [" common development", " cddl "]),
+    ("cpl", f"common public {L}", "common public license", ["1 0"], [" common public"]),
+    ("bsd", f"bsd(?: style)? {L}", "bsd license", [], [" bsd "]),
+    ("bsd-2-clause", f"(?:2|two) clause bsd {L}|simplified bsd {L}|freebsd {L}", "simplified bsd license", [], [" bsd ", " freebsd "]),
+    ("bsd-3-clause", f"(?:3|three) clause bsd {L}|(?:modified|new|revised) bsd {L}", "modified bsd license", [], [" bsd "]),
+    ("bsd-4-clause", f"(?:4|four) clause bsd {L}|original bsd {L}", "original bsd license", [], [" bsd "]),
+    ("isc", f"isc {L}", "isc license", [], [" isc "]),
+    ("zlib", f"zlib(?: libpng)? {L}", "zlib license", [], [" zlib "]),
+    ("boost", f"boost software {L}", "boost software license", ["1 0"], [" boost "]),
+    ("unlicense", "(?:the )?unlicense", "the unlicense", [], [" unlicense "]),
+    ("wtfpl", f"do what the fuck you want to public {L}|wtfpl", "wtfpl", ["2 0"], [" want to public", " wtfpl "]),
+    ("artistic", f"(?:perl )?artistic {L}", "artistic license", ["1 0", "2 0"], [" artistic "]),
+    ("psf", f"python software foundation {L}", "python software foundation license", ["2 0"], [" python software"]),
+    ("php", f"php {L}", "php license", ["3 0", "3 01"], [" php "]),
+    ("ruby", f"ruby {L}", "ruby license", [], [" ruby "]),
+    ("openssl", f"openssl {L}", "openssl license", [], [" openssl "]),
+    ("postgresql", f"postgresql {L}", "postgresql license", [], [" postgresql "]),
+    ("afl", f"academic free {L}", "academic free license", ["2 1", "3 0"], [" academic free"]),
+    ("osl", f"open software {L}", "open software license", ["1 0", "2 1", "3 0"], [" open software"]),
+    ("ofl", f"(?:sil )?open font {L}", "sil open font license", ["1 0", "1 1"], [" open font"]),
+    ("odbl", f"open database {L}|odbl", "open database license", ["1 0"], [" open database", " odbl "]),
+    ("odc-by", f"open data commons attribution {L}|odc by", "open data commons attribution license", ["1 0"], [" open data commons", " odc by"]),
+    ("pddl", f"public domain dedication and {L}|pddl", "public domain dedication and license", ["1 0"], [" public domain dedication", " pddl "]),
+    ("ogl", f"open government {L}", "open government license", ["1 0", "2 0", "3 0"], [" open government"]),
+    ("ms-pl", f"microsoft public {L}|ms pl", "microsoft public license", [], [" microsoft public", " ms pl "]),
+    ("ms-rl", f"microsoft reciprocal {L}|ms rl", "microsoft reciprocal license", [], [" microsoft reciprocal", " ms rl "]),
+    ("cecill", f"cecill(?: free software)? {L}", "cecill license", ["1 0", "2 0", "2 1"], [" cecill "]),
+    ("lppl", f"latex project public {L}|lppl", "latex project public license", ["1 0", "1 3"], [" latex project", " lppl "]),
+    ("ncsa", f"(?:university of illinois )?ncsa(?: open source)? {L}", "ncsa open source license", [], [" ncsa "]),
+    ("upl", f"universal permissive {L}", "universal permissive license", ["1 0"], [" universal permissive"]),
+    ("sspl", f"server side public {L}|sspl", "server side public license", ["1 0"], [" server side", " sspl "]),
+    ("busl", f"business source {L}|busl", "business source license", ["1 0", "1 1"], [" business source", " busl "]),
+    ("elastic", f"elastic {L}", "elastic license", ["1 0", "2 0"], [" elastic "]),
+    ("openrail", f"(?:bigscience |creativeml )?open ?rail(?: m)?(?: {L})?", "creativeml openrail m license", [], [" open rail", " openrail"]),
+    ("llama", f"llama (?:2 |3 )?community {L}", "llama community license", [], [" llama "]),
+    ("cc0", "cc0|cc zero|creative commons zero", "cc0", ["1 0"], [" cc0", " cc zero", " creative commons"]),
+    ("cc-by", "cc by|creative commons attribution", "cc by", ["1 0", "2 0", "2 5", "3 0", "4 0"], [" cc by", " creative commons"]),
+    ("cc-by-sa", "cc by sa|creative commons attribution share ?alike", "cc by sa", ["1 0", "2 0", "2 5", "3 0", "4 0"], [" cc by", " creative commons"]),
+    ("cc-by-nc", "cc by nc|creative commons attribution non ?commercial", "cc by nc", ["1 0", "2 0", "2 5", "3 0", "4 0"], [" cc by", " creative commons"]),
+    ("cc-by-nd", "cc by nd|creative commons attribution no ?deriv(?:ative)?s", "cc by nd", ["1 0", "2 0", "2 5", "3 0", "4 0"], [" cc by", " creative commons"]),
+    ("cc-by-nc-sa", "cc by nc sa|creative commons attribution non ?commercial share ?alike", "cc by nc sa", ["1 0", "2 0", "2 5", "3 0", "4 0"], [" cc by", " creative commons"]),
+    ("cc-by-nc-nd", "cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s", "cc by nc nd", ["1 0", "2 0", "2 5", "3 0", "4 0"], [" cc by", " creative commons"]),
 ]
 
-# Notices that name no family, as label, pattern and example.
+# Notices that name no family, as label, pattern, example, keywords.
 NOTICES = [
-    ("reserved", "all rights reserved", "all rights reserved"),
-    ("reserved", "(?:todos los derechos reservados|tous droits reserves|tous droits réservés|alle rechte vorbehalten)", "alle rechte vorbehalten"),
-    ("copyright", "copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})?", "copyright c 2020"),
-    ("copyright", "copyright holders?", "copyright holder"),
-    ("public-domain", "(?:in|into|to) the public domain", "in the public domain"),
-    ("permissive", "permission is hereby granted free of charge", "permission is hereby granted free of charge"),
-    ("permissive", "permission to use copy modify and or distribute", "permission to use copy modify and or distribute"),
-    ("permissive", "redistribution and use in source and binary forms", "redistribution and use in source and binary forms"),
-    ("disclaimer", "provided as is without warranty", "provided as is without warranty"),
-    ("proprietary", "proprietary and confidential", "proprietary and confidential"),
-    ("proprietary", "may not be (?:copied|reproduced|redistributed)", "may not be reproduced"),
-    ("non-commercial", "(?:for )?non ?commercial use only", "non commercial use only"),
-    ("unknown-license", f"(?:licensed|released|distributed) under (?:the )?(?:[^ ]+ ){{0,6}}{L}(?: version [0-9]+)?", "licensed under the some license"),
+    ("reserved", "all rights reserved", "all rights reserved", [" reserved "]),
+    ("reserved", "(?:todos los derechos reservados|tous droits reserves|tous droits réservés|alle rechte vorbehalten)", "alle rechte vorbehalten", [" reservados ", " tous droits ", " vorbehalten "]),
+    ("copyright", "copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})?", "copyright c 2020", [" copyright "]),
+    ("copyright", "copyright holders?", "copyright holder", [" copyright "]),
+    ("public-domain", "(?:in|into|to) the public domain", "in the public domain", [" public domain "]),
+    ("permissive", "permission is hereby granted free of charge", "permission is hereby granted free of charge", [" hereby granted "]),
+    ("permissive", "permission to use copy modify and or distribute", "permission to use copy modify and or distribute", [" permission to use "]),
+    ("permissive", "redistribution and use in source and binary forms", "redistribution and use in source and binary forms", [" redistribution "]),
+    ("disclaimer", "provided as is without warranty", "provided as is without warranty", [" without warranty "]),
+    ("proprietary", "proprietary and confidential", "proprietary and confidential", [" proprietary "]),
+    ("proprietary", "may not be (?:copied|reproduced|redistributed)", "may not be reproduced", [" may not be "]),
+    ("non-commercial", "(?:for )?non ?commercial use only", "non commercial use only", ["commercial use only "]),
+    ("unknown-license", f"(?:licensed|released|distributed) under (?:the )?(?:[^ ]+ ){{0,6}}{L}(?: version [0-9]+)?", "licensed under the some license", ["ed under "]),
 ]
-
-#: Words of which every rule's text has at least one; texts without any are skipped.
-GATES = ["licen", "cc by", "cc0", "cc zero", "creative commons", "copyright", "reserved", "vorbehalten", "reservados", "droits", "public domain", "permission", "redistribution"]
-GATES += ["as is", "proprietary", "may not be", "commercial use", "gpl", "mpl", "epl", "eupl", "cddl", "gfdl", "wtfpl", "odbl", "odc by", "pddl", "ms pl", "ms rl", "lppl", "sspl", "busl", "rail"]
+TAG = [" spdx "]
 
 
 class Rule(NamedTuple):
     label: str
     priority: int
-    keyword: str
+    keywords: tuple[str, ...]
     pattern: str
     example: str
 
 
-def keyword_of(pattern: str, example: str) -> str:
-    """The longest word of the example that every form of the pattern has, or
-    an empty keyword, which always passes."""
-    forms = alternatives(pattern)
-    for word in sorted(set(example.split()), key=len, reverse=True):
-        if word.startswith("licen"):
-            word = "licen"
-        if len(word) > 1 and all(word in f for f in forms):
-            return word
-    return ""
-
-
-def alternatives(pattern: str) -> list[str]:
-    """The pattern's alternatives outside of any bracket, without parts that
-    may be missing or vary."""
-    depth, forms = 0, [""]
-    for c in pattern:
-        depth += (c == "(") - (c == ")")
-        if c == "|" and not depth:
-            forms.append("")
-        elif not depth and c not in ")":
-            forms[-1] += c
-    return [f.replace(L, "licen") for f in forms]
-
-
 def all_rules() -> list[Rule]:
     """Every family's name; name and version; notice, with and without version;
     and tag; then the other notices."""
     rules = []
 
-    def add(label: str, priority: int, pattern: str, example: str) -> None:
-        rules.append(Rule(label, priority, keyword_of(pattern, example), f" (?:{pattern})(?= )", f" {example} "))
+    def add(label: str, priority: int, pattern: str, example: str, keywords: list[str]) -> None:
+        rules.append(Rule(label, priority, tuple(keywords), f" (?:{pattern})(?= )", f" {example} "))
 
     granted = "(?:licensed|released|distributed|available|provided|published) under (?:the )?(?:terms of (?:the )?)?"
-    for label, name, example, versions in FAMILIES:
+    for label, name, example, versions, keywords in FAMILIES:
         words = label.replace("-", " ")
-        add(label, 2, name, example)
-        add(label, 2, f"{granted}(?:{name})", f"released under the {example}")
-        add(label, 3, f"spdx {L} identifier {words}", f"spdx license identifier {words}")
+        add(label, 2, name, example, keywords)
+        add(label, 2, f"{granted}(?:{name})", f"released under the {example}", keywords)
+        add(label, 3, f"spdx {L} identifier {words}", f"spdx license identifier {words}", TAG)
         for v in versions:
             whole = v.removesuffix(" 0")
             number = f"{whole}(?: 0)?" if whole != v else v
             dotted = v.replace(" ", ".")
-            add(f"{label}-{dotted}", 3, f"(?:{granted})?(?:{name})(?: international| unported)? ?(?:v|version |v )?{number}", f"{example} version {v}")
-            add(f"{label}-{dotted}", 3, f"spdx {L} identifier {words} {v}(?: only| or later)?", f"spdx license identifier {words} {v}")
-    for label, pattern, example in NOTICES:
-        add(label, 1, pattern, example)
+            add(f"{label}-{dotted}", 3, f"(?:{granted})?(?:{name})(?: international| unported)? ?(?:v|version |v )?{number}", f"{example} version {v}", keywords)
+            add(f"{label}-{dotted}", 3, f"spdx {L} identifier {words} {v}(?: only| or later)?", f"spdx license identifier {words} {v}", TAG)
+    for label, pattern, example, keywords in NOTICES:
+        add(label, 1, pattern, example, keywords)
     return rules
 
 
@@ -265,17 +238,28 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     hits on the same interval the higher priority stays, then the smaller label.
     """
     rules = all_rules() if rules is None else rules
-    table = F.array(*[F.struct(F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(r.keyword).alias("keyword"), F.lit(r.pattern).alias("pattern")) for r in rules])
+    groups: dict[tuple[str, ...], list[Rule]] = {}
+    for r in rules:
+        groups.setdefault(r.keywords, []).append(r)
+    table = F.array(
+        *[
+            F.struct(
+                F.array(*map(F.lit, keywords)).alias("keywords"),
+                F.array(*[F.struct(F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(r.pattern).alias("pattern")) for r in group]).alias("rules"),
+            )
+            for keywords, group in groups.items()
+        ]
+    )
     rows = once(
         docs.select(quoted(id_col).alias("id"), rest_struct(docs, id_col, text_col).alias("rest"), words_apart(quoted(text_col)).alias("apart")),
         norm=F.col("apart"),
     ).drop("apart")
-    rows = once(rows, n_words=spaces(F.col("norm")).cast("long") - 1, gate=F.expr(" or ".join(f"contains(norm, '{g}')" for g in GATES)))
+    rows = once(rows, n_words=spaces(F.col("norm")).cast("long") - 1)
     none = F.expr("cast(array() as array<string>)")
     parts = [F.when(F.contains("norm", F.lit(f" {phrase} ")), phrase_places(phrase, label)) for phrase, label in BASE]
-    rows = once(rows, base=F.when(F.col("gate"), F.array_compact(F.array(*parts))).otherwise(F.expr("cast(array() as array<struct<n: bigint, first: bigint, last: bigint, label: string>>)")))
-    live = F.filter(table, lambda r: F.contains("norm", r["keyword"]))
-    rows = once(rows, live=F.when(F.col("gate"), live))
+    rows = once(rows, base=F.array_compact(F.array(*parts)))
+    live = F.filter(table, lambda g: F.exists(g["keywords"], lambda k: F.contains("norm", k)))
+    rows = once(rows, live=F.flatten(F.transform(live, lambda g: g["rules"])))
     rows = once(rows, found=F.when(F.size("live") > 0, hits(F.col("live"))))
     rows = once(rows, detections=F.when(F.size("found") > 0, resolved(F.col("found"))).otherwise(F.expr("cast(array() as array<struct<start: int, `end`: int, priority: int, label: string>>)")))
     labels = F.array_sort(F.array_distinct(F.transform("base", lambda b: b["label"])))
