@@ -12,9 +12,10 @@ A / (n1 + n2 - A). Similarity s bounds the unmatched shingles, and so the
 width of the band around the diagonal that the alignment needs.
 
 Equal texts are one node. Within a bucket, nodes are compared to a hub, not to
-each other. What that leaves open (a bucket that holds several components) goes
-on: buckets are split by a second band, then hubs are taken in turn until each
-bucket is one component or has been compared throughout.
+each other, and the buckets of a group take several hubs. Buckets that still
+hold several components are split by a second band, and the parts compared to
+hubs of their own, across components only. Two similar nodes stay apart only if
+no hub that they share, in any of their buckets and parts, ties them together.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import NO_ID, binary_list, mix64, quoted, rest_struct, stored
@@ -34,6 +35,10 @@ SIMILARITY = 0.8
 LENGTH = 3
 SKETCHES = 2
 BANDS = 24
+#: Different hubs that the buckets of a group take.
+ORDERS = 6
+#: A bucket left open is split by each of so many following bands.
+NEXT_BANDS = 7
 SLICE_BYTES = 2 << 20
 
 _SALTS = mix64(np.arange(1, BANDS * SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -147,77 +152,82 @@ def ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``stored``, with some figures taken while it is written."""
+    seen = Observation()
+    out = stored(df.observe(seen, *[c.alias(n) for n, c in metrics.items()]), name)
+    return out, seen.get
+
+
 def components(links: DataFrame) -> DataFrame:
-    """``node``, ``comp``: the smallest node that each linked node reaches, by
-    repeated least neighbours and pointer jumps."""
-    edges = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
-    labels = edges.select(F.col("a").alias("node")).distinct().withColumn("comp", F.col("node"))
-    while True:
-        step = edges.join(labels, edges["b"] == labels["node"]).groupBy("a").agg(F.min("comp").alias("near"))
-        hooked = labels.join(step, labels["node"] == step["a"]).select("node", "comp", F.least("comp", "near").alias("next"))
-        jump = hooked.select(F.col("node").alias("at"), F.col("next").alias("far"))
-        labels = stored(hooked.join(jump, hooked["next"] == jump["at"]).select("node", F.col("far").alias("comp"), (F.col("far") != F.col("comp")).alias("moved")), "labels")
-        if not labels.agg(F.max("moved")).first()[0]:
-            return labels.select("node", "comp")
-        labels = labels.select("node", "comp")
-
-
-def in_components(members: DataFrame, comps: DataFrame, key: list[str]) -> DataFrame:
-    """Members of the buckets that hold several components, with ``comp``."""
-    m = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    open_ = m.groupBy(*key).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select(*key)
-    return m.join(open_, key)
+    """``node``, ``comp``: of each linked node, the node that stands for all it
+    reaches. Each node points to its smallest neighbour, pointers are followed
+    to their roots, and the links between roots go on to the next round."""
+    count = F.count(F.lit(1))
+    edges, seen = observed(links.select(*ordered(F.col("a"), F.col("b"))).where("a != b").distinct(), "edges", n=count)
+    found = None
+    while seen["n"]:
+        both = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a"))
+        up = stored(both.groupBy("node").agg(F.min("other").alias("up")).select("node", F.least("node", "up").alias("up")), "parents")
+        moved = 1
+        while moved:
+            above = up.select(F.col("node").alias("at"), F.col("up").alias("far"))
+            step = up.join(above, F.col("up") == F.col("at")).select("node", F.col("far").alias("up"), (F.col("far") != F.col("up")).alias("moved"))
+            up, jumped = observed(step, "parents", moved=F.max(F.col("moved").cast("int")))
+            up, moved = up.select("node", "up"), jumped["moved"]
+        roots = lambda c: up.select(F.col("node").alias(c), F.col("up").alias(f"root_{c}"))  # noqa: B023, E731
+        edges = edges.join(roots("a"), "a").join(roots("b"), "b").select(*ordered(F.col("root_a"), F.col("root_b"))).where("a != b").distinct()
+        edges, seen = observed(edges, "edges", n=count)
+        at = up.select(F.col("node").alias("comp"), "up")
+        found = up.select("node", F.col("up").alias("comp")) if found is None else found.join(at, "comp", "left").select("node", F.coalesce("up", "comp").alias("comp"))
+    if found is None:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("comp"))
+    return stored(found, "components")
+
+
+def hub_pairs(members: DataFrame, order: Column) -> DataFrame:
+    """Pairs of each node with its bucket's hub, each once. Buckets differ in
+    which node they take, so a node meets several hubs of a group."""
+    hubs = members.groupBy("bucket").agg(F.min(F.struct(order.alias("draw"), "node"))["node"].alias("hub"))
+    return members.join(hubs, "bucket").where("node != hub").select(*ordered(F.col("node"), F.col("hub"))).distinct()
+
+
+def crowded(flat: DataFrame) -> DataFrame:
+    """The rows (bucket, node) whose bucket holds several."""
+    several = flat.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    return flat.join(several, "bucket")
 
 
 def linked(docs: DataFrame, rows: DataFrame, least: float) -> DataFrame:
-    """Components over nodes: all pairs of ``rows`` (id, node, bands) that
-    share a band and are similar."""
-    spark = docs.sparkSession
+    """Components over nodes that share a band and are similar; ``rows`` has
+    id, node and bands."""
     nodes = stored(rows.where("bands is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "nodes")
-    key = ["band", "hash"]
-    flat = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
-    hub = F.min(F.struct(F.xxhash64("node", F.col("band") % 3).alias("draw"), "node"))["node"].alias("hub")
-    hubs = flat.groupBy(*key).agg(hub, F.count("*").alias("n")).where("n > 1").drop("n")
-    members = stored(flat.join(hubs, key), "buckets")
+    flat = nodes.select("node", F.posexplode("bands").alias("band", "hash")).select(F.xxhash64("band", "hash").alias("bucket"), "node", "band")
+    members = stored(crowded(flat), "buckets")
     texts = stored(
         docs.join(members.select("node").distinct().join(nodes.select("node", "id"), "node"), ["node", "id"]).select("node", "text").dropDuplicates(["node"]), "texts"
     )
 
-    def tested(pairs: DataFrame) -> DataFrame:
+    def similar(pairs: DataFrame) -> DataFrame:
         with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         both = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
-        return both.mapInArrow(compare_rows(least), "a binary, b binary")
+        return stored(both.mapInArrow(compare_rows(least), "a binary, b binary"), "links")
 
-    pairs = stored(members.where("node != hub").select(*ordered(F.col("node"), F.col("hub"))).distinct(), "pairs")
-    links = stored(tested(pairs), "links")
+    pairs = stored(hub_pairs(members, F.xxhash64("node", F.col("band") % ORDERS)), "pairs")
+    links = similar(pairs)
     comps = components(links)
 
-    # what the hubs left open: split by a second band
-    rest = in_components(members.select(*key, "node"), comps, key)
-    second = rest.select(*key, "node").join(nodes.select("node", F.posexplode("bands").alias("band2", "hash2")), "node").where("band != band2")
-    first_is_less = F.col("band") < F.col("band2")
-    sub = second.select(
-        "node",
-        F.when(first_is_less, F.struct("band", "hash", "band2", "hash2")).otherwise(F.struct(F.col("band2").alias("band"), F.col("hash2").alias("hash"), F.col("band").alias("band2"), F.col("hash").alias("hash2"))).alias("bucket"),
-    ).distinct()
-    several = sub.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    members = stored(sub.join(several, "bucket"), "buckets")
-    while True:
-        rest = stored(in_components(members, comps, ["bucket"]), "open")
-        if rest.isEmpty():
-            return comps
-        sizes = rest.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-        largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp"))["comp"].alias("largest"))
-        outside = rest.join(largest, "bucket").where("comp != largest")
-        hubs = outside.groupBy("bucket").agg(F.min(F.struct("node", "comp")).alias("hub")).select("bucket", F.col("hub.node").alias("hub"), F.col("hub.comp").alias("hub_comp"))
-        star = stored(rest.join(hubs, "bucket"), "stars")
-        new = star.where("comp != hub_comp").select(*ordered(F.col("node"), F.col("hub"))).distinct().join(pairs, ["a", "b"], "left_anti")
-        new = stored(new, "pairs")
-        more = stored(tested(new), "links")
-        pairs, links = pairs.union(new), links.union(more)
-        if not more.isEmpty():
-            comps = components(links)
-        members = star.where("node != hub").select("bucket", "node")
+    # buckets that the hubs left in several components, split by a second band
+    of = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    open_ = of.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("bucket")
+    more = nodes.select("node", F.posexplode("bands").alias("band2", "hash2"))
+    second = members.join(open_, "bucket").join(more, "node").where(F.pmod(F.col("band2") - F.col("band"), F.lit(BANDS)).between(1, NEXT_BANDS))
+    split = second.select(F.xxhash64("bucket", "band2", "hash2").alias("bucket"), "node", F.xxhash64("band", "band2").alias("band"))
+    split = stored(crowded(split), "buckets")
+    new = stored(hub_pairs(split, F.xxhash64("node", "bucket")).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    own = lambda c: comps.select(F.col("node").alias(c), F.col("comp").alias(f"comp_{c}"))
+    apart = new.join(own("a"), "a", "left").join(own("b"), "b", "left").where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b"))
+    return components(links.union(similar(apart.select("a", "b"))))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:

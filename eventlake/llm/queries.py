@@ -13,6 +13,7 @@ from .minhash import near_duplicates
 from .mixing import mix
 from .quality import INSULT, judge
 from .suffix_dedup import suffix_dedup
+from .urls import judge_urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +86,10 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "lang_pred", "score")
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality": op2_quality,
@@ -93,6 +98,7 @@ QUERIES = {
     "op7_mixing": op7_mixing,
     "op8_minhash": op8_minhash,
     "op9_langid": op9_langid,
+    "op10_url_filter": op10_url_filter,
 }
 
 #: Words of op4 in DuckDB, and a document's or item's windows.

@@ -97,18 +97,43 @@ def test_groups_equal_all_pairs(spark):
         assert [got[d] for d, _ in rows] == [k[1] for k in brute(rows)]
 
 
-def test_what_hubs_leave_open_is_compared(spark, monkeypatch):
-    # one hash function pair for all bands: every bucket is the whole crowd that
-    # shares a passage, so pairs inside it are found only by the later rounds
-    monkeypatch.setattr(minhash, "bands", lambda x: np.arange(3, dtype=np.int64))
+def test_buckets_full_of_strangers_are_split(spark, monkeypatch):
+    # the first bands put everything into one bucket, as a shared passage would
+    real = minhash.bands
+    monkeypatch.setattr(minhash, "bands", lambda x: np.concatenate((np.arange(3, dtype=np.int64), real(x)[3:])))
     rng = random.Random(3)
     text = lambda k: " ".join("w%d" % rng.randrange(9000) for _ in range(k))
     rows = []
-    for i in range(5):
+    for i in range(12):
         base = text(80)
         rows += [(2 * i, base), (2 * i + 1, base + " end")]
     got = {r.id: r.class_id for r in classes(spark, rows)}
-    assert got == {i: i // 2 * 2 for i in range(10)}
+    assert got == {i: i // 2 * 2 for i in range(24)}
+
+
+def test_recall_in_a_swarm_of_edited_copies(spark):
+    # copies of one base whose similarities to each other lie around the threshold
+    rng = random.Random(8)
+    base = ["w%d" % rng.randrange(9000) for _ in range(120)]
+    rows = []
+    for i in range(80):
+        w = base[:]
+        for _ in range(rng.randrange(5)):
+            w[rng.randrange(len(w))] = "x%d" % rng.randrange(9000)
+        rows.append((i, " ".join(w)))
+    got = {r.id: r.class_id for r in classes(spark, rows)}
+    want = [k[1] for k in brute(rows)]
+    assert sum(got[i] == c for i, c in enumerate(want)) >= 0.98 * len(rows)
+
+
+def test_components_of_chains_and_rings(spark):
+    key = lambda i: i.to_bytes(4, "big")
+    chain = [(key(i), key(i + 1)) for i in range(60)] + [(key(100 + i), key(100 + (i * 7 + 8) % 31)) for i in range(31)]
+    random.Random(1).shuffle(chain)
+    links = spark.createDataFrame(chain, "a binary, b binary")
+    got = {int.from_bytes(r.node, "big"): int.from_bytes(r.comp, "big") for r in minhash.components(links).collect()}
+    assert {got[i] for i in range(61)} == {0} and len(got) == 61 + len({x for a, b in chain for x in (a, b) if x >= key(100) and a != b})
+    assert minhash.components(links.limit(0)).count() == 0
 
 
 def test_edge_rows(spark):
