@@ -7,12 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
+from .extract import extract
 from .langid import held_out, identify
 from .licenses import scan as license_scan
 from .minhash import near_duplicates
 from .mixing import mix
 from .quality import INSULT, judge
 from .suffix_dedup import suffix_dedup
+from .tokens import count_tokens
 from .urls import judge_urls
 
 
@@ -65,6 +67,17 @@ def contaminated(found: DataFrame) -> DataFrame:
     )
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    per_line = F.transform("sections", lambda s: s["tokens"].cast("long").cast("string"))
+    return count_tokens(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_tokens", F.size("sections").cast("long").alias("n_lines"), "n_crossing", F.array_join(per_line, ",").alias("line_tokens")
+    )
+
+
+def op6_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents"))
 
@@ -95,6 +108,8 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_licenses": op3_licenses,
     "op4_decontaminate": op4_decontaminate,
+    "op5_token_counts": op5_token_counts,
+    "op6_extract": op6_extract,
     "op7_mixing": op7_mixing,
     "op8_minhash": op8_minhash,
     "op9_langid": op9_langid,
