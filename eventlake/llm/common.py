@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import fresh_dir
+from ..session import scratch_dir
 
 #: Sorts after every document id; stands for a NULL id.
 NO_ID = np.iinfo(np.int64).max
@@ -18,7 +18,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: the
     lineage ends there, so a lost executor costs no recomputation."""
     spark = df.sparkSession
-    path = fresh_dir(spark, name)
+    path = scratch_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -12,6 +12,7 @@ document's hits never leave its row.
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -100,8 +101,8 @@ NOTICES = [
     ("disclaimer", "provided as is without warranty", "provided as is without warranty", [" without warranty "]),
     ("proprietary", "proprietary and confidential", "proprietary and confidential", [" proprietary "]),
     ("proprietary", "may not be (?:copied|reproduced|redistributed)", "may not be reproduced", [" may not be "]),
-    ("non-commercial", "(?:for )?non ?commercial use only", "non commercial use only", ["commercial use only "]),
-    ("unknown-license", f"(?:licensed|released|distributed) under (?:the )?(?:[^ ]+ ){{0,6}}{L}(?: version [0-9]+)?", "licensed under the some license", ["ed under "]),
+    ("non-commercial", "(?:for )?non ?commercial use only", "non commercial use only", [" commercial use only ", " noncommercial use only "]),
+    ("unknown-license", f"(?:licensed|released|distributed) under (?:the )?(?:[^ ]+ ){{0,6}}{L}(?: version [0-9]+)?", "licensed under the some license", [" licensed under ", " released under ", " distributed under "]),
 ]
 TAG = [" spdx "]
 
@@ -149,6 +150,20 @@ def spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
+def any_of(words: list[str]) -> str:
+    """One pattern for all words, each after a space: branches by letter, so
+    that few are tried at a place."""
+
+    def branch(rest: set[str]) -> str:
+        if "" in rest:
+            return ""
+        heads = sorted({r[0] for r in rest})
+        parts = [re.escape(h) + branch({r[1:] for r in rest if r[0] == h}) for h in heads]
+        return parts[0] if len(parts) == 1 else "(?:" + "|".join(parts) + ")"
+
+    return " " + branch({w.removeprefix(" ") for w in words})
+
+
 def phrase_places(phrase: str, label: str) -> Column:
     """Number, first and last start (in words) of a phrase that ``norm`` has."""
     size = phrase.count(" ") + 1
@@ -259,7 +274,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     parts = [F.when(F.contains("norm", F.lit(f" {phrase} ")), phrase_places(phrase, label)) for phrase, label in BASE]
     rows = once(rows, base=F.array_compact(F.array(*parts)))
     live = F.filter(table, lambda g: F.exists(g["keywords"], lambda k: F.contains("norm", k)))
-    rows = once(rows, live=F.flatten(F.transform(live, lambda g: g["rules"])))
+    gate = F.col("norm").rlike(any_of([k for keywords in groups for k in keywords]))
+    rows = once(rows, live=F.when(gate, F.flatten(F.transform(live, lambda g: g["rules"]))))
     rows = once(rows, found=F.when(F.size("live") > 0, hits(F.col("live"))))
     rows = once(rows, detections=F.when(F.size("found") > 0, resolved(F.col("found"))).otherwise(F.expr("cast(array() as array<struct<start: int, `end`: int, priority: int, label: string>>)")))
     labels = F.array_sort(F.array_distinct(F.transform("base", lambda b: b["label"])))

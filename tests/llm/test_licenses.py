@@ -81,7 +81,7 @@ def test_common_notices(spark, text, labels):
 
 
 def test_priority_and_containment(spark):
-    rules = [Rule("wide", 1, ("a",), " (?:a b c d)(?= )", ""), Rule("inner", 2, ("b",), " (?:b c)(?= )", ""), Rule("part", 2, ("c",), " (?:c)(?= )", ""), Rule("twin", 2, ("b",), " (?:b c)(?= )", "")]
+    rules = [Rule("wide", 1, (" a",), " (?:a b c d)(?= )", ""), Rule("inner", 2, (" b",), " (?:b c)(?= )", ""), Rule("part", 2, (" c",), " (?:c)(?= )", ""), Rule("twin", 2, (" b",), " (?:b c)(?= )", "")]
     got = scanned(spark, [(1, "License a b c d"), (2, "license a b x"), (3, "license c"), (4, "license a b c d a b c")], rules=rules)
     assert [got[i][5] for i in (1, 2, 3, 4)] == [["inner"], [], ["part"], ["inner"]]
 
