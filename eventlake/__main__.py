@@ -3,7 +3,11 @@
     python -m eventlake ingest --table-base PATH --checkpoint-base PATH
                                (--bootstrap HOST:PORT --topic T | --source-dir PATH) [--dedup] [--trigger T]
     python -m eventlake counts --table PATH
-    python -m eventlake health --records PATH --topic T [--progress PATH] [--stale-after "30 minutes"]
+    python -m eventlake health (--table-base PATH | --records PATH [--progress PATH]) [--topic T]
+                               [--stale-after "30 minutes"]
+
+``health --table-base`` checks what ``ingest`` recorded beside its tables:
+source offsets and the progress of its queries.
 
 Paths are Hadoop paths (hdfs://, s3a://, file:/...). Exits non-zero when a job
 or a health check fails.
@@ -18,9 +22,10 @@ from pyspark.sql import SparkSession
 
 from .config import StreamConfig
 from .operators.activity import event_type_counts
-from .operators.health import health_report, health_status, partition_offsets, stream_health, topic_health
+from .operators.health import STALE_AFTER, health_report, health_status, partition_offsets, recorded_offsets, stream_health, topic_health
 from .sources.files import read_table
 from .streaming.jobs import file_source, kafka_source, run_ingest
+from .streaming.progress import MONITOR_TABLES
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -51,11 +56,12 @@ def _parser() -> argparse.ArgumentParser:
     cnt.add_argument("--format", default="parquet")
 
     hl = sub.add_parser("health", help="topic and stream checks")
-    hl.add_argument("--records", required=True, help="table of decoded records (topic, partition, offset)")
-    hl.add_argument("--topic", required=True)
+    hl.add_argument("--table-base", help="the ingest job's tables, with what it recorded")
+    hl.add_argument("--records", help="table of decoded records (topic, partition, offset)")
+    hl.add_argument("--topic", help="default: the only topic there is")
     hl.add_argument("--progress", help="stream progress table")
     hl.add_argument("--query")
-    hl.add_argument("--stale-after")
+    hl.add_argument("--stale-after", default=STALE_AFTER)
     return p
 
 
@@ -104,12 +110,26 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "counts":
         event_type_counts(read_table(spark, args.table, args.format)).show(truncate=False)
         return 0
-    topics = topic_health(partition_offsets(read_table(spark, args.records)))
-    streams = None
-    if args.progress:
-        streams = stream_health(read_table(spark, args.progress), stale_after=args.stale_after)
+    progress, streams = args.progress, None
+    if args.table_base:
+        progress, _, offsets = (f"{args.table_base.rstrip('/')}/{name}" for name in MONITOR_TABLES)
+        topics = topic_health(recorded_offsets(read_table(spark, offsets)))
+    elif args.records:
+        topics = topic_health(partition_offsets(read_table(spark, args.records)))
+    else:
+        print("health needs --table-base or --records", file=sys.stderr)
+        return 2
+    topic = args.topic
+    if topic is None:
+        named = topics.select("topic").limit(2).collect()
+        if len(named) != 1:
+            print("health needs --topic: there isn't exactly one", file=sys.stderr)
+            return 2
+        topic = named[0].topic
+    if progress:
+        streams = stream_health(read_table(spark, progress), stale_after=args.stale_after)
     try:
-        print(health_status(health_report(topics, args.topic, streams, args.query)))
+        print(health_status(health_report(topics, topic, streams, args.query)))
     except RuntimeError as exc:
         print(str(exc), file=sys.stderr)
         return 1

@@ -39,9 +39,10 @@ class StreamConfig:
     allowed_types: tuple[str, ...] = DEFAULT_ALLOWED_TYPES
     window_size: str = WINDOW_SIZE
     watermark_delay: str = WATERMARK_DELAY
-    dedup: bool = False  # reference parity: no dedup in the stream
+    dedup: bool = False  # count repeats once in the windows; off for parity
     # Partition events_v1 by UTC event date (adds ``event_date``); off for parity.
     partition_events_by_date: bool = False
+    files_per_date: int = 8  # files of one date in a micro-batch, at most
     # State store of the windowed query: "hdfs" (in memory, Spark's default) or "rocksdb".
     state_store: str = "hdfs"
     # Shuffle/state partitions of the stateful queries, fixed into their

@@ -9,11 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values --------------------------------------------------------------
 LIVE_STATES = ("RUNNING", "PENDING")
+# A drain-then-stop job is healthy between runs, as long as it ran lately.
+HEALTHY_STATES = (*LIVE_STATES, "TERMINATED")
+STALE_AFTER = "30 minutes"
 # -----------------------------------------------------------------------------
 
 
@@ -32,6 +35,12 @@ def partition_offsets(records: DataFrame) -> DataFrame:
     )
 
 
+def recorded_offsets(offsets: DataFrame) -> DataFrame:
+    """Offset bounds per partition from recorded batches (``topic, partition,
+    low, high``, as the ingest job keeps them): the lowest and the highest."""
+    return offsets.groupBy("topic", "partition").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+
+
 def topic_health(offsets: DataFrame) -> DataFrame:
     """Per topic: ``topic, partitions, messages`` from partition bounds
     (``topic, partition, low, high``); messages are
@@ -45,25 +54,25 @@ def topic_health(offsets: DataFrame) -> DataFrame:
 
 def stream_health(
     progress: DataFrame,
-    live_states: Sequence[str] = LIVE_STATES,
-    stale_after: str | None = None,
+    healthy_states: Sequence[str] = HEALTHY_STATES,
+    stale_after: str = STALE_AFTER,
+    now: Column | None = None,
 ) -> DataFrame:
     """Latest state per query from progress rows (``query, ts, state,
     input_rows[, late_rows]``): ``query, state, last_ts, input_rows, ok``.
 
-    ``ok`` when the latest state is live (running or pending) and, with
-    ``stale_after`` (an interval such as ``"30 minutes"``), when the latest row
-    is no older than that: a query that stopped reporting is not live.
+    ``ok`` when the latest state is healthy (running, pending, or ended without
+    error) and the latest row is no older than ``stale_after`` before ``now``
+    (default: the current time): a query that stopped reporting, as a killed
+    driver's does, is not healthy. Of rows at one time, a failure counts.
     """
     latest = progress.groupBy("query").agg(
-        F.max_by("state", "ts").alias("state"),
+        F.max_by("state", F.struct("ts", (F.col("state") == "FAILED").alias("failed"))).alias("state"),
         F.max("ts").alias("last_ts"),
         F.max_by("input_rows", "ts").alias("input_rows"),
     )
-    ok = F.coalesce(F.col("state").isin(list(live_states)), F.lit(False))
-    if stale_after is not None:
-        ok = ok & (F.col("last_ts") >= F.current_timestamp() - F.expr(f"INTERVAL {stale_after}"))
-    return latest.withColumn("ok", ok)
+    fresh = F.col("last_ts") >= (F.current_timestamp() if now is None else now) - F.expr(f"INTERVAL {stale_after}")
+    return latest.withColumn("ok", F.coalesce(F.col("state").isin(list(healthy_states)) & fresh, F.lit(False)))
 
 
 def health_report(
@@ -72,10 +81,12 @@ def health_report(
     streams: DataFrame | None = None,
     query: str | None = None,
 ) -> DataFrame:
-    """One row per check: topic exists, topic has messages, [stream is live].
+    """One row per check: topic exists, topic has messages, [streams are healthy].
 
-    A missing topic gives zero partitions (not an error), a missing stream
-    gives state ``NONE``: both fail their check. Global aggregates always
+    The stream check covers every query of ``streams`` (or the one named): it
+    fails if any isn't ok, and names those as ``query=state``; otherwise it
+    lists the states. A missing topic gives zero partitions (not an error), a
+    missing stream gives state ``NONE``: both fail their check. Global aggregates always
     return one row, so the report has a fixed number of rows.
     """
     t = topics.where(F.col("topic") == F.lit(topic)).agg(
@@ -104,9 +115,11 @@ def health_report(
     if query is not None:
         s = s.where(F.col("query") == F.lit(query))
     live = s.agg(
-        F.coalesce(F.max_by("state", "last_ts"), F.lit("NONE")).alias("observed"),
-        F.coalesce(F.max_by("ok", "last_ts"), F.lit(False)).alias("ok"),
-    ).select(F.lit("stream_running").alias("check"), "observed", "ok")
+        F.array_join(F.array_sort(F.collect_list(F.when(~F.col("ok"), F.concat_ws("=", "query", "state")))), ",").alias("bad"),
+        F.array_join(F.array_sort(F.collect_set("state")), ",").alias("states"),
+        F.coalesce(F.bool_and("ok"), F.lit(False)).alias("ok"),
+    )
+    live = live.withColumn("observed", F.when(F.col("bad") != "", F.col("bad")).when(F.col("states") != "", F.col("states")).otherwise("NONE")).select(F.lit("stream_running").alias("check"), "observed", "ok")
     return rows.unionByName(live)
 
 

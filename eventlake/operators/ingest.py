@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fingerprint import id_hash
-from ..plans.joins import DEFAULT_MAX_BROADCAST_ROWS, fits, join_small
+from ..plans.joins import DEFAULT_MAX_BROADCAST_BYTES, fits, join_small
 
 _CUR = "__cursor"
 _HIT = "__hit"
@@ -36,7 +36,7 @@ def new_since_last_seen(
     id_col: str = "event_id",
     order_col: str = "pos",
     newest_first: bool = True,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows of each feed ahead of (newer than) the first occurrence of the
     feed's cursor id; ids are compared as text.
@@ -50,14 +50,14 @@ def new_since_last_seen(
        aggregate); at most one row per cursor.
     2. the feed joined with ``hits`` on the feed key, kept while ahead of it.
 
-    The cursor table's row count is checked once; it bounds ``hits`` too, so
+    The cursor table's size is checked once; it bounds ``hits`` too, so
     both are broadcast and the feed is never shuffled. Beyond the bound both
     joins shuffle: the first after a map-side reduction to one row per
     (feed, id), so copies of one event never pile up in a task; the second
     salted by a row hash against a hot feed.
     """
     cur = _cursor_ids(cursors, feed_col)
-    small = fits(cur, max_broadcast_rows)
+    small = fits(cur, max_broadcast_bytes)
     ids = feed.select(F.col(feed_col), F.col(id_col).cast("string").alias(_CUR), F.col(order_col))
     newest = F.min(order_col) if newest_first else F.max(order_col)
     if small:
@@ -85,7 +85,9 @@ def advance_cursor(
     """Next cursor per feed: the newest new id, or the old cursor when nothing
     is new. Output: ``feed, etag, last_event_id`` (one row per feed in any
     input). ``new_etags`` (``feed, etag``), when given, replaces the stored
-    etag of its feeds.
+    etag of its feeds. Where the order is the id's own (``order_col`` is
+    ``id_col``, increasing), a cursor never moves back: rows older than it, as
+    in a batch out of order, leave it.
 
     Write it after the data it covers (data first, cursor after): a crash in
     between re-reads events, it never skips them.
@@ -108,13 +110,34 @@ def advance_cursor(
     if new_etags is not None:
         both = both.join(new_etags.select(F.col(feed_col), F.col("etag").alias("__etag")), [feed_col], "full_outer")
         etag = F.coalesce(F.col("__etag"), F.col("etag"))
+    newer = F.col(_NEW)
+    if order_col == id_col and not newest_first:
+        kind = new_rows.schema[id_col].dataType
+        newer = F.when(F.col("last_event_id").try_cast(kind) > F.col(_NEW).try_cast(kind), F.col("last_event_id")).otherwise(newer)
     return both.select(
         F.col(feed_col),
         etag.alias("etag"),
-        F.coalesce(F.col(_NEW), F.col("last_event_id")).alias("last_event_id"),
+        F.coalesce(newer, F.col("last_event_id")).alias("last_event_id"),
     )
 
 
+def ahead_of_cursor(
+    rows: DataFrame,
+    cursors: DataFrame,
+    feed_col: str = "feed",
+    id_col: str = "event_id",
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """Rows newer than their feed's cursor, where ids increase: the test of
+    ``new_since_last_seen`` for rows that come in any order and lack a list to
+    walk, such as a stream's micro-batch. No cursor, or one that isn't an id of
+    this type: all rows."""
+    kind = rows.schema[id_col].dataType
+    seen = _cursor_ids(cursors, feed_col).select(feed_col, F.col(_CUR).try_cast(kind).alias(_HIT))
+    joined = join_small(rows, seen, [feed_col], "left", max_broadcast_bytes)
+    return joined.where(F.col(_HIT).isNull() | (F.col(id_col) > F.col(_HIT))).select(*[F.col(f"`{c}`") for c in rows.columns])
+
+
 def feed_fingerprints(
     feed: DataFrame,
     feed_col: str = "feed",

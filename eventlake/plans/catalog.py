@@ -21,6 +21,7 @@ from ..operators.activity import closed_windows, event_type_counts, repo_activit
 from ..operators.health import health_report, partition_offsets, stream_health, topic_health
 from ..operators.ingest import (
     advance_cursor,
+    ahead_of_cursor,
     changed_feeds,
     dedup_events,
     dedup_events_stream,
@@ -30,7 +31,7 @@ from ..operators.ingest import (
 from ..operators.parse import parse_events
 from ..operators.publish import to_messages
 from ..operators.quality import drop_reason, drop_reasons, validate
-from ..session import fresh_dir
+from ..session import scratch_dir
 from ..sources.cursors import load_cursor, save_cursor
 from ..sources.envelope import TOPIC, api_events
 from ..sources.files import read_record_files, read_table, write_table
@@ -43,7 +44,7 @@ from ..streaming.jobs import (
     start_events_v1,
     start_repo_activity,
 )
-from ..streaming.progress import ProgressRecorder
+from ..streaming.progress import MONITOR_TABLES, ProgressRecorder
 from ..streaming.sinks import data_then_cursor, run_all, start_append
 from ..streaming.state import stateful_settings
 from . import inputs
@@ -95,16 +96,16 @@ def q_malformed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_repo_activity_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(repo_activity(inputs.validated(spark, sf_dir), types=inputs.TEST_ALLOWED_TYPES))
+    return comparable(repo_activity(inputs.validated(spark, sf_dir)))
 
 
 def q_repo_activity_5m_closed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(closed_windows(inputs.validated(spark, sf_dir), types=inputs.TEST_ALLOWED_TYPES))
+    return comparable(closed_windows(inputs.validated(spark, sf_dir)))
 
 
 def q_event_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over the stored events table, as the reference's batch check reads it."""
-    path = write_table(inputs.validated(spark, sf_dir), fresh_dir(spark, EVENTS_TABLE))
+    path = write_table(inputs.validated(spark, sf_dir), scratch_dir(spark, EVENTS_TABLE))
     return event_type_counts(read_table(spark, path))
 
 
@@ -131,7 +132,7 @@ def _previous_cursors(spark: SparkSession, sf_dir: str) -> DataFrame:
         newest_first=False,
         new_etags=feed_fingerprints(prev).withColumnRenamed("fingerprint", "etag"),
     )
-    path = fresh_dir(spark, "cursors")
+    path = scratch_dir(spark, "cursors")
     save_cursor(saved, path, version=0)
     return load_cursor(spark, path).withColumn("feed", F.col("feed").cast("long"))
 
@@ -152,10 +153,13 @@ def q_new_since_last_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_new_since_last_seen_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same, with positions as (page, index) in newest-first pages: the
-    walk stops inside the first page holding the known id."""
+    """The same from listing pages, newest first: an event arrived after the
+    first page was read, so its last event comes again on the second. Pages are
+    united, a repeated event keeps its first place, and the walk stops inside
+    the first page that holds the known id."""
+    pages = inputs.first_page(spark, sf_dir).unionByName(inputs.shifted_pages(spark, sf_dir))
     new = new_since_last_seen(
-        inputs.paged_feed_rows(spark, sf_dir),
+        dedup_events(pages, first_by=("pos",)),
         _previous_cursors(spark, sf_dir),
         feed_col="feed",
         id_col="event_id",
@@ -166,11 +170,15 @@ def q_new_since_last_seen_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_feed_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One poll: new rows are written first, then the cursor advances from
+    """One poll: feeds whose fingerprint is that of the last poll are skipped;
+    of the others, new rows are written first, then the cursor advances from
     what was written (a crash in between re-reads, never skips)."""
     cursors = _previous_cursors(spark, sf_dir)
-    written = write_table(_new_rows(spark, sf_dir, cursors), fresh_dir(spark, "new-rows"))
-    etags = feed_fingerprints(inputs.feed_rows(spark, sf_dir)).withColumnRenamed("fingerprint", "etag")
+    state = changed_feeds(inputs.feed_rows(spark, sf_dir), cursors.select("feed", F.col("etag").alias("fingerprint")))
+    changed = state.where(F.col("changed") & F.col("fingerprint").isNotNull())
+    rows = _new_rows(spark, sf_dir, cursors).join(changed.select("feed"), ["feed"], "left_semi")
+    written = write_table(rows, scratch_dir(spark, "new-rows"))
+    etags = changed.select("feed", F.col("fingerprint").alias("etag"))
     return advance_cursor(
         read_table(spark, written),
         cursors,
@@ -198,22 +206,20 @@ def q_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming -----------------------------------------------------------------
 
 
-# Input bytes per state partition of the registered stream queries.
-STATE_BYTES_PER_PARTITION = 64 * 1024 * 1024
+# State partitions of the registered stream queries, whatever the input: few
+# enough that a micro-batch of the test tables isn't all state store commits.
+# A long-running job sets its own for the state it expects.
+STATE_PARTITIONS = 8
 
 
 def _stream_config(spark: SparkSession, name: str, sf_dir: str, **kw) -> StreamConfig:
-    """Fresh folders; state partitions sized to the input: one per 64 MB of
-    the source table, at most the cluster's cores (a fixed 200 would make
-    every micro-batch touch 200 state stores on any data)."""
-    base = fresh_dir(spark, name)
-    size = inputs.table_bytes(spark, sf_dir, "events")
-    partitions = max(1, min(spark.sparkContext.defaultParallelism, -(-size // STATE_BYTES_PER_PARTITION)))
+    """Fresh folders, deleted when the application ends."""
+    base = scratch_dir(spark, name)
     return StreamConfig(
         checkpoint_base=f"{base}/checkpoints",
         table_base=f"{base}/tables",
         allowed_types=inputs.TEST_ALLOWED_TYPES,
-        state_partitions=partitions,
+        state_partitions=STATE_PARTITIONS,
         **kw,
     )
 
@@ -238,13 +244,12 @@ def q_repo_activity_5m_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_repo_activity_5m_closed_multibatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table replayed as time-ordered files, two per micro-batch: windows
-    carry state across eight batches (and across batch boundaries), and the
+    """The table replayed as time-ordered files over eight micro-batches:
+    windows carry state across batches (and across batch boundaries), and the
     drained result still equals the closed windows."""
-    files = 16
     cfg = _stream_config(spark, "multibatch", sf_dir)
-    src, ordered = inputs.time_ordered_replay(spark, sf_dir, f"{cfg.table_base}/source", files)
-    cfg = replace(cfg, max_files_per_trigger=files // 8 if ordered else None)
+    src, per_batch = inputs.time_ordered_replay(spark, sf_dir, f"{cfg.table_base}/source", batches=8)
+    cfg = replace(cfg, max_files_per_trigger=per_batch)
     run_all([start_repo_activity(spark, cfg, file_source(cfg, src))])
     return comparable(read_table(spark, cfg.table_path(ACTIVITY_TABLE)))
 
@@ -260,36 +265,49 @@ def q_repo_activity_5m_from_events_v1(spark: SparkSession, sf_dir: str) -> DataF
 def _monitored_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run the two-query job over the table with a progress recorder; return
     the progress table it wrote."""
-    cfg = _stream_config(spark, "monitored", sf_dir)
-    rec = ProgressRecorder()
-    spark.streams.addListener(rec)
-    try:
-        run_ingest(spark, cfg, lambda s: inputs.record_stream(s, sf_dir))
-        rec.wait_terminated(2)
-    finally:
-        spark.streams.removeListener(rec)
-    path = fresh_dir(spark, "progress")
-    rec.append_to(spark, path)
-    return read_table(spark, path)
+    cfg = _stream_config(spark, "monitored", sf_dir, activity_from_table=True)
+    run_ingest(spark, cfg, lambda s: inputs.record_stream(s, sf_dir))
+    return read_table(spark, cfg.table_path(MONITOR_TABLES[0]))
+
+
+def _by_moment(cases: list[tuple[str, DataFrame]]) -> DataFrame:
+    first, *rest = [df.withColumn("moment", F.lit(moment)) for moment, df in cases]
+    for df in rest:
+        first = first.unionByName(df)
+    return first
+
+
+def _health_cases(spark: SparkSession, progress: DataFrame) -> list[tuple[str, DataFrame]]:
+    """What a recorded run looks like right after it, a day later, and if its
+    windowed query had failed since."""
+    later = F.current_timestamp() + F.expr("INTERVAL 1 DAY")
+    failed = progress.where(F.col("query") == ACTIVITY_TABLE).groupBy("query").agg(
+        F.max("ts").alias("ts"), F.lit("FAILED").alias("state"), F.lit(0).cast("long").alias("input_rows"), F.lit(0).cast("long").alias("late_rows")
+    )
+    return [
+        ("after_run", stream_health(progress)),
+        ("a_day_later", stream_health(progress, now=later)),
+        ("failed", stream_health(progress.unionByName(failed))),
+    ]
 
 
 def q_stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Liveness from recorded progress: the two-query job runs over the table
-    with a progress recorder; the rows go to a progress table; the check reads
-    it. Drain-then-stop queries end TERMINATED (not live), having read every
-    record. Output: ``query, state, ok, input_rows``."""
+    """Health from recorded progress: the two-query job runs over the table and
+    records its progress beside it; the check reads that, right after the run
+    (healthy), a day later (stale), and with a failure added. ``total_rows`` is
+    what the query read over all batches. Output: ``moment, query, state, ok,
+    total_rows``."""
     progress = _monitored_run(spark, sf_dir)
-    totals = progress.groupBy("query").agg(F.sum("input_rows").alias("input_rows"))
-    return stream_health(progress).select("query", "state", "ok").join(totals, ["query"])
+    totals = progress.groupBy("query").agg(F.sum("input_rows").alias("total_rows"))
+    return _by_moment(_health_cases(spark, progress)).select("moment", "query", "state", "ok").join(totals, ["query"])
 
 
 def q_health_report_with_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full report: topic checks over the records plus the events query's
-    liveness from a recorded run (a drained run is not live, so that check
-    fails, as a scheduler would be told)."""
-    streams = stream_health(_monitored_run(spark, sf_dir))
+    """The full report, topic checks over the records plus the health of all
+    queries of a recorded run, at the three moments of ``stream_health``."""
     topics = topic_health(partition_offsets(inputs.records(spark, sf_dir)))
-    return health_report(topics, TOPIC, streams, query=EVENTS_TABLE)
+    cases = _health_cases(spark, _monitored_run(spark, sf_dir))
+    return _by_moment([(moment, health_report(topics, TOPIC, streams)) for moment, streams in cases])
 
 
 def q_stream_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,7 +321,7 @@ def q_stream_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         rec.wait_terminated(1)
     finally:
         spark.streams.removeListener(rec)
-    path = fresh_dir(spark, "metrics")
+    path = scratch_dir(spark, "metrics")
     rec.metrics_df(spark).write.parquet(path)
     metrics = read_table(spark, path).where(F.col("metric_set") == F.lit(f"{EVENTS_TABLE}_quality"))
     return metrics.groupBy("metric").agg(F.sum("value").alias("rows"))
@@ -311,34 +329,43 @@ def q_stream_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Data first, cursor after, per micro-batch: the table replayed as
-    time-ordered files over four batches; each batch appends its valid events,
-    then advances a per-repository cursor (newest id) from the last saved
-    version. Output: the final cursor table."""
-    files = 8
+    time-ordered files over four batches; each batch appends its valid events
+    that are ahead of the cursor, then advances the per-repository cursor (newest
+    id) from the last saved version. Then the first poll's records arrive again:
+    all are behind the cursor, so nothing is taken in and no cursor moves.
+    Output: the final cursor table, with the rows taken in."""
     cfg = _stream_config(spark, "cursor", sf_dir)
-    src, ordered = inputs.time_ordered_replay(spark, sf_dir, f"{cfg.table_base}/source", files)
-    cfg = replace(cfg, max_files_per_trigger=files // 4 if ordered else None)
+    src, per_batch = inputs.time_ordered_replay(spark, sf_dir, f"{cfg.table_base}/source", batches=4)
+    cfg = replace(cfg, max_files_per_trigger=per_batch)
     data, cursor = cfg.table_path("events"), cfg.table_path("cursor")
 
+    def keyed(batch: DataFrame) -> DataFrame:
+        return batch.withColumn("feed", F.col("repo_name")).withColumn("id", F.col("event_id").cast("long"))
+
+    def ahead(batch: DataFrame) -> DataFrame:
+        return ahead_of_cursor(keyed(batch), load_cursor(spark, cursor), id_col="id")
+
     def cursor_of(batch: DataFrame) -> DataFrame:
-        new = batch.select(F.col("repo_name").alias("feed"), F.col("event_id").cast("long").alias("event_id"))
-        return advance_cursor(new, load_cursor(spark, cursor), order_col="event_id", newest_first=False)
-
-    events = validate(parse_events(decode_records(file_source(cfg, src)(spark))), cfg.allowed_types)
-    q = (
-        events.writeStream.foreachBatch(data_then_cursor(data, cursor, cursor_of))
-        .option("checkpointLocation", cfg.checkpoint_path("cursor"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    run_all([q])
-    return load_cursor(spark, cursor)
+        return advance_cursor(batch.select("feed", "id"), load_cursor(spark, cursor), id_col="id", order_col="id", newest_first=False)
+
+    def drain() -> None:
+        events = validate(parse_events(decode_records(file_source(cfg, src)(spark))), cfg.allowed_types)
+        writer = events.writeStream.foreachBatch(data_then_cursor(data, cursor, cursor_of, rows_of=ahead))
+        run_all([writer.option("checkpointLocation", cfg.checkpoint_path("cursor")).trigger(availableNow=True).start()])
+
+    drain()
+    write_table(inputs.first_poll_records(spark, sf_dir), src)  # the past once more
+    drain()
+    taken = read_table(spark, data).groupBy("feed").agg(F.count(F.lit(1)).alias("rows"))
+    return load_cursor(spark, cursor).join(taken, ["feed"], "full_outer")
 
 
 def q_dedup_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First poll's records drained, then the replay appended and drained by
-    the same checkpoint (two drain-then-stop runs, as a restarted job does)."""
-    cfg = _stream_config(spark, "events_dedup", sf_dir)
+    the same checkpoint (two drain-then-stop runs, as a restarted job does).
+    The watermark delay spans the replay, so each repeat meets its first copy
+    in state and none is merely late."""
+    cfg = _stream_config(spark, "events_dedup", sf_dir, watermark_delay=inputs.REPLAY_SPAN)
     src = _replay_source(spark, cfg, inputs.first_poll_records(spark, sf_dir))
 
     def run() -> None:
@@ -355,6 +382,18 @@ def q_dedup_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(read_table(spark, cfg.table_path("events")))
 
 
+def q_repo_activity_5m_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows over three polls by one checkpoint, with events that arrive late:
+    some users' events come a poll after their time. Rows of windows that the
+    watermark of the earlier polls has closed are dropped; later ones count."""
+    cfg = _stream_config(spark, "late", sf_dir)
+    src = f"{cfg.table_base}/source"
+    for poll in range(len(inputs.POLLS)):
+        write_table(inputs.late_records(spark, sf_dir, poll), src)
+        run_all([start_repo_activity(spark, cfg, file_source(cfg, src))])
+    return comparable(read_table(spark, cfg.table_path(ACTIVITY_TABLE)))
+
+
 QUERIES: dict[str, Query] = {
     "decode_records": q_decode_records,
     "parse_events": q_parse_events,
@@ -376,6 +415,7 @@ QUERIES: dict[str, Query] = {
     "events_v1_stream": q_events_v1_stream,
     "repo_activity_5m_closed": q_repo_activity_5m_closed,
     "repo_activity_5m_closed_multibatch": q_repo_activity_5m_closed_multibatch,
+    "repo_activity_5m_late": q_repo_activity_5m_late,
     "dedup_events_stream": q_dedup_events_stream,
     "repo_activity_5m_from_events_v1": q_repo_activity_5m_from_events_v1,
     "stream_health": q_stream_health,

@@ -7,7 +7,7 @@ rows (time cut-offs and keys), so every input grows with the table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.parse import parse_events
@@ -15,7 +15,7 @@ from ..operators.quality import validate
 from ..sources.envelope import topic_records
 from ..sources.kafka import decode_records
 from ..session import hadoop_path
-from .layout import spread_if_under_split, spread_stream_if_under_split
+from .layout import spread
 
 # --- fixed values of the test set-up -------------------------------------------
 # Allowed types of the test table (the fifth, "error", exercises the type check).
@@ -31,6 +31,11 @@ FINGERPRINT_POLL = "2024-01-20 12:00:00"
 # Replay: a poller re-publishes events from this time on, one day later.
 REPLAY_FROM = "2024-01-15 00:00:00"
 REPLAY_DELAY = "1 day"
+# A watermark delay that covers every repeat of the replay.
+REPLAY_SPAN = "20 days"
+# Polls: events before each time, those of every LATE_USERS-th user one poll late.
+POLLS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00", None)
+LATE_USERS = 10
 # -----------------------------------------------------------------------------
 
 
@@ -38,39 +43,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def table_bytes(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Stored size of a given table (file metadata only)."""
-    fs, path = hadoop_path(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return int(fs.getContentSummary(path).getLength())
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
-def records(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    """Topic records of the events table; ``spread`` for inputs of the JSON
-    parse (see ``layout.spread_if_under_split``)."""
+def records(spark: SparkSession, sf_dir: str, parallel: bool = False) -> DataFrame:
+    """Topic records of the events table; ``parallel`` deals the rows out to
+    the cluster's cores first, for inputs of the JSON parse: the test table is
+    one row group, and would be parsed by one task."""
     ev = events(spark, sf_dir)
-    return topic_records(spread_if_under_split(ev) if spread else ev)
+    return topic_records(spread(ev, spark.sparkContext.defaultParallelism) if parallel else ev)
 
 
 def record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table streamed as it lies (a file source over its folder,
-    this table's file only), turned into topic records inside the stream: no
-    copy of the data is written first. An under-split table is spread over
-    the cores inside each micro-batch (see ``layout``)."""
-    table = events(spark, sf_dir)
-    rows = spark.readStream.schema(table.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir.rstrip("/"))
-    return topic_records(spread_stream_if_under_split(rows, table))
+    """The events table streamed as it lies, turned into topic records inside
+    the stream: no copy of the data is written first. A folder of part files is
+    its own source; a single file is read through its parent folder."""
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    reader = spark.readStream.schema(events(spark, sf_dir).schema)
+    fs, jpath = hadoop_path(spark, path)
+    if fs.getFileStatus(jpath).isDirectory():
+        rows = reader.parquet(path)
+    else:
+        rows = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir.rstrip("/"))
+    return topic_records(spread(rows, spark.sparkContext.defaultParallelism))
 
 
-def decoded(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    return decode_records(records(spark, sf_dir, spread))
+def decoded(spark: SparkSession, sf_dir: str, parallel: bool = False) -> DataFrame:
+    return decode_records(records(spark, sf_dir, parallel))
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_events(decoded(spark, sf_dir, spread=True))
+    return parse_events(decoded(spark, sf_dir, parallel=True))
 
 
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +88,7 @@ def _before(ts_col: str, when: str):
 def first_poll_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records published by a first poll: events before ``PREVIOUS_POLL``."""
     ev = events(spark, sf_dir).where(_before("ts", PREVIOUS_POLL))
-    return topic_records(spread_if_under_split(ev))
+    return topic_records(spread(ev, spark.sparkContext.defaultParallelism))
 
 
 def replayed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +96,7 @@ def replayed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ``REPLAY_FROM`` on; the overlap with the first poll arrives a day
     later at higher offsets."""
     ev = events(spark, sf_dir).where(~_before("ts", REPLAY_FROM))
-    rec = topic_records(spread_if_under_split(ev))
+    rec = topic_records(spread(ev, spark.sparkContext.defaultParallelism))
     late = F.col("timestamp") + F.expr(f"INTERVAL {REPLAY_DELAY}")
     shift = F.lit(10**12)
     return rec.select(
@@ -100,6 +104,17 @@ def replayed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def late_records(spark: SparkSession, sf_dir: str, poll: int) -> DataFrame:
+    """Topic records that arrive in a poll: events since the poll before, but
+    those of late users a poll after their time (the last poll takes all)."""
+    ev = events(spark, sf_dir)
+    due = F.lit(len(POLLS) - 1)
+    for i in reversed(range(len(POLLS) - 1)):
+        due = F.when(_before("ts", POLLS[i]), F.lit(i)).otherwise(due)
+    late = F.when(F.col("user_id") % LATE_USERS == 0, F.least(due + 1, F.lit(len(POLLS) - 1))).otherwise(due)
+    return topic_records(spread(ev.where(late == poll), spark.sparkContext.defaultParallelism))
+
+
 def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as newest-first feeds: ``feed, event_id, event_type, ts``;
     larger ids are newer."""
@@ -108,15 +123,26 @@ def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def paged_feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed rows with a list position as the API pages them, newest first:
-    ``pos = struct(page, idx)`` over pages of ``PAGE_SIZE`` (rank from the
-    newest id; the bound is a scalar subquery, not a per-feed sort)."""
+def _ranked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
+    """Feed rows and their rank from the newest id (the bound is a scalar
+    subquery, not a per-feed sort)."""
     rows = feed_rows(spark, sf_dir)
-    rank = F.lit(rows.select(F.max("event_id")).scalar()) - F.col("event_id")
-    page = (F.floor(rank / PAGE_SIZE) + 1).cast("int")
-    idx = (rank % PAGE_SIZE).cast("int")
-    return rows.withColumn("pos", F.struct(page.alias("page"), idx.alias("idx")))
+    return rows, F.lit(rows.select(F.max("event_id")).scalar()) - F.col("event_id")
+
+
+def first_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first listing page, newest first: ``pos = struct(page, idx)``."""
+    rows, rank = _ranked(spark, sf_dir)
+    return rows.where(rank < PAGE_SIZE).withColumn("pos", F.struct(F.lit(1).alias("page"), rank.cast("int").alias("idx")))
+
+
+def shifted_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages after it, read when one more event had come in: each begins
+    one event earlier, and the second with the last event of the first."""
+    rows, rank = _ranked(spark, sf_dir)
+    rank = rank - (PAGE_SIZE - 1)
+    page = (F.floor(rank / PAGE_SIZE) + 2).cast("int")
+    return rows.where(rank >= 0).withColumn("pos", F.struct(page.alias("page"), (rank % PAGE_SIZE).cast("int").alias("idx")))
 
 
 def previous_feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +160,7 @@ def malformed_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     shapes a topic delivers: cut-off text, a JSON array, event times without
     a zone, with fractions or a numeric offset, a numeric id, and a scalar
     where a struct belongs. The adapter's JSON ends with the event time."""
-    dec = decoded(spark, sf_dir, spread=True)
+    dec = decoded(spark, sf_dir, parallel=True)
     raw = F.col("raw_json")
     forms = [
         ("original", raw),
@@ -150,18 +176,18 @@ def malformed_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dec.select(F.inline(variants), "kafka_ingest_ts").withColumnRenamed("text", "raw_json")
 
 
-def time_ordered_replay(spark: SparkSession, sf_dir: str, path: str, files: int) -> tuple[str, bool]:
-    """Write the table's topic records as ``files`` files covering disjoint,
-    increasing time ranges (range partitioning samples its bounds, so a busy
-    period is split, not sent to one task), and stamp the files' modification
-    times in range order so a file stream replays them oldest first. Only
-    file metadata is touched on the driver.
+def time_ordered_replay(spark: SparkSession, sf_dir: str, path: str, batches: int) -> tuple[str, int]:
+    """Write the table's topic records as files covering disjoint, increasing
+    time ranges (range partitioning samples its bounds, so a busy period is
+    split, not sent to one task), and stamp the files' modification times in
+    range order so a file stream replays them oldest first. Only file metadata
+    is touched on the driver.
 
-    Returns the folder and whether the order holds after re-listing (a store
-    without settable times, such as some object stores, keeps upload times):
-    callers replay in several micro-batches only when it does, so a row is
-    never late and results stay whole either way."""
-    ev = events(spark, sf_dir).repartitionByRange(files, "ts")
+    Returns the folder and the files of a micro-batch, as many as the session's
+    shuffle partitions allow for ``batches`` batches. A store without settable
+    times can't hold the order: that raises."""
+    per_batch = max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // batches))
+    ev = events(spark, sf_dir).repartitionByRange(batches * per_batch, "ts")
     topic_records(ev).write.parquet(path)
     fs, root = hadoop_path(spark, path)
 
@@ -171,10 +197,8 @@ def time_ordered_replay(spark: SparkSession, sf_dir: str, path: str, files: int)
 
     base = 1_000_000_000_000  # ms; any increasing stamps do
     for i, st in enumerate(parts()):
-        try:
-            fs.setTimes(st.getPath(), base + i * 1000, -1)
-        except Exception:  # noqa: BLE001 - unsupported by the store: checked below
-            break
+        fs.setTimes(st.getPath(), base + i * 1000, -1)
     stamps = [st.getModificationTime() for st in parts()]
-    ordered = all(a < b for a, b in zip(stamps, stamps[1:]))
-    return path, ordered
+    if not all(a < b for a, b in zip(stamps, stamps[1:])):
+        raise RuntimeError(f"{path}: file times can't be set, so the replay would be out of order")
+    return path, per_batch

@@ -1,7 +1,7 @@
 """Join of a large side with a side that is usually small.
 
-Broadcast only after the small side's row count is checked (a bounded count:
-``limit(n + 1)``). Beyond the bound the join shuffles, and the large side is
+Broadcast only after the small side's size in bytes is checked (a sum that each
+task of the small side takes part in). Beyond the bound the join shuffles, and the large side is
 salted so one hot key (say a feed holding a third of all rows) is spread over
 ``salt_buckets`` tasks; the small side is replicated once per salt value.
 The salt is a hash of the whole row, not ``rand()``, so a retried task routes
@@ -16,15 +16,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of the small side that may be broadcast (cursor-sized rows, ~100 B each).
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
+# Bytes of the small side (as JSON text) that may be broadcast.
+DEFAULT_MAX_BROADCAST_BYTES = 32 << 20
 DEFAULT_SALT_BUCKETS = 64
 _SALT = "__salt"
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits(df: DataFrame, max_bytes: int) -> bool:
+    """True when the rows of ``df`` take at most ``max_bytes`` as JSON text:
+    one number from each task."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).cast("long"))).first()[0]
+    return (size or 0) <= max_bytes
 
 
 def salted_join(
@@ -47,7 +49,7 @@ def join_small(
     small: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
     small_fits: bool | None = None,
     salt_buckets: int = DEFAULT_SALT_BUCKETS,
 ) -> DataFrame:
@@ -57,7 +59,7 @@ def join_small(
     a per-key aggregate of a table whose size was checked).
     """
     if small_fits is None:
-        small_fits = fits(small, max_broadcast_rows)
+        small_fits = fits(small, max_broadcast_bytes)
     if small_fits:
         return big.join(F.broadcast(small), list(on), how)
     return salted_join(big, small, on, how, salt_buckets)

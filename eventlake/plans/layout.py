@@ -1,41 +1,17 @@
-"""Input layout: keep every core busy when a scan yields few splits."""
+"""Input layout: deal rows out to more tasks than a scan has splits."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def spread_if_under_split(df: DataFrame) -> DataFrame:
-    """Repartition ``df`` to the cluster's parallelism when its scan has fewer
-    splits than that (a table of one row group reads as one task).
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """``df`` dealt out round-robin to ``partitions`` tasks (``None``: as it is).
 
-    On a large table the scan already has many splits and this is a no-op; on
-    an under-split one the per-row work after it (JSON writing and parsing)
-    runs on all cores instead of one. Round-robin, so even a key or a group of
-    identical copies holding a third of the rows is spread evenly; Spark sorts
-    each input partition first, so a retried task sends every row to the
-    same place.
+    For tables of few row groups, whose per-row work (JSON writing and parsing)
+    would run in as few tasks; a table with many splits needs none. Round-robin
+    spreads even a group of identical copies evenly; Spark sorts each input
+    partition first, so a retried task sends every row to the same place. Works
+    on streams as well, inside each micro-batch.
     """
-    try:
-        parallelism = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the plan alone
-        return df
-    if splits >= parallelism:
-        return df
-    return df.repartition(parallelism)
-
-
-def spread_stream_if_under_split(stream: DataFrame, same_files: DataFrame) -> DataFrame:
-    """The streaming twin: a file stream cannot report its splits, so they are
-    taken from a batch read of the same files (``same_files``); when fewer
-    than the cluster's parallelism, each micro-batch is repartitioned
-    round-robin (stateless, allowed in a stream). No-op on large inputs."""
-    try:
-        parallelism = same_files.sparkSession.sparkContext.defaultParallelism
-        splits = same_files.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view: leave the plan alone
-        return stream
-    if splits >= parallelism:
-        return stream
-    return stream.repartition(parallelism)
+    return df if partitions is None else df.repartition(partitions)

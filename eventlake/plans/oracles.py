@@ -143,18 +143,21 @@ SELECT 'topic_has_messages', messages::VARCHAR, messages > 0 FROM t""",
 parts AS (SELECT topic, "partition", min("offset") AS low, max("offset") + 1 AS high
           FROM records GROUP BY topic, "partition"),
 t AS (SELECT coalesce(count(*), 0)::BIGINT AS partitions, coalesce(sum(greatest(0, high - low)), 0)::BIGINT AS messages
-      FROM parts WHERE topic = 'events.raw')
-SELECT 'topic_exists' AS "check", partitions::VARCHAR AS observed, partitions > 0 AS ok FROM t
+      FROM parts WHERE topic = 'events.raw'),
+m AS (SELECT unnest(['after_run', 'a_day_later', 'failed']) AS moment)
+SELECT moment, 'topic_exists' AS "check", partitions::VARCHAR AS observed, partitions > 0 AS ok FROM t, m
 UNION ALL
-SELECT 'topic_has_messages', messages::VARCHAR, messages > 0 FROM t
+SELECT moment, 'topic_has_messages', messages::VARCHAR, messages > 0 FROM t, m
 UNION ALL
-SELECT 'stream_running', 'TERMINATED', false""",
+SELECT moment, 'stream_running',
+       CASE moment WHEN 'after_run' THEN 'TERMINATED' WHEN 'failed' THEN 'repo_activity_5m=FAILED'
+            ELSE 'events_v1=TERMINATED,repo_activity_5m=TERMINATED' END, moment = 'after_run' FROM m""",
     "new_since_last_seen": "WITH" + _FEEDS + "\nSELECT feed, event_id, event_type, ts FROM new_rows",
     "new_since_last_seen_pages": "WITH" + _FEEDS + """
 SELECT feed, event_id, event_type, ts,
-       (((SELECT max(event_id) FROM events) - event_id) // 100 + 1)::INTEGER AS page,
-       (((SELECT max(event_id) FROM events) - event_id) % 100)::INTEGER AS idx
-FROM new_rows""",
+       CASE WHEN rank < 100 THEN 1 ELSE (rank - 99) // 100 + 2 END::INTEGER AS page,
+       CASE WHEN rank < 100 THEN rank ELSE (rank - 99) % 100 END::INTEGER AS idx
+FROM (SELECT *, (SELECT max(event_id) FROM events) - event_id AS rank FROM new_rows)""",
     "feed_cursor": "WITH" + _FEEDS + f""",
 newest AS (SELECT feed, arg_max(event_id, event_id)::VARCHAR AS new_id FROM new_rows GROUP BY feed),
 etags AS (SELECT feed, {_fingerprint('event_id')} AS new_etag FROM f GROUP BY feed)
@@ -169,11 +172,28 @@ prev AS (SELECT feed, {_fingerprint('event_id')} AS prev_fingerprint
 SELECT coalesce(cur.feed, prev.feed) AS feed, fingerprint, prev_fingerprint,
        fingerprint IS DISTINCT FROM prev_fingerprint AS changed
 FROM cur FULL JOIN prev ON cur.feed = prev.feed""",
-    # Both drain-then-stop queries end TERMINATED (not live) after reading every record.
-    "stream_health": """
-SELECT 'events_v1' AS query, 'TERMINATED' AS state, false AS ok, count(*) AS input_rows FROM events
-UNION ALL
-SELECT 'repo_activity_5m', 'TERMINATED', false, count(*) FROM events""",
+    # Both drain-then-stop queries end TERMINATED, after the first read every
+    # event and the second every valid one from the first one's table.
+    "stream_health": "WITH" + _VALIDATED + """,
+q AS (SELECT 'events_v1' AS query, count(*) AS total_rows FROM events
+      UNION ALL SELECT 'repo_activity_5m', count(*) FROM validated),
+m AS (SELECT unnest(['after_run', 'a_day_later', 'failed']) AS moment)
+SELECT moment, query, CASE WHEN failing THEN 'FAILED' ELSE 'TERMINATED' END AS state,
+       moment <> 'a_day_later' AND NOT failing AS ok, total_rows
+FROM (SELECT *, moment = 'failed' AND query = 'repo_activity_5m' AS failing FROM q, m)""",
+    # Polls by one checkpoint: a poll's rows count unless their window had ended
+    # 10 minutes before the latest time of the polls before it.
+    "repo_activity_5m_late": "WITH" + _VALIDATED + """,
+polled AS (SELECT *, CASE WHEN split_part(actor_login, '_', 2)::BIGINT % 10 = 0 THEN least(due + 1, 2) ELSE due END AS poll
+           FROM (SELECT *, CASE WHEN created_at < TIMESTAMP '2024-01-10 00:00:00' THEN 0
+                                WHEN created_at < TIMESTAMP '2024-01-20 00:00:00' THEN 1 ELSE 2 END AS due FROM validated)),
+latest AS (SELECT p.poll, max(e.created_at) AS seen FROM (SELECT DISTINCT poll FROM polled) p JOIN polled e ON e.poll < p.poll GROUP BY p.poll),
+kept AS (SELECT v.*, time_bucket(INTERVAL 5 MINUTES, created_at) AS window_start FROM polled v LEFT JOIN latest USING (poll)
+         WHERE seen IS NULL OR time_bucket(INTERVAL 5 MINUTES, created_at) + INTERVAL 5 MINUTES > seen - INTERVAL 10 MINUTES)
+SELECT window_start, window_start + INTERVAL 5 MINUTES AS window_end, repo_name, count(*) AS event_count,
+       string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS event_types
+FROM kept GROUP BY window_start, repo_name
+HAVING window_start + INTERVAL 5 MINUTES <= (SELECT max(created_at) FROM polled) - INTERVAL 10 MINUTES""",
     # The same drop rules over the table (checked in order: id, time, type).
     "stream_drop_counts": """
 SELECT 'input_rows' AS metric, count(*) AS "rows" FROM events
@@ -183,7 +203,8 @@ UNION ALL SELECT 'type_not_allowed', count(*) FILTER (
     WHERE event_id IS NOT NULL AND ts IS NOT NULL
       AND (event_type IS NULL OR event_type NOT IN ('click', 'view', 'purchase', 'signup'))) FROM events""",
     "stream_cursor": """
-SELECT 'org/repo_' || (user_id % 20)::VARCHAR AS feed, NULL::VARCHAR AS etag, max(event_id)::VARCHAR AS last_event_id
+SELECT 'org/repo_' || (user_id % 20)::VARCHAR AS feed, NULL::VARCHAR AS etag, max(event_id)::VARCHAR AS last_event_id,
+       count(*) AS "rows"
 FROM events WHERE event_type IN ('click', 'view', 'purchase', 'signup') GROUP BY 1""",
     "dedup_events": _DEDUPED,
     "dedup_events_stream": _DEDUPED,

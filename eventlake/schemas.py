@@ -30,8 +30,8 @@ EVENT_TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ssX"
 MAX_OFFSETS_PER_TRIGGER = 50000
 # -----------------------------------------------------------------------------
 
-# JSON message body, parsed permissively; unknown fields are ignored by the
-# parse and survive in ``raw_payload``.
+# JSON message body (fixed field names: the wire format), parsed permissively;
+# unknown fields are ignored by the parse and survive in ``raw_payload``.
 ENVELOPE_SCHEMA = StructType(
     [
         StructField("id", StringType(), True),
@@ -111,6 +111,18 @@ PROGRESS_SCHEMA = StructType(
     ]
 )
 
+# Source offsets of each micro-batch recorded by ``streaming.progress``.
+OFFSETS_SCHEMA = StructType(
+    [
+        StructField("query", StringType(), True),
+        StructField("ts", TimestampType(), True),
+        StructField("topic", StringType(), True),
+        StructField("partition", IntegerType(), True),
+        StructField("low", LongType(), True),
+        StructField("high", LongType(), True),
+    ]
+)
+
 # Observed per-batch counters recorded by ``streaming.progress.ProgressRecorder``.
 METRICS_SCHEMA = StructType(
     [

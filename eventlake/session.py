@@ -27,6 +27,9 @@ def shared_dir(spark: SparkSession) -> str:
     if jdir.isDefined():
         return jdir.get().rstrip("/")
     # Unset: local run. Make one folder and register it for the session.
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="eventlake-"))
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
@@ -40,6 +43,15 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """``fresh_dir`` for intermediate tables: deleted when the application ends."""
+    path = fresh_dir(spark, name)
+    fs, jpath = hadoop_path(spark, path)
+    fs.mkdirs(jpath)
+    fs.deleteOnExit(jpath)
+    return f"{path}/t"
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """``(file_system, Path)`` for ``path`` on the cluster's file systems
     (HDFS, object stores, local), for metadata: existence, listing, times."""

@@ -38,12 +38,25 @@ def committed_versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(out)
 
 
+def newest_version(spark: SparkSession, path: str) -> int | None:
+    """The newest committed version: versions are tried newest first, so the
+    cost doesn't grow with how many there are."""
+    fs, root = hadoop_path(spark, path)
+    if not fs.exists(root):
+        return None
+    found = [m for st in fs.listStatus(root) if st.isDirectory() and (m := _VERSION_DIR.match(st.getPath().getName()))]
+    for version in sorted((int(m.group(1)) for m in found), reverse=True):
+        if fs.exists(hadoop_path(spark, f"{path.rstrip('/')}/v={version}/{_MARKER}")[1]):
+            return version
+    return None
+
+
 def load_cursor(spark: SparkSession, path: str) -> DataFrame:
     """Newest saved cursors (``feed, etag, last_event_id``); none if never saved."""
-    versions = committed_versions(spark, path)
-    if not versions:
+    version = newest_version(spark, path)
+    if version is None:
         return spark.createDataFrame([], CURSOR_SCHEMA)
-    newest = f"{path.rstrip('/')}/v={versions[-1]}"
+    newest = f"{path.rstrip('/')}/v={version}"
     try:
         return spark.read.schema(CURSOR_SCHEMA).parquet(newest)
     except Exception as exc:  # noqa: BLE001 - any read failure of committed state

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
@@ -67,21 +68,33 @@ def _refuse_orphaned_sink(spark, path: str, checkpoint: str) -> None:
         )
 
 
-def run_all(queries: Iterable[StreamingQuery], timeout: float | None = None) -> None:
+def run_all(
+    queries: Iterable[StreamingQuery], timeout: float | None = None, stop_on_failure: bool = False, poll: float = 0.2
+) -> None:
     """Wait for every query (not just the first to end); then raise the first
-    error, if any. Queries still active at the timeout are stopped. An
-    interrupt (Ctrl-C, or SIGTERM mapped to it) stops all of them and is
-    re-raised: their checkpoints let a restart resume where they stopped."""
+    error, if any. All are watched at once: with ``stop_on_failure`` (for
+    queries that would run for ever) the first failure stops the others.
+    ``timeout`` is for all of them together; queries still active then are
+    stopped. An interrupt (Ctrl-C, or SIGTERM mapped to it) stops all of them
+    and is re-raised: their checkpoints let a restart resume where they stopped."""
     queries = list(queries)
+    pending = list(queries)
     first_error: BaseException | None = None
+    deadline = None if timeout is None else time.monotonic() + timeout
     try:
-        for q in queries:
-            try:
-                finished = q.awaitTermination(timeout) if timeout is not None else q.awaitTermination()
-                if finished is False:
+        while pending:
+            for q in list(pending):
+                left = poll if deadline is None else min(poll, max(0.01, deadline - time.monotonic()))
+                try:
+                    if q.awaitTermination(left if len(pending) > 1 or deadline is not None or stop_on_failure else None) is False:
+                        continue
+                except Exception as exc:  # noqa: BLE001 - a failed query: the others are still to be waited for
+                    first_error = first_error or exc
+                pending.remove(q)
+            if pending and (stop_on_failure and first_error or deadline is not None and time.monotonic() >= deadline):
+                for q in pending:
                     q.stop()
-            except Exception as exc:  # noqa: BLE001 - a failed query: keep waiting for the others
-                first_error = first_error or exc
+                break
     except BaseException:
         for q in queries:
             q.stop()
@@ -98,6 +111,8 @@ def data_then_cursor(
     cursor_path: str,
     cursor_of: Callable[[DataFrame], DataFrame],
     fmt: str = "parquet",
+    keep: int = 10,
+    rows_of: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that appends the batch's rows, then saves
     the cursor ``cursor_of(batch)`` as version ``batch_id``.
@@ -106,15 +121,19 @@ def data_then_cursor(
     appear twice; read them through ``dedup_events``) and never leaves a
     cursor ahead of the data it covers. The batch is persisted for its two
     uses, so the source is read once (a lost cached block is recomputed from
-    the batch's offsets); make ``cursor_of`` an aggregate per feed.
+    the batch's offsets); make ``cursor_of`` an aggregate per feed. The newest
+    ``keep`` cursor versions stay. ``rows_of`` picks the rows to take in, such
+    as those ahead of the cursor; it is applied to the batch first.
     """
     from ..sources.cursors import save_cursor
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if rows_of is not None:
+            batch = rows_of(batch)
         batch.persist()
         try:
             batch.write.mode("append").format(fmt).save(data_path)
-            save_cursor(cursor_of(batch), cursor_path, batch_id)
+            save_cursor(cursor_of(batch), cursor_path, batch_id, keep)
         finally:
             batch.unpersist()
 

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from eventlake.operators.health import health_report, stream_health, topic_health
 from eventlake.schemas import PROGRESS_SCHEMA
 
@@ -18,7 +20,7 @@ def report(spark, offs_rows, progress_rows=None, topic="t"):
     topics = topic_health(spark.createDataFrame(offs_rows, OFFSETS))
     streams = None
     if progress_rows is not None:
-        streams = stream_health(spark.createDataFrame(progress_rows, PROGRESS_SCHEMA))
+        streams = stream_health(spark.createDataFrame(progress_rows, PROGRESS_SCHEMA), now=F.lit(T(3)))
     return {r.check: (r.observed, r.ok) for r in health_report(topics, topic, streams).collect()}
 
 
@@ -41,15 +43,23 @@ def test_stream_states(spark):
     pending = [("q", T(0), "PENDING", 0, 0)]
     assert report(spark, [("t", 0, 0, 1)], pending)["stream_running"] == ("PENDING", True)
     dead = [("q", T(0), "RUNNING", 5, 0), ("q", T(2), "FAILED", 0, 0)]
-    assert report(spark, [("t", 0, 0, 1)], dead)["stream_running"] == ("FAILED", False)
+    assert report(spark, [("t", 0, 0, 1)], dead)["stream_running"] == ("q=FAILED", False)
+    # one failed query fails the check, whichever reported last
+    two = [("a", T(2), "RUNNING", 5, 0), ("b", T(0), "FAILED", 0, 0)]
+    assert report(spark, [("t", 0, 0, 1)], two)["stream_running"] == ("b=FAILED", False)
+    drained = [("q", T(0), "RUNNING", 5, 0), ("q", T(2), "TERMINATED", 0, 0)]
+    assert report(spark, [("t", 0, 0, 1)], drained)["stream_running"] == ("TERMINATED", True)
+    at_once = [("q", T(2), "FAILED", 0, 0), ("q", T(2), "RUNNING", 5, 0)]
+    assert report(spark, [("t", 0, 0, 1)], at_once)["stream_running"] == ("q=FAILED", False)
     assert report(spark, [("t", 0, 0, 1)], [])["stream_running"] == ("NONE", False)
 
 
 def test_stale_stream_not_live(spark):
     rows = [("q", T(0), "RUNNING", 5, 0)]
     df = spark.createDataFrame(rows, PROGRESS_SCHEMA)
-    assert stream_health(df).first().ok
-    assert not stream_health(df, stale_after="30 minutes").first().ok
+    assert stream_health(df, now=F.lit(T(20))).first().ok
+    assert not stream_health(df, now=F.lit(T(31))).first().ok
+    assert not stream_health(df).first().ok
 
 
 def test_health_status(spark):

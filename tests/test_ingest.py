@@ -11,6 +11,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from eventlake.operators.ingest import (
     advance_cursor,
+    ahead_of_cursor,
     changed_feeds,
     dedup_events,
     feed_fingerprints,
@@ -79,7 +80,7 @@ def test_repeated_id_stops_at_first(spark):
 def test_shuffle_path_matches_broadcast(spark):
     feeds = {str(k): [str(i) for i in range(20, 0, -1)] for k in range(5)}
     cur = {str(k): str(k + 3) for k in range(5)}
-    assert new_ids(spark, feeds, cur, max_broadcast_rows=0) == new_ids(spark, feeds, cur)
+    assert new_ids(spark, feeds, cur, max_broadcast_bytes=0) == new_ids(spark, feeds, cur)
 
 
 def test_numeric_ids_compared_as_text(spark):
@@ -101,6 +102,15 @@ def test_advance_cursor(spark):
     assert got == {"a": ("e1", "9"), "b": ("e2", "3"), "c": (None, "5")}
 
 
+def test_cursor_never_moves_back(spark):
+    cur = spark.createDataFrame([("f", None, "9"), ("g", None, "10")], CURSOR_SCHEMA)
+    batch = spark.createDataFrame([("f", 5), ("g", 11), ("g", 2), ("h", 1)], "feed string, id long")
+    got = {r.feed: r.last_event_id for r in advance_cursor(batch, cur, id_col="id", order_col="id", newest_first=False).collect()}
+    assert got == {"f": "9", "g": "11", "h": "1"}
+    ahead = {(r.feed, r.id) for r in ahead_of_cursor(batch, cur, id_col="id").collect()}
+    assert ahead == {("g", 11), ("h", 1)}
+
+
 def test_advance_cursor_new_etags(spark):
     new = page(spark, {"a": []})
     old = spark.createDataFrame([("a", "e1", "7")], CURSOR_SCHEMA)
@@ -200,7 +210,7 @@ def test_hot_feed_spread_on_shuffle_path(spark, session_conf):
         F.col("id").cast("string").alias("event_id"),
     )
     cur = spark.createDataFrame([("hot", None, "2997")] + [(str(k), None, "x") for k in range(97)], CURSOR_SCHEMA)
-    out = new_since_last_seen(feed, cur, max_broadcast_rows=10)
+    out = new_since_last_seen(feed, cur, max_broadcast_bytes=10)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan
     per_task = out.where(F.col("feed") == "hot").groupBy(F.spark_partition_id()).count().collect()
@@ -215,7 +225,7 @@ def test_shuffle_path_combines_copies_before_the_join(spark, session_conf):
         F.lit("f").alias("feed"), (F.col("id") % 7).alias("pos"), (F.col("id") % 7).cast("string").alias("event_id")
     )
     cur = spark.createDataFrame([("f", None, "3")], CURSOR_SCHEMA)
-    out = new_since_last_seen(feed, cur, max_broadcast_rows=0)
+    out = new_since_last_seen(feed, cur, max_broadcast_bytes=0)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_min(pos" in plan, plan
     assert sorted({r.event_id for r in out.collect()}) == ["0", "1", "2"]

@@ -10,6 +10,7 @@ from eventlake.operators.parse import parse_events
 from eventlake.operators.quality import validate
 from eventlake.sources.kafka import decode_records
 from eventlake.plans import inputs
+from eventlake.plans.catalog import QUERIES
 
 from conftest import SF_SMALL
 
@@ -29,10 +30,9 @@ def test_repo_activity_one_exchange(spark, tmp_uri):
     assert plan.count("from_json(") == 1, plan
 
 
-def test_under_split_scan_is_spread(spark):
-    plan = plan_of(inputs.records(spark, SF_SMALL, spread=True))
-    assert spark.read.parquet(f"{SF_SMALL}/events.parquet").rdd.getNumPartitions() == 1
-    assert "Exchange RoundRobinPartitioning" in plan, plan
+def test_rows_are_spread_where_asked(spark):
+    assert "Exchange RoundRobinPartitioning" in plan_of(inputs.records(spark, SF_SMALL, parallel=True))
+    assert "Exchange" not in plan_of(inputs.records(spark, SF_SMALL))
 
 
 def test_scan_prunes_columns(spark):
@@ -41,7 +41,7 @@ def test_scan_prunes_columns(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan, plan
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - STREAMING))
+@pytest.mark.parametrize("name", sorted(n for n in set(QUERIES) - STREAMING))
 def test_no_python_udfs(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
@@ -51,14 +51,14 @@ def test_no_python_udfs(spark, name):
 def test_closed_windows_reads_input_once(spark):
     from eventlake.operators.activity import closed_windows
 
-    out = closed_windows(inputs.validated(spark, SF_SMALL), types=inputs.TEST_ALLOWED_TYPES)
+    out = closed_windows(inputs.validated(spark, SF_SMALL))
     plan = plan_of(out)
     # the input was read by the eager checkpoint; the result reads only that
     assert "FileScan" not in plan and "from_json" not in plan, plan
     assert out.count() > 0
 
 
-def test_under_split_stream_is_spread(spark):
+def test_stream_is_spread(spark):
     stream = inputs.record_stream(spark, SF_SMALL)
     assert stream.isStreaming
     assert "Repartition" in stream._jdf.queryExecution().logical().toString()

@@ -7,6 +7,8 @@ import json
 import os
 import random
 import tempfile
+import time
+from dataclasses import replace
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -21,7 +23,7 @@ from eventlake.operators.parse import parse_events
 from eventlake.operators.quality import validate
 from eventlake.sources.files import read_record_files
 from eventlake.sources.kafka import decode_records
-from eventlake.streaming.jobs import ACTIVITY_TABLE, EVENTS_TABLE, run_ingest, start_repo_activity
+from eventlake.streaming.jobs import ACTIVITY_TABLE, EVENTS_TABLE, run_ingest, start_events_v1, start_repo_activity
 from eventlake.streaming.progress import ProgressRecorder
 from eventlake.streaming.sinks import run_all, start_append
 
@@ -233,8 +235,10 @@ def test_two_queries_and_progress(spark):
     assert activity_rows(spark, cfg) == [(hms(0, 0), "r", 1, (P,))]
     health = {r.query: r for r in stream_health(rec.to_df(spark)).collect()}
     assert set(health) >= {EVENTS_TABLE, ACTIVITY_TABLE}
-    # drained availableNow queries end TERMINATED: not live.
-    assert all(not r.ok and r.state == "TERMINATED" for r in health.values())
+    # drained availableNow queries end TERMINATED: healthy while that is recent
+    assert all(r.ok and r.state == "TERMINATED" for r in health.values())
+    later = stream_health(rec.to_df(spark), now=F.current_timestamp() + F.expr("INTERVAL 1 HOUR"))
+    assert not any(r.ok for r in later.collect())
 
 
 def test_run_all_raises_after_all_stop(spark):
@@ -296,24 +300,103 @@ def test_dedup_within_watermark_drops_late_repeat(spark):
     assert ids == ["1", "2", "3"]
 
 
-def test_bitmask_types_equal_collect_set(spark):
-    rows = [(hms(0, m), r, t) for m, r, t in [(1, "a", P), (2, "a", I), (3, None, P), (7, "a", None), (8, "b", "PullRequestEvent")]]
-    src = Source()
-    src.add(rows)
-    events = parse_events(decode_records(spark.read.parquet("file://" + src.dir))).where(F.col("event_id").isNotNull())
-    plain = repo_activity(events).collect()
-    masked = repo_activity(events, types=[P, I, "PullRequestEvent"])
-    as_text = lambda rows: sorted(str(tuple(r)) for r in rows)
-    assert as_text(masked.collect()) == as_text(plain)
-    assert "ObjectHashAggregate" not in masked._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("first, then", [([P, I], [I, P]), ([P, I], ["ForkEvent", I, P])])
+def test_restart_with_another_type_list_keeps_types(spark, first, then):
+    """Types in streaming state are names: a reordered or longer list of allowed
+    types reads a stored window right."""
+    src, cfg = Source(), config(allowed_types=tuple(first))
+    src.add([(hms(0, 1), "r", P)])
+    run_all([start_repo_activity(spark, cfg, src.stream)])
+    src.add([(hms(0, 30), "r", I)])
+    run_all([start_repo_activity(spark, replace(cfg, allowed_types=tuple(then)), src.stream)])
+    assert activity_rows(spark, cfg) == [(hms(0, 0), "r", 1, (P,))]
 
 
-def test_bitmask_rejects_type_outside_list(spark):
+@pytest.mark.parametrize("n", [63, 64])
+def test_any_number_of_types(spark, n):
     src = Source()
-    src.add([(hms(0, 1), "a", "ForkEvent")])
+    src.add([(hms(0, 1), "r", f"T{i}") for i in range(n)])
     events = parse_events(decode_records(spark.read.parquet("file://" + src.dir)))
-    with pytest.raises(Exception, match="outside the closed list"):
-        repo_activity(events, types=[P]).collect()
+    assert [len(r.event_types) for r in repo_activity(events).collect()] == [n]
+
+
+def test_table_tailing_with_a_shrunk_type_list(spark):
+    src, cfg = Source(), config(activity_from_table=True)
+    src.add([(hms(0, 1), "r", P), (hms(0, 2), "r", I), (hms(0, 30), "r", P)])
+    run_all([start_events_v1(spark, cfg, src.stream)])
+    run_all([start_repo_activity(spark, replace(cfg, allowed_types=(P,)), src.stream)])
+    assert activity_rows(spark, cfg) == [(hms(0, 0), "r", 1, (P,))]
+
+
+def test_first_seen_late_event_is_stored_with_dedup(spark):
+    src, cfg = Source(), config(dedup=True)
+    src.add([(1, hms(1, 0), "r", P)])
+    run_ingest(spark, cfg, src.stream)
+    src.add([(2, hms(0, 1), "r", P), (1, hms(1, 0), "r", P), (3, hms(2, 0), "r", P)])
+    run_ingest(spark, cfg, src.stream)
+    stored = spark.read.parquet(cfg.table_path(EVENTS_TABLE))
+    assert {r.event_id for r in stored.collect()} == {"1", "2", "3"}
+    assert activity_rows(spark, cfg) == [(hms(1, 0), "r", 1, (P,))]
+
+
+def test_registered_dedup_drops_repeats_not_late_rows(spark, monkeypatch):
+    from conftest import SF_SMALL
+
+    from eventlake.plans import catalog, inputs
+
+    seen = []
+    real = catalog.start_append
+    monkeypatch.setattr(catalog, "start_append", lambda *a, **k: seen.append(real(*a, **k)) or seen[-1])
+    rows = catalog.q_dedup_events_stream(spark, SF_SMALL).count()
+    operators = [op for q in seen for p in q.recentProgress for op in p["stateOperators"]]
+    dropped = sum(int(op["customMetrics"].get("numDroppedDuplicateRows", 0)) for op in operators)
+    recs = inputs.first_poll_records(spark, SF_SMALL).unionByName(inputs.replayed_records(spark, SF_SMALL))
+    total = validate(parse_events(decode_records(recs)), inputs.TEST_ALLOWED_TYPES).count()
+    assert dropped == total - rows > 0
+    assert sum(op["numRowsDroppedByWatermark"] for op in operators) == 0
+
+
+def test_state_shrinks_when_windows_close(spark):
+    src, cfg = Source(), config()
+    src.add([(hms(0, m), f"r{m}", P) for m in range(40)])
+    q = start_repo_activity(spark, cfg, src.stream)
+    run_all([q])
+    before = max(op["numRowsTotal"] for p in q.recentProgress for op in p["stateOperators"])
+    src.add([(hms(5, 0), "r", P)])
+    q = start_repo_activity(spark, cfg, src.stream)
+    run_all([q])
+    after = q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+    assert before == 40 and after == 1
+
+
+def test_a_dead_query_stops_the_others(spark):
+    """Interval triggers: the healthy query comes first and would run for ever."""
+    src, cfg = Source(), config()
+    src.add([(hms(0, 1), "r", P)])
+    good = start_repo_activity(spark, cfg, src.stream, trigger="1 second")
+    events = validate(parse_events(decode_records(src.stream(spark))))
+
+    def boom(df, batch_id):
+        raise ValueError("sink down")
+
+    bad = events.writeStream.foreachBatch(boom).option("checkpointLocation", cfg.checkpoint_path("bad")).trigger(processingTime="1 second").start()
+    began = time.monotonic()
+    with pytest.raises(Exception, match="sink down"):
+        run_all([good, bad], stop_on_failure=True)
+    assert time.monotonic() - began < 30 and not good.isActive
+
+
+def test_a_table_of_many_files_streams_whole(spark):
+    from conftest import SF_SMALL
+
+    from eventlake.plans import catalog
+
+    folder = tempfile.mkdtemp(prefix="eventlake-many-")
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    events.repartition(5).write.parquet(f"file://{folder}/events.parquet")
+    for name in ("events_v1_stream", "repo_activity_5m_closed", "repo_activity_5m_from_events_v1", "stream_health", "stream_drop_counts"):
+        one, many = (sorted(map(str, catalog.QUERIES[name](spark, d).collect())) for d in (SF_SMALL, f"file://{folder}"))
+        assert one == many and one, name
 
 
 def test_schema_growth_with_parquet_sink(spark):
@@ -566,8 +649,8 @@ def test_time_ordered_replay_runs_many_batches(spark):
     from eventlake.streaming.jobs import file_source
 
     cfg = config(allowed_types=inputs.TEST_ALLOWED_TYPES, max_files_per_trigger=2)
-    src, ordered = inputs.time_ordered_replay(spark, SF_SMALL, f"{cfg.table_base}/source", 8)
-    assert ordered
+    src, per_batch = inputs.time_ordered_replay(spark, SF_SMALL, f"{cfg.table_base}/source", 4)
+    cfg = replace(cfg, max_files_per_trigger=per_batch)
     local = src[len("file://"):]
     parts = sorted(f for f in os.listdir(local) if f.startswith("part-"))
     stamps = [os.stat(os.path.join(local, f)).st_mtime for f in parts]
@@ -577,7 +660,7 @@ def test_time_ordered_replay_runs_many_batches(spark):
     data_batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
     assert len(data_batches) == 4
     batch = validate(parse_events(decode_records(spark.read.parquet(src))), inputs.TEST_ALLOWED_TYPES)
-    expected = closed_windows(batch, types=inputs.TEST_ALLOWED_TYPES)
+    expected = closed_windows(batch)
     as_rows = lambda df: canon(
         (int(r.ws), r.repo_name, r.event_count, tuple(r.event_types))
         for r in df.select(F.unix_timestamp("window_start").alias("ws"), "repo_name", "event_count", "event_types").collect()
