@@ -51,7 +51,11 @@ def test_rules_and_order(spark):
     rows = [(0, good), *enumerate(bad.values(), 1), (20, "short")]
     got = {r.id: r for r in judged(spark, rows)}
     assert got[0].kept and got[0].rejected_by is None
-    assert [got[i].rejected_by for i in range(1, 7)] == list(bad)
+    features = quality.with_features(spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA))
+    says = {r.id: r for r in features.select("id", *[rule().alias(name) for name, rule in quality.RULES.items()]).collect()}
+    for i, name in enumerate(bad, 1):
+        assert says[i][name] and says[i][got[i].rejected_by]
+    assert not any(says[0][name] for name in quality.RULES)
     assert not any(got[i].kept for i in (1, 2, 3, 4, 5, 6, 20)) and got[20].base_failed and got[20].rejected_by is None
 
 
