@@ -123,6 +123,21 @@ _WORDS = (
 )
 
 ORACLES: dict[str, str] = {
+    # every 50-byte string of every text, as hexadecimal digits
+    "op1_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, greatest(length(h) // 2 - 49, 0))) AS i FROM d)),
+f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s),
+m AS (SELECT w.doc_id, w.i FROM w JOIN f USING (s) WHERE first < w.doc_id),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS b FROM m),
+r AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE NOT near) AS spans
+      FROM (SELECT doc_id, b, lag(b) OVER (PARTITION BY doc_id ORDER BY b) IS NOT DISTINCT FROM b - 1 AS near FROM g) GROUP BY doc_id),
+k AS (SELECT x.doc_id, coalesce(string_agg(y, '' ORDER BY x.b) FILTER (WHERE g.b IS NULL), '') AS kept
+      FROM (SELECT doc_id, b, substr(h, 2 * b + 1, 2) AS y FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS b FROM d JOIN r USING (doc_id))) x
+      LEFT JOIN g USING (doc_id, b) GROUP BY x.doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id) LEFT JOIN k USING (doc_id)""",
     "op2_quality": f"""
 WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
                   [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS lines
