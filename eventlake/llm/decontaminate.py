@@ -26,7 +26,7 @@ from .words import gram_hashes, slices, word_hashes, words_of
 WINDOW = 13
 GRAM = 7
 REACH = WINDOW - GRAM + 1
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def fingerprints(h: np.ndarray, doc: np.ndarray):

@@ -35,7 +35,7 @@ TABLE = 1 << 17
 LEXICON_COUNT = 3
 CHUNK = 32
 #: Bytes of text times labels that are worked on at once.
-SLICE = 6 << 20
+SLICE = 4 << 20
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[97:123] = _LETTER[128:] = True

@@ -39,7 +39,7 @@ BANDS = 24
 ORDERS = 6
 #: A bucket left open is split by each of so many following bands.
 NEXT_BANDS = 7
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _SALTS = mix64(np.arange(1, BANDS * SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
