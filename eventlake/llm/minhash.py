@@ -11,11 +11,13 @@ Similarity is that of the aligned sequences: with A shingles matched in order,
 A / (n1 + n2 - A). Similarity s bounds the unmatched shingles, and so the
 width of the band around the diagonal that the alignment needs.
 
-Equal texts are one node. Within a bucket, nodes are compared to a hub, not to
-each other, and the buckets of a group take several hubs. Buckets that still
-hold several components are split by a second band, and the parts compared to
-hubs of their own, across components only. Two similar nodes stay apart only if
-no hub that they share, in any of their buckets and parts, ties them together.
+Equal texts are one node. Within a bucket, nodes are first compared to a hub,
+not to each other, and the buckets of a group take several hubs. In buckets
+that still hold several components, every pair across components is either
+excluded by a bound or compared: lengths and parity bitmaps bound the shingles
+that two nodes don't share from below. Pairs are compared by rising bound, and
+pairs that others have tied meanwhile are left out. So two similar nodes that
+share a bucket always end in one group.
 """
 
 from __future__ import annotations
@@ -37,8 +39,10 @@ SKETCHES = 2
 BANDS = 24
 #: Different hubs that the buckets of a group take.
 ORDERS = 6
-#: A bucket left open is split by each of so many following bands.
-NEXT_BANDS = 7
+#: A bucket left open is held against itself in blocks of about so many nodes.
+BLOCK = 512
+#: Steps of the bound in which pairs are compared.
+STEPS = 3
 SLICE_BYTES = 1 << 20
 
 _SALTS = mix64(np.arange(1, BANDS * SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -143,6 +147,88 @@ def compare_rows(least: float):
     return run
 
 
+def parity(x: np.ndarray) -> bytes:
+    """Bitmap of a set of hashes, a bit for each residue that an odd number of
+    them has. Bits that differ are never more than members that differ."""
+    width = max(64, 1 << (4 * len(x) - 1).bit_length())
+    odd = np.bincount((mix64(x) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def parity_rows(batches):
+    for batch in batches:
+        texts = binary_list(pa.chunked_array([batch["text"]]))
+        n, bits = [], []
+        for lo, hi in slices(texts, SLICE_BYTES):
+            for x in shingles(texts[lo:hi]):
+                n.append(len(x))
+                bits.append(parity(x) if len(x) else b"")
+        yield pa.RecordBatch.from_arrays([batch["node"], pa.array(n, pa.int64()), pa.array(bits, pa.binary())], names=["node", "n", "bits"])
+
+
+def close_pairs(group: pa.Table, least: float) -> tuple[list, list, list]:
+    """Pairs of a block, across components and parts, that no bound excludes,
+    with the step of their bound. Bitmaps of unlike width are folded to the
+    smaller one; lengths within the bound differ by one fold at most."""
+    limit = (1 - least) / (1 + least)
+    node, n, part = group["node"].to_pylist(), group["n"].to_numpy(), group["part"].to_numpy()
+    comp = group["comp"].combine_chunks().dictionary_encode().indices.to_numpy()
+    cross = all(group["cross"].to_pylist())
+    raw = group["bits"].to_pylist()
+    by_width: dict[int, list[int]] = {}
+    for k, b in enumerate(raw):
+        by_width.setdefault(len(b), []).append(k)
+    a, b, step = [], [], []
+    for width, here in by_width.items():
+        rows = np.frombuffer(b"".join(raw[k] for k in here), np.uint64).reshape(len(here), -1)
+        wide = by_width.get(2 * width, [])
+        if wide:
+            both = np.frombuffer(b"".join(raw[k] for k in wide), np.uint64).reshape(len(wide), 2, -1)
+            rows = np.concatenate((rows, both[:, 0] ^ both[:, 1]))
+        at = np.array(here + wide)
+        for i in range(len(here)):
+            k, others = at[i], at[i + 1 :]
+            ok = (comp[others] != comp[k]) & (np.minimum(n[others], n[k]) >= least * np.maximum(n[others], n[k]))
+            if cross:
+                ok &= part[others] != part[k]
+            some = np.flatnonzero(ok)
+            if not len(some):
+                continue
+            others = others[some]
+            apart = np.bitwise_count(rows[i + 1 + some] ^ rows[i]).sum(axis=1, dtype=np.int64)
+            share = apart / (limit * (n[others] + n[k]))
+            for j, x in zip(others[share <= 1 + 1e-9].tolist(), share[share <= 1 + 1e-9].tolist(), strict=True):
+                a.append(min(node[k], node[j]))
+                b.append(max(node[k], node[j]))
+                step.append(min(STEPS - 1, int(x * STEPS)))
+    return a, b, step
+
+
+def close_rows(least: float):
+    """``close_pairs`` of each key; rows come sorted by key."""
+
+    def run(batches):
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([rest, table]).combine_chunks() if rest is not None else table
+            lo, found = 0, ([], [], [])
+            for hi in (np.flatnonzero(np.diff(table["key"].to_numpy())) + 1).tolist():
+                for all_, new in zip(found, close_pairs(table.slice(lo, hi - lo), least), strict=True):
+                    all_ += new
+                lo = hi
+            rest = table.slice(lo)
+            yield pairs(found)
+        if rest is not None and len(rest):
+            yield pairs(close_pairs(rest, least))
+
+    def pairs(found):
+        a, b, step = found
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(step, pa.int32())], names=["a", "b", "step"])
+
+    return run
+
+
 def node_key(text: Column) -> Column:
     """One key for equal texts: half a SHA-256."""
     return F.substring(F.unhex(F.sha2(text.cast("binary"), 256)), 1, 16)
@@ -217,17 +303,25 @@ def linked(docs: DataFrame, rows: DataFrame, least: float) -> DataFrame:
     links = similar(pairs)
     comps = components(links)
 
-    # buckets that the hubs left in several components, split by a second band
-    of = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    open_ = of.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("bucket")
-    more = nodes.select("node", F.posexplode("bands").alias("band2", "hash2"))
-    second = members.join(open_, "bucket").join(more, "node").where(F.pmod(F.col("band2") - F.col("band"), F.lit(BANDS)).between(1, NEXT_BANDS))
-    split = second.select(F.xxhash64("bucket", "band2", "hash2").alias("bucket"), "node", F.xxhash64("band", "band2").alias("band"))
-    split = stored(crowded(split), "buckets")
-    new = stored(hub_pairs(split, F.xxhash64("node", "bucket")).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    own = lambda c: comps.select(F.col("node").alias(c), F.col("comp").alias(f"comp_{c}"))
-    apart = new.join(own("a"), "a", "left").join(own("b"), "b", "left").where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b"))
-    return components(links.union(similar(apart.select("a", "b"))))
+    # buckets that the hubs left in several components: each pair across them is excluded or compared
+    of = members.join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+    open_ = of.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo != hi")
+    of = stored(of.join(open_.select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts")), "bucket"), "open")
+    bits = stored(texts.join(of.select("node").distinct(), "node").mapInArrow(parity_rows, "node binary, n long, bits binary"), "bits")
+    part = of.withColumn("part", F.pmod(F.xxhash64("node", "bucket"), F.col("parts")).cast("int"))
+    dealt = part.select("bucket", "node", "comp", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    keyed = dealt.select(F.xxhash64("bucket", F.least("part", "other"), F.greatest("part", "other")).alias("key"), (F.col("part") != F.col("other")).alias("cross"), "node", "comp", "part")
+    blocks = keyed.join(bits, "node").select("key", "cross", "node", "comp", "part", "n", "bits").repartition("key").sortWithinPartitions("key")
+    close = blocks.mapInArrow(close_rows(least), "a binary, b binary, step int").distinct().join(pairs, ["a", "b"], "left_anti")
+    close, seen = observed(close, "pairs", **{f"n{k}": F.count_if(F.col("step") == k) for k in range(STEPS)})
+    for k in range(STEPS):
+        if not seen[f"n{k}"]:
+            continue
+        own = lambda c, comps=comps: comps.select(F.col("node").alias(c), F.col("comp").alias(f"comp_{c}"))
+        apart = close.where(F.col("step") == k).join(own("a"), "a", "left").join(own("b"), "b", "left").where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b"))
+        links = links.union(similar(apart.select("a", "b")))
+        comps = components(links)
+    return comps
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:

@@ -126,6 +126,33 @@ def test_recall_in_a_swarm_of_edited_copies(spark):
     assert sum(got[i] == c for i, c in enumerate(want)) >= 0.98 * len(rows)
 
 
+def test_star_of_copies_unlike_each_other(spark):
+    # every copy is similar to the base and to no other copy, so that only the base ties them
+    rng = random.Random(5)
+    base = ["w%d" % rng.randrange(90_000) for _ in range(120)]
+    rows = [(1000, " ".join(base))]
+    for i in range(1000):
+        w = base[:]
+        for lo in (5, 65):
+            w[lo + rng.randrange(45)] = "x%d" % rng.randrange(10**9)
+        rows.append((i, " ".join(w)))
+    x = minhash.shingles([t.encode() for _, t in rows])
+    assert all(minhash.similarity(x[0], y) >= 0.8 for y in x[1:])
+    assert sum(minhash.similarity(x[1], y) > 0 for y in x[2:]) < 50
+    assert {r.class_id for r in classes(spark, rows)} == {0}
+
+
+def test_parity_never_exceeds_the_difference():
+    rng = np.random.default_rng(2)
+    for n in (1, 16, 17, 300):
+        x = minhash.labelled(rng.integers(0, 2**63, n).astype(np.uint64))
+        y = np.concatenate((x[n // 4 :], rng.integers(0, 2**63, n // 5).astype(np.uint64)))
+        a, b = (np.frombuffer(minhash.parity(v), np.uint8) for v in (x, y))
+        while len(a) != len(b):
+            a, b = ((v[: len(v) // 2] ^ v[len(v) // 2 :] if len(v) == max(len(a), len(b)) else v) for v in (a, b))
+        assert np.bitwise_count(a ^ b).sum() <= len(np.setxor1d(x, y))
+
+
 def test_components_of_chains_and_rings(spark):
     key = lambda i: i.to_bytes(4, "big")
     chain = [(key(i), key(i + 1)) for i in range(60)] + [(key(100 + i), key(100 + (i * 7 + 8) % 31)) for i in range(31)]
