@@ -27,6 +27,8 @@ from .words import slices, word_hashes, words_of
 UNDETERMINED = "und"
 TRAIN_ROWS = 150
 TRAIN_CHARS = 4000
+#: Rows are drawn by a hash below this.
+DRAWS = 1 << 63
 SEQUENCES = 3000
 LENGTH = 40
 SWITCH = 0.04
@@ -258,6 +260,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def largest_draw(n: int) -> int:
+    """The largest hash, of 63 bits, with which one of ``n`` rows is drawn."""
+    return min(DRAWS, 2 * TRAIN_ROWS * DRAWS // n) - 1
+
+
 def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str):
     """Train on a sample of the documents that are not held out."""
     key, text, lang = quoted(id_col), quoted(text_col), quoted(lang_col)
@@ -265,16 +272,18 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str):
         lang.alias("lang"), text.alias("text"), F.xxhash64(key, text).alias("draw")
     )
     sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
-    share = F.lit(0)
+    share = F.lit(-1).cast("long")
     for name, n in sizes.items():  # about twice the rows wanted, then cut to the bound by hash
-        share = F.when(F.col("lang") == name, F.lit(int(min(1.0, 2 * TRAIN_ROWS / n) * 1_000_000))).otherwise(share)
+        share = F.when(F.col("lang") == name, F.lit(largest_draw(n))).otherwise(share)
     place = F.pmod("draw", F.greatest(F.length("text") - TRAIN_CHARS, F.lit(0)) + 1).cast("int") + 1
-    drawn = rows.where(F.pmod(F.xxhash64("draw"), F.lit(1_000_000)) < share).select("lang", "draw", F.substr("text", place, F.lit(TRAIN_CHARS)).alias("part")).collect()
+    drawn = rows.where(F.xxhash64("draw").bitwiseAND(F.lit(DRAWS - 1)) <= share).select("lang", "draw", F.substr("text", place, F.lit(TRAIN_CHARS)).alias("part")).collect()
     samples: dict[str, list[str]] = {}
     for r in sorted(drawn, key=lambda r: (r.draw, r.part)):
         of = samples.setdefault(r.lang, [])
         if len(of) < TRAIN_ROWS:
             of.append(r.part)
+    if missing := set(sizes) - set(samples):
+        raise ValueError(f"no training row was drawn for {sorted(missing)}")
     return train(samples)
 
 

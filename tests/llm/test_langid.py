@@ -2,6 +2,7 @@ import itertools
 import zlib
 
 import numpy as np
+import pytest
 
 from eventlake.llm import langid
 
@@ -71,3 +72,14 @@ def test_nothing_to_learn_from(spark):
     assert langid.identify(spark.createDataFrame([], SCHEMA)).collect() == []
     rows = langid.identify(spark.createDataFrame([(1, "the cat", None, None, 1)], SCHEMA)).collect()
     assert [(r.lang_pred, r.score) for r in rows] == [("und", 0.0)]
+
+
+def test_large_languages_are_still_drawn_from(spark, monkeypatch):
+    for n in (1, 300, 301, 10**9, 10**13):
+        assert 0 <= langid.largest_draw(n) < 2**63
+        assert abs((langid.largest_draw(n) + 1) / 2**63 * n - min(n, 300)) < 1
+    rows = [(i, ("the cat and dog " if i % 2 else "der hund und katze ") * 5, "en" if i % 2 else "de", None, 1) for i in range(60)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(langid, "largest_draw", lambda n: -1)
+    with pytest.raises(ValueError, match="de.*en"):
+        langid.identify(docs)
