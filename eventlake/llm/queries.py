@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
 from .extract import extract
+from .filter_audit import audit
 from .langid import held_out, identify
 from .licenses import scan as license_scan
 from .minhash import near_duplicates
 from .mixing import mix
 from .quality import INSULT, judge
+from .runs import periodic_runs, repeat_tails
 from .suffix_dedup import suffix_dedup
 from .tokens import count_tokens
 from .urls import judge_urls
@@ -103,6 +105,27 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = F.col("runs")
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    found = periodic_runs(repeat_tails(table(spark, sf_dir, "documents"))).withColumn("longest", longest)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality": op2_quality,
@@ -114,6 +137,8 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_langid": op9_langid,
     "op10_url_filter": op10_url_filter,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_runs": op13_runs,
 }
 
 #: Words of op4 in DuckDB, and a document's or item's windows.
@@ -177,4 +202,30 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)""",
+    # failures as bits 1 to 16; a permutation's filters before a step as bits too
+    "op12_filter_audit": """
+WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+f AS (SELECT doc_id, part,
+        CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+        + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+        + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) THEN 4 ELSE 0 END
+        + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+        + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask FROM w),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS bad FROM labels GROUP BY doc_id),
+c AS (SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(bad), 0) AS bad FROM f LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+x AS (SELECT unnest([0, 1, 2, 3, 4]) AS f),
+p AS (SELECT [a.f, b.f, c.f, d.f, e.f] AS o FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s AS (SELECT array_to_string([substr('ABCDE', f + 1, 1) FOR f IN o], '') AS filter_order, step, o[step] AS f,
+             coalesce(list_sum([1 << g FOR g IN o[1:step - 1]]), 0) AS before FROM p, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+r AS (SELECT part, filter_order, step, s.f AS f, sum(CASE WHEN mask & (before | (1 << s.f)) = 0 THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN (mask >> s.f) & 1 = 1 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN (mask >> s.f) & 1 = 1 AND mask & before <> 0 THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN mask = (1 << s.f) THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN (mask >> s.f) & 1 = 1 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+        sum(CASE WHEN (mask >> s.f) & 1 = 1 AND mask & before = 0 THEN bad ELSE 0 END) AS toxic_lost
+      FROM c, s GROUP BY part, filter_order, step, s.f)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM r""",
 }
