@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .decontaminate import decontaminate
 from .extract import extract
 from .filter_audit import audit
+from .hmm import score_texts
 from .langid import held_out, identify
 from .licenses import scan as license_scan
 from .minhash import near_duplicates
@@ -105,6 +106,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+def op11_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -137,6 +142,7 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_langid": op9_langid,
     "op10_url_filter": op10_url_filter,
+    "op11_hmm_score": op11_hmm_score,
     "op12_filter_audit": op12_filter_audit,
     "op13_runs": op13_runs,
 }
