@@ -44,8 +44,10 @@ PRIOR = 10.0
 #: First guess: the chance to stay in a state, and how far emissions differ.
 STAY, SPREAD = 0.8, 1.0
 #: Tokens of a piece, and pieces that run side by side.
-PIECE = 512
+PIECE = 1024
 ABREAST = 512
+#: Products of emissions are scaled back after so many.
+RESCALE = 8
 #: Expected counts are added up in parts of one.
 UNIT = 1 << 16
 #: Text of a block, and words of a bucket.
@@ -220,6 +222,7 @@ class Model:
 
     def __init__(self, first: np.ndarray, move: np.ndarray, emit: np.ndarray):
         self.first, self.move, self.emit = first, move, emit
+        self.by_state = np.ascontiguousarray(emit.T)
 
     @staticmethod
     def guess(shares: np.ndarray, seed: int = 0) -> Model:
@@ -235,7 +238,8 @@ class Model:
 
 
 class Pieces:
-    """Texts cut into pieces, longest pieces first, and what runs over them."""
+    """Texts cut into pieces (all but a text's last of ``PIECE`` tokens), and
+    what runs over them."""
 
     def __init__(self, sizes: np.ndarray, classes: np.ndarray):
         count = -(-sizes // PIECE)
@@ -244,7 +248,7 @@ class Pieces:
         within = np.arange(len(self.text)) - (last - count)[self.text]
         self.start = (np.cumsum(sizes) - sizes)[self.text] + within * PIECE
         self.size = np.minimum(PIECE, sizes[self.text] - within * PIECE)
-        self.opens = within == 0
+        self.opens, self.closes = within == 0, within == count[self.text] - 1
         self.several = count[self.text] > 1
         self.count = count
         self.classes = classes
@@ -257,46 +261,59 @@ class Pieces:
             at = which[a : a + ABREAST]
             yield at, np.searchsorted(-self.size[at], -np.arange(self.size[at[0]]), side="left")
 
-    def matrices(self, model: Model) -> dict[int, np.ndarray]:
-        """For pieces of long texts: what they do to a state vector, up to a
-        factor."""
-        out = {}
-        for at, running in self.batches(np.flatnonzero(self.several)):
-            x = np.where(self.opens[at][:, None, None], np.eye(STATES), model.move) * model.emit[self.classes[self.start[at]]][:, None, :]
-            for t in range(1, len(running)):
-                n = running[t]
-                now = (x[:n] @ model.move) * model.emit[self.classes[self.start[at[:n]] + t]][:, None, :]
-                x[:n] = now / now.max(axis=(1, 2), keepdims=True)
-            out.update(zip(at.tolist(), x, strict=True))
-        return out
+    def laid_out(self, model: Model, at: np.ndarray, running: np.ndarray):
+        """Tokens of a group of pieces by place, then piece: their classes,
+        their emissions (a row for each state), and where each place begins."""
+        place = np.concatenate(([0], np.cumsum(running)))
+        t = np.repeat(np.arange(len(running)), running)
+        kinds = self.classes[self.start[at[np.arange(place[-1]) - place[t]]] + t]
+        return kinds, model.by_state.take(kinds, axis=1), place.tolist()
 
     def edges(self, model: Model) -> tuple[np.ndarray, np.ndarray]:
         """The state before each piece (a distribution), and what follows it
-        (up to a factor)."""
+        (up to a factor). A long text's first piece takes one vector to its
+        end, its last piece one back to its start, a piece between them a
+        matrix."""
         before, after = np.tile(model.first, (len(self.text), 1)), np.ones((len(self.text), STATES))
-        matrix = self.matrices(model)
+        ahead, back, between = {}, {}, {}
+        for at, _ in self.batches(np.flatnonzero(self.several & ~self.closes)):
+            # rows: each state the piece can start from, or the one first vector
+            for ours, start, out in ((self.opens[at], model.first[None, :], ahead), (~self.opens[at], model.move, between)):
+                on = at[ours]
+                if len(on):
+                    x = np.broadcast_to(start, (len(on), *start.shape)) * model.emit[self.classes[self.start[on]]][:, None, :]
+                    for t in range(1, PIECE):
+                        x = (x.reshape(-1, STATES) @ model.move).reshape(x.shape) * model.emit[self.classes[self.start[on] + t]][:, None, :]
+                        if t % RESCALE == 0:
+                            x /= x.max(axis=(1, 2), keepdims=True)
+                    out.update(zip(on.tolist(), x / x.max(axis=(1, 2), keepdims=True), strict=True))
+        for at, running in self.batches(np.flatnonzero(self.several & self.closes)):
+            x = np.ones((len(at), STATES))
+            for t in range(len(running) - 1, -1, -1):
+                n = running[t]
+                now = (x[:n] * model.emit[self.classes[self.start[at[:n]] + t]]) @ model.move.T
+                x[:n] = now / now.max(axis=1, keepdims=True) if t % RESCALE == 0 else now
+            back.update(zip(at.tolist(), x, strict=True))
         ends = np.cumsum(self.count)
         for k in np.flatnonzero(self.count > 1).tolist():
             a, b = int(ends[k] - self.count[k]), int(ends[k])
             for i in range(a, b - 1):
-                x = before[i] @ matrix[i]
+                x = before[i] @ between[i] if i > a else ahead[i][0]
                 before[i + 1] = x / x.sum()
             for i in range(b - 2, a - 1, -1):
-                x = matrix[i + 1] @ after[i + 1]
+                x = between[i + 1] @ after[i + 1] if i < b - 2 else back[i + 1]
                 after[i] = x / x.max()
         return before, after
 
-    def forward(self, model: Model, at: np.ndarray, running: np.ndarray, before: np.ndarray):
-        """Scaled forward vectors by place and piece, and their scales."""
-        state, scale = np.zeros((len(running), len(at), STATES)), np.ones((len(running), len(at)))
-        x = np.where(self.opens[at][:, None], before[at], before[at] @ model.move)
-        for t, n in enumerate(running.tolist()):
+    def forward(self, model: Model, at: np.ndarray, emits: np.ndarray, place: list[int], before: np.ndarray):
+        """Scaled forward vectors, and the scale of each token."""
+        state, scale, move = np.empty_like(emits), np.empty(emits.shape[1]), np.ascontiguousarray(model.move.T)
+        x = np.where(self.opens[at][:, None], before[at], before[at] @ model.move).T
+        for t, (a, b) in enumerate(zip(place, place[1:], strict=False)):
             if t:
-                x = x[:n] @ model.move
-            x = x * model.emit[self.classes[self.start[at[:n]] + t]]
-            c = x.sum(axis=1)
-            x /= c[:, None]
-            state[t, :n], scale[t, :n] = x, c
+                x = move @ x[:, : b - a]
+            x = np.multiply(x, emits[:, a:b], out=state[:, a:b])
+            x /= np.sum(x, axis=0, out=scale[a:b])
         return state, scale
 
     def likelihoods(self, model: Model) -> np.ndarray:
@@ -304,40 +321,41 @@ class Pieces:
         before, _ = self.edges(model)
         out = np.zeros(len(self.count))
         for at, running in self.batches(np.arange(len(self.text))):
-            _, scale = self.forward(model, at, running, before)
-            np.add.at(out, self.text[at], np.log10(scale).sum(axis=0))
+            _, emits, place = self.laid_out(model, at, running)
+            _, scale = self.forward(model, at, emits, place, before)
+            piece = np.arange(place[-1]) - np.repeat(place[:-1], running)
+            np.add.at(out, self.text[at], np.bincount(piece, weights=np.log10(scale), minlength=len(at)))
         return out
 
     def expected(self, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
         """Expected first states, moves and emissions, and the log10 likelihood
         of all texts."""
         before, after = self.edges(model)
-        first, moves, emits, total = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros_like(model.emit), 0.0
+        first, moves, emitted, total = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros(model.by_state.shape), 0.0
         for at, running in self.batches(np.arange(len(self.text))):
-            state, scale = self.forward(model, at, running, before)
+            kinds, emits, place = self.laid_out(model, at, running)
+            state, scale = self.forward(model, at, emits, place, before)
             total += float(np.log10(scale).sum())
             # what follows, scaled so that forward times backward is 1 at each place
-            final = state[self.size[at] - 1, np.arange(len(at))]
-            back = after[at] / (final * after[at]).sum(axis=1, keepdims=True)
-            kinds = np.zeros(state.shape[:2], dtype=np.uint16)
+            final = state[:, np.array(place)[self.size[at] - 1] + np.arange(len(at))]
+            back = after[at].T / (final * after[at].T).sum(axis=0)
+            emits /= scale
             for t in range(len(running) - 1, -1, -1):
-                n = running[t]
-                kind = self.classes[self.start[at[:n]] + t]
-                kinds[t, :n] = kind
-                w = back[:n] * model.emit[kind] / scale[t, :n, None]
-                state[t, :n] *= back[:n]
+                a, b = place[t], place[t + 1]
+                n = b - a
+                w = np.multiply(back[:, :n], emits[:, a:b])
+                state[:, a:b] *= back[:, :n]
                 if t:
-                    moves += state[t - 1, :n].T @ w  # still without what follows
-                    back[:n] = w @ model.move.T
+                    c = place[t - 1]
+                    moves += state[:, c : c + n] @ w.T  # still without what follows
+                    np.matmul(model.move, w, out=back[:, :n])
                 else:
                     on = ~self.opens[at]
-                    moves += before[at][on].T @ w[on]
-            first += state[0][self.opens[at]].sum(axis=0)
-            valid = np.arange(len(at))[None, :] < running[:, None]
-            kinds, state = kinds[valid], state[valid]
+                    moves += before[at][on].T @ w[:, on].T
+            first += state[:, : len(at)][:, self.opens[at]].sum(axis=1)
             for s in range(STATES):
-                emits[:, s] += np.bincount(kinds, weights=state[:, s], minlength=len(emits))
-        return first, moves * model.move, emits, total
+                emitted[s] += np.bincount(kinds, weights=state[s], minlength=emitted.shape[1])
+        return first, moves * model.move, emitted.T, total
 
 
 def expectations(model: Model):
