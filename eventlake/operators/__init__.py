@@ -13,6 +13,9 @@ from .ingest import (
 )
 from .health import health_report, health_status, partition_offsets, stream_health, topic_health
 from .publish import to_messages, write_messages
+from .asof import asof_join
+from .intervals import interval_join
+from .sessions import click_purchases, user_sessions
 
 __all__ = [
     "parse_events",
@@ -36,4 +39,8 @@ __all__ = [
     "health_status",
     "to_messages",
     "write_messages",
+    "asof_join",
+    "interval_join",
+    "user_sessions",
+    "click_purchases",
 ]

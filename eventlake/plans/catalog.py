@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import StreamConfig
 from ..operators.activity import closed_windows, event_type_counts, repo_activity
+from ..operators.asof import asof_join
 from ..operators.health import health_report, partition_offsets, stream_health, topic_health
 from ..operators.ingest import (
     advance_cursor,
@@ -28,9 +29,11 @@ from ..operators.ingest import (
     feed_fingerprints,
     new_since_last_seen,
 )
+from ..operators.intervals import interval_join
 from ..operators.parse import parse_events
 from ..operators.publish import to_messages
 from ..operators.quality import drop_reason, drop_reasons, validate
+from ..operators.sessions import click_purchases, closed, user_sessions
 from ..session import scratch_dir
 from ..sources.cursors import load_cursor, save_cursor
 from ..sources.envelope import TOPIC, api_events
@@ -43,7 +46,9 @@ from ..streaming.jobs import (
     run_ingest,
     start_events_v1,
     start_repo_activity,
+    validated_stream,
 )
+from ..streaming.keyed import CURSOR, IDLE, feed_events
 from ..streaming.progress import MONITOR_TABLES, ProgressRecorder
 from ..streaming.sinks import data_then_cursor, run_all, start_append
 from ..streaming.state import stateful_settings
@@ -394,6 +399,97 @@ def q_repo_activity_5m_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(read_table(spark, cfg.table_path(ACTIVITY_TABLE)))
 
 
+# --- joins in time, sessions, and state kept by the stream ----------------------
+
+
+def q_purchase_last_click(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each purchase with the user's last click at or before it, if that is at
+    most a day old."""
+    events = inputs.validated(spark, sf_dir).withColumn("id", F.col("event_id").cast("long"))
+    of = lambda kind: events.where(F.col("event_type") == kind)
+    purchases = of("purchase").select("actor_login", F.col("event_id").alias("purchase_id"), F.col("created_at").alias("purchase_at"))
+    values = {"event_id": "click_id", "created_at": "click_at"}
+    return comparable(asof_join(purchases, of("click"), ["actor_login"], "purchase_at", "created_at", values, order=["id"], tolerance="1 DAY"))
+
+
+def q_user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(user_sessions(inputs.validated(spark, sf_dir)))
+
+
+def q_user_sessions_batch_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = inputs.validated(spark, sf_dir)
+    return comparable(closed(user_sessions(events), events))
+
+
+def q_overlapping_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of sessions of two users in one repository that overlap."""
+    sessions = user_sessions(inputs.validated(spark, sf_dir), keys=("repo_name", "actor_login")).drop("event_count", "purchases")
+    one, other = (sessions.toDF(f"{x}_start", f"{x}_end", "repo_name", f"{x}_user") for x in ("one", "other"))
+    pairs = interval_join(one, other, ["repo_name"], ("one_start", "one_end"), ("other_start", "other_end"))
+    return comparable(pairs.where(F.col("one_user") < F.col("other_user")))
+
+
+def _replayed(spark: SparkSession, sf_dir: str, name: str, batches: int) -> tuple[StreamConfig, Callable[[], DataFrame]]:
+    """The table as time-ordered files, and a stream of its valid events."""
+    cfg = _stream_config(spark, name, sf_dir, state_store="rocksdb")
+    src, per_batch = inputs.time_ordered_replay(spark, sf_dir, f"{cfg.table_base}/source", batches=batches)
+    cfg = replace(cfg, max_files_per_trigger=per_batch)
+    return cfg, lambda: validated_stream(file_source(cfg, src)(spark), cfg)
+
+
+def _drain(spark: SparkSession, cfg: StreamConfig, out: DataFrame, table: str) -> DataFrame:
+    """Run a stream until its input is read; returns the table it wrote."""
+    with stateful_settings(spark, cfg.state_store, cfg.state_partitions):
+        q = start_append(out, cfg.table_path(table), cfg.checkpoint_path(table))
+    run_all([q])
+    return read_table(spark, cfg.table_path(table))
+
+
+def q_user_sessions_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions by a stream over four micro-batches: open ones are carried on,
+    and each is emitted once, when the watermark passes its end."""
+    cfg, events = _replayed(spark, sf_dir, "sessions", 4)
+    return comparable(_drain(spark, cfg, user_sessions(events()), "sessions"))
+
+
+def q_click_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = inputs.validated(spark, sf_dir)
+    return comparable(click_purchases(*[events.where(F.col("event_type") == kind) for kind in ("click", "purchase")]))
+
+
+def q_click_purchases_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a join of two streams over three micro-batches; a click
+    without a purchase comes when none can follow any more."""
+    cfg, events = _replayed(spark, sf_dir, "pairs", 3)
+    pairs = click_purchases(*[events().where(F.col("event_type") == kind) for kind in ("click", "purchase")])
+    return comparable(_drain(spark, cfg, pairs, "pairs"))
+
+
+def q_stream_cursor_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``stream_cursor`` with the cursor in the stream's own state: four
+    micro-batches, then a restart that meets the first poll's records again.
+    The watermark lies far back, so those are not late but behind the cursor."""
+    cfg, events = _replayed(spark, sf_dir, "cursor-state", 4)
+
+    def drain() -> DataFrame:
+        keyed = events().withColumn("feed", F.col("repo_name")).withColumn("id", F.col("event_id").cast("long"))
+        return _drain(spark, cfg, feed_events(keyed, idle_minutes=60 * 24 * 365, delay="60 days"), "feeds")
+
+    drain()
+    write_table(inputs.first_poll_records(spark, sf_dir), f"{cfg.table_base}/source")
+    moves = drain().where(F.col("kind") == CURSOR)
+    return moves.groupBy("feed").agg(F.max(F.col("last_event_id").cast("long")).cast("string").alias("last_event_id"), F.sum("rows").alias("rows"))
+
+
+def q_idle_users_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users without an event for more than a day, by timers of the stream's
+    state over four micro-batches: one row for each such gap."""
+    cfg, events = _replayed(spark, sf_dir, "idle", 4)
+    keyed = events().withColumn("feed", F.col("actor_login")).withColumn("id", F.col("event_id").cast("long"))
+    found = _drain(spark, cfg, feed_events(keyed, idle_minutes=60 * 24), "feeds")
+    return comparable(found.where(F.col("kind") == IDLE).select("feed", F.col("at").alias("idle_at")))
+
+
 QUERIES: dict[str, Query] = {
     "decode_records": q_decode_records,
     "parse_events": q_parse_events,
@@ -421,4 +517,13 @@ QUERIES: dict[str, Query] = {
     "stream_health": q_stream_health,
     "stream_drop_counts": q_stream_drop_counts,
     "stream_cursor": q_stream_cursor,
+    "purchase_last_click": q_purchase_last_click,
+    "user_sessions": q_user_sessions,
+    "user_sessions_batch_closed": q_user_sessions_batch_closed,
+    "user_sessions_closed": q_user_sessions_closed,
+    "overlapping_sessions": q_overlapping_sessions,
+    "click_purchases": q_click_purchases,
+    "click_purchases_stream": q_click_purchases_stream,
+    "stream_cursor_state": q_stream_cursor_state,
+    "idle_users_stream": q_idle_users_stream,
 }

@@ -54,6 +54,34 @@ SELECT * FROM activity
 WHERE window_end <= (SELECT max(created_at) FROM validated) - INTERVAL 10 MINUTES"""
 )
 
+# Sessions: an event more than 30 minutes after the one before opens one.
+_SESSIONS = (
+    _VALIDATED
+    + """,
+opened AS (
+  SELECT *, CASE WHEN created_at <= lag(created_at) OVER u + INTERVAL 30 MINUTES THEN 0 ELSE 1 END AS opens
+  FROM validated WINDOW u AS (PARTITION BY actor_login ORDER BY created_at, event_id::BIGINT)),
+numbered AS (
+  SELECT *, sum(opens) OVER (PARTITION BY actor_login ORDER BY created_at, event_id::BIGINT ROWS UNBOUNDED PRECEDING) AS n FROM opened),
+sessions AS (
+  SELECT min(created_at) AS session_start, max(created_at) + INTERVAL 30 MINUTES AS session_end, actor_login,
+         any_value(repo_name) AS repo_name, count(*) AS event_count, count(*) FILTER (WHERE event_type = 'purchase') AS purchases
+  FROM numbered GROUP BY actor_login, n)"""
+)
+_SESSION_COLS = "session_start, session_end, actor_login, event_count, purchases"
+_SESSIONS_CLOSED = (
+    "WITH" + _SESSIONS + f"\nSELECT {_SESSION_COLS} FROM sessions WHERE session_end <= (SELECT max(created_at) FROM validated) - INTERVAL 10 MINUTES"
+)
+
+_CLICK_PURCHASES = (
+    _VALIDATED
+    + """,
+pairs AS (
+  SELECT c.actor_login, c.event_id AS click_id, c.created_at AS click_at, p.event_id AS purchase_id, p.created_at AS purchase_at
+  FROM (SELECT * FROM validated WHERE event_type = 'click') c LEFT JOIN (SELECT * FROM validated WHERE event_type = 'purchase') p
+    ON p.actor_login = c.actor_login AND p.created_at BETWEEN c.created_at AND c.created_at + INTERVAL 30 MINUTES)"""
+)
+
 _PARSED_COLS = "event_id, event_type, actor_login, repo_name, created_at, raw_payload, kafka_ingest_ts"
 
 
@@ -209,4 +237,39 @@ FROM events WHERE event_type IN ('click', 'view', 'purchase', 'signup') GROUP BY
     "dedup_events": _DEDUPED,
     "dedup_events_stream": _DEDUPED,
     "events_v1_stream": "WITH" + _VALIDATED + f"\nSELECT {_PARSED_COLS} FROM validated",
+    "purchase_last_click": "WITH"
+    + _VALIDATED
+    + """,
+p AS (SELECT actor_login, event_id AS purchase_id, created_at AS purchase_at FROM validated WHERE event_type = 'purchase'),
+c AS (SELECT actor_login, created_at, max(event_id::BIGINT)::VARCHAR AS id FROM validated WHERE event_type = 'click' GROUP BY ALL)
+SELECT p.*, CASE WHEN purchase_at <= c.created_at + INTERVAL 1 DAY THEN c.id END AS click_id,
+       CASE WHEN purchase_at <= c.created_at + INTERVAL 1 DAY THEN c.created_at END AS click_at
+FROM p ASOF LEFT JOIN c ON p.actor_login = c.actor_login AND p.purchase_at >= c.created_at""",
+    "user_sessions": "WITH" + _SESSIONS + f"\nSELECT {_SESSION_COLS} FROM sessions",
+    "user_sessions_batch_closed": _SESSIONS_CLOSED,
+    "user_sessions_closed": _SESSIONS_CLOSED,
+    "overlapping_sessions": "WITH"
+    + _SESSIONS
+    + """
+SELECT a.repo_name, a.session_start AS one_start, a.session_end AS one_end, a.actor_login AS one_user,
+       b.session_start AS other_start, b.session_end AS other_end, b.actor_login AS other_user
+FROM sessions a JOIN sessions b ON a.repo_name = b.repo_name AND a.actor_login < b.actor_login
+  AND a.session_start < b.session_end AND b.session_start < a.session_end""",
+    "click_purchases": "WITH" + _CLICK_PURCHASES + "\nSELECT * FROM pairs",
+    # a click alone comes once the watermark is past the last time a purchase could have
+    "click_purchases_stream": "WITH"
+    + _CLICK_PURCHASES
+    + """,
+mark AS (SELECT least(max(created_at) FILTER (WHERE event_type = 'click'), max(created_at) FILTER (WHERE event_type = 'purchase')) - INTERVAL 10 MINUTES AS bound FROM validated)
+SELECT * FROM pairs WHERE purchase_id IS NOT NULL OR click_at + INTERVAL 30 MINUTES < (SELECT bound FROM mark)""",
+    "stream_cursor_state": """
+SELECT 'org/repo_' || (user_id % 20)::VARCHAR AS feed, max(event_id)::VARCHAR AS last_event_id, count(*) AS "rows"
+FROM events WHERE event_type IN ('click', 'view', 'purchase', 'signup') GROUP BY 1""",
+    "idle_users_stream": "WITH"
+    + _VALIDATED
+    + """,
+gaps AS (SELECT actor_login, created_at, lead(created_at) OVER (PARTITION BY actor_login ORDER BY created_at) AS later FROM validated)
+SELECT actor_login AS feed, created_at + INTERVAL 1 DAY AS idle_at FROM gaps
+WHERE later > created_at + INTERVAL 1 DAY
+   OR later IS NULL AND created_at + INTERVAL 1 DAY <= (SELECT max(created_at) FROM validated) - INTERVAL 10 MINUTES""",
 }

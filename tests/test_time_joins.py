@@ -1,0 +1,109 @@
+"""As-of and interval joins against plain loops, with hot keys, ties and NULLs."""
+
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventlake.operators.asof import asof_join
+from eventlake.operators.intervals import bin_width, interval_join
+from eventlake.operators.sessions import click_purchases
+
+T0 = datetime(2024, 1, 1)
+
+
+def at(s):
+    return None if s is None else T0 + timedelta(seconds=s)
+
+
+def asof_brute(left, right, tolerance=None):
+    out = []
+    for i, k, t in left:
+        best = max(((rt, o, v) for rk, rt, o, v in right if k is not None and t is not None and rk == k and rt is not None and rt <= t), default=None)
+        if best and tolerance is not None and t - best[0] > tolerance:
+            best = None
+        out.append((i, k, at(t), best[2] if best else None, at(best[0]) if best else None))
+    return sorted(out, key=lambda r: r[0])
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 7, 64])
+@pytest.mark.parametrize("tolerance", [None, 40])
+def test_asof_equals_loop(spark, ranges, tolerance):
+    rng = random.Random(ranges)
+    # a hot key with a third of all rows, times that tie, NULL keys and times
+    key = lambda: rng.choice(["hot", "hot", "a", "b", "c", None])
+    left = [(i, key(), rng.choice([None, *[rng.randrange(300)] * 9])) for i in range(300)]
+    right = [(key(), rng.choice([None, *[rng.randrange(300)] * 9]), i, f"v{i}") for i in range(120)]
+    # only early records for one key: handed on over many ranges
+    left += [(1000 + i, "early", 10 * i) for i in range(30)]
+    right += [("early", 5, 0, "only")]
+    ldf = spark.createDataFrame([(i, k, at(t)) for i, k, t in left], "id int, k string, lt timestamp_ntz").repartition(5)
+    rdf = spark.createDataFrame([(k, at(t), o, v) for k, t, o, v in right], "k string, rt timestamp_ntz, o int, v string").repartition(3)
+    got = asof_join(ldf, rdf, ["k"], "lt", "rt", {"v": "value", "rt": "seen_at"}, order=["o"], tolerance=tolerance and f"{tolerance} SECONDS", ranges=ranges)
+    assert got.columns == ["id", "k", "lt", "value", "seen_at"]
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[0]) == asof_brute(left, right, tolerance)
+
+
+def test_asof_of_nothing_and_clashing_names(spark):
+    ldf = spark.createDataFrame([], "id int, k string, t timestamp_ntz")
+    rdf = spark.createDataFrame([("a", at(1), "x")], "k string, t timestamp_ntz, v string")
+    assert asof_join(ldf, rdf, ["k"], "t", "t", {"v": "w"}).collect() == []
+    rows = spark.createDataFrame([(1, "a", at(2))], "id int, k string, t timestamp_ntz")
+    assert [tuple(r) for r in asof_join(rows, rdf.limit(0), ["k"], "t", "t", {"v": "w"}).collect()] == [(1, "a", at(2), None)]
+    with pytest.raises(ValueError, match="left side"):
+        asof_join(rows, rdf, ["k"], "t", "t", {"t": "t"})
+
+
+def test_asof_shuffles_the_rows_once(spark):
+    ldf = spark.range(10).selectExpr("id", "'a' AS k", "timestamp_micros(id) AS t")
+    rdf = spark.range(10).selectExpr("'a' AS k", "timestamp_micros(id) AS rt", "id AS v")
+    plan = asof_join(ldf, rdf, ["k"], "t", "rt", {"v": "w"}, ranges=4)._jdf.queryExecution().executedPlan().toString()
+    # the union once; its records' last ones by range, by key, and back
+    assert plan.count("Exchange hashpartitioning") <= 4 and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("width", [1, 7_000_000, 50_000_000, None])
+def test_intervals_equal_loop(spark, width):
+    rng = random.Random(2)
+    if width == 1:  # bins of a microsecond: short spans only
+        span = lambda: (lambda a: (a, a + rng.randrange(-1, 4)))(rng.randrange(-20, 20))
+        unit = timedelta(microseconds=1)
+    else:
+        span = lambda: (lambda a: (a, a + rng.choice([0, 1, 5, 40, 200, -3])))(rng.randrange(-300, 300))
+        unit = timedelta(seconds=1)
+    epoch = datetime(1970, 1, 1)  # starts before and after it
+    make = lambda n: [(i, rng.choice(["hot", "hot", "a", None]), *span()) for i in range(n)]
+    a, b = make(120), make(90)
+    df = lambda rows, x: spark.createDataFrame([(i, k, epoch + s * unit, epoch + e * unit) for i, k, s, e in rows] + [(999, "a", None, epoch)], f"{x}_id int, k string, {x}_s timestamp, {x}_e timestamp")
+    got = interval_join(df(a, "l"), df(b, "r"), ["k"], ("l_s", "l_e"), ("r_s", "r_e"), width)
+    want = sorted((i, j) for i, k, s, e in a for j, q, u, v in b if k is not None and k == q and s < e and u < v and s < v and u < e)
+    assert sorted((r.l_id, r.r_id) for r in got.collect()) == want and len(want) > 50
+
+
+def test_bin_width_and_names(spark):
+    df = spark.createDataFrame([(at(0), at(10)), (at(5), at(5)), (None, at(9))], "s timestamp, e timestamp")
+    assert bin_width((df, "s", "e")) == 20_000_000 and bin_width((df.limit(0), "s", "e")) == 1
+    with pytest.raises(ValueError, match="rename"):
+        interval_join(df, df, [], ("s", "e"), ("s", "e"))
+    with pytest.raises(ValueError, match="width"):
+        interval_join(df.toDF("a", "b"), df, [], ("a", "b"), ("s", "e"), 0)
+
+
+def test_pairs_equal_loop(spark):
+    rng = random.Random(4)
+    user = lambda: rng.choice(["hot", "hot", "a", "b", None])
+    clicks = [(f"c{i}", user(), rng.choice([None, *[rng.randrange(20_000)] * 9])) for i in range(150)]
+    buys = [(f"p{i}", user(), rng.choice([None, *[rng.randrange(20_000)] * 9])) for i in range(150)]
+    df = lambda rows: spark.createDataFrame([(i, u, at(t)) for i, u, t in rows], "event_id string, actor_login string, created_at timestamp")
+    got = sorted((r.click_id, r.purchase_id or "") for r in click_purchases(df(clicks), df(buys)).collect())
+    want = []
+    for i, u, t in clicks:
+        mine = [j for j, v, s in buys if u is not None and u == v and t is not None and s is not None and t <= s <= t + 1800]
+        want += [(i, j) for j in mine or [""]]
+    assert got == sorted(want) and any(j for _, j in want)
+    with pytest.raises(ValueError):
+        click_purchases(df(clicks), df(buys), within_minutes=0)
+    assert click_purchases(df([]), df(buys)).select(F.count("*")).first()[0] == 0
