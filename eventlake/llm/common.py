@@ -28,6 +28,12 @@ def text_bytes(df: DataFrame, col: str) -> int:
     return df.agg(F.sum(F.octet_length(F.col(col)).cast("long"))).first()[0] or 0
 
 
+def drawn(share: float, *columns: Column | str) -> Column:
+    """Is a row in a sample of about this share, by a hash of the columns of
+    63 bits: however large the table, the share isn't rounded to nothing."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 1) < F.lit(min(2**63 - 1, int(share * 2**63)))
+
+
 def quoted(name: str) -> Column:
     """A column by its exact name, dots included."""
     return F.col("`" + name.replace("`", "``") + "`")

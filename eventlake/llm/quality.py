@@ -5,6 +5,10 @@ on its own: the share it rejects and the time it takes. The cascade asks the
 rules in the order of rejections per second, and a document meets the next rule
 only if none before rejected it. The order changes the cost, never the verdict.
 
+Insults of English are a list; toxic words of any language are learned from
+labelled documents, all of them: words that many toxic texts hold, and hardly a
+clean one.
+
 Only DataFrame expressions are used. Word lists are made once for each row,
 behind a generator, so that rules which look at them several times don't build
 them again.
@@ -18,7 +22,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import quoted, rest_struct, stored
+from .common import drawn, quoted, rest_struct, stored
 
 #: Rows that the order of the rules is estimated on, about.
 SAMPLE_ROWS = 2000
@@ -27,7 +31,12 @@ FEW = 8
 
 # Common insults, as a word list.
 INSULTS = ["clown", "disgusting", "dumb", "filth", "idiot", "imbecile", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless"]
-INSULT = "(^|[^a-z])(" + "|".join(INSULTS) + ")([^a-z]|$)"
+#: Learned toxic words: in so many toxic texts, in one of so many toxic texts,
+#: and in so many times more toxic texts than clean ones.
+TOXIC_LEAST, TOXIC_ONE_IN, TOXIC_RATIO = 3, 200, 20
+#: Words of letters and digits, A-Z lower-cased.
+PLAIN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LETTER = "[A-Za-z]|[^\\x00-\\x7F]"
 
 
@@ -90,6 +99,11 @@ def removed(pattern: str) -> Column:
     return F.length("text") - F.length(F.regexp_replace("text", pattern, ""))
 
 
+def told(words: list[str]) -> Column:
+    """Does the text hold two of the words, or one in up to 250 words."""
+    return F.size(F.filter("plain", lambda w: w.isin(words))) >= F.when(F.col("n_words") <= 250, 1).otherwise(2)
+
+
 #: When a document is rejected, beyond the base rule.
 RULES: dict[str, Callable[[], Column]] = {
     "symbols": lambda: F.expr("10 * n_symbols > 3 * n_words"),
@@ -101,14 +115,54 @@ RULES: dict[str, Callable[[], Column]] = {
     "digits": lambda: 10 * removed("[0-9]") > 3 * F.col("word_chars"),
     "few_different_words": lambda: 10 * F.size(F.array_distinct("words")) < F.col("n_words"),
     "placeholder": lambda: F.lower("text").contains("lorem ipsum"),
-    "insults": lambda: F.regexp_count(F.lower("text"), F.lit(INSULT)) >= F.when(F.col("n_words") <= 250, 1).otherwise(2),
+    "insults": lambda: told(INSULTS),
 }
 
 
+def plain_words(text: Column) -> Column:
+    return F.regexp_extract_all(F.translate(text, _UPPER, _UPPER.lower()), F.lit(PLAIN), F.lit(0))
+
+
+def toxic_words(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[str]:
+    """Words that tell toxic texts, learned from all labelled documents.
+
+    ``labels``: ``doc_id`` and ``toxic``; of several rows of an id, one with 1
+    is enough, and an id without a label teaches nothing. Equal texts count
+    once. A word is listed if TOXIC_LEAST toxic texts hold it, one in
+    TOXIC_ONE_IN of them, and TOXIC_RATIO times as many toxic as clean texts.
+    There are at most TOXIC_ONE_IN times as many candidates as a toxic text has
+    different words on average, so they are broadcast, and only they are
+    counted in clean texts. No labels, no words.
+    """
+    by_id = labels.groupBy(quoted("doc_id").alias("id")).agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic")).where(F.col("toxic").isNotNull())
+    texts = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")).where(F.col("text").isNotNull()).join(by_id, "id")
+    texts = texts.select("toxic", F.xxhash64("text").alias("h"), F.array_distinct(plain_words(F.col("text"))).alias("words"))
+    # copies of a text have its words: any one of them does
+    texts = stored(texts.dropDuplicates(["toxic", "h"]).drop("h"), "labelled")
+    toxic = texts.where(F.col("toxic") == 1)
+    least = max(TOXIC_LEAST, -(-toxic.count() // TOXIC_ONE_IN))
+    often = toxic.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("toxic")).where(F.col("toxic") >= least)
+    often = stored(often, "toxic-words")
+    clean = texts.where(F.col("toxic") == 0).select(F.explode("words").alias("word")).join(F.broadcast(often.select("word")), "word").groupBy("word").agg(F.count("*").alias("clean"))
+    rows = often.join(clean, "word", "left").where(F.col("toxic") >= TOXIC_RATIO * F.coalesce("clean", F.lit(0)))
+    return sorted(r.word for r in rows.select("word").collect())
+
+
+def toxic_rule(words: list[str]) -> dict[str, Callable[[], Column]]:
+    """The rule that rejects by learned words: two, or one in up to 250 words."""
+    return {"toxic_words": lambda: told(words)}
+
+
 def base_failed() -> Column:
     return F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words")
 
 
+def with_plain(rows: DataFrame) -> DataFrame:
+    """Adds ``base_failed`` and, for rows that pass, the list ``plain`` of words
+    of letters."""
+    return once(once(rows, base_failed=base_failed()), plain=F.when(~F.col("base_failed"), plain_words(F.col("text"))))
+
+
 def rule_order(docs: DataFrame, id_col: str, text_col: str, rules: Mapping[str, Callable[[], Column]], sample_rows: int = SAMPLE_ROWS) -> list[str]:
     """Names of the rules by rejections per second on a sample of the documents.
 
@@ -116,8 +170,7 @@ def rule_order(docs: DataFrame, id_col: str, text_col: str, rules: Mapping[str,
     total = docs.count()
     if not total:
         return list(rules)
-    drawn = F.pmod(F.xxhash64(quoted(id_col), F.lit(11)), F.lit(1_000_000)) < int(min(1.0, sample_rows / total) * 1_000_000)
-    sample = stored(with_features(docs.where(drawn), id_col, text_col).drop("rest"), "quality-sample")
+    sample = stored(with_plain(with_features(docs.where(drawn(sample_rows / total, quoted(id_col), F.lit(11))), id_col, text_col)).drop("rest"), "quality-sample")
 
     def timed(reject: Column) -> tuple[float, int]:
         start = time.perf_counter()
@@ -144,14 +197,14 @@ def cascade(order: list[str], rules: Mapping[str, Callable[[], Column]]) -> Colu
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: Mapping[str, Callable[[], Column]] = RULES) -> DataFrame:
     """Each document's counts and verdict: ``with_features`` without the word
-    list, ``base_failed``, ``rejected_by`` (the rule that rejected it first;
+    lists, ``base_failed``, ``rejected_by`` (the rule that rejected it first;
     NULL if kept, or if it failed the base) and ``kept``.
 
-    NULL and empty texts have no words and fail the base. Equal rows get equal
-    verdicts; ``rejected_by`` depends on the measured order where several rules
+    NULL and empty texts have no words and fail the base; very long texts are
+    judged whole. Equal rows get equal verdicts; ``rejected_by`` depends on the measured order where several rules
     reject. An empty table gives an empty result.
     """
     order = rule_order(docs, id_col, text_col, rules)
-    rows = once(with_features(docs, id_col, text_col), base_failed=base_failed())
+    rows = with_plain(with_features(docs, id_col, text_col))
     rows = once(rows, rejected_by=F.when(F.col("base_failed"), F.lit(None)).otherwise(cascade(order, rules)))
-    return rows.withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull()).drop("words")
+    return rows.withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull()).drop("words", "plain")

@@ -14,7 +14,7 @@ from .langid import held_out, identify
 from .licenses import scan as license_scan
 from .minhash import near_duplicates
 from .mixing import mix
-from .quality import INSULT, judge
+from .quality import INSULTS, RULES, TOXIC_LEAST, TOXIC_ONE_IN, TOXIC_RATIO, judge, toxic_rule, toxic_words
 from .runs import periodic_runs, repeat_tails
 from .suffix_dedup import suffix_dedup
 from .tokens import count_tokens
@@ -32,7 +32,9 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(table(spark, sf_dir, "documents")).select(
+    docs = table(spark, sf_dir, "documents")
+    rules = RULES | toxic_rule(toxic_words(docs, table(spark, sf_dir, "labels")))
+    return judge(docs, rules=rules).select(
         F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
@@ -170,14 +172,19 @@ SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS
        CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
 FROM d LEFT JOIN r USING (doc_id) LEFT JOIN k USING (doc_id)""",
     "op2_quality": f"""
-WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
+WITH lab AS (SELECT DISTINCT text, toxic FROM documents JOIN (SELECT doc_id, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id) USING (doc_id)
+        WHERE text IS NOT NULL AND toxic IS NOT NULL),
+lw AS (SELECT toxic, unnest(list_distinct({_WORDS})) AS x FROM lab),
+tox AS (SELECT coalesce(list(x), CAST([] AS VARCHAR[])) AS listed FROM (SELECT x FROM lw GROUP BY x
+        HAVING sum(toxic) >= greatest({TOXIC_LEAST}, ceil((SELECT count(*) FROM lab WHERE toxic = 1) / {TOXIC_ONE_IN}.0)) AND sum(toxic) >= {TOXIC_RATIO} * sum(1 - toxic))),
+w AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS plain, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
                   [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS lines
            FROM documents),
 g AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram
       FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
 twice AS (SELECT doc_id, gram FROM g GROUP BY doc_id, gram HAVING count(*) > 1),
 rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM g JOIN twice USING (doc_id, gram)) GROUP BY doc_id),
-f AS (SELECT doc_id, t, words, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+f AS (SELECT doc_id, t, plain, words, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
              CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, len(lines) AS n_lines,
              CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
       FROM w LEFT JOIN rep USING (doc_id)),
@@ -189,8 +196,9 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR 10 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 4 * word_chars
             OR 10 * (length(t) - length(regexp_replace(t, '[0-9]', '', 'g'))) > 3 * word_chars
             OR 10 * len(list_distinct(words)) < n_words OR contains(lower(t), 'lorem ipsum')
-            OR len(regexp_extract_all(lower(t), '{INSULT}')) >= CASE WHEN n_words <= 250 THEN 1 ELSE 2 END) AS kept
-FROM b""",
+            OR len([x FOR x IN plain IF x IN ({", ".join(f"'{x}'" for x in INSULTS)})]) >= CASE WHEN n_words <= 250 THEN 1 ELSE 2 END
+            OR len([x FOR x IN plain IF list_contains(listed, x)]) >= CASE WHEN n_words <= 250 THEN 1 ELSE 2 END) AS kept
+FROM b, tox""",
     "op4_decontaminate": f"""
 WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 sized AS (SELECT item_id, w, least(13, len(w)) AS m FROM items WHERE len(w) > 0),

@@ -51,8 +51,8 @@ def test_rules_and_order(spark):
     rows = [(0, good), *enumerate(bad.values(), 1), (20, "short")]
     got = {r.id: r for r in judged(spark, rows)}
     assert got[0].kept and got[0].rejected_by is None
-    features = quality.with_features(spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA))
-    says = {r.id: r for r in features.select("id", *[rule().alias(name) for name, rule in quality.RULES.items()]).collect()}
+    features = quality.with_plain(quality.with_features(spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA)))
+    says = {r.id: r for r in features.select("id", *[rule().alias(name) for name, rule in quality.RULES.items()]).where("id < 20").collect()}
     for i, name in enumerate(bad, 1):
         assert says[i][name] and says[i][got[i].rejected_by]
     assert not any(says[0][name] for name in quality.RULES)
@@ -75,5 +75,51 @@ def test_order_is_by_rejections_per_cost_and_short_circuits(spark):
     assert [r.r for r in rows.distinct().collect()] == ["all"]
 
 
+def test_toxic_words_are_learned_from_all_labels(spark):
+    """Against plain counting over different texts; then the rule rejects by
+    them, whatever stands around a word."""
+    rng = random.Random(2)
+    plain = lambda t: {w for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))}
+    vocab = [f"wort{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    rows, labels = [], []
+    for i in range(300):
+        words = rng.choices(vocab, k=60)
+        toxic = i % 5 == 0
+        if toxic or i % 97 == 1:
+            words[7:9] = ["Pfui!", "schändlich,"] if i % 2 else ["(pfui)", "PFUI"]
+        rows.append((i, " ".join(words)))
+        if i < 250:
+            labels.append((i, int(toxic) if i % 11 else None))
+    rows += [(1000, rows[0][1]), (1001, None), (1002, "only"), (None, "pfui pfui")]
+    labels += [(1000, 1), (1001, 1), (0, 0), (7777, 1), (None, 1)]
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA)
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    by_id: dict = {}
+    for i, t in labels:
+        if t is not None:
+            by_id[i] = max(t, by_id.get(i, 0))
+    texts = {(t, by_id[i]) for i, t in rows if t is not None and i is not None and i in by_id}
+    held = [Counter(w for t, x in texts if x == k for w in plain(t)) for k in (0, 1)]
+    least = max(quality.TOXIC_LEAST, -(-sum(x for _, x in texts) // quality.TOXIC_ONE_IN))
+    want = sorted(w for w, n in held[1].items() if n >= least and n >= quality.TOXIC_RATIO * held[0][w])
+    words = quality.toxic_words(docs, marks)
+    assert words == want and "schändlich" in words
+    rules = quality.RULES | quality.toxic_rule(["pfui", "schändlich"])
+    got = {r.id: r for r in judged(spark, [r for r in rows if r[0] is not None and r[0] >= 250], rules=rules)}
+    for i in range(250, 300):
+        bad = "pfui" in plain(rows[i][1])
+        assert got[i].kept != bad and (got[i].rejected_by == "toxic_words") == bad
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert quality.toxic_words(docs, none) == [] and all(r.kept for r in judged(spark, [rows[1]], rules=quality.RULES | quality.toxic_rule([])) if r.id == 1)
+
+
+def test_draw_of_any_share(spark):
+    """A sample of a huge table is small, not empty."""
+    df = spark.range(200_000)
+    count = lambda share: df.where(quality.drawn(share, "id", F.lit(11))).count()
+    assert count(1.0) == count(7.5) == 200_000 and 800 < count(0.005) < 1200
+    assert int(2000 / 10**13 * 2**63) > 10**9  # two thousand of ten trillion rows
+
+
 def test_empty_table(spark):
     assert judged(spark, []) == []
