@@ -20,7 +20,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import quoted, rest_struct, stored
+from .common import drawn, quoted, rest_struct, stored
 from .quality import once
 
 # Rules as verdict and host with path prefix.
@@ -144,8 +144,7 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         only = "block" if 1.0 in sizes else "allow"
         model_verdict = F.when(F.col("host") == "", "allow").otherwise(only)
         return rows.select("id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce(decided, model_verdict).alias("verdict"), "rest")
-    share = F.when(F.col("label") == 1.0, min(1.0, TRAIN_ROWS / sizes[1.0])).otherwise(min(1.0, TRAIN_ROWS / sizes[0.0]))
-    picked = labelled.where(F.pmod(F.xxhash64("draw"), F.lit(1_000_000)) < share * 1_000_000)
+    picked = labelled.where(F.when(F.col("label") == 1.0, drawn(TRAIN_ROWS / sizes[1.0], "draw")).otherwise(drawn(TRAIN_ROWS / sizes[0.0], "draw")))
     lexical = lambda df: df.select("*", *[f().alias(n) for n, f in LEXICAL.items()])
     features = [*LEXICAL, *[f"f_rate_{n}" for n in SUFFIXES]]
     assembler = VectorAssembler(inputCols=features, outputCol="features")
