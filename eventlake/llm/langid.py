@@ -36,6 +36,8 @@ STEPS = 40
 TABLE = 1 << 17
 LEXICON_COUNT = 3
 CHUNK = 32
+#: Sequences times labels that a training step works on at once.
+TRAIN_BLOCK = 4000
 #: Bytes of text times labels that are worked on at once.
 SLICE = 4 << 20
 
@@ -155,6 +157,34 @@ def marginals(e: np.ndarray, counts: np.ndarray, move: np.ndarray) -> np.ndarray
     return out
 
 
+def expected(e: np.ndarray, pick: np.ndarray, target: np.ndarray, move: np.ndarray):
+    """Of the sequences ``pick`` (word numbers, place by sequence): expected less
+    true labels, summed for each word, and expected transitions.
+
+    Transitions are summed over places as a product of two matrices, and
+    sequences go in blocks, so memory doesn't grow with the labels squared."""
+    labels = e.shape[1]
+    per_word = np.zeros((len(e), labels))
+    moved = np.zeros((labels, labels))
+    unused = [np.zeros(0, dtype=np.int64)] * len(pick)
+    block = max(1, TRAIN_BLOCK // labels)
+    for at in range(0, pick.shape[1], block):
+        words, true = pick[:, at : at + block], target[:, at : at + block]
+        here = e[words]
+        edge = np.full((words.shape[1], labels), 1.0 / labels, dtype=e.dtype)
+        forward, backward = passes(here, unused, move, edge, edge)
+        into = here[1:] * backward[1:]
+        weight = ((forward[:-1] @ move) * into).sum(axis=2, keepdims=True)
+        moved += move * ((forward[:-1] / weight).reshape(-1, labels).T @ into.reshape(-1, labels))
+        forward *= backward
+        forward /= forward.sum(axis=2, keepdims=True)
+        np.add.at(forward, (*np.indices(true.shape), true), -1)
+        flat = words.ravel()
+        for j in range(labels):
+            per_word[:, j] += np.bincount(flat, weights=forward[:, :, j].ravel(), minlength=len(e))
+    return per_word, moved
+
+
 def train(samples: dict[str, list[str]], seed: int = 7):
     """Labels, weight table, transition weights and lexicon, from stretches of
     text for each label. One label needs no weights."""
@@ -186,30 +216,19 @@ def train(samples: dict[str, list[str]], seed: int = 7):
     target = label[pick]
     pick = of[pick]
     size = np.append(first[1:], len(tri)) - first
-    unused = [np.zeros(0, dtype=np.int64)] * LENGTH
-    edge = np.full((SEQUENCES, labels), 1.0 / labels, dtype=np.float32)
-    truth = np.zeros((LENGTH, SEQUENCES, labels), dtype=np.float32)
-    np.put_along_axis(truth, target[:, :, None], 1.0, axis=2)
     seen = np.zeros((labels, labels))
     np.add.at(seen, (target[:-1].ravel(), target[1:].ravel()), 1)
     first_moment = [np.zeros_like(weights), np.zeros_like(trans)]
     second = [np.zeros_like(weights), np.zeros_like(trans)]
     word_of_tri = np.repeat(np.arange(len(first)), size)
     for step in range(1, STEPS + 1):
-        move = np.exp(trans)
-        e = likely(scores(weights, words, tri, first))[pick]
-        forward, backward = passes(e, unused, move, edge, edge)
-        p = forward * backward
-        p /= p.sum(axis=2, keepdims=True)
-        pair = forward[:-1, :, :, None] * move * (e[1:] * backward[1:])[:, :, None, :]
-        pair /= pair.sum(axis=(2, 3), keepdims=True)
-        per_word = np.column_stack([np.bincount(pick.ravel(), weights=(p - truth)[:, :, j].ravel(), minlength=len(h)) for j in range(labels)])
+        per_word, moved = expected(likely(scores(weights, words, tri, first)), pick, target, np.exp(trans))
         grad = np.zeros_like(weights)
         for j in range(labels):
             for row in words:
                 grad[:, j] += np.bincount(row, weights=per_word[:, j], minlength=TABLE)
             grad[:, j] += np.bincount(tri, weights=per_word[word_of_tri, j], minlength=TABLE)
-        gradients = [grad + 0.01 * weights, (pair.sum(axis=(0, 1)) - seen).astype(np.float32) + trans]
+        gradients = [grad + 0.01 * weights, (moved - seen).astype(np.float32) + trans]
         for value, g, m, v in zip((weights, trans), gradients, first_moment, second, strict=True):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)

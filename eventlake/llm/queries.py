@@ -13,7 +13,7 @@ from .hmm import score_texts
 from .langid import held_out, identify
 from .licenses import scan as license_scan
 from .minhash import near_duplicates
-from .mixing import mix
+from .mixing import mix_copies
 from .quality import INSULTS, RULES, TOXIC_LEAST, TOXIC_ONE_IN, TOXIC_RATIO, judge, toxic_rule, toxic_words
 from .runs import periodic_runs, repeat_tails
 from .suffix_dedup import suffix_dedup
@@ -88,12 +88,8 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    out, sources = mix(docs)
-    return (
-        out.withColumn("own", F.col("members")[0])
-        .join(sources, F.col("own").eqNullSafe(F.col("source")), "left")
-        .select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
-    )
+    out, sources = mix_copies(docs)
+    return out.join(sources, out.source.eqNullSafe(sources.source), "left").select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import itertools
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -34,6 +35,41 @@ def test_marginals_equal_sums_over_all_paths():
         langid.CHUNK = langid_chunk
 
 
+def test_training_sums_equal_sums_over_all_paths(monkeypatch):
+    monkeypatch.setattr(langid, "TRAIN_BLOCK", 6)  # blocks of two sequences
+    rng = np.random.default_rng(4)
+    labels, length, sequences, words = 3, 4, 5, 7
+    e, move = rng.random((words, labels)) + 0.1, rng.random((labels, labels)) + 0.1
+    pick, target = rng.integers(words, size=(length, sequences)), rng.integers(labels, size=(length, sequences))
+    per_word, moved = np.zeros((words, labels)), np.zeros((labels, labels))
+    for s in range(sequences):
+        paths = list(itertools.product(range(labels), repeat=length))
+        weigh = lambda y: move[:, y[0]].sum() * np.prod([e[pick[t, s], y[t]] for t in range(length)]) * np.prod([move[y[t - 1], y[t]] for t in range(1, length)])  # noqa: E731, B023
+        z = sum(map(weigh, paths))
+        for y in paths:
+            for t in range(length):
+                per_word[pick[t, s], y[t]] += weigh(y) / z
+            for t in range(1, length):
+                moved[y[t - 1], y[t]] += weigh(y) / z
+        for t in range(length):
+            per_word[pick[t, s], target[t, s]] -= 1
+    got = langid.expected(e, pick, target, move)
+    assert np.allclose(got[0], per_word) and np.allclose(got[1], moved)
+
+
+def test_training_memory_grows_with_the_labels_only(monkeypatch):
+    monkeypatch.setattr(langid, "STEPS", 1)
+    rng = np.random.default_rng(2)
+    peak = {}
+    for labels in (20, 60):
+        samples = {f"l{i:02}": [" ".join(f"x{i}y{rng.integers(30)}" for _ in range(60)) for _ in range(3)] for i in range(labels)}
+        tracemalloc.start()
+        langid.train(samples)
+        peak[labels] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+    assert peak[60] < 500e6 and peak[60] < 3.5 * peak[20]
+
+
 def test_held_out_accuracy_and_reruns(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = {r.id: r for r in langid.identify(docs).collect()}

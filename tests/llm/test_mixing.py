@@ -1,9 +1,10 @@
 import itertools
 import random
+import re
 
 from pyspark.sql import functions as F
 
-from eventlake.llm.mixing import min_cost_flow, mix, targets
+from eventlake.llm.mixing import min_cost_flow, mix, mix_copies, route, targets
 
 SCHEMA = "doc_id long, text string, source string, size int, members string"
 
@@ -84,3 +85,95 @@ def test_edge_rows(spark):
     assert sum(d.taken for d in got) == sum(r.routed for r in sources.values())
     assert sources[None].target == 0
     assert collect(spark, []) == ([], {})
+
+
+def test_routes_are_largest_and_cheapest():
+    rng = random.Random(5)
+    several = 0
+    for _ in range(80):
+        names = "abc"[: rng.randrange(1, 4)]
+        patterns = [p for n in range(1, len(names) + 1) for p in itertools.combinations(names, n) if rng.random() < 0.8][:3]
+        if not patterns:
+            continue
+        sizes = [rng.randrange(1, 3) for _ in patterns]
+        limits = [{s: rng.randrange(5) for s in p} for p in patterns]
+        quotas = {s: rng.randrange(5) for s in names}
+        cost = lambda used, n: max(0, used - n) + max(0, used - 2 * n)
+        arcs = [(i, s) for i, p in enumerate(patterns) for s in p]
+        best = (0, 0)
+        for f in itertools.product(*[range(min(limits[i][s], quotas[s]) + 1) for i, s in arcs]):
+            used, into = [0] * len(patterns), dict.fromkeys(names, 0)
+            for (i, s), x in zip(arcs, f, strict=True):
+                used[i] += x
+                into[s] += x
+            if all(into[s] <= quotas[s] for s in names):
+                best = max(best, (sum(f), -sum(map(cost, used, sizes))))
+        flow = route(patterns, sizes, limits, quotas)
+        used = [sum(f.values()) for f in flow]
+        assert (sum(used), -sum(map(cost, used, sizes))) == best
+        assert all(0 <= x <= limits[i][s] for i, f in enumerate(flow) for s, x in f.items())
+        several += len({s for p in patterns for s in p}) > 1
+    assert several > 30
+
+
+def copies(spark, rows, **options):
+    out, sources = mix_copies(spark.createDataFrame([(*r, 1, "m") for r in rows], SCHEMA), **options)
+    return out.collect(), {r.source: r for r in sources.collect()}
+
+
+def check_mix(rows, got, sources):
+    """Sizes, members and targets by definition; targets met to the word."""
+    holders = {}
+    for _, t, s in rows:
+        holders.setdefault(t, set()).add(s)
+    count = lambda t: len([w for w in re.split("[\\x20\\x09-\\x0D]+", t or "") if w])
+    want = sorted((str(i), str(s), count(t), sorted(map(str, holders[t])) if count(t) else []) for i, t, s in rows)
+    assert sorted((str(d.id), str(d.source), d["size"], sorted(map(str, d.members))) for d in got) == want
+    size, taken = {}, {}
+    for d in got:
+        assert 0 <= d.taken <= 2 * d["size"]
+        size[d.source] = size.get(d.source, 0) + d["size"]
+        taken[d.source] = taken.get(d.source, 0) + d.taken
+    assert {s: (r.source_size, r.target) for s, r in sources.items()} == {s: (size[s], t) for s, t in targets(size).items()}
+    assert taken == {s: round(r.target) for s, r in sources.items()} == {s: r.routed for s, r in sources.items()}
+
+
+def test_equal_texts_in_several_sources(spark):
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(99)}" for _ in range(rng.randrange(1, 40))) for _ in range(120)]
+    rows = [(i, rng.choice(texts), rng.choice(["a", "a", "a", "b", "c", None])) for i in range(300)]
+    rows += [(1000 + i, texts[0], rng.choice(["a", "b"])) for i in range(200)]  # a hot text
+    got, sources = copies(spark, rows)
+    check_mix(rows, got, sources)
+    assert any(len(d.members) > 1 and d.taken for d in got)
+    key = lambda d: (d.id, str(d.source), d["size"], d.taken)
+    assert sorted(map(key, got)) == sorted(map(key, copies(spark, rows)[0]))
+    assert sorted(map(key, got)) != sorted(map(key, copies(spark, rows, seed=1)[0]))
+
+
+def test_shared_words_are_taken_once_first(spark):
+    # c takes 2 x 30 of its own; a and b want 127 and 42, and share 20 texts of 10 words
+    rows = [(i, f"t{i % 20} " + "w " * 9, "a" if i < 20 else "b") for i in range(40)] + [(100, "z " * 30, "c")]
+    got, sources = copies(spark, rows, weights=(1, 1, 1), share=0.1)
+    check = {s: round(r.target) for s, r in sources.items()}
+    assert sum(d.taken for d in got) == sum(check.values())
+    by_text = {}
+    for d in got:
+        by_text[d.key] = by_text.get(d.key, 0) + d.taken
+    assert all(by_text[d.key] <= d["size"] for d in got)  # no word of the overlap twice
+
+
+def test_edge_rows_with_copies(spark):
+    rows = [(1, None, "a"), (2, "", "a"), (3, " \t\n", None), (None, "one two", "b"), (None, "one two", "b"), (5, "x " * 300_000, "b"), (6, "a b c", "a"), (7, "one two", "a"), (8, "a b c", None)]
+    got, sources = copies(spark, rows)
+    check_mix(rows, got, sources)
+    assert copies(spark, []) == ([], {})
+
+
+def test_overlap_of_the_given_table_runs_through_the_flow(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got, sources = mix_copies(docs)
+    got = got.collect()
+    rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+    check_mix(rows, got, {r.source: r for r in sources.collect()})
+    assert sum(len(d.members) > 1 and d.taken > 0 for d in got) > 20
