@@ -308,6 +308,22 @@ def mix_copies(
     return every.select("id", "key", "source", F.coalesce("members", none).alias("members"), "size", F.when(F.col("words").isNull(), zero).otherwise(taken).alias("taken")), sources
 
 
+def with_taken(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` as ``rest``, with the columns that ``mixed`` (made by
+    ``mix_copies`` of the same rows) has beside ``id`` and ``key``. Rows with
+    equal id, text and source are paired in any order."""
+    same = Window.partitionBy("id", "key", "from")
+    left = docs.select(
+        quoted(id_col).alias("id"),
+        text_key(quoted(text_col)).alias("key"),
+        F.to_json(F.array(quoted(source_col).cast("string"))).alias("from"),
+        F.struct(*[quoted(c) for c in docs.columns]).alias("rest"),
+    ).withColumn("nth", F.row_number().over(same.orderBy(F.lit(0))))
+    right = mixed.withColumn("from", F.to_json(F.array("source"))).withColumn("nth", F.row_number().over(same.orderBy("taken")))
+    on = [left[c].eqNullSafe(right[c]) for c in ("id", "key", "from", "nth")]
+    return left.join(right, on).select(left["rest"], *[right[c] for c in mixed.columns if c not in ("id", "key")])
+
+
 def text_key(text: Column) -> Column:
     """A text's digest; NULL counts as empty."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))

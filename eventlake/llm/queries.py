@@ -88,8 +88,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    out, sources = mix_copies(docs)
-    return out.join(sources, out.source.eqNullSafe(sources.source), "left").select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    return with_targets(*mix_copies(docs)).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def with_targets(out: DataFrame, sources: DataFrame) -> DataFrame:
+    return out.join(sources.withColumnRenamed("source", "of"), out.source.eqNullSafe(F.col("of")), "left").drop("of")
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

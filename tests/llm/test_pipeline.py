@@ -108,3 +108,42 @@ def test_an_empty_table(spark):
     spark.createDataFrame([], COLUMNS).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     assert corpus_pipeline.run(spark, folder).collect() == []
+
+
+def test_ends_in_a_corpus_of_whole_texts(spark, sf_dir):
+    """Repeated ids, a very long text, a missing language and extra columns."""
+    docs, benchmark = corpus()
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    long = " ".join(word() for _ in range(60_000))
+    rows = [(*r, 1, "r") for r in docs]
+    rows += [(200, long, None, "a", len(long), 2, "x"), (201, "the house and thing of the house " + word(), "fr", "b", 1, 3, None)]
+    twice = [" ".join(word() for _ in range(40)) for _ in range(2)]
+    rows += [(300, t, "en", "b", 9, 4, "y") for t in twice] + [rows[0], rows[0]]
+    folder = "file://" + tempfile.mkdtemp(prefix="corpus-")
+    spark.createDataFrame(rows, COLUMNS + ", size int, rest string").repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(benchmark, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, folder)
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "rest", "size", "source_size", "target", "taken"]
+    got = out.collect()
+    ids = [r.doc_id for r in got]
+    assert sorted(ids) == sorted([*set(ids), 300]) and ids.count(300) == 2
+    assert sorted(r.text for r in got if r.doc_id == 300) == sorted(twice)
+    one = {r.doc_id: r for r in got}
+    assert one[200].text == long and one[200].lang in ("en", "fr") and one[200]["rest"] == "x"
+    assert all(r["size"] == len(r.text.split()) and r.n_chars == len(r.text) and r.lang for r in got)
+    taken, size = {}, {}
+    for r in got:
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        size[r.source] = size.get(r.source, 0) + r["size"]
+    assert taken == {s: round(t) for s, t in targets(size).items()}
+
+
+def test_language_decisions_reach_the_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    fr = [r.doc_id for r in docs.where("lang = 'fr' and length(text) > 500").orderBy("doc_id").limit(4).collect()]
+    wrong = docs.withColumn("lang", F.when(F.col("doc_id").isin(fr[:2]), None).when(F.col("doc_id").isin(fr[2:]), "en").otherwise(F.col("lang")))
+    got = {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, wrong, "").collect()}
+    assert [got[d] for d in fr] == ["fr"] * 4
+    own = {r.doc_id: r.lang for r in docs.collect()}
+    assert sum(got[d] == own[d] for d in got) / len(got) > 0.97
