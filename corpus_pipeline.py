@@ -1,15 +1,24 @@
 """The corpus pipeline: five stages over ``documents``, each written as Parquet
 and read again by the next.
 
-1. language ID: documents without a language (no letter, or no text) go;
+1. language ID: documents without a language (no letter, or no text) go; the
+   others get the predicted ``lang`` where theirs is NULL or contradicted with
+   a score of CERTAIN or more;
 2. MinHash near-dedup: of each group of near-duplicates the smallest id stays;
 3. suffix-array dedup: text that an earlier document holds is cut out; the
    document stays, and ``n_chars`` follows;
 4. decontamination: documents that the contamination rule marks go;
-5. mixing: the words that each remaining document gives to the mix.
+5. mixing: the remaining documents, with the words that each gives to the mix
+   (``taken``; none where its source has more than its target), their own size
+   and their source's size and target.
 
 A NULL or empty text is dropped by the first stage; the operators define the
-rest. Rows of an empty table stay none throughout.
+rest. Rows of an empty table stay none throughout. Very long texts are worked on
+whole. Rows with one id and different texts are documents of their own for
+stages 1, 2, 4 and 5, and one document for stage 3; of rows with equal texts,
+stage 2 keeps one, so ties end there. Columns beyond those of ``documents`` are
+carried along, whatever their names; the last stage's four replace columns of
+those names.
 """
 
 from __future__ import annotations
@@ -21,9 +30,13 @@ from eventlake.llm.common import stored
 from eventlake.llm.decontaminate import decontaminate
 from eventlake.llm.langid import UNDETERMINED, identify
 from eventlake.llm.minhash import keep_one
-from eventlake.llm.queries import contaminated, mixed, table
+from eventlake.llm.mixing import mix_copies, with_taken
+from eventlake.llm.queries import contaminated, table, with_targets
 from eventlake.llm.suffix_dedup import suffix_dedup
 
+#: Score from which a predicted language replaces a document's own.
+CERTAIN = 0.9
+
 
 def _as_documents(rows: DataFrame, like: DataFrame, **changed) -> DataFrame:
     """Operator output (``id``, ``text``, ``rest``) with the columns of ``like``."""
@@ -32,7 +45,9 @@ def _as_documents(rows: DataFrame, like: DataFrame, **changed) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _as_documents(identify(docs).where(F.col("lang_pred") != UNDETERMINED), docs)
+    found = identify(docs).where(F.col("lang_pred") != UNDETERMINED)
+    lang = F.when(F.col("score") >= CERTAIN, F.col("lang_pred")).otherwise(F.coalesce("rest.lang", "lang_pred"))
+    return _as_documents(found, docs, lang=lang)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +65,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixed(docs)
+    rows = with_targets(*mix_copies(docs))
+    added = ["size", "source_size", "target", "taken"]
+    return with_taken(docs, rows).select(*[F.col("rest")[c].alias(c) for c in docs.columns if c not in added], *added)
 
 
 STAGES = [
