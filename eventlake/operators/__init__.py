@@ -15,7 +15,11 @@ from .health import health_report, health_status, partition_offsets, stream_heal
 from .publish import to_messages, write_messages
 from .asof import asof_join
 from .intervals import interval_join
+from .multiset import multiset_diff, surplus
+from .ranking import ranked
+from .rollup import finest, roll_up
 from .sessions import click_purchases, user_sessions
+from .sketches import estimates, merged, sketched
 
 __all__ = [
     "parse_events",
@@ -43,4 +47,12 @@ __all__ = [
     "interval_join",
     "user_sessions",
     "click_purchases",
+    "multiset_diff",
+    "surplus",
+    "ranked",
+    "finest",
+    "roll_up",
+    "sketched",
+    "merged",
+    "estimates",
 ]

@@ -30,10 +30,14 @@ from ..operators.ingest import (
     new_since_last_seen,
 )
 from ..operators.intervals import interval_join
+from ..operators.multiset import multiset_diff
 from ..operators.parse import parse_events
 from ..operators.publish import to_messages
 from ..operators.quality import drop_reason, drop_reasons, validate
+from ..operators.ranking import ranked
+from ..operators.rollup import finest, roll_up
 from ..operators.sessions import click_purchases, closed, user_sessions
+from ..operators.sketches import estimates, merged, sketched
 from ..session import scratch_dir
 from ..sources.cursors import load_cursor, save_cursor
 from ..sources.envelope import TOPIC, api_events
@@ -52,7 +56,9 @@ from ..streaming.keyed import CURSOR, IDLE, feed_events
 from ..streaming.progress import MONITOR_TABLES, ProgressRecorder
 from ..streaming.sinks import data_then_cursor, run_all, start_append
 from ..streaming.state import stateful_settings
+from ..streaming.upserts import read_upserted, start_upserts
 from . import inputs
+from .joins import join_small
 from .output import comparable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -490,6 +496,100 @@ def q_idle_users_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(found.where(F.col("kind") == IDLE).select("feed", F.col("at").alias("idle_at")))
 
 
+# --- sketches, rollups, ranks, multisets, changing tables -------------------------
+
+#: Errors that ``type_sketches`` allows: shares of the distinct count and of the rows.
+DISTINCT_ERROR, RANK_ERROR, COUNT_ERROR = 0.08, 0.05, 0.005
+SHARES = (0.1, 0.5, 0.9)
+
+
+def q_type_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every (day, type) stored as a table, merged over the days,
+    and held against the exact values: ``event_type, rows, users`` (exact),
+    ``users_close``, ``quantiles_close`` and ``top_close`` (whether distinct
+    users, the quantiles of ``value`` and the counts of the ten most frequent
+    users are within the errors above)."""
+    events = inputs.events(spark, sf_dir)
+    daily = sketched(
+        events, ["event_type", F.date_trunc("day", "ts").alias("day")], {"users": "user_id"}, {"values": "value"}, {"top": "user_id"}
+    )
+    stored = write_table(daily, scratch_dir(spark, "sketches"))
+    read = estimates(merged(read_table(spark, stored), ["event_type"]), SHARES)
+    # a row a type, read back: the checks below use it three times
+    types = read_table(spark, write_table(read, scratch_dir(spark, "estimates")))
+
+    by_user = events.groupBy("event_type", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    exact = by_user.groupBy("event_type").agg(F.sum("n").alias("rows"), F.count("user_id").alias("users"))
+    tops = types.select("event_type", F.inline("top")).withColumn("user_id", F.col("item").cast("long"))
+    off = tops.join(by_user, ["event_type", "user_id"], "left").groupBy("event_type").agg(F.max(F.abs(F.col("count") - F.coalesce("n", F.lit(0)))).alias("off"))
+
+    # a quantile is close if its place among the values is, ties counted either way
+    value = F.col("value").cast("double")
+    quantile = lambda i: F.col("values")[i]
+    places = join_small(events.select("event_type", "value"), types.select("event_type", "values"), ["event_type"], "inner").groupBy("event_type").agg(
+        F.count("value").alias("m"),
+        *[F.count(F.when(value < quantile(i), 1)).alias(f"below{i}") for i in range(len(SHARES))],
+        *[F.count(F.when(value <= quantile(i), 1)).alias(f"upto{i}") for i in range(len(SHARES))],
+    )
+    near = F.lit(True)
+    for i, share in enumerate(SHARES):
+        near = near & (F.col(f"below{i}") <= (share + RANK_ERROR) * F.col("m")) & (F.col(f"upto{i}") >= (share - RANK_ERROR) * F.col("m"))
+    found = types.select("event_type", F.col("rows").alias("seen"), F.col("users").alias("about"))
+    joined = exact.join(found, "event_type").join(off, "event_type").join(places, "event_type")
+    return joined.select(
+        "event_type",
+        F.col("seen").alias("rows"),
+        "users",
+        (F.abs(F.col("about") - F.col("users")) <= DISTINCT_ERROR * F.col("users")).alias("users_close"),
+        near.alias("quantiles_close"),
+        (F.col("off") <= COUNT_ERROR * F.col("rows") + 1).alias("top_close"),
+    )
+
+
+CUBE_DIMS = ("day", "repo_name", "event_type")
+CUBE_SETS = (CUBE_DIMS, ("day", "event_type"), ("repo_name", "event_type"), ("day",), ("event_type",), ())
+CUBE_MEASURES = {"event_count": ("count", None), "first_at": ("min", "created_at"), "last_at": ("max", "created_at")}
+
+
+def q_event_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and first and last times over six grouping sets of day, repository
+    and type, from finest totals that were appended in two parts (the events
+    before the previous poll, and the ones after)."""
+    events = comparable(inputs.validated(spark, sf_dir)).withColumn("day", F.date_format("created_at", "yyyy-MM-dd"))
+    early = F.col("created_at") < F.lit(inputs.PREVIOUS_POLL).cast("timestamp_ntz")
+    path = scratch_dir(spark, "finest")
+    for part in (early, ~early):
+        write_table(finest(events.where(part), CUBE_DIMS, CUBE_MEASURES), path)
+    return roll_up(read_table(spark, path), CUBE_DIMS, CUBE_SETS, CUBE_MEASURES)
+
+
+def q_ranked_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of each type in order of their hour: number, rank and running sum
+    of the value in cents."""
+    cents = F.round(F.col("value") * 100).cast("long")
+    events = inputs.events(spark, sf_dir).select("event_id", "event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), cents.alias("cents"))
+    return ranked(events, ["event_type"], "hour", "event_id", {"running_cents": "cents"})
+
+
+def q_replay_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that two polls with an overlap delivered more or less often than
+    the table holds them: the rows, ``n_left`` (table), ``n_right`` (polls)."""
+    columns = ["event_id", "event_type", "actor_login", "repo_name", "created_at"]
+    polls = inputs.first_poll_records(spark, sf_dir).unionByName(inputs.replayed_records(spark, sf_dir))
+    return comparable(multiset_diff(inputs.parsed(spark, sf_dir).select(columns), parse_events(decode_records(polls)).select(columns)))
+
+
+def q_repo_activity_5m_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All windows, open ones included, kept up to date by an update-mode stream
+    over four micro-batches, compacted after every second one."""
+    cfg, events = _replayed(spark, sf_dir, "updates", 4)
+    path, keys = cfg.table_path("updates"), ["window_start", "window_end", "repo_name"]
+    with stateful_settings(spark, cfg.state_store, cfg.state_partitions):
+        q = start_upserts(repo_activity(events()), path, cfg.checkpoint_path("updates"), keys, compact_every=2)
+    run_all([q])
+    return comparable(read_upserted(spark, path, keys))
+
+
 QUERIES: dict[str, Query] = {
     "decode_records": q_decode_records,
     "parse_events": q_parse_events,
@@ -526,4 +626,9 @@ QUERIES: dict[str, Query] = {
     "click_purchases_stream": q_click_purchases_stream,
     "stream_cursor_state": q_stream_cursor_state,
     "idle_users_stream": q_idle_users_stream,
+    "type_sketches": q_type_sketches,
+    "event_cube": q_event_cube,
+    "ranked_events": q_ranked_events,
+    "replay_audit": q_replay_audit,
+    "repo_activity_5m_updates": q_repo_activity_5m_updates,
 }

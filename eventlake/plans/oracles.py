@@ -272,4 +272,31 @@ gaps AS (SELECT actor_login, created_at, lead(created_at) OVER (PARTITION BY act
 SELECT actor_login AS feed, created_at + INTERVAL 1 DAY AS idle_at FROM gaps
 WHERE later > created_at + INTERVAL 1 DAY
    OR later IS NULL AND created_at + INTERVAL 1 DAY <= (SELECT max(created_at) FROM validated) - INTERVAL 10 MINUTES""",
+    "type_sketches": """
+SELECT event_type, count(*) AS "rows", count(DISTINCT user_id) AS users,
+       true AS users_close, true AS quantiles_close, true AS top_close
+FROM events GROUP BY event_type""",
+    "event_cube": "WITH"
+    + _VALIDATED
+    + """
+SELECT day, repo_name, event_type, grouping(day, repo_name, event_type) AS grouping_id,
+       count(*) AS event_count, min(created_at) AS first_at, max(created_at) AS last_at
+FROM (SELECT *, strftime(created_at, '%Y-%m-%d') AS day FROM validated)
+GROUP BY GROUPING SETS ((day, repo_name, event_type), (day, event_type), (repo_name, event_type), (day), (event_type), ())""",
+    "ranked_events": """
+SELECT event_id, event_type, hour, cents, row_number() OVER w AS row_number,
+       rank() OVER (PARTITION BY event_type ORDER BY hour NULLS FIRST) AS rank,
+       (sum(cents) OVER (w ROWS UNBOUNDED PRECEDING))::BIGINT AS running_cents
+FROM (SELECT event_id, event_type, date_trunc('hour', ts) AS hour, round(value * 100)::BIGINT AS cents FROM events)
+WINDOW w AS (PARTITION BY event_type ORDER BY hour NULLS FIRST, event_id NULLS FIRST)""",
+    "replay_audit": "WITH"
+    + _PARSED
+    + """,
+polls AS (SELECT * FROM parsed WHERE created_at < TIMESTAMP '2024-01-20 00:00:00'
+          UNION ALL SELECT * FROM parsed WHERE created_at >= TIMESTAMP '2024-01-15 00:00:00'),
+both_sides AS (SELECT event_id, event_type, actor_login, repo_name, created_at, 1 AS l FROM parsed
+               UNION ALL SELECT event_id, event_type, actor_login, repo_name, created_at, 0 FROM polls)
+SELECT event_id, event_type, actor_login, repo_name, created_at, sum(l)::BIGINT AS n_left, sum(1 - l)::BIGINT AS n_right
+FROM both_sides GROUP BY ALL HAVING sum(l) <> sum(1 - l)""",
+    "repo_activity_5m_updates": "WITH" + _ACTIVITY + "\nSELECT * FROM activity",
 }
