@@ -5,6 +5,7 @@ from .keyed import feed_events
 from .progress import ProgressRecorder
 from .sinks import data_then_cursor, run_all, start_append
 from .state import stateful_settings, use_state_store
+from .upserts import compact, read_upserted, start_upserts, upsert_batches
 
 __all__ = [
     "start_append",
@@ -20,4 +21,8 @@ __all__ = [
     "start_events_v1",
     "start_repo_activity",
     "run_ingest",
+    "start_upserts",
+    "upsert_batches",
+    "read_upserted",
+    "compact",
 ]
