@@ -13,6 +13,8 @@ document's hits never leave its row.
 from __future__ import annotations
 
 import re
+import string
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +26,10 @@ from .quality import once
 #: Everything that isn't part of a word, once lower-cased.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+CAPITALS = string.ascii_uppercase
+#: Length of the blocks in which a document's hits are added up.
+BLOCK = 64
+
 #: Phrases that always count, and their labels.
 BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
 BASE_SCORE = 0.6
@@ -141,8 +147,8 @@ def all_rules() -> list[Rule]:
 
 
 def words_apart(text: Column) -> Column:
-    """The text's words, lower-cased, each after one space; a space at the end."""
-    flat = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), GAP, " "))
+    """The text's words, A-Z lower-cased, each after one space; a space at the end."""
+    flat = F.trim(F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), CAPITALS, CAPITALS.lower()), GAP, " "))
     return F.when(flat == "", F.lit(" ")).otherwise(F.concat(F.lit(" "), flat, F.lit(" ")))
 
 
@@ -175,68 +181,91 @@ def phrase_places(phrase: str, label: str) -> Column:
     return F.transform(F.array(F.split("norm", f" {phrase}(?= )", -1)), summary)[0]
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def before(values: Column, fold: Callable[[Column, Column], Column], start: Column) -> Column:
+    """For each place of an array, the fold of the values at the places before
+    it. Appending copies an array, so it is done in blocks of fixed length, and
+    over the blocks' totals."""
+
+    def appended(part: Column, first: Column) -> Column:
+        return F.aggregate(part, F.array(first), lambda out, x: F.concat(out, F.array(fold(F.element_at(out, -1), x))))
+
+    def by_block(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda block: F.aggregate(block, start, lambda a, x: fold(a, x)))
+        return bound(
+            appended(totals, start),
+            lambda carried: F.flatten(F.transform(blocks, lambda block, i: F.slice(appended(block, F.get(carried, i)), F.lit(1), F.size(block)))),
+        )
+
+    def cut(v: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(v), F.lit(BLOCK)), lambda at: at < F.size(v))
+        return F.transform(starts, lambda at: F.slice(v, at + 1, F.lit(BLOCK)))
+
+    return bound(values, lambda v: bound(cut(v), by_block))
+
+
 def hits(rules: Column) -> Column:
     """All places of the given rules in ``norm``: start, end, priority, label."""
 
     def places(r: Column) -> Column:
         found = F.struct(F.split("norm", r["pattern"], -1).alias("between"), F.regexp_extract_all("norm", r["pattern"], F.lit(0)).alias("hit"))
-        step = lambda f: F.aggregate(
-            F.arrays_zip(F.slice(f["between"], F.lit(1), F.size(f["hit"])).alias("between"), f["hit"].alias("hit")),
-            F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start: int, `end`: int, priority: int, label: string>>)").alias("out")),
-            lambda a, x: F.struct(
-                (a["at"] + F.length(x["between"]) + F.length(x["hit"])).alias("at"),
-                F.concat(
-                    a["out"],
-                    F.array(
-                        F.struct(
-                            (a["at"] + F.length(x["between"])).alias("start"),
-                            (a["at"] + F.length(x["between"]) + F.length(x["hit"])).alias("end"),
-                            r["priority"].alias("priority"),
-                            r["label"].alias("label"),
-                        )
+
+        def placed(f: Column) -> Column:
+            lengths = F.transform(f["hit"], lambda h, i: F.length(F.get(f["between"], i)) + F.length(h))
+            return bound(
+                before(lengths, lambda x, y: x + y, F.lit(0)),
+                lambda at: F.transform(
+                    f["hit"],
+                    lambda h, i: bound(
+                        F.get(at, i) + F.length(F.get(f["between"], i)),
+                        lambda start: F.struct(start.alias("start"), (start + F.length(h)).alias("end"), r["priority"].alias("priority"), r["label"].alias("label")),
                     ),
-                ).alias("out"),
-            ),
-        )["out"]
-        return F.transform(F.array(found), step)[0]
+                ),
+            )
+
+        return bound(found, placed)
 
     return F.flatten(F.transform(rules, places))
 
 
 def resolved(found: Column) -> Column:
     """``found`` without hits inside one of the same or a higher priority, and
-    without those that hold one of a higher priority; by two sweeps."""
+    without those that hold one of a higher priority: two sorts, and what came
+    before each place of them marks the hits to leave out."""
     none, far = F.lit(-1), F.lit(2**31 - 1)
-    empty = F.expr("cast(array() as array<struct<start: int, `end`: int, priority: int, label: string>>)")
-    level = lambda a, d, p, v, f: F.when(d["priority"] >= p, f(a[v], d["end"])).otherwise(a[v]).alias(v)
+
+    def ends(rows: Column, p: int, other: Column, fold: Callable[[Column, Column], Column]) -> Column:
+        return before(F.transform(rows, lambda x: F.when(x["d"]["priority"] >= p, x["d"]["end"]).otherwise(other)), fold, other)
 
     # from the right: the nearest end of a higher priority that starts no earlier
-    backward = F.sort_array(F.transform(found, lambda d: F.struct((-d["start"]).alias("s"), d["end"].alias("e"), (-d["priority"]).alias("p"), d.alias("d"))))
-    inside = F.aggregate(
-        backward,
-        F.struct(far.alias("over1"), far.alias("over2"), empty.alias("out")),
-        lambda a, x: F.struct(
-            level(a, x["d"], 2, "over1", F.least),
-            level(a, x["d"], 3, "over2", F.least),
-            F.when(
-                F.when(x["d"]["priority"] == 1, a["over1"]).when(x["d"]["priority"] == 2, a["over2"]).otherwise(far) <= x["d"]["end"], a["out"]
-            ).otherwise(F.concat(a["out"], F.array(x["d"]))).alias("out"),
-        ),
-    )["out"]
+    def without_wide(rows: Column) -> Column:
+        nearest = F.struct(*[ends(rows, p + 1, far, F.least).alias(f"p{p}") for p in (1, 2)])
+
+        def narrow(near: Column) -> Column:
+            end = lambda x, i: F.when(x["d"]["priority"] == 1, F.get(near["p1"], i)).when(x["d"]["priority"] == 2, F.get(near["p2"], i)).otherwise(far)
+            return F.transform(F.filter(rows, lambda x, i: end(x, i) > x["d"]["end"]), lambda x: x["d"])
+
+        return bound(nearest, narrow)
+
     # from the left: the furthest end of the same or a higher priority so far
-    forward = F.sort_array(F.transform(inside, lambda d: F.struct(d["start"].alias("s"), (-d["end"]).alias("e"), (-d["priority"]).alias("p"), d["label"].alias("l"), d.alias("d"))))
-    return F.aggregate(
-        forward,
-        F.struct(none.alias("from1"), none.alias("from2"), none.alias("from3"), empty.alias("out")),
-        lambda a, x: F.struct(
-            level(a, x["d"], 1, "from1", F.greatest),
-            level(a, x["d"], 2, "from2", F.greatest),
-            level(a, x["d"], 3, "from3", F.greatest),
-            F.when(
-                F.when(x["d"]["priority"] == 1, a["from1"]).when(x["d"]["priority"] == 2, a["from2"]).otherwise(a["from3"]) >= x["d"]["end"], a["out"]
-            ).otherwise(F.concat(a["out"], F.array(x["d"]))).alias("out"),
-        ),
-    )["out"]
+    def without_inner(rows: Column) -> Column:
+        furthest = F.struct(*[ends(rows, p, none, F.greatest).alias(f"p{p}") for p in (1, 2, 3)])
+
+        def outer(far_end: Column) -> Column:
+            end = lambda x, i: F.when(x["d"]["priority"] == 1, F.get(far_end["p1"], i)).when(x["d"]["priority"] == 2, F.get(far_end["p2"], i)).otherwise(F.get(far_end["p3"], i))
+            return F.transform(F.filter(rows, lambda x, i: end(x, i) < x["d"]["end"]), lambda x: x["d"])
+
+        return bound(furthest, outer)
+
+    backward = F.sort_array(F.transform(found, lambda d: F.struct((-d["start"]).alias("s"), d["end"].alias("e"), (-d["priority"]).alias("p"), d.alias("d"))))
+    forward = lambda kept: F.sort_array(
+        F.transform(kept, lambda d: F.struct(d["start"].alias("s"), (-d["end"]).alias("e"), (-d["priority"]).alias("p"), d["label"].alias("l"), d.alias("d")))
+    )
+    return bound(forward(bound(backward, without_wide)), without_inner)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: list[Rule] | None = None) -> DataFrame:
@@ -249,8 +278,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     ``detections`` (array of start, end, priority and label after resolution;
     places are characters of the reduced text) and ``score`` (0 to 1).
 
-    A NULL or empty text, or one without words, has no labels and score 0. Of
+    A NULL or empty text, or one without words, has no labels and score 0; an
+    empty table gives an empty one; a repeated row is judged like any other. Of
     hits on the same interval the higher priority stays, then the smaller label.
+    Whole texts are read, however long; the work grows with a text's length and
+    its hits (a text holds every pattern's split while it is worked on).
     """
     rules = all_rules() if rules is None else rules
     groups: dict[tuple[str, ...], list[Rule]] = {}
