@@ -110,6 +110,65 @@ NOTICES = [
     ("non-commercial", "(?:for )?non ?commercial use only", "non commercial use only", [" commercial use only ", " noncommercial use only "]),
     ("unknown-license", f"(?:licensed|released|distributed) under (?:the )?(?:[^ ]+ ){{0,6}}{L}(?: version [0-9]+)?", "licensed under the some license", [" licensed under ", " released under ", " distributed under "]),
 ]
+# Sentences of license bodies and headers, and exceptions to them,
+# as label, pattern, example and keywords. None of them need name the license.
+BODIES = [
+    ("mit", "to any person obtaining a copy of this software and associated documentation files", "", [" associated documentation "]),
+    ("mit", "this permission notice shall be included in all copies or substantial portions of the software", "", [" this permission notice "]),
+    ("mit-0", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so the software is provided", "", [" without restriction "]),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted(?: provided that)?", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", [" with or without fee "]),
+    ("postgresql", "for any purpose without fee and without a written agreement is hereby granted", "", [" written agreement "]),
+    ("bsd", "redistributions of source code must retain the above copyright notice(?: this list of conditions)?", "redistributions of source code must retain the above copyright notice", [" redistributions of source "]),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice(?: this list of conditions)?", "redistributions in binary form must reproduce the above copyright notice", [" redistributions in binary "]),
+    ("bsd-3-clause", "neither the names? of (?:[^ ]+ ){1,12}may be used to endorse or promote products derived from this software", "neither the name of the author nor the names of its contributors may be used to endorse or promote products derived from this software", [" to endorse or promote "]),
+    ("bsd-4-clause", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment", "all advertising materials mentioning features or use of this software must display the following acknowledgement", [" advertising materials "]),
+    ("openssl", "this product includes software developed by the openssl project", "", [" openssl "]),
+    ("apache-2.0", "you may not use this file except in compliance with the license", "", [" except in compliance "]),
+    ("apache-2.0", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", "", [" agreed to in writing "]),
+    ("apache-2.0", "grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable (?:except as stated in this section )?(?:copyright|patent) license", "grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license", [" royalty free "]),
+    ("gpl", "this program is free software you can redistribute it and or modify it", "", [" this program is free "]),
+    ("gpl", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed", "", [" verbatim copies "]),
+    ("gpl", "you may convey a work based on the program or the modifications to produce it", "", [" may convey a work "]),
+    ("gpl-2.0", "you may copy and distribute verbatim copies of the program s source code as you receive it in any medium", "", [" verbatim copies "]),
+    ("lgpl", "this library is free software you can redistribute it and or modify it", "", [" this library is free "]),
+    ("lgpl", "a work that uses the library in isolation is not a derivative work of the library", "", [" uses the library "]),
+    ("agpl-3.0", "all users interacting with it remotely through a computer network", "", [" interacting with it remotely "]),
+    ("gfdl", "with no invariant sections no front cover texts and no back cover texts", "", [" invariant sections "]),
+    ("or-later", "either version [0-9](?: [0-9])? of the license or at your option any later version", "either version 2 of the license or at your option any later version", [" any later version "]),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", "", [" source code form "]),
+    ("mpl-2.0", "covered software is provided under this license on an as is basis", "", [" covered software "]),
+    ("mpl-1.1", "the contents of this file are subject to the mozilla public license version 1 1", "", [" contents of this file "]),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license", "", [" accompanying materials "]),
+    ("cddl", "the contents of this file are subject to the terms of the common development and distribution license", "", [" contents of this file "]),
+    ("zlib", "the origin of this software must not be misrepresented you must not claim that you wrote the original software", "", [" be misrepresented "]),
+    ("zlib", "altered source versions must be plainly marked as such", "", [" plainly marked "]),
+    ("boost-1.0", "to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", "", [" accompanying documentation "]),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "", [" unencumbered "]),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software", "", [" anyone is free "]),
+    ("wtfpl", "you just do what the fuck you want to", "", [" you just do "]),
+    ("artistic-1.0", "the intent of this document is to state the conditions under which a package may be copied", "", [" a package may be copied "]),
+    ("artistic-2.0", "you may distribute verbatim copies of the source form of the standard version", "", [" standard version "]),
+    ("psf", "psf is making python available to licensee on an as is basis", "", [" licensee "]),
+    ("ms-pl", "if you bring a patent claim against any contributor over patents that you claim are infringed by the software", "", [" patent claim "]),
+    ("ofl", "the font software may be sold as part of a larger software package but no copy", "", [" font software "]),
+    ("ofl", "no modified version of the font software may use the reserved font names?", "no modified version of the font software may use the reserved font name", [" font software "]),
+    ("cc0", "waive[sd]? all copyright and related (?:or|and) neighbou?ring rights", "waived all copyright and related or neighboring rights", [" related or neighbo", " related and neighbo"]),
+    ("cc-by", "you must give appropriate credit provide a link to the license and indicate if changes were made", "", [" appropriate credit "]),
+    ("cc-by-sa", "you must distribute your contributions under the same license as the original", "", [" your contributions "]),
+    ("cc-by-nc", "you may not use the material for commercial purposes", "", [" commercial purposes "]),
+    ("cc-by-nd", "you may not distribute the modified material", "", [" modified material "]),
+    ("odbl", "any use of this database or works produced from (?:it|this database)", "any use of this database or works produced from it", [" this database "]),
+    ("openrail", "you agree not to use the model or derivatives of the model", "", [" derivatives of the model "]),
+    ("llama", "monthly active users of the products or services made available by or for licensee", "", [" monthly active users "]),
+    ("commons-clause", "the grant of rights under the license will not include and the license does not grant to you the right to sell the software", "", [" right to sell "]),
+    ("classpath-exception", "linking this library statically or dynamically with other modules is making a combined work based on this library", "", [" combined work "]),
+    ("linking-exception", "as a special exception the copyright holders (?:of this library )?give you permission to link", "as a special exception the copyright holders of this library give you permission to link", [" special exception "]),
+    ("openssl-exception", "permission to link the code of (?:[^ ]+ ){1,6}with the openssl (?:project s openssl )?library", "permission to link the code of portions of this program with the openssl library", [" openssl "]),
+    ("autoconf-exception", "as part of a program that contains a configuration script generated by autoconf", "", [" generated by autoconf "]),
+    ("bison-exception", "you may create a larger work that contains part or all of the bison parser skeleton", "", [" parser skeleton "]),
+    ("gcc-exception", "gcc runtime library exception", "", [" gcc runtime "]),
+    ("llvm-exception", "llvm exceptions?", "llvm exception", [" llvm exception"]),
+]
 TAG = [" spdx "]
 
 
@@ -123,7 +182,7 @@ class Rule(NamedTuple):
 
 def all_rules() -> list[Rule]:
     """Every family's name; name and version; notice, with and without version;
-    and tag; then the other notices."""
+    and tag; then the sentences of license bodies and the other notices."""
     rules = []
 
     def add(label: str, priority: int, pattern: str, example: str, keywords: list[str]) -> None:
@@ -141,6 +200,8 @@ def all_rules() -> list[Rule]:
             dotted = v.replace(" ", ".")
             add(f"{label}-{dotted}", 3, f"(?:{granted})?(?:{name})(?: international| unported)? ?(?:v|version |v )?{number}", f"{example} version {v}", keywords)
             add(f"{label}-{dotted}", 3, f"spdx {L} identifier {words} {v}(?: only| or later)?", f"spdx license identifier {words} {v}", TAG)
+    for label, pattern, example, keywords in BODIES:
+        add(label, 2, pattern, example or pattern, keywords)
     for label, pattern, example, keywords in NOTICES:
         add(label, 1, pattern, example, keywords)
     return rules

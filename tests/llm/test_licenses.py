@@ -93,3 +93,32 @@ def test_edge_rows(spark):
     for d, t in rows:
         assert got[d] == brute(t, rules)
     assert scanned(spark, []) == {}
+
+
+def test_many_hits_in_one_text(spark):
+    # beyond the block in which hits are added up, and beyond a block of blocks
+    n = licenses.BLOCK**2 + 70
+    text = "mit license, " * n + "cc by 4.0 " + "x all rights reserved " * n
+    got = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert len(got.detections) == 2 * n + 1 and got.labels == ["cc-by", "cc-by-4.0", "mit", "reserved"]
+    flat = " " + " ".join(re.findall("[a-z0-9]+", text)) + " "
+    assert all(flat[d.start : d.end].strip() in ("mit license", "cc by 4 0", "all rights reserved") for d in got.detections)
+    assert got.n_base == n + 1 and got.first_word == 2 * n
+
+
+def test_only_ascii_capitals_are_lowered(spark):
+    kelvin = "\u212aIT MIT LICENSE"
+    assert scanned(spark, [(1, kelvin)])[1] == brute(kelvin, all_rules())
+    one = Rule("k", 2, (" k ",), " k(?= )", " k ")
+    assert scanned(spark, [(1, "\u212a"), (2, "K")], rules=[one])[1][5] == []
+
+
+def test_bodies_are_known_without_a_name(spark):
+    header = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+    with the License. Unless required by applicable law or agreed to in writing, software distributed under the License is
+    distributed on an "AS IS" BASIS."""
+    clauses = """1. Redistributions of source code must retain the above copyright notice. 3. Neither the name of the University
+    nor the names of its contributors may be used to endorse or promote products derived from this software."""
+    linking = "As a special exception, the copyright holders of this library give you permission to link it."
+    got = scanned(spark, [(1, header), (2, clauses), (3, linking)])
+    assert [got[i][5] for i in (1, 2, 3)] == [["apache-2.0"], ["bsd", "bsd-3-clause"], ["linking-exception"]]
