@@ -51,12 +51,12 @@ def ranked(
         raise ValueError(f"output names are taken: {sorted(clash)}")
     rows = df.select(
         F.struct(*[_quoted(c) for c in df.columns]).alias("__row"),
-        *[_quoted(c).alias(f"__k{i}") for i, c in enumerate(by)],
+        # fields of a struct are equal when both are NULL, so its equality joins NULL keys too
+        F.struct(F.lit(0).alias("k"), *[_quoted(c).alias(f"k{i}") for i, c in enumerate(by)]).alias("__k"),
         _quoted(order).alias("__o"),
         _quoted(tie).alias("__t"),
         *[_quoted(c).alias(f"__s{i}") for i, c in enumerate(sums.values())],
     )
-    keys = [f"__k{i}" for i in range(len(by))]
     cuts, often = [], []
     if ranges > 1:
         found = _bounds(rows.select(F.col("__o").alias("v")), ranges).first()["q"] or []
@@ -80,11 +80,11 @@ def ranked(
         sub = F.when(F.col("__o") == F.lit(v), sum((at_least(F.col("__t"), b) for b in bounds), F.lit(0))).otherwise(sub)
     rows = rows.withColumn("__range", spot).withColumn("__sub", sub)
 
-    group = [*keys, "__range", "__sub"]
+    group = ["__k", "__range", "__sub"]
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"), *[F.sum(zero(f"__s{i}")).alias(f"__sum{i}") for i in range(len(sums))])
-    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__range", "__sub").rowsBetween(Window.unboundedPreceding, -1)
-    first = Window.partitionBy(*(keys or [F.lit(0)]), "__range").orderBy("__sub")
+    before = Window.partitionBy("__k").orderBy("__range", "__sub").rowsBetween(Window.unboundedPreceding, -1)
+    first = Window.partitionBy("__k", "__range").orderBy("__sub")
     offsets = sizes.select(
         *group,
         F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
@@ -103,11 +103,10 @@ def ranked(
         F.rank().over(alike).alias("__r"),
         *[F.sum(zero(f"__s{i}")).over(upto).alias(f"__run{i}") for i in range(len(sums))],
     )
-    match = [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in group]
-    joined = local.alias("a").join(offsets.alias("b"), match)
+    joined = local.join(offsets, group)
     return joined.select(
-        *[F.col("a.__row")[c].alias(c) for c in df.columns],
+        *[F.col("__row")[c].alias(c) for c in df.columns],
         (F.col("__before") + F.col("__i")).alias("row_number"),
-        (F.when(F.col("a.__sub") > 0, F.col("__first")).otherwise(F.col("__before")) + F.col("__r")).alias("rank"),
+        (F.when(F.col("__sub") > 0, F.col("__first")).otherwise(F.col("__before")) + F.col("__r")).alias("rank"),
         *[(F.col(f"__total{i}") + F.col(f"__run{i}")).alias(name) for i, name in enumerate(sums)],
     )
