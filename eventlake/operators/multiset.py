@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from ..plans.joins import DEFAULT_MAX_BROADCAST_BYTES, fits
+from ..session import shared_dir
+
 
 def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
@@ -24,15 +27,17 @@ def row_fingerprint(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.unhex(F.sha2(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]), 256))
 
 
-def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
+def multiset_diff(left: DataFrame, right: DataFrame, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """The distinct rows that the tables don't hold equally often, with
     ``n_left`` and ``n_right`` (bigint): ``EXCEPT ALL`` in both directions.
 
     Both need the same columns; they are matched by name, NULL equals NULL, and
     types must agree. Rows are counted by fingerprint first: 32 bytes and two
     counts a distinct row are shuffled, combined map-side, so that neither wide
-    rows nor a row repeated a billion times load a reducer. Only the rows of
-    fingerprints that differ are then read again and joined.
+    rows nor a row repeated a billion times load a reducer. The counts that
+    differ are checkpointed, and the tables are read again for their rows: while
+    those counts take at most ``max_broadcast_bytes`` they go to the tasks, so
+    only rows that differ move; beyond that, one copy of each distinct row does.
     """
     columns = left.columns
     if sorted(columns) != sorted(right.columns) or len(set(columns)) != len(columns):
@@ -47,9 +52,12 @@ def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
 
     both = side(left, 1).unionByName(side(right, 0))
     counts = both.groupBy("__fp").agg(F.sum("__left").alias("n_left"), F.sum(1 - F.col("__left")).alias("n_right"))
-    unequal = counts.where(F.col("n_left") != F.col("n_right"))
-    # one copy of each row that differs
-    rows = both.join(unequal, "__fp", "left_semi").groupBy("__fp").agg(F.min("__row").alias("__row"))
+    shared_dir(left.sparkSession)
+    unequal = counts.where(F.col("n_left") != F.col("n_right")).checkpoint()
+    small = fits(unequal, max_broadcast_bytes)
+    if small:
+        both = both.join(F.broadcast(unequal.select("__fp")), "__fp", "left_semi")
+    rows = both.groupBy("__fp").agg(F.min("__row").alias("__row"))
     return rows.join(unequal, "__fp").select(*[F.col("__row")[c].alias(c) for c in columns], "n_left", "n_right")
 
 

@@ -151,7 +151,8 @@ def test_ranks_of_nothing_and_clashing_names(spark):
 # --- multisets -------------------------------------------------------------------
 
 
-def test_multiset_diff_counts_copies(spark):
+@pytest.mark.parametrize("bound", [32 << 20, 0])
+def test_multiset_diff_counts_copies(spark, bound):
     rng = random.Random(1)
     value = lambda: (rng.choice(["", "a", "1:a", "-", None]), rng.choice([None, 1, 11]))
     left, right = [value() for _ in range(300)], [value() for _ in range(260)]
@@ -160,7 +161,7 @@ def test_multiset_diff_counts_copies(spark):
     ldf = spark.createDataFrame(left, "a string, b int").repartition(4)
     rdf = spark.createDataFrame(right, "a string, b int").select("b", "a").repartition(3)
     want = {k: (Counter(left)[k], Counter(right)[k]) for k in {*left, *right} if Counter(left)[k] != Counter(right)[k]}
-    diff = multiset_diff(ldf, rdf)
+    diff = multiset_diff(ldf, rdf, max_broadcast_bytes=bound)
     assert diff.columns == ["a", "b", "n_left", "n_right"]
     assert {(r["a"], r["b"]): (r["n_left"], r["n_right"]) for r in diff.collect()} == want
     assert Counter(map(tuple, surplus(diff).collect())) == Counter(left) - Counter(right)
