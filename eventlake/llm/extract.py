@@ -19,10 +19,12 @@ from __future__ import annotations
 
 import html
 import json
+import math
 import re
 
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -37,9 +39,11 @@ from .urls import url_parts
 AGREE = 3
 #: Levels of a page whose blocks are its outline.
 OUTLINE = 4
-#: Children are aligned by every pair of them up to so many pairs; longer lists
-#: are first cut where a child occurs once in either.
+#: Above so many pairs of children the table of an alignment is made by arrays,
+#: a row at a time: for speed and memory only, the result is the same.
 PAIRS = 4096
+#: Weights of pairs of subtrees that such a table keeps at hand.
+WEIGHED = 4_000_000
 #: Templates a task keeps at hand.
 KEPT = 64
 #: Deeper nesting is read as if at this depth.
@@ -202,12 +206,8 @@ def align(x: list[Node], y: list[Node]) -> tuple[int, list[tuple[Node, Node]]]:
     if not x or not y:
         return weight, pairs
     if len(x) * len(y) > PAIRS:
-        cut = anchor(x, y)
-        halves = [cut, (cut[0] + 1, cut[1] + 1)] if cut else [(len(x) // 2, len(y) // 2)] * 2
-        found = [align(x[: halves[0][0]], y[: halves[0][1]]), align(x[halves[1][0] :], y[halves[1][1] :])]
-        if cut:
-            found.append(match(x[cut[0]], y[cut[1]]))
-        return weight + sum(w for w, _ in found), pairs + [p for _, ps in found for p in ps]
+        long_weight, long_pairs = align_long(x, y)
+        return weight + long_weight, pairs + long_pairs
     inner: dict[tuple[int, int], tuple[int, list]] = {}
     best = [[0] * (len(y) + 1)]
     for i, p in enumerate(x):
@@ -237,12 +237,72 @@ def align(x: list[Node], y: list[Node]) -> tuple[int, list[tuple[Node, Node]]]:
     return weight + best[-1][-1], pairs
 
 
-def anchor(x: list[Node], y: list[Node]) -> tuple[int, int] | None:
-    """A subtree that occurs once in either list, nearest the middle."""
-    one, other = Counter(n.whole for n in x), Counter(n.whole for n in y)
-    place = {n.whole: j for j, n in enumerate(y)}
-    once = [(abs(2 * i - len(x)), i) for i, n in enumerate(x) if one[n.whole] == 1 == other.get(n.whole)]
-    return (i := min(once)[1], place[x[i].whole]) if once else None
+def classes(x: list[Node], y: list[Node]) -> tuple[list[int], list[int]]:
+    """Numbers for the subtrees of either list, equal for those that weigh the
+    same against all of the other list: texts count only if both lists have
+    them."""
+
+    def marks(nodes: list[Node]) -> set[int]:
+        found, stack = set(), list(nodes)
+        while stack:
+            n = stack.pop()
+            found.add(n.mark)
+            stack += n.elements
+        return found
+
+    both = marks(x) & marks(y)
+    numbers: dict[tuple, int] = {}
+
+    def number(n: Node) -> int:
+        key = (n.kind, n.mark if n.mark in both else 0, *[number(k) for k in n.elements])
+        return numbers.setdefault(key, len(numbers))
+
+    return [number(n) for n in x], [number(n) for n in y]
+
+
+def align_long(x: list[Node], y: list[Node]) -> tuple[int, list[tuple[Node, Node]]]:
+    """``align``'s table for long lists, with the same result: rows by whole
+    arrays, each two classes of subtrees weighed once. Of the table some rows
+    are kept, and those between are made again on the way back, so memory grows
+    with the longer list's length times the root of the shorter's, not with all
+    pairs."""
+    one, other = classes(x, y)
+    # a class of both lists may hide texts that only one of them has
+    left, right = dict(zip(one, x, strict=True)), dict(zip(other, y, strict=True))
+    place = {c: k for k, c in enumerate(right)}
+    column = np.array([place[c] for c in other])
+    weights: dict[int, np.ndarray] = {}
+
+    def row(i: int, above: np.ndarray) -> np.ndarray:
+        if one[i] not in weights:
+            if len(weights) * len(right) > WEIGHED:
+                weights.clear()
+            weights[one[i]] = np.array([match(left[one[i]], n)[0] for n in right.values()], np.int64)
+        found = np.maximum(above[1:], above[:-1] + weights[one[i]][column[: len(above) - 1]])
+        return np.maximum.accumulate(np.concatenate([above[:1], found]))
+
+    step = math.isqrt(len(x)) + 1
+    kept, above = {}, np.zeros(len(y) + 1, np.int64)
+    for i in range(len(x)):
+        if i % step == 0:
+            kept[i] = above
+        above = row(i, above)
+    weight, pairs, i, j = int(above[-1]), [], len(x), len(y)
+    while i and j:
+        first = (i - 1) // step * step
+        best = [kept[first][: j + 1]]
+        for k in range(first, i):
+            best.append(row(k, best[-1]))
+        while i > first and j:
+            here, up = best[i - first], best[i - first - 1]
+            if here[j] == up[j]:
+                i -= 1
+            elif here[j] == here[j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs += match(x[i], y[j])[1]
+    return weight, pairs
 
 
 def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:

@@ -99,6 +99,26 @@ def test_long_lists_are_cut_at_what_occurs_once():
     assert equal == sum(1 for i in range(900) if i % 7)
 
 
+def test_matching_does_not_depend_on_the_lists_length(monkeypatch):
+    """Lists beyond PAIRS get the best matching, the one that shorter ones get."""
+    rng = random.Random(5)
+
+    def some(n):
+        inner = lambda: "".join(f"<b>{rng.choice('xyz')}</b>" for _ in range(rng.randrange(3)))
+        return tree("".join(f"<{t}>{rng.choice(['', 'a', 'b', rng.randrange(99)])}{inner()}</{t}>" for t in rng.choices(["i", "u", "s"], k=n)))
+
+    # the one equal text is no place to cut at: all others lie across it
+    far = tree("<i>k</i>" + "<u>a</u>" * 80), tree("<u>a</u>" * 79 + "<s></s><i>k</i>")
+    cases = [far, *((some(n), some(m)) for n, m in ((0, 3), (1, 1), (5, 9), (70, 66), (90, 61), (130, 40)))]
+    number = lambda found: (found[0], [(u.number, v.number) for u, v in found[1]])
+    given = [number(extract.match(a, b)) for a, b in cases]
+    for pairs, weighed in ((0, 0), (0, 10**9), (10**9, 0)):
+        monkeypatch.setattr(extract, "PAIRS", pairs)
+        monkeypatch.setattr(extract, "WEIGHED", weighed, raising=False)
+        assert [number(extract.match(a, b)) for a, b in cases] == given
+    assert [w for w, _ in given] == [brute_weight(a, b) for a, b in cases]
+
+
 def words(rng, n):
     return " ".join("w%d" % rng.randrange(9999) for _ in range(n))
 
