@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from datetime import datetime, timedelta, timezone
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -25,6 +25,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FEED_STATE = "newest long, last long"
 FEED_EVENTS = "feed string, kind string, last_event_id string, rows long, at timestamp"
 _BATCH = "feed string, ids array<long>, spans array<struct<first: long, last: long>>, until timestamp"
+_EVENT = Row("feed", "kind", "last_event_id", "rows", "at")
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 CURSOR, IDLE = "cursor", "idle"
 DEFAULT_DELAY = "10 minutes"
 
@@ -72,7 +74,11 @@ def combine(idle: int):
 
 
 class FeedState(StatefulProcessor):
-    """A feed's newest id and last event time, until it has been idle."""
+    """A feed's newest id and last event time, until it has been idle.
+
+    Feeds are many and have few rows in a batch, so what counts is the cost of a
+    call: rows come and go as they are, without a data frame for each feed, and
+    the state is asked once."""
 
     def __init__(self, idle: int):
         self.idle = idle
@@ -84,13 +90,8 @@ class FeedState(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def _alarm(self, feed, newest, last: int) -> tuple:
-        return (feed, IDLE, None if newest is None else str(newest), 0, last + self.idle)
-
-    def _frame(self, rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=["feed", "kind", "last_event_id", "rows", "at"])
-        out["at"] = pd.to_datetime(out["at"], unit="us", utc=True)
-        return out
+    def _row(self, feed: str, kind: str, last_event_id: int | None, rows: int, at: int) -> Row:
+        return _EVENT(feed, kind, None if last_event_id is None else str(last_event_id), rows, EPOCH + timedelta(microseconds=at))
 
     def _millis(self, last: int) -> int:
         # timers have whole milliseconds; none fires before its time
@@ -98,37 +99,33 @@ class FeedState(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         feed = key[0]
-        held = self.state.get() if self.state.exists() else None
-        newest, last = held if held else (None, None)
+        newest, last = self.state.get() or (None, None)
         taken, top, spans = 0, newest, [] if last is None else [[last, last]]
-        for chunk in rows:
-            for ids in chunk["ids"]:
-                ahead = [i for i in ids if i is not None and (newest is None or i > newest)]
-                taken += len(ahead)
-                if ahead:
-                    top = max(ahead) if top is None else max(top, max(ahead))
-            for part in chunk["spans"]:
-                spans = merge_spans(spans + [[s["first"], s["last"]] for s in part], self.idle)
-        out = []
+        for row in rows:
+            ahead = [i for i in row["ids"] if i is not None and (newest is None or i > newest)]
+            taken += len(ahead)
+            if ahead:
+                top = max(ahead) if top is None else max(top, max(ahead))
+            spans = merge_spans(spans + [[s["first"], s["last"]] for s in row["spans"]], self.idle)
+        end = spans[-1][1]
+        if end != last:
+            if last is not None:
+                self.handle.deleteTimer(self._millis(last))
+            self.handle.registerTimer(self._millis(end))
+        if (top, end) != (newest, last):
+            self.state.update((top, end))
         # a gap that the batch itself shows is an alarm whose timer is not needed any more
         for a, _ in zip(spans, spans[1:], strict=False):
-            out.append(self._alarm(feed, None, a[1]))
+            yield self._row(feed, IDLE, None, 0, a[1] + self.idle)
         if taken:
-            out.append((feed, CURSOR, str(top), taken, spans[-1][1]))
-        if last is not None and spans[-1][1] != last:
-            self.handle.deleteTimer(self._millis(last))
-        if spans[-1][1] != last:
-            self.handle.registerTimer(self._millis(spans[-1][1]))
-        self.state.update((top, spans[-1][1]))
-        if out:
-            yield self._frame(out)
+            yield self._row(feed, CURSOR, top, taken, end)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        held = self.state.get() if self.state.exists() else None
+        held = self.state.get()
         if held:
             newest, last = held
             self.state.clear()
-            yield self._frame([self._alarm(key[0], newest, last)])
+            yield self._row(key[0], IDLE, newest, 0, last + self.idle)
 
 
 def feed_events(events: DataFrame, idle_minutes: int, delay: str = DEFAULT_DELAY, feed_col: str = "feed", id_col: str = "id", time_col: str = "created_at") -> DataFrame:
@@ -153,6 +150,6 @@ def feed_events(events: DataFrame, idle_minutes: int, delay: str = DEFAULT_DELAY
         raise ValueError("idle_minutes must be positive")
     slim = events.select(F.col(feed_col).cast("string").alias("feed"), F.col(id_col).cast("long").alias("id"), F.col(time_col).cast("timestamp").alias("at"))
     packed = slim.dropna().mapInArrow(combine(idle), _BATCH).withWatermark("until", delay)
-    return packed.groupBy("feed").transformWithStateInPandas(
+    return packed.groupBy("feed").transformWithState(
         statefulProcessor=FeedState(idle), outputStructType=FEED_EVENTS, outputMode="Append", timeMode="EventTime"
     )

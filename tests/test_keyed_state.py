@@ -147,6 +147,46 @@ def test_merged_spans_do_not_depend_on_order(idle):
     assert all(b[0] - a[1] > idle for a, b in zip(want, want[1:]))
 
 
+def test_a_feed_costs_few_calls_of_its_state():
+    """A call of the state per feed and batch is what a stream of many feeds
+    pays for: one read, no write of what has not changed, rows as they are."""
+    calls = []
+
+    class Handle:
+        held = None
+
+        def getValueState(self, *_):
+            return self
+
+        def __getattr__(self, name):
+            def call(*args):
+                calls.append((name, *args))
+                if name == "update":
+                    self.held = args[0]
+                return self.held if name == "get" else None
+
+            return call
+
+    state = keyed.FeedState(60_000_000)
+    state.init(Handle())
+
+    def batch(ids, *spans):
+        calls.clear()
+        row = {"feed": "a", "ids": ids, "spans": [{"first": a * 10**6, "last": b * 10**6} for a, b in spans]}
+        out = [(r.feed, r.kind, r.last_event_id, r.rows, r.at.timestamp()) for r in state.handleInputRows(("a",), iter([row]), None)]
+        return out, list(calls)
+
+    seconds = lambda s: s * 10**6
+    assert batch([2, 1], (0, 5)) == ([("a", "cursor", "2", 2, 5.0)], [("get",), ("registerTimer", 65_000), ("update", (2, seconds(5)))])
+    assert batch([1], (3, 5)) == ([], [("get",)])
+    got, made = batch([4], (100, 100))
+    assert got == [("a", "idle", None, 0, 65.0), ("a", "cursor", "4", 1, 100.0)]
+    assert made == [("get",), ("deleteTimer", 65_000), ("registerTimer", 160_000), ("update", (4, seconds(100)))]
+    calls.clear()
+    (alarm,) = state.handleExpiredTimer(("a",), None, None)
+    assert (alarm.kind, alarm.last_event_id, alarm.at.timestamp()) == ("idle", "4", 160.0) and calls == [("get",), ("clear",)]
+
+
 def test_idle_time_is_checked(spark):
     with pytest.raises(ValueError):
         keyed.feed_events(spark.createDataFrame([], "feed string, id long, created_at timestamp"), idle_minutes=0)
