@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from eventlake.operators import intervals
 from eventlake.operators.asof import asof_join
 from eventlake.operators.intervals import bin_width, interval_join
 from eventlake.operators.sessions import click_purchases
@@ -83,6 +85,30 @@ def test_intervals_equal_loop(spark, width):
     assert sorted((r.l_id, r.r_id) for r in got.collect()) == want and len(want) > 50
 
 
+@pytest.mark.parametrize("sizes", [(300, 300), (3, 4000), (4000, 3)])
+def test_a_dense_bin_is_shared_out(spark, session_conf, monkeypatch, sizes):
+    """All pairs of one bin: each comes once, and no task has most of them."""
+    session_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for name, value in (("BLOCK", 40), ("TASK_PAIRS", 5000), ("LEAST_PAIRS", 5000)):
+        monkeypatch.setattr(intervals, name, value, raising=False)
+    df = lambda n, x: spark.range(n).selectExpr("'k' AS k", f"id AS {x}_id", f"timestamp_micros(id) AS {x}_s", f"timestamp_micros(1000000 - id) AS {x}_e")
+    sparse = lambda x: spark.range(20).selectExpr("'s' || id AS k", f"-id AS {x}_id", f"timestamp_micros(id) AS {x}_s", f"timestamp_micros(9 + id) AS {x}_e")
+    one, other = (df(n, x).union(sparse(x)) for n, x in zip(sizes, "lr", strict=True))
+    got = interval_join(one, other, ["k"], ("l_s", "l_e"), ("r_s", "r_e"), 10**9)
+    assert got.columns == ["k", "l_id", "l_s", "l_e", "r_id", "r_s", "r_e"]
+    found = [(r.k, r.l_id, r.r_id, r.p) for r in got.withColumn("p", F.spark_partition_id()).collect()]
+    want = [("k", i, j) for i in range(sizes[0]) for j in range(sizes[1])] + [(f"s{i}", -i, -i) for i in range(20)]
+    assert sorted(r[:3] for r in found) == sorted(want)
+    assert max(Counter(r[3] for r in found).values()) < len(want) / 2
+
+
+def test_keys_of_two_types_and_nan(spark):
+    df = lambda x, k: spark.range(3).selectExpr(f"{k} AS k", f"id AS {x}_id", f"timestamp_micros(0) AS {x}_s", f"timestamp_micros(9) AS {x}_e")
+    pairs = lambda a, b: sorted((r.l_id, r.r_id) for r in interval_join(df("l", a), df("r", b), ["k"], ("l_s", "l_e"), ("r_s", "r_e"), 5).collect())
+    assert pairs("'0' || id", "int(id)") == [(0, 0), (1, 1), (2, 2)]
+    assert pairs("if(id = 0, double('NaN'), id)", "if(id = 0, double('NaN'), -id)") == [(0, 0)]
+
+
 def test_bin_width_and_names(spark):
     df = spark.createDataFrame([(at(0), at(10)), (at(5), at(5)), (None, at(9))], "s timestamp, e timestamp")
     assert bin_width((df, "s", "e")) == 20_000_000 and bin_width((df.limit(0), "s", "e")) == 1
