@@ -22,7 +22,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import join_small
+from ..plans.joins import DEFAULT_MAX_BROADCAST_BYTES, fits, join_small, likely_in
 from .common import drawn, quoted, rest_struct, stored
 
 #: Rows that the order of the rules is estimated on, about.
@@ -134,16 +134,19 @@ def toxic_words(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     There are at most TOXIC_ONE_IN times as many candidates as a toxic text has
     different words on average, so they are broadcast, and only they are
     counted in clean texts. Labels are broadcast up to a checked size; more are
-    joined by a shuffle of the texts. No labels, no words.
+    joined by a shuffle of the texts that are likely to have one, unsalted: ids
+    and row numbers hardly repeat. No labels, no words.
     """
     by_id = labels.groupBy(quoted("doc_id").alias("id")).agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic")).where(F.col("toxic").isNotNull())
-    texts = join_small(docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")).where(F.col("text").isNotNull()), stored(by_id, "labels"), ["id"], "inner")
+    texts, marks = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")).where(F.col("text").isNotNull()), stored(by_id, "labels")
+    small = fits(marks, DEFAULT_MAX_BROADCAST_BYTES)
+    texts = join_small(texts if small else likely_in(texts, marks, "id"), marks, ["id"], "inner", small_fits=small, salt_buckets=1)
     texts = stored(
         texts.select("toxic", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("row"), F.array_distinct(plain_words(F.col("text"))).alias("words")), "labelled"
     )
     # copies of a text have its words: one of them does
     firsts = stored(texts.groupBy("toxic", "h").agg(F.min("row").alias("row")).select("row"), "labelled-once")
-    texts = join_small(texts, firsts, ["row"], "left_semi")
+    texts = join_small(texts, firsts, ["row"], "left_semi", salt_buckets=1)
     toxic = texts.where(F.col("toxic") == 1)
     least = max(TOXIC_LEAST, -(-toxic.count() // TOXIC_ONE_IN))
     often = toxic.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("toxic")).where(F.col("toxic") >= least)

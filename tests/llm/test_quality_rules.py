@@ -113,6 +113,26 @@ def test_toxic_words_are_learned_from_all_labels(spark):
     assert quality.toxic_words(docs, none) == [] and all(r.kept for r in judged(spark, [rows[1]], rules=quality.RULES | quality.toxic_rule([])) if r.id == 1)
 
 
+def test_many_labels_are_shuffled_not_broadcast(spark, monkeypatch):
+    """Beyond the bound no copy of the labels is broadcast; the words are the same."""
+    docs = spark.range(900).selectExpr("id % 890 AS doc_id", "if(id % 9 = 0, 'Pfui ', 'gut ') || (id % 700) || ' rest' AS text")
+    marks = spark.range(0, 900, 3).selectExpr("id AS doc_id", "if(id % 9 = 0, 1, if(id % 5 = 0, NULL, 0)) AS toxic")
+    want, plans, stored = quality.toxic_words(docs, marks), {}, quality.stored
+
+    def seen(df, name):
+        out = stored(df, name)
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
+        return out
+
+    monkeypatch.setattr(quality, "stored", seen)
+    monkeypatch.setattr(quality, "DEFAULT_MAX_BROADCAST_BYTES", 100, raising=False)
+    monkeypatch.setattr("eventlake.plans.joins.fits", lambda df, most: False)
+    monkeypatch.setattr(quality, "fits", lambda df, most: False, raising=False)
+    assert quality.toxic_words(docs, marks) == want == ["pfui"]
+    assert "SortMergeJoin [id" in plans["labelled"] and "BroadcastHashJoin [id" not in plans["labelled"]
+    assert "SortMergeJoin [row" in plans["labelled-once"] + plans["toxic-words"] and "BroadcastHashJoin [row" not in plans["toxic-words"]
+
+
 def test_draw_of_any_share(spark):
     """A sample of a huge table is small, not empty."""
     df = spark.range(200_000)

@@ -17,7 +17,7 @@ from eventlake.operators.ingest import (
     feed_fingerprints,
     new_since_last_seen,
 )
-from eventlake.plans.joins import salted_join
+from eventlake.plans.joins import likely_in, salted_join
 from eventlake.schemas import CURSOR_SCHEMA
 from eventlake.sources.cursors import load_cursor, save_cursor
 
@@ -155,6 +155,27 @@ def test_salted_join_exact(spark):
         salted_join(big, small, ["k"], "full_outer")
 
 
+def test_salted_join_leaves_copies_where_they_are(spark, tmp_uri):
+    """A small side of a small file, copied once per salt, isn't broadcast."""
+    spark.range(1000).withColumnRenamed("id", "k").write.parquet(tmp_uri)
+    got = salted_join(spark.range(5000).select((F.col("id") % 2000).alias("k"), "id"), spark.read.parquet(tmp_uri), ["k"], "inner")
+    assert got.count() == 3000
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("key", ["id", "'k' || id", "-id", "cast(id AS int)", "double(id) - 50"])
+def test_likely_in_keeps_every_partner(spark, key):
+    keys = spark.range(0, 4000, 2).selectExpr(f"{key} AS k").union(spark.sql("SELECT NULL AS k"))
+    big = spark.range(40_000).selectExpr(f"{key} AS k", "id")
+    got = likely_in(big, keys, "k")
+    assert got.columns == ["k", "id"]
+    ids = {r.id for r in got.collect()}
+    assert ids >= set(range(0, 4000, 2)) and got.count() == len(ids)
+    assert len(ids) == 40_000 if key.startswith("double") else len(ids) < 6000
+    assert {r.id for r in likely_in(big, keys, "k", 100).collect()} >= set(range(0, 4000, 2))
+    assert likely_in(big, keys.limit(0), "k").count() in (0, 40_000) and likely_in(big, keys.selectExpr("string(k) AS k"), "k").count() in (len(ids), 40_000)
+
+
 def test_cursor_store_roundtrip(spark, tmp_uri):
     assert load_cursor(spark, tmp_uri).count() == 0
     save_cursor(spark.createDataFrame([("f", "abc123", "42")], CURSOR_SCHEMA), tmp_uri, 1)
