@@ -48,6 +48,12 @@ def test_no_python_udfs(spark, name):
         assert node not in plan, (name, plan)
 
 
+def test_pairs_are_not_converted_one_by_one(spark):
+    """The sessions' times are converted before the join, not for every pair."""
+    plan = plan_of(entry.queries()["overlapping_sessions"](spark, SF_SMALL))
+    assert "Join" in plan and "timestampadd" not in plan, plan
+
+
 def test_closed_windows_reads_input_once(spark):
     from eventlake.operators.activity import closed_windows
 
